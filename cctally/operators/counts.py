@@ -17,13 +17,18 @@ def count_rows(df: DataFrame, out: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(out))
 
 
-def bucket_counts(df: DataFrame, label_col: str, buckets: Mapping[str, str]) -> DataFrame:
+def bucket_counts(df: DataFrame, label_col: str, buckets: Mapping[str, str],
+                  total: str | None = None) -> DataFrame:
     """A2: one wide row ``{output column: rows whose label equals value}``;
-    empty buckets give 0.  One scan, one partial aggregate."""
-    return df.agg(*[
+    empty buckets give 0; ``total`` adds the row count (A1).  One scan, one
+    partial aggregate."""
+    aggs = [
         F.count_if(F.col(f"`{label_col}`") == F.lit(label)).cast("long").alias(name)
         for name, label in buckets.items()
-    ])
+    ]
+    if total:
+        aggs.append(F.count(F.lit(1)).alias(total))
+    return df.agg(*aggs)
 
 
 def per_group_counts(df: DataFrame, group_col: str, out: str = "rows") -> DataFrame:

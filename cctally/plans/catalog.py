@@ -568,3 +568,310 @@ def q_flags_and_labels(spark, sf_dir):
         R.flag_eq("disposition", C.ERROR_DISPOSITION).alias("errors"),
         R.flag_eq("disposition", C.UNTYPED_DISPOSITION).alias("untyped"),
     )
+
+
+# =============================================================================
+# J / D: lookups and keep-first dimensions
+# =============================================================================
+
+def _fact_keys(d):
+    return """SELECT o_orderkey,
+      CASE WHEN o_orderkey % 5 = 0 THEN ' ' || CAST(o_custkey AS STRING) || chr(160)
+           ELSE CAST(o_custkey AS STRING) END AS key
+    FROM orders"""
+
+
+def _dup_dim(d):
+    return """SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE '  ' || CAST(c_custkey AS STRING) END AS key,
+             CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS segment,
+             c_custkey AS ord
+      FROM customer
+      UNION ALL
+      SELECT CAST(c_custkey AS STRING), 'DUP-' || c_mktsegment, c_custkey + 100000000 FROM customer"""
+
+
+@register("lookup_left_first_wins", f"""
+WITH f AS ({_fact_keys('duckdb')}), d AS ({_dup_dim('duckdb')}),
+first AS (SELECT {duck_strip('key')} AS k, arg_min_null(segment, ord) AS segment FROM d
+          WHERE key IS NOT NULL GROUP BY 1)
+SELECT f.o_orderkey, first.segment FROM f LEFT JOIN first ON {duck_strip('f.key')} = first.k""")
+def q_lookup_left_first_wins(spark, sf_dir):
+    """J1 + J6 + D1 + F7: keys canonicalised on both sides, null keys dropped,
+    the first dimension row per key wins (its null value included)."""
+    fact = standin(spark, sf_dir, ["orders"], _fact_keys).withColumn("k", T.py_strip("key"))
+    dim = standin(spark, sf_dir, ["customer"], _dup_dim).withColumn("k", T.py_strip("key"))
+    return lookup(fact, dim, fact_key="k", dim_key="k", values=["segment"], order=["ord"]) \
+        .select("o_orderkey", "segment")
+
+
+def _fb_fact(d):
+    return """SELECT o_orderkey,
+      CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'C' || CAST(o_custkey AS STRING) END AS contact_id,
+      lpad(CAST((o_custkey * 7) % 1500 AS STRING), 9, '0') AS phone
+    FROM orders"""
+
+
+def _fb_dim(d):
+    return """SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'C' || CAST(c_custkey AS STRING) END AS contact_id,
+             CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS STRING), 9, '0') END AS phone_1,
+             lpad(CAST((c_custkey * 11) % 1500 AS STRING), 9, '0') AS phone_2,
+             CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS segment,
+             c_custkey AS ord
+      FROM customer
+      UNION ALL
+      SELECT 'C' || CAST(c_custkey AS STRING), NULL, NULL, 'LATE', c_custkey + 100000000 FROM customer"""
+
+
+@register("fallback_lookup", f"""
+WITH f AS ({_fb_fact('duckdb')}), d AS ({_fb_dim('duckdb')}),
+b1 AS (SELECT contact_id AS k, arg_min_null(segment, ord) AS v FROM d WHERE contact_id IS NOT NULL GROUP BY 1),
+b2 AS (SELECT phone_1 AS k, arg_min_null(segment, ord) AS v FROM d WHERE phone_1 IS NOT NULL GROUP BY 1),
+b3 AS (SELECT phone_2 AS k, arg_min_null(segment, ord) AS v FROM d WHERE phone_2 IS NOT NULL GROUP BY 1)
+SELECT f.o_orderkey, coalesce(b1.v, b2.v, b3.v, 'No Encontrado') AS bucket
+FROM f LEFT JOIN b1 ON f.contact_id = b1.k LEFT JOIN b2 ON f.phone = b2.k LEFT JOIN b3 ON f.phone = b3.k""")
+def q_fallback_lookup(spark, sf_dir):
+    """J2 + N1: id, then phone in either phone column; first non-null
+    segment, else the default."""
+    fact = standin(spark, sf_dir, ["orders"], _fb_fact)
+    dim = standin(spark, sf_dir, ["customer"], _fb_dim)
+    out = fallback_lookup(fact, dim, keys=[("contact_id", "contact_id"), ("phone", "phone_1"), ("phone", "phone_2")],
+                          value="segment", out="bucket", order=["ord"], default=C.NOT_FOUND)
+    return out.select("o_orderkey", "bucket")
+
+
+def _nation_dups(d):
+    return """SELECT n_nationkey AS s_nationkey, n_name, n_nationkey AS ord FROM nation
+              UNION ALL SELECT n_nationkey, 'DUP', n_nationkey + 100 FROM nation"""
+
+
+@register("lookup_same_name", f"""
+WITH d AS ({_nation_dups('duckdb')}),
+first AS (SELECT s_nationkey, arg_min_null(n_name, ord) AS n_name FROM d GROUP BY 1)
+SELECT s.s_suppkey, first.n_name FROM supplier s LEFT JOIN first USING (s_nationkey)""")
+def q_lookup_same_name(spark, sf_dir):
+    """Left lookup on a same-named key."""
+    views(spark, sf_dir, "supplier")
+    dim = standin(spark, sf_dir, ["nation"], _nation_dups)
+    return lookup(spark.table("supplier"), dim, fact_key="s_nationkey", dim_key="s_nationkey",
+                  values=["n_name"], order=["ord"]).select("s_suppkey", "n_name")
+
+
+@register("lookup_fanout", """
+SELECT c.c_custkey, CAST(o.o_orderkey AS VARCHAR) AS o_orderkey
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey""")
+def q_lookup_fanout(spark, sf_dir):
+    """Left join keeping every match (right side not unique)."""
+    views(spark, sf_dir, "customer", "orders")
+    out = lookup(spark.table("customer"), spark.table("orders"), fact_key="c_custkey", dim_key="o_custkey",
+                 values=["o_orderkey"], dedupe=False)
+    return out.select("c_custkey", F.col("o_orderkey").cast("string").alias("o_orderkey"))
+
+
+def _event_users(d):
+    return """SELECT event_id,
+      CASE WHEN event_id % 3 = 0 THEN ' Customer#' || lpad(CAST(user_id AS STRING), 9, '0') || chr(160)
+           ELSE 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') END AS user_text
+    FROM events"""
+
+
+@register("lookup_derived_key", f"""
+WITH f AS ({_event_users('duckdb')}),
+first AS (SELECT c_name, arg_min_null(c_custkey, c_custkey) AS c_custkey FROM customer WHERE c_name IS NOT NULL GROUP BY 1)
+SELECT f.event_id, CAST(first.c_custkey AS VARCHAR) AS c_custkey
+FROM f LEFT JOIN first ON {duck_strip('f.user_text')} = first.c_name""")
+def q_lookup_derived_key(spark, sf_dir):
+    """Join on a key derived in the plan (stripped user text), then dropped."""
+    fact = standin(spark, sf_dir, ["events"], _event_users).withColumn("__user", T.py_strip("user_text"))
+    views(spark, sf_dir, "customer")
+    out = lookup(fact, spark.table("customer"), fact_key="__user", dim_key="c_name", values=["c_custkey"],
+                 order=["c_custkey"]).drop("__user")
+    return out.select("event_id", F.col("c_custkey").cast("string").alias("c_custkey"))
+
+
+def _half_null_fact(d):
+    return """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS key
+              FROM orders"""
+
+
+def _half_null_dim(d):
+    return """SELECT CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END AS key,
+                     c_mktsegment AS segment, c_custkey AS ord FROM customer"""
+
+
+@register("null_keys_never_match", f"""
+WITH f AS ({_half_null_fact('duckdb')}), d AS ({_half_null_dim('duckdb')}),
+first AS (SELECT key, arg_min_null(segment, ord) AS segment FROM d WHERE key IS NOT NULL GROUP BY 1)
+SELECT f.o_orderkey, first.segment FROM f LEFT JOIN first ON f.key = first.key""")
+def q_null_keys_never_match(spark, sf_dir):
+    """Q1/Q2: null keys on either side never match (no text 'nan' keys)."""
+    fact = standin(spark, sf_dir, ["orders"], _half_null_fact)
+    dim = standin(spark, sf_dir, ["customer"], _half_null_dim)
+    return lookup(fact, dim, fact_key="key", dim_key="key", values=["segment"], order=["ord"]) \
+        .select("o_orderkey", "segment")
+
+
+def _sites(d):
+    return """SELECT n_nationkey AS s_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_name END AS site,
+                     n_nationkey AS ord FROM nation"""
+
+
+@register("absent_dimension_marker", f"""
+WITH d AS ({_sites('duckdb')})
+SELECT s.s_suppkey, 'Error de Cruce' AS quartile, 'Error de Cruce' AS shift, coalesce(d.site, 'Sin sede') AS site
+FROM supplier s LEFT JOIN d USING (s_nationkey)""")
+def q_absent_dimension_marker(spark, sf_dir):
+    """J7 (absent dimension -> marker), J8 (missing key column -> marker),
+    J9 (null attribute filled after the lookup)."""
+    views(spark, sf_dir, "supplier")
+    df = spark.table("supplier")
+    df = lookup(df, None, fact_key="s_suppkey", dim_key="dni", values=["quartile"], marker=C.LOOKUP_FAILED)
+    dim = standin(spark, sf_dir, ["nation"], _sites)
+    df = lookup(df, dim, fact_key="dni", dim_key="s_nationkey", values=["shift"], marker=C.LOOKUP_FAILED)
+    df = lookup(df, dim, fact_key="s_nationkey", dim_key="s_nationkey", values=["site"], order=["ord"],
+                fill={"site": "Sin sede"})
+    return df.select("s_suppkey", "quartile", "shift", "site")
+
+
+# =============================================================================
+# A / M: counts and metrics
+# =============================================================================
+
+def _count_files(d):
+    return """SELECT event_id,
+      CASE WHEN event_type = 'click' THEN 'confirm q001 base ' || CAST(user_id AS STRING) || '.csv'
+           WHEN event_type = 'view' AND user_id % 2 = 0 THEN 'MAIN BASE Q001.csv'
+           WHEN event_type = 'view' THEN 'MAIN BASE Q001 confirm.csv'
+           WHEN event_type = 'error' THEN 'daily q003.csv'
+           WHEN event_type = 'purchase' THEN 'Q004 list.csv'
+           ELSE 'other.csv' END AS file_name
+    FROM events"""
+
+
+FILE_RULES = ((("CONFIRM", "Q001"), "confirm"), (("MAIN BASE Q001",), "main"), (("Q003",), "q3"), (("Q004",), "q4"))
+BUCKETS = {"main_base": "main", "confirmations": "confirm", "base_q3": "q3", "base_q4": "q4"}
+
+
+@register("bucket_counts", cte(_count_files) + """
+SELECT CAST(count_if(label = 'main') AS BIGINT) AS main_base, CAST(count_if(label = 'confirm') AS BIGINT) AS confirmations,
+       CAST(count_if(label = 'q3') AS BIGINT) AS base_q3, CAST(count_if(label = 'q4') AS BIGINT) AS base_q4,
+       CAST(count(*) AS BIGINT) AS rows
+FROM (SELECT CASE WHEN contains(u, 'CONFIRM') AND contains(u, 'Q001') THEN 'confirm'
+                  WHEN contains(u, 'MAIN BASE Q001') THEN 'main' WHEN contains(u, 'Q003') THEN 'q3'
+                  WHEN contains(u, 'Q004') THEN 'q4' END AS label
+      FROM (SELECT upper(file_name) AS u FROM src))""")
+def q_bucket_counts(spark, sf_dir):
+    """A1 + A2 + F9: ordered file-name rules label each row; one wide row of
+    counts (0 for empty buckets) in one scan."""
+    df = standin(spark, sf_dir, ["events"], _count_files)
+    labelled = df.withColumn("label", R.first_match(F.upper("file_name"), FILE_RULES))
+    return A.bucket_counts(labelled, "label", BUCKETS, total="rows")
+
+
+@register("per_file_counts", """
+SELECT CAST(sum(n) AS BIGINT) AS records, CAST(count(*) AS BIGINT) AS files
+FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)""")
+def q_per_file_counts(spark, sf_dir):
+    """A3: records per source file, then summed."""
+    views(spark, sf_dir, "events")
+    df = spark.table("events").withColumn("file", F.concat(F.lit("events_"), F.col("event_type"), F.lit(".rsl")))
+    per_file = A.per_group_counts(df, "file")
+    return per_file.agg(F.sum("rows").cast("long").alias("records"), F.count(F.lit(1)).alias("files"))
+
+
+def _dedup_events(d):
+    return f"""SELECT event_id, ts, event_type, {fmt(d, 'ts', 'HH')} || ':00' AS hour,
+      CASE WHEN event_id % 9 = 0 THEN NULL ELSE ' ' || CAST(user_id AS STRING) END AS user_text
+    FROM events"""
+
+
+@register("dedup_composite_first", cte(_dedup_events) + f"""
+SELECT event_id, hour, {duck_strip('user_text')} AS user_key, event_type,
+       concat_ws(' | ', coalesce({duck_strip('hour')}, '∅'), coalesce({duck_strip('user_text')}, '∅'),
+                 coalesce({duck_strip('event_type')}, '∅')) AS key_text
+FROM src
+QUALIFY row_number() OVER (PARTITION BY hour, {duck_strip('user_text')}, event_type
+                           ORDER BY ts ASC NULLS LAST, event_id) = 1""")
+def q_dedup_composite_first(spark, sf_dir):
+    """D2 + X16 + O1: keep the first row (time, then id) of each
+    (hour, user, type) key; null keys group together."""
+    df = standin(spark, sf_dir, ["events"], _dedup_events).withColumn("user_key", T.py_strip("user_text"))
+    out = keep_first(df, ["hour", "user_key", "event_type"],
+                     [F.col("ts").asc_nulls_last(), F.col("event_id").asc()])
+    return out.select("event_id", "hour", "user_key", "event_type",
+                      T.composite_key(["hour", "user_text", "event_type"]).alias("key_text"))
+
+
+@register("run_metrics", """
+SELECT CAST(count(*) AS BIGINT) AS rows_read,
+       CAST(count_if(l_returnflag = 'R') AS BIGINT) AS returned,
+       CAST(count_if(l_discount >= 0.05) AS BIGINT) AS rows_kept,
+       CAST(count(*) - count_if(l_discount >= 0.05) AS BIGINT) AS rows_dropped
+FROM lineitem""")
+def q_run_metrics(spark, sf_dir):
+    """M1 + A4: observed counts before and after a filter, gathered while
+    one action runs over the data (no extra pass), as a one-row table."""
+    views(spark, sf_dir, "lineitem")
+    src, before = A.observe_counts(spark.table("lineitem"), "read",
+                                   {"returned": F.col("l_returnflag") == "R"})
+    kept, after = A.observe_counts(src.where(F.col("l_discount") >= 0.05), "kept")
+    kept.write.format("noop").mode("overwrite").save()
+    b, a = before.get, after.get
+    row = {"rows_read": int(b["rows"]), "returned": int(b["returned"]), "rows_kept": int(a["rows"]),
+           "rows_dropped": A.removed_rows(b["rows"], a["rows"])}
+    return A.metrics_frame(spark, [row]).select("rows_read", "returned", "rows_kept", "rows_dropped")
+
+
+def _sort_keys(d):
+    return "SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_acctbal END AS k FROM customer"
+
+
+@register("sort_nulls_last", cte(_sort_keys) + """
+SELECT c_custkey, row_number() OVER (ORDER BY k ASC NULLS LAST, c_custkey) AS row_no FROM src""")
+def q_sort_nulls_last(spark, sf_dir):
+    """O1 + O2: ascending, nulls last, positions numbered without moving all
+    rows to one task."""
+    df = standin(spark, sf_dir, ["customer"], _sort_keys)
+    return number_in_order(df, [F.col("k").asc_nulls_last(), F.col("c_custkey").asc()]).select("c_custkey", "row_no")
+
+
+@register("union_by_name", """
+SELECT r_regionkey AS key, r_name AS name, NULL AS parent FROM region
+UNION ALL SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) FROM nation""")
+def q_union_by_name(spark, sf_dir):
+    """U1 + U2: union by column name, missing columns null."""
+    views(spark, sf_dir, "region", "nation")
+    a = spark.table("region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
+    b = spark.table("nation").select(F.col("n_regionkey").cast("string").alias("parent"),
+                                     F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"))
+    return union_all_by_name([a, b]).select("key", "name", "parent")
+
+
+# =============================================================================
+# P: projection / schema
+# =============================================================================
+
+@register("project_fixed_order", """
+SELECT 'Lines' AS base, l_orderkey, l_linenumber, CAST(1 AS INTEGER) AS handled, l_returnflag FROM lineitem""")
+def q_project_fixed_order(spark, sf_dir):
+    """P4 (present columns), P8 (drop if present), P9 (constants), P7 (order)."""
+    from ..operators.project import drop_present, fixed_order, select_present, with_constants
+    views(spark, sf_dir, "lineitem")
+    df = select_present(spark.table("lineitem"),
+                        ["l_orderkey", "l_linenumber", "no_such_column", "l_returnflag", "l_shipdate"])
+    df = drop_present(df, ["l_shipdate", "also_missing"])
+    df = with_constants(df, {"handled": 1, "base": "Lines"})
+    return fixed_order(df, ["base", "l_orderkey", "l_linenumber", "handled", "l_returnflag"])
+
+
+@register("header_repair", """
+SELECT n_nationkey AS key, n_name AS nation_name, n_regionkey AS region_key FROM nation""")
+def q_header_repair(spark, sf_dir):
+    """P1/P2 (trim, quotes, byte-order mark, no-break space), P3 (repair map
+    for damaged spellings), P6 (rename)."""
+    from ..operators.project import normalize_headers
+    from ..schemas import header_repairs, mojibake
+    views(spark, sf_dir, "nation")
+    dirty = ["  n_nationkey ", '﻿"Nombre\xa0 país"', mojibake("Región") + "\xa0"]
+    df = spark.table("nation").select("n_nationkey", "n_name", "n_regionkey").toDF(*dirty)
+    fixes = header_repairs({"n_nationkey": "key", "Nombre país": "name", "Región": "region_key"})
+    return normalize_headers(df, deep=True, rename=fixes).withColumnRenamed("name", "nation_name")
