@@ -1,0 +1,259 @@
+"""Driver queries for readers and sinks.
+
+Each query stages files written by Spark from a test table into a fresh
+folder below the shared checkpoint folder, then reads them back through the
+library's readers; the oracle is the table itself.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from ..operators.project import union_all_by_name
+from ..session import staging_dir
+from ..sources import readers, sinks
+from . import jobs
+from .catalog import AS_OF, register, views
+
+
+def _text_lines(df, path, *, encoding="UTF-8", partition_by=None):
+    """Write one text line per row (column ``line``) without quoting."""
+    w = df.write.mode("overwrite").option("sep", "\u0001").option("quote", "").option("header", False) \
+        .option("encoding", encoding)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
+
+
+@register("folder_scan_roundtrip", """
+SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region_key,
+       CASE WHEN n_regionkey <= 1 THEN 'root_a' ELSE 'root_b' END AS root
+FROM nation""")
+def q_folder_scan_roundtrip(spark, sf_dir):
+    """S1 + U2 (several roots, a missing one ignored), S3 (``;`` with header),
+    S14 (source file), K1 (``;`` sink)."""
+    views(spark, sf_dir, "nation")
+    base = staging_dir(spark, "scan")
+    nat = spark.table("nation").select(F.col("n_nationkey").alias("Clave"), F.col("n_name").alias("Nombre"),
+                                       F.col("n_regionkey").alias("Región"))
+    sinks.write_delimited(nat.where("`Región` <= 1").repartition(3), f"{base}/root_a")
+    sinks.write_delimited(nat.where("`Región` > 1"), f"{base}/root_b")
+    res = readers.read_delimited(spark, [f"{base}/root_a", f"{base}/root_b", f"{base}/missing"],
+                                 ["Clave", "Nombre", "Región"])
+    root = F.regexp_extract(F.col(f"{readers.ORD_COL}.file"), r"/(root_[ab])/", 1)
+    return res.data.select(
+        F.col("Clave").cast("int").alias("key"), F.col("Nombre").alias("name"),
+        F.col("`Región`").cast("int").alias("region_key"), root.alias("root"))
+
+
+@register("encoding_fallback", """
+SELECT p_partkey, replace(p_name, 'e', 'é') || ' Ñu' AS name, p_brand AS brand FROM part""")
+def q_encoding_fallback(spark, sf_dir):
+    """Files in UTF-8 and in Latin-1 in one folder; each file is decoded
+    by its own validity check."""
+    views(spark, sf_dir, "part")
+    base = staging_dir(spark, "enc")
+    df = spark.table("part").select(
+        F.col("p_partkey").alias("id"),
+        F.concat(F.replace(F.col("p_name"), F.lit("e"), F.lit("é")), F.lit(" Ñu")).alias("name"),
+        F.col("p_brand").alias("brand"))
+    sinks.write_delimited(df.where(F.col("id") % 2 == 0), base, encoding="UTF-8")
+    sinks.write_delimited(df.where(F.col("id") % 2 == 1), base, encoding="ISO-8859-1", mode="append")
+    res = readers.read_delimited(spark, [base], ["id", "name", "brand"])
+    return res.data.select(F.col("id").cast("bigint").alias("p_partkey"), "name", "brand")
+
+
+@register("delimiter_header_groups", """
+SELECT CAST(s_suppkey AS VARCHAR) AS id,
+       CASE WHEN s_suppkey % 3 = 1 THEN NULL ELSE s_name END AS name,
+       CASE WHEN s_suppkey % 3 = 2 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END AS nation
+FROM supplier""")
+def q_delimiter_header_groups(spark, sf_dir):
+    """S5/S6 (delimiter per file, sniffed), P4 (wanted columns present),
+    U1 (files with reordered, missing and extra columns unioned by name)."""
+    views(spark, sf_dir, "supplier")
+    base = staging_dir(spark, "delim")
+    s = spark.table("supplier")
+    k = F.col("s_suppkey") % 3
+    sinks.write_delimited(s.where(k == 0).select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                                                 F.col("s_nationkey").alias("nation")), base, sep=",")
+    sinks.write_delimited(s.where(k == 1).select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id"),
+                                                 F.col("s_acctbal").alias("extra")), base, sep=";", mode="append")
+    sinks.write_delimited(s.where(k == 2).select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")),
+                          base, sep="\t", mode="append")
+    res = readers.read_delimited(spark, [base], ["id", "name", "nation"], delimiters=readers.SNIFF_CANDIDATES,
+                                 delimiter_mode="sniff")
+    return res.data.select("id", "name", "nation")
+
+
+@register("wide_row_skip", """
+SELECT CAST(r_regionkey AS VARCHAR) AS key, r_name AS name, 'kept' AS status FROM region
+UNION ALL SELECT CAST(r_regionkey + 10 AS VARCHAR), NULL, 'kept' FROM region
+UNION ALL SELECT CAST(r_regionkey + 20 AS VARCHAR), NULL, 'too_wide' FROM region""")
+def q_wide_row_skip(spark, sf_dir):
+    """S7 (too-wide rows out, short rows null-padded) + S8 (reject table)."""
+    views(spark, sf_dir, "region")
+    base = staging_dir(spark, "wide")
+    r = spark.table("region")
+    part = (F.col("r_regionkey") % 2).alias("part")
+    header = r.select(part, F.lit(0).alias("o"), F.lit("Clave;Nombre").alias("line"), F.lit(-1).alias("k")).distinct()
+    body = union_all_by_name([
+        r.select(part, F.lit(1).alias("o"), F.concat_ws(";", "r_regionkey", "r_name").alias("line"), F.col("r_regionkey").alias("k")),
+        r.select(part, F.lit(1).alias("o"), (F.col("r_regionkey") + 10).cast("string").alias("line"), (F.col("r_regionkey") + 10).alias("k")),
+        r.select(part, F.lit(1).alias("o"), F.concat_ws(";", (F.col("r_regionkey") + 20).cast("string"), "r_name",
+                                                         F.lit("x"), F.lit("y")).alias("line"), (F.col("r_regionkey") + 20).alias("k")),
+    ])
+    lines = union_all_by_name([header, body]).repartition(1, "part").sortWithinPartitions("part", "o", "k")
+    _text_lines(lines.select("part", "line"), base, partition_by=["part"])
+    res = readers.read_delimited(spark, [f"{base}/part=0", f"{base}/part=1"], ["Clave", "Nombre"])
+    kept = res.data.select(F.col("Clave").alias("key"), F.col("Nombre").alias("name"), F.lit("kept").alias("status"))
+    rej = res.rejects.select(F.split_part("raw", F.lit(";"), F.lit(1)).alias("key"), F.lit(None).cast("string").alias("name"),
+                             F.col("reason").alias("status"))
+    return kept.unionByName(rej)
+
+
+@register("keyvalue_scan", """
+SELECT CAST(p_partkey AS VARCHAR) AS "ID", p_name AS "NAME",
+       CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_brand END AS "BRAND",
+       CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'size=' || CAST(p_size AS VARCHAR) END AS "EXPR"
+FROM part""")
+def q_keyvalue_scan(spark, sf_dir):
+    """S9 (``k=v|k=v`` Latin-1 records, split at the first ``=``), S10 (keys
+    discovered), X14, Q21 (keys in any order), F6 (header lines dropped)."""
+    views(spark, sf_dir, "part")
+    base = staging_dir(spark, "kv")
+    p = spark.table("part")
+    idc, name, brand = (F.concat(F.lit("ID="), F.col("p_partkey")), F.concat(F.lit("NAME="), F.col("p_name")),
+                        F.concat(F.lit("BRAND="), F.when(F.col("p_partkey") % 5 == 0, F.lit("")).otherwise(F.col("p_brand"))))
+    expr = F.when(F.col("p_partkey") % 7 != 0, F.concat(F.lit("EXPR=size="), F.col("p_size")))
+    line = F.when(F.col("p_partkey") % 3 == 0, F.concat_ws("|", name, idc, expr, brand)) \
+        .otherwise(F.concat_ws("|", idc, name, brand, expr))
+    recs = p.select(line.alias("line"))
+    headers = p.select(F.when(F.col("p_partkey") % 50 == 0, F.lit("ID|NAME|BRAND|EXPR"))
+                       .otherwise(F.lit("ID=ID|NAME=NAME")).alias("line")).distinct()
+    _text_lines(union_all_by_name([recs, headers]), base, encoding="ISO-8859-1")
+    out = readers.read_keyvalue(spark, [base], pattern="*.csv")
+    return out.select("ID", "NAME", "BRAND", "EXPR")
+
+
+@register("keyvalue_base", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "ORDER", o_orderstatus AS "STATUS", o_orderpriority AS "PRIORITY",
+       TRUE AS from_file
+FROM orders""")
+def q_keyvalue_base(spark, sf_dir):
+    """L3: key=value exports of several files -> one table with the source
+    file name (S14) per row."""
+    views(spark, sf_dir, "orders")
+    base = staging_dir(spark, "kvbase")
+    o = spark.table("orders")
+    line = F.concat_ws("|", F.concat(F.lit("ORDER="), F.col("o_orderkey")), F.concat(F.lit("STATUS="), F.col("o_orderstatus")),
+                       F.concat(F.lit("PRIORITY="), F.col("o_orderpriority")))
+    _text_lines(o.select(line.alias("line")).repartition(4), base, encoding="ISO-8859-1")
+    out = readers.read_keyvalue(spark, [base], ["ORDER", "STATUS", "PRIORITY"], pattern="*.csv")
+    return out.select("ORDER", "STATUS", "PRIORITY",
+                      F.col(readers.FILE_COL).endswith(".csv").alias("from_file"))
+
+
+@register("record_count", "SELECT CAST(count(*) AS BIGINT) AS records FROM lineitem")
+def q_record_count(spark, sf_dir):
+    """L7 (S1 + S9 + A3): record lines per file of a key=value export,
+    summed to one row."""
+    views(spark, sf_dir, "lineitem")
+    base = staging_dir(spark, "rsl")
+    li = spark.table("lineitem")
+    line = F.concat_ws("|", F.concat(F.lit("ORDER="), F.col("l_orderkey")), F.concat(F.lit("LINE="), F.col("l_linenumber")))
+    _text_lines(li.select(line.alias("line")).repartition(4), base, encoding="ISO-8859-1")
+    lines = readers.read_keyvalue_lines(spark, [base], pattern="*.csv")
+    return jobs.record_count(lines)
+
+
+@register("multi_table_sink", """
+SELECT 'nation' AS table_name, 'written' AS status, CAST(count(*) AS BIGINT) AS rows FROM nation
+UNION ALL SELECT 'region', 'written', CAST(count(*) AS BIGINT) FROM region
+UNION ALL SELECT 'empty', 'skipped', CAST(0 AS BIGINT)""")
+def q_multi_table_sink(spark, sf_dir):
+    """K2/K3 (one dataset per named table), K4 (optional empty table
+    skipped), K5 (second run replaces the first)."""
+    views(spark, sf_dir, "region", "nation")
+    root = staging_dir(spark, "sink")
+    tables = {"nation": spark.table("nation"), "region": spark.table("region"),
+              "empty": spark.table("region").where(F.lit(False))}
+    sinks.write_tables(tables, root, optional={"empty"})
+    status = sinks.write_tables(tables, root, optional={"empty"})
+    frames = []
+    for name, st in status.items():
+        if st == "written":
+            frames.append(spark.read.parquet(os.path.join(root, name))
+                          .agg(F.count(F.lit(1)).alias("rows"))
+                          .select(F.lit(name).alias("table_name"), F.lit(st).alias("status"), "rows"))
+        else:
+            frames.append(spark.table("region").limit(1)
+                          .select(F.lit(name).alias("table_name"), F.lit(st).alias("status"), F.lit(0).cast("long").alias("rows")))
+    return union_all_by_name(frames)
+
+
+@register("staged_dimension_scan", """
+SELECT s_suppkey, s_name, 'double' AS inferred_type, s_nationkey FROM supplier""")
+def q_staged_dimension_scan(spark, sf_dir):
+    """S11 (staged dimension, Parquet and CSV), S12/S13 (all-string,
+    declared and inferred schemas)."""
+    views(spark, sf_dir, "supplier")
+    base = staging_dir(spark, "dim")
+    s = spark.table("supplier")
+    sinks.write_delimited(s, f"{base}/csv", sep=",")
+    sinks.write_table(s, f"{base}/parquet")
+    as_text = readers.read_dimension(spark, f"{base}/csv", fmt="csv")
+    declared = readers.read_dimension(spark, f"{base}/csv", fmt="csv", schema=StructType([
+        StructField("s_suppkey", LongType()), StructField("s_name", StringType()),
+        StructField("s_nationkey", StringType()), StructField("s_acctbal", StringType())]))
+    inferred = readers.read_dimension(spark, f"{base}/csv", fmt="csv", infer=True)
+    inferred_type = dict(inferred.dtypes)["s_acctbal"]
+    parquet = readers.read_dimension(spark, f"{base}/parquet")
+    out = declared.select("s_suppkey").join(
+        as_text.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name"), "s_suppkey", "left")
+    out = out.join(parquet.select("s_suppkey", "s_nationkey"), "s_suppkey", "left")
+    return out.select("s_suppkey", "s_name", F.lit(inferred_type).alias("inferred_type"), "s_nationkey")
+
+
+@register("optional_output_read", """
+SELECT 'previous' AS source, CAST(r_regionkey AS VARCHAR) AS key, r_name AS name FROM region
+UNION ALL SELECT 'notice', NULL, 'previous output not found'
+UNION ALL SELECT 'empty_input', NULL, 'no input'""")
+def q_optional_output_read(spark, sf_dir):
+    """S15 (previous output if present, else a one-row notice) and S16
+    (an empty input folder yields a status, no data)."""
+    views(spark, sf_dir, "region")
+    base = staging_dir(spark, "opt")
+    sinks.write_delimited(spark.table("region"), f"{base}/previous")
+    prev = readers.read_optional(spark, f"{base}/previous")
+    absent = readers.read_optional(spark, f"{base}/absent")
+    os.makedirs(f"{base}/empty", exist_ok=True) if base.startswith("/") else None
+    empty = readers.read_delimited(spark, [f"{base}/empty"], ["r_regionkey"])
+    parts = [
+        prev.select(F.lit("previous").alias("source"), F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")),
+        absent.select(F.lit("notice").alias("source"), F.lit(None).cast("string").alias("key"), F.col("Aviso").alias("name")),
+    ]
+    if empty.empty:
+        parts.append(spark.table("region").limit(1).select(F.lit("empty_input").alias("source"),
+                                                           F.lit(None).cast("string").alias("key"),
+                                                           F.lit("no input").alias("name")))
+    return union_all_by_name(parts)
+
+
+@register("month_folder_pruning", f"""
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders
+WHERE date_trunc('month', o_orderdate) IN (date_trunc('month', DATE '{AS_OF}'),
+                                            date_trunc('month', DATE '{AS_OF}') - INTERVAL 1 MONTH)""")
+def q_month_folder_pruning(spark, sf_dir):
+    """S2 + T9: orders staged as ``year=/month=`` folders; only the month of
+    ``as_of`` and the month before are read (partition pruning)."""
+    views(spark, sf_dir, "orders")
+    root = staging_dir(spark, "months")
+    o = spark.table("orders").select("o_orderkey", F.year("o_orderdate").alias("year"),
+                                     F.month("o_orderdate").alias("month"))
+    sinks.write_table(o, root, partition_by=["year", "month"])
+    return readers.read_month_partitions(spark, root, AS_OF).select("o_orderkey", "year", "month")

@@ -284,10 +284,10 @@ def read_keyvalue(spark: SparkSession, roots, keys: Sequence[str] | None = None,
         keys = keyvalue_keys(pairs)
     if not keys:
         return None
-    cols = [
-        F.element_at(F.filter("pairs", lambda p, k=k: p["k"] == F.lit(k)), 1).getField("v").alias(k)
-        for k in keys
-    ]
+    def key_is(k):
+        return lambda p: p["k"] == F.lit(k)
+
+    cols = [F.try_element_at(F.filter("pairs", key_is(k)), F.lit(1)).getField("v").alias(k) for k in keys]
     out = pairs.select(*cols, FILE_COL, ORD_COL)
     # lines without any key=value cell (bare header lines) are dropped
     any_value = F.lit(False)
@@ -337,3 +337,18 @@ def read_optional(spark: SparkSession, path: str, *, sep: str = ";",
     if _fs_exists(spark, path):
         return spark.read.option("header", True).option("sep", sep).csv(path)
     return spark.createDataFrame([(notice,)], StructType([StructField(notice_col, StringType())]))
+
+
+def month_partition_filter(as_of, year_col: str = "year", month_col: str = "month") -> F.Column:
+    """S2 for staged data laid out ``year=/month=``: a partition filter on the
+    month of ``as_of`` and the month before; the scan prunes every other
+    folder (``PartitionFilters`` in the plan)."""
+    from ..functions.dates import month_starts
+    cur, prev = month_starts(as_of)
+    ym = F.col(year_col) * 100 + F.col(month_col)
+    return ym.isin(cur.year * 100 + cur.month, prev.year * 100 + prev.month)
+
+
+def read_month_partitions(spark: SparkSession, root: str, as_of, fmt: str = "parquet") -> DataFrame:
+    """The two months of ``as_of`` from a ``year=/month=`` dataset."""
+    return spark.read.format(fmt).load(root).where(month_partition_filter(as_of))
