@@ -33,20 +33,29 @@ def broadcast_max_rows(spark) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
 
 
-def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto") -> DataFrame:
-    """Broadcast hint only when the dimension has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``: one small job over the
-    (already reduced) dimension.  ``mode=True`` forces the hint, ``False``
-    never hints.
+def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
+                      bound_by: DataFrame | None = None, factor: int = 1) -> DataFrame:
+    """Broadcast hint only when the dimension is proven to have at most
+    ``max_rows`` rows.
+
+    The proof is a row count of ``bound_by`` (default: ``dim`` itself) --
+    for a keep-first dimension the raw rows before the reduction, which bound
+    its size (times ``factor`` when several key projections are unioned).
+    ``limit(max_rows + 1).count()`` stops reading once the bound is passed
+    and, because only a count is asked, skips every projected expression.
+    Beyond the bound no hint is given and the planner picks a sort-merge
+    join (AQE splits skewed fact partitions).  ``mode=True`` forces the
+    hint, ``False`` never hints.
     """
     if mode is False:
         return dim
     if mode is True:
         return F.broadcast(dim)
     limit = max_rows if max_rows is not None else broadcast_max_rows(dim.sparkSession)
-    n = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if n <= limit else dim
+    source = bound_by if bound_by is not None else dim
+    cap = limit // max(factor, 1)
+    n = source.limit(cap + 1).count()
+    return F.broadcast(dim) if n <= cap else dim
 
 
 def first_wins(dim: DataFrame, key: str, values: Sequence[str], order: Sequence) -> DataFrame:
@@ -99,7 +108,7 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
     else:
         right = dim.where(_col(dim_key).isNotNull()).select(_col(dim_key), *[_col(v) for v in values])
     right = right.select(_col(dim_key).alias("__lk"), *[_col(v).alias(o) for v, o in zip(values, outs)])
-    right = guarded_broadcast(right, max_rows, broadcast)
+    right = guarded_broadcast(right, max_rows, broadcast, bound_by=dim)
     joined = fact.join(right, _col(fact_key) == F.col("__lk"), "left").drop("__lk")
     if fill:
         joined = joined.withColumns({c: F.coalesce(_col(c), F.lit(v)) for c, v in fill.items()})
@@ -146,7 +155,7 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
         best = per_prio[0] if len(per_prio) == 1 else F.coalesce(*per_prio)
         name = f"__fb{i}"
         right = cand.groupBy("__k").agg(best.alias(name))
-        right = guarded_broadcast(right, max_rows, broadcast)
+        right = guarded_broadcast(right, max_rows, broadcast, bound_by=dim, factor=len(dks))
         joined = joined.join(right, _col(fk) == F.col("__k"), "left").drop("__k")
         result_cols.append(F.col(name))
     pick = F.coalesce(*result_cols, F.lit(default)) if default is not None else F.coalesce(*result_cols)
@@ -164,7 +173,7 @@ def map_with_table(fact: DataFrame, column: str, mapping: DataFrame, *, src: str
     out = out or column
     m = first_wins(mapping.withColumn("__o", F.monotonically_increasing_id()), src, [dst], ["__o"])
     m = m.select(F.col(f"`{src}`").alias("__mk"), F.col(f"`{dst}`").alias("__mv"))
-    m = guarded_broadcast(m, None, broadcast)
+    m = guarded_broadcast(m, None, broadcast, bound_by=mapping)
     j = fact.join(m, _col(column) == F.col("__mk"), "left")
     fallback = _col(column) if keep_unmapped else F.lit(default)
     mapped = F.coalesce(F.col("__mv"), fallback)

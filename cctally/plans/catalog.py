@@ -46,8 +46,9 @@ def register(name: str, oracle: str | None = None):
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     """Register the test tables as temporary views (lazy parquet scans)."""
+    from ..sources.readers import read_table
     for n in names:
-        spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")).createOrReplaceTempView(n)
+        read_table(spark, os.path.join(sf_dir, f"{n}.parquet")).createOrReplaceTempView(n)
 
 
 def standin(spark: SparkSession, sf_dir: str, tables, sql_fn) -> DataFrame:

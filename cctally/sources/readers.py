@@ -331,6 +331,19 @@ def read_dimension(spark: SparkSession, path: str, *, fmt: str = "parquet", sche
     return df
 
 
+def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet",
+               min_partitions: int | None = None) -> DataFrame:
+    """A staged table.  When it arrives in fewer splits than the cluster has
+    cores (one small file, one row group), it is spread round-robin so the
+    per-row text work uses every core; a large input already has enough
+    splits and is left as scanned (no shuffle)."""
+    df = spark.read.format(fmt).load(path)
+    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
 def read_optional(spark: SparkSession, path: str, *, sep: str = ";",
                   notice_col: str = "Aviso", notice: str = "previous output not found") -> DataFrame:
     """A previous job's ``;`` output if it exists, else a one-row notice."""
