@@ -230,7 +230,6 @@ def q_optional_output_read(spark, sf_dir):
     sinks.write_delimited(spark.table("region"), f"{base}/previous")
     prev = readers.read_optional(spark, f"{base}/previous")
     absent = readers.read_optional(spark, f"{base}/absent")
-    os.makedirs(f"{base}/empty", exist_ok=True) if base.startswith("/") else None
     empty = readers.read_delimited(spark, [f"{base}/empty"], ["r_regionkey"])
     parts = [
         prev.select(F.lit("previous").alias("source"), F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")),

@@ -33,6 +33,18 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+def with_columns_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A wanted column that no input file had is a null column (this replaces
+    the reference's per-column ``if col in df`` guards)."""
+    missing = [n for n in names if n not in df.columns]
+    return df.withColumns({n: F.lit(None).cast("string") for n in missing}) if missing else df
+
+
+ACCUMULATED_INPUT = ("user", "date_text", "phone_in", "queue", "conclusion", "contact_id", "source_file")
+CONSOLIDATED_INPUT = ("user", "date_text", "direction", "dnis", "queue", "conclusion", "contact_id",
+                      "campaign", "source_file")
+
+
 # --- L1 accumulated contacts ------------------------------------------------------
 
 def accumulated_contacts(interactions: DataFrame, staffing: DataFrame | None, *, as_of,
@@ -46,7 +58,7 @@ def accumulated_contacts(interactions: DataFrame, staffing: DataFrame | None, *,
     agent = T.replace_values(agent, inputs.name_fixes)
     agent = T.repair_text(agent, C.REPAIR_TO_ASCII)
     agent = T.replace_values(T.collapse_title(agent), inputs.name_fixes)
-    df = interactions.withColumn("agent", agent)
+    df = with_columns_present(interactions, ACCUMULATED_INPUT).withColumn("agent", agent)
 
     if staffing is not None:
         dim = staffing.withColumn("__name", T.collapse_title(_c("full_name")))
@@ -107,7 +119,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     agent = T.collapse_title(T.agent_name_consolidated(_c("user"), inputs.dialler))
     agent = T.replace_values(agent, inputs.name_fixes)
     cleaned = T.strip_literals(_c("conclusion"), C.CONCLUSION_LITERALS)
-    df = interactions.withColumns({
+    df = with_columns_present(interactions, CONSOLIDATED_INPUT).withColumns({
         "agent": agent,
         "date": T.first_token(_c("date_text")),
         "time": T.hhmm(T.after_first(_c("date_text")), mode="prefix"),

@@ -61,9 +61,14 @@ def existing_roots(spark: SparkSession, roots: Iterable[str]) -> list[str]:
     return [r for r in roots if _fs_exists(spark, r)]
 
 
+def _decoded(c: F.Column) -> F.Column:
+    # ``_metadata`` paths are URL-encoded; a literal '+' must survive decoding
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def file_name_col() -> F.Column:
-    """Base name of the source file (the path is URL-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    """Base name of the source file."""
+    return _decoded(F.col("_metadata.file_name"))
 
 
 def decode_line(value: F.Column, utf8_ok: F.Column) -> F.Column:
@@ -82,7 +87,7 @@ def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str) ->
         spark.read.option("pathGlobFilter", pattern).text(list(roots))
         .select(
             F.col("value"),
-            F.col("_metadata.file_path").alias("path"),
+            _decoded(F.col("_metadata.file_path")).alias("path"),
             file_name_col().alias("name"),
             F.col("_metadata.file_block_start").alias("blk"),
             F.monotonically_increasing_id().alias("mid"),

@@ -18,4 +18,6 @@ def spark():
 @pytest.fixture()
 def scratch(spark):
     from cctally.session import staging_dir
-    return staging_dir(spark, "test")
+    path = staging_dir(spark, "test")
+    # tests write their raw files with Python, so they need the local path
+    return path[len("file:"):] if path.startswith("file:") else path
