@@ -366,10 +366,10 @@ f0 AS (
   SELECT event_id, strftime(stamp, '%d/%m/%Y %H:%M') AS stamp, strftime(stamp, '%d/%m/%Y') AS date,
          strftime(stamp, '%H:%M') AS time, user, upper({duck_strip('campaign_type')}) AS campaign_type,
          disposition, contacted,
-         {_duck_in('disposition', C.FORM_MIGRATION)} AS migration_engaged,
-         CAST(coalesce(disposition = 'NO ACEPTA', FALSE) AS INTEGER) AS not_accepted_engaged,
-         CAST(1 AS INTEGER) AS handled_engaged,
-         CAST(coalesce(contacted = 'SI', FALSE) AS INTEGER) AS contact_engaged,
+         {_duck_in('disposition', C.FORM_MIGRATION)} AS migration_form,
+         CAST(coalesce(disposition = 'NO ACEPTA', FALSE) AS INTEGER) AS not_accepted_form,
+         CAST(1 AS INTEGER) AS handled_form,
+         CAST(coalesce(contacted = 'SI', FALSE) AS INTEGER) AS contact_form,
          {duck_strip('user')} AS uk
   FROM fo
   WHERE coalesce(upper({duck_strip('campaign_type')}) NOT IN ('PILOTO X', 'SIGNUP'), TRUE)),
@@ -388,8 +388,8 @@ cal AS (SELECT CASE WHEN strpos("Name", ',') > 0
 f3 AS (SELECT f2.*, cal.calls FROM f2 LEFT JOIN cal ON f2.full_name = cal.nk),
 quf AS {_duck_first(f"(SELECT *, {duck_numeric_id('dni')} AS nk FROM qu)", 'nk', ['quartile'])},
 shf AS {_duck_first(f"(SELECT *, {duck_numeric_id('dni')} AS nk FROM sh)", 'nk', ['shift'])}
-SELECT event_id, stamp, user, campaign_type, disposition, contacted, date, time, migration_engaged,
-       not_accepted_engaged, handled_engaged, contact_engaged, full_name, supervisor, dni, site, tenure, calls,
+SELECT event_id, stamp, user, campaign_type, disposition, contacted, date, time, migration_form,
+       not_accepted_form, handled_form, contact_form, full_name, supervisor, dni, site, tenure, calls,
        quf.quartile, shf.shift
 FROM f3 LEFT JOIN quf ON f3.dni = quf.k LEFT JOIN shf ON f3.dni = shf.k
 """

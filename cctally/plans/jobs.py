@@ -204,12 +204,12 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
         df = df.withColumns({"stamp": texts["stamp"], "date": texts["date"], "time": texts["time"]})
     if "disposition" in df.columns:
         df = df.withColumns({
-            "migration_engaged": R.flag_in(_c("disposition"), C.FORM_MIGRATION),
-            "not_accepted_engaged": R.flag_eq(_c("disposition"), C.FORM_NOT_ACCEPTED),
+            "migration_form": R.flag_in(_c("disposition"), C.FORM_MIGRATION),
+            "not_accepted_form": R.flag_eq(_c("disposition"), C.FORM_NOT_ACCEPTED),
         })
-    df = df.withColumns({"handled_engaged": F.lit(1), "form_base": F.lit("Engaged")})
+    df = df.withColumns({"handled_form": F.lit(1), "form_base": F.lit("Form")})
     if "contacted" in df.columns:
-        df = df.withColumn("contact_engaged", R.flag_eq(_c("contacted"), C.FORM_CONTACT_YES))
+        df = df.withColumn("contact_form", R.flag_eq(_c("contacted"), C.FORM_CONTACT_YES))
 
     staff_values = ["platform_user", "full_name", "supervisor", "start_date", "dni", "site"]
     if staffing is not None and "user" in df.columns:
