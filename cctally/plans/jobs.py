@@ -103,30 +103,20 @@ def contact_base(raw: DataFrame) -> DataFrame:
 
 # --- L4 consolidation ----------------------------------------------------------------
 
-def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame | None,
-                              staffing: DataFrame | None, quartiles: DataFrame | None,
-                              shifts: DataFrame | None, *, as_of, inputs: JobInputs = JobInputs(),
-                              dedup_keys: Sequence[str] = ("time", "agent", "phone", "disposition", "bucket"),
-                              ) -> DataFrame:
-    """L4: today's interactions, classified, enriched and de-duplicated.
-
-    Interactions: user, date_text, direction, dnis, queue, conclusion,
-    contact_id, campaign, source_file, _ord.  Contact list (L2 output +
-    _ord): contact_id, phone_1, phone_2, segment.  Staffing: full_name,
-    andes, supervisor, start_date, dni, site, _ord.  Quartiles / shifts:
-    dni, quartile / shift, _ord.
-    """
-    agent = T.collapse_title(T.agent_name_consolidated(_c("user"), inputs.dialler))
-    agent = T.replace_values(agent, inputs.name_fixes)
-    cleaned = T.strip_literals(_c("conclusion"), C.CONCLUSION_LITERALS)
-    df = with_columns_present(interactions, CONSOLIDATED_INPUT).withColumns({
+def normalise_interactions(interactions: DataFrame, inputs: JobInputs = JobInputs()) -> DataFrame:
+    """The stateless per-row stage of L4 (X2 X7 X4, X15 X19, X10, X9 X3, C1-C5):
+    usable on a stream as well as in batch."""
+    df = with_columns_present(interactions, CONSOLIDATED_INPUT)
+    agent = T.replace_values(T.collapse_title(T.agent_name_consolidated(_c("user"), inputs.dialler)),
+                             inputs.name_fixes)
+    df = df.withColumns({
         "agent": agent,
         "date": T.first_token(_c("date_text")),
         "time": T.hhmm(T.after_first(_c("date_text")), mode="prefix"),
         "phone": T.phone_suffix(_c("dnis"), 9, strip_first=False),
-        "disposition": T.disposition(cleaned),
+        "disposition": T.disposition(T.strip_literals(_c("conclusion"), C.CONCLUSION_LITERALS)),
     })
-    df = df.withColumns({
+    return df.withColumns({
         "handled": F.lit(1),
         "call_type": R.call_type(_c("agent"), _c("direction"), dialler=inputs.dialler,
                                  manual=C.MANUAL, manual_directions=C.MANUAL_DIRECTIONS),
@@ -139,6 +129,22 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
         "contact_id": T.py_strip(_c("contact_id")),
     })
 
+
+def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame | None,
+                              staffing: DataFrame | None, quartiles: DataFrame | None,
+                              shifts: DataFrame | None, *, as_of, inputs: JobInputs = JobInputs(),
+                              dedup_keys: Sequence[str] = ("time", "agent", "phone", "disposition", "bucket"),
+                              ) -> DataFrame:
+    """L4: today's interactions, classified, enriched and de-duplicated.
+
+    Interactions: user, date_text, direction, dnis, queue, conclusion,
+    contact_id, campaign, source_file, _ord.  Contact list (L2 output +
+    _ord): contact_id, phone_1, phone_2, segment.  Staffing: full_name,
+    andes, supervisor, start_date, dni, site, _ord.  Quartiles / shifts:
+    dni, quartile / shift, _ord.
+    """
+    df = normalise_interactions(interactions, inputs)
+
     # Contact id, then phone in either phone column
     if contact_list is not None:
         cl = contact_list.withColumns({
