@@ -58,6 +58,31 @@ def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
     return F.broadcast(dim) if n <= cap else dim
 
 
+def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = None,
+                factors: Mapping[str, int] | None = None) -> dict[str, bool]:
+    """Check several dimensions' row bounds in one job.
+
+    Returns ``{name: rows * factor <= max_rows}`` from a union of limited
+    counts (one small job instead of one per lookup); pass the flags on as
+    ``broadcast=`` so each lookup skips its own check.  ``factors`` covers a
+    dimension whose key projections are unioned (J2).
+    """
+    factors = dict(factors or {})
+    present = {k: v for k, v in dims.items() if v is not None}
+    if not present:
+        return {k: False for k in dims}
+    spark = next(iter(present.values())).sparkSession
+    limit = max_rows if max_rows is not None else broadcast_max_rows(spark)
+    caps = {k: limit // max(factors.get(k, 1), 1) for k in present}
+    parts = [df.limit(caps[k] + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n")
+             for k, df in present.items()]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    got = {r["k"]: r["n"] for r in counts.collect()}
+    return {k: (k in got and got[k] <= caps[k]) for k in dims}
+
+
 def first_wins(dim: DataFrame, key: str, values: Sequence[str], order: Sequence) -> DataFrame:
     """One row per non-null key with the values of its first row.
 

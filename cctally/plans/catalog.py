@@ -44,11 +44,20 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register the test tables as temporary views (lazy parquet scans)."""
+    """Register the test tables as temporary views (lazy parquet scans);
+    a view already registered for the same path in this session is kept."""
     from ..sources.readers import read_table
+    sid = id(spark._jsparkSession)
     for n in names:
-        read_table(spark, os.path.join(sf_dir, f"{n}.parquet")).createOrReplaceTempView(n)
+        path = os.path.join(sf_dir, f"{n}.parquet")
+        if _REGISTERED.get((sid, n)) == path and spark.catalog.tableExists(n):
+            continue
+        read_table(spark, path).createOrReplaceTempView(n)
+        _REGISTERED[(sid, n)] = path
 
 
 def standin(spark: SparkSession, sf_dir: str, tables, sql_fn) -> DataFrame:

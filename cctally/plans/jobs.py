@@ -22,7 +22,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..operators import counts as A
 from ..operators.dedup import keep_first
-from ..operators.lookup import fallback_lookup, lookup
+from ..operators.lookup import fallback_lookup, lookup, prove_small
 from ..operators.project import drop_present, fixed_order
 from ..sources import readers, sinks
 from . import rules_config as C
@@ -144,6 +144,9 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     dni, quartile / shift, _ord.
     """
     df = normalise_interactions(interactions, inputs)
+    # every dimension's size bound, proven in one job (x2: two key runs in J2)
+    small = prove_small({"contact": contact_list, "staff": staffing, "quartile": quartiles, "shift": shifts},
+                        factors={"contact": 2})
 
     # Contact id, then phone in either phone column
     if contact_list is not None:
@@ -153,7 +156,8 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
             "__p2": T.py_strip(_c("phone_2")),
         })
         df = fallback_lookup(df, cl, keys=[("contact_id", "__id"), ("phone", "__p1"), ("phone", "__p2")],
-                             value="segment", out="bucket", order=["_ord"], default=C.NOT_FOUND)
+                             value="segment", out="bucket", order=["_ord"], default=C.NOT_FOUND,
+                             broadcast=small["contact"])
     else:
         df = df.withColumn("bucket", F.lit(C.LOOKUP_FAILED))
 
@@ -162,7 +166,8 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     if staffing is not None:
         st = staffing.withColumn("__name", T.collapse_title(_c("full_name")))
         df = lookup(df, st, fact_key="agent", dim_key="__name", values=staff_values, order=["_ord"],
-                    fill={"site": inputs.default_site} if inputs.default_site else None)
+                    fill={"site": inputs.default_site} if inputs.default_site else None,
+                    broadcast=small["staff"])
     else:
         df = df.withColumns({
             "andes": F.lit(C.LOOKUP_FAILED), "supervisor": F.lit(C.LOOKUP_FAILED),
@@ -178,7 +183,8 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     for dim, val in ((quartiles, "quartile"), (shifts, "shift")):
         if dim is not None:
             d = dim.withColumn("__dni", T.py_strip(_c("dni")))
-            df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"])
+            df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"],
+                        broadcast=small[val])
         else:
             df = df.withColumn(val, F.lit(C.LOOKUP_FAILED))
 
