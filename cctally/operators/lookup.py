@@ -58,6 +58,26 @@ def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
     return F.broadcast(dim) if n <= cap else dim
 
 
+SPREAD_BUCKETS = 1024
+
+
+def _join_keys(fact_key: Column, dim_key: Column, broadcast_side: bool) -> tuple[Column, Column]:
+    """Join key expressions for a left lookup.
+
+    With a broadcast dimension the keys are used as they are.  Otherwise a
+    null fact key (which can never match) would hash every such row to one
+    reducer; it is replaced by a spread value ``'n' || (row hash % 1024)``
+    while real keys become ``'k' || key`` on both sides, so a spread value
+    can never equal a dimension key -- the result is exact.
+    """
+    if broadcast_side:
+        return fact_key, dim_key
+    spread = F.concat(F.lit("n"), (F.abs(F.xxhash64(F.monotonically_increasing_id())) % SPREAD_BUCKETS).cast("string"))
+    fk = F.when(fact_key.isNull(), spread).otherwise(F.concat(F.lit("k"), fact_key.cast("string")))
+    dk = F.concat(F.lit("k"), dim_key.cast("string"))
+    return fk, dk
+
+
 def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = None,
                 factors: Mapping[str, int] | None = None) -> dict[str, bool]:
     """Check several dimensions' row bounds in one job.
@@ -83,6 +103,16 @@ def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = Non
     return {k: (k in got and got[k] <= caps[k]) for k in dims}
 
 
+def _proven_small(bound_by: DataFrame, max_rows: int | None, mode, factor: int = 1) -> bool:
+    """``mode``: True/False given by the caller (e.g. from :func:`prove_small`),
+    or ``"auto"`` to check ``bound_by`` now."""
+    if mode is True or mode is False:
+        return mode
+    limit = max_rows if max_rows is not None else broadcast_max_rows(bound_by.sparkSession)
+    cap = limit // max(factor, 1)
+    return bound_by.limit(cap + 1).count() <= cap
+
+
 def first_wins(dim: DataFrame, key: str, values: Sequence[str], order: Sequence) -> DataFrame:
     """One row per non-null key with the values of its first row.
 
@@ -133,8 +163,11 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
     else:
         right = dim.where(_col(dim_key).isNotNull()).select(_col(dim_key), *[_col(v) for v in values])
     right = right.select(_col(dim_key).alias("__lk"), *[_col(v).alias(o) for v, o in zip(values, outs)])
-    right = guarded_broadcast(right, max_rows, broadcast, bound_by=dim)
-    joined = fact.join(right, _col(fact_key) == F.col("__lk"), "left").drop("__lk")
+    small = _proven_small(dim, max_rows, broadcast)
+    fk, dk = _join_keys(_col(fact_key), F.col("__lk"), small)
+    right = right.withColumn("__lk", dk)
+    right = F.broadcast(right) if small else right
+    joined = fact.withColumn("__fk", fk).join(right, F.col("__fk") == F.col("__lk"), "left").drop("__fk", "__lk")
     if fill:
         joined = joined.withColumns({c: F.coalesce(_col(c), F.lit(v)) for c, v in fill.items()})
     return joined
@@ -180,8 +213,12 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
         best = per_prio[0] if len(per_prio) == 1 else F.coalesce(*per_prio)
         name = f"__fb{i}"
         right = cand.groupBy("__k").agg(best.alias(name))
-        right = guarded_broadcast(right, max_rows, broadcast, bound_by=dim, factor=len(dks))
-        joined = joined.join(right, _col(fk) == F.col("__k"), "left").drop("__k")
+        small = _proven_small(dim, max_rows, broadcast, factor=len(dks))
+        fkey, dkey = _join_keys(_col(fk), F.col("__k"), small)
+        right = right.withColumn("__k", dkey)
+        right = F.broadcast(right) if small else right
+        joined = joined.withColumn("__fk", fkey).join(right, F.col("__fk") == F.col("__k"), "left") \
+            .drop("__fk", "__k")
         result_cols.append(F.col(name))
     pick = F.coalesce(*result_cols, F.lit(default)) if default is not None else F.coalesce(*result_cols)
     return joined.withColumn(out, pick).drop(*[f"__fb{i}" for i in range(len(runs))])

@@ -223,6 +223,7 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
     if "contacted" in df.columns:
         df = df.withColumn("contact_form", R.flag_eq(_c("contacted"), C.FORM_CONTACT_YES))
 
+    small = prove_small({"staff": staffing, "calls": calls, "quartile": quartiles, "shift": shifts})
     staff_values = ["platform_user", "full_name", "supervisor", "start_date", "dni", "site"]
     if staffing is not None and "user" in df.columns:
         st = staffing.withColumns({
@@ -232,7 +233,8 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
         })
         vals = [v for v in staff_values if v in st.columns]
         df = df.withColumn("__user", T.py_strip(_c("user")))                                   # J5
-        df = lookup(df, st, fact_key="__user", dim_key="__key", values=vals, order=["_ord"]).drop("__user")
+        df = lookup(df, st, fact_key="__user", dim_key="__key", values=vals, order=["_ord"],
+                    broadcast=small["staff"]).drop("__user")
         start = D.parse_timestamp(_c("start_date"))
         df = df.withColumns({
             "tenure": R.tenure_band(D.whole_days(start, as_of)),
@@ -245,13 +247,14 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
         cl = calls.withColumn("__name", T.replace_values(T.name_swap(_c("Name")), inputs.name_fixes))
         metric_cols = [c for c in cl.columns if c not in ("__name", "Name", "_ord")]
         df = lookup(df, cl, fact_key="full_name", dim_key="__name", values=metric_cols,
-                    order=["_ord"], dedupe=dedupe_calls)                                     # J4
+                    order=["_ord"], dedupe=dedupe_calls, broadcast=small["calls"])           # J4
 
     if "dni" in df.columns:
         for dim, val in ((quartiles, "quartile"), (shifts, "shift")):
             if dim is not None:
                 d = dim.withColumn("__dni", T.numeric_id_text(_c("dni")))                    # X18
-                df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"])
+                df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"],
+                            broadcast=small[val])
     return drop_present(df, C.FORM_DROP_COLUMNS + ("_ord",))
 
 
@@ -313,6 +316,51 @@ def run_contact_base(spark: SparkSession, roots: Sequence[str], out: str) -> dic
     return {"status": "written", "files": res.files}
 
 
+def run_daily_base_counts(spark: SparkSession, root: str, *, as_of, inputs: JobInputs,
+                          date_col: str = "Fecha_Base") -> DataFrame | None:
+    """L8 over a folder of base files (sniffed delimiters): the date filter
+    applies per file, only to files that have the date column (F5)."""
+    res = readers.read_delimited(spark, [root], None, delimiters=readers.SNIFF_CANDIDATES,
+                                 delimiter_mode="sniff", flag_columns=[date_col])
+    if res.empty:
+        return None
+    rows = with_columns_present(res.data, [date_col])
+    return daily_base_counts(rows, as_of=as_of, inputs=inputs, file_col=readers.FILE_COL,
+                             date_col=date_col, has_date_col=f"_has_{date_col}")
+
+
+def run_record_count(spark: SparkSession, roots, *, pattern: str = "*.rsl") -> DataFrame:
+    """L7 over key=value export folders; 0 when there is no file."""
+    lines = readers.read_keyvalue_lines(spark, roots, pattern=pattern)
+    if lines is None:
+        return spark.range(1).select(F.lit(0).cast("long").alias("records"))
+    return record_count(lines)
+
+
+def run_keyvalue_base(spark: SparkSession, roots, out: str, *, pattern: str = "*.rsl",
+                      keys: Sequence[str] | None = None, drop_first_line: bool = False) -> dict:
+    """L3: key=value exports -> one table with the source file per row."""
+    df = readers.read_keyvalue(spark, roots, keys, pattern=pattern, drop_first_line=drop_first_line)
+    if df is None:
+        return {"status": "no input"}
+    sinks.write_table(df.drop(readers.ORD_COL), out)
+    return {"status": "written"}
+
+
+def run_form_report(spark: SparkSession, *, form: DataFrame, staffing: DataFrame | None,
+                    calls: DataFrame | None, quartiles: DataFrame | None, shifts: DataFrame | None,
+                    campaign_raw: DataFrame | None, rsl_roots, out: str, as_of,
+                    inputs: JobInputs = JobInputs()) -> dict:
+    """L5 + L6 + L7 written as one multi-table output (K3); the campaign
+    table is optional and skipped when empty (K4)."""
+    tables = {
+        "form_report": form_report(form, staffing, calls, quartiles, shifts, as_of=as_of, inputs=inputs),
+        "campaign_activity": campaign_activity(campaign_raw, inputs=inputs) if campaign_raw is not None else None,
+        "record_count": run_record_count(spark, rsl_roots),
+    }
+    return sinks.write_tables(tables, out, optional={"campaign_activity"})
+
+
 def run_all(spark: SparkSession, *, as_of, stages: dict, inputs: JobInputs = JobInputs()) -> dict:
     """Explicit order -- contact base and accumulated first, then the
     consolidation that reads them (no producer/consumer race)."""

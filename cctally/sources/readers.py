@@ -137,7 +137,8 @@ def clean_header(fields: Sequence[str], deep: bool, rename: Mapping[str, str] |
 # --- the reader -------------------------------------------------------------------
 
 def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names: list[str],
-                wanted: Sequence[str] | None, na_tokens: Sequence[str] | None):
+                wanted: Sequence[str] | None, na_tokens: Sequence[str] | None,
+                flag_columns: Sequence[str] = ()):
     width = len(names)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width + 1)])
     raw = (
@@ -169,7 +170,8 @@ def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names
         if na_tokens:
             c = F.when(~c.isin(list(na_tokens)), c)
         cols.append(c.alias(names[i]))
-    data = raw.where(extra.isNull()).select(*cols, F.col(FILE_COL), F.col(ORD_COL))
+    flags = [F.lit(c in names).alias(f"_has_{c}") for c in flag_columns]
+    data = raw.where(extra.isNull()).select(*cols, *flags, F.col(FILE_COL), F.col(ORD_COL))
     return data, rejects
 
 
@@ -177,10 +179,14 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
                    *, pattern: str = "*.csv", delimiters: Sequence[str] = (";",),
                    delimiter_mode: str = "fixed", deep_headers: bool = False,
                    rename: Mapping[str, str] | None = None,
-                   na_tokens: Sequence[str] | None = NA_TOKENS) -> ReadResult:
+                   na_tokens: Sequence[str] | None = NA_TOKENS,
+                   flag_columns: Sequence[str] = ()) -> ReadResult:
     """Read every matching file under the
     roots into one all-string DataFrame.
 
+    ``flag_columns`` adds a boolean ``_has_<name>`` per row telling whether
+    the row's file had that column at all (null value vs absent column).
+
     Output columns: the wanted columns present in at least one file (null
     where a file lacks them), ``Origen_Archivo`` (file name) and ``_ord``
     (file path, split start, row id: a total order for keep-first steps).
@@ -209,13 +215,14 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
         return ReadResult(None, None, report)
     datas, rejs = [], []
     for (enc, sep, names), files in sorted(groups.items()):
-        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens)
+        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens, flag_columns)
         datas.append(d)
         rejs.append(r)
     data = union_all_by_name(datas)
     if wanted is not None:
         order = [c for c in wanted if c in data.columns]
-        data = data.select(*[F.col(f"`{c}`") for c in order], FILE_COL, ORD_COL)
+        data = data.select(*[F.col(f"`{c}`") for c in order], *[f"_has_{c}" for c in flag_columns],
+                           FILE_COL, ORD_COL)
     return ReadResult(data, union_all_by_name(rejs), report)
 
 
@@ -242,8 +249,10 @@ def read_keyvalue_lines(spark: SparkSession, roots: Sequence[str] | str, *, patt
     )
     if drop_first_line:
         # the first line of each file: one small row per file, broadcast back
+        from ..operators.lookup import guarded_broadcast
         firsts = lines.groupBy(F.col(f"{ORD_COL}.file").alias("__f")).agg(F.min(ORD_COL).alias("__first"))
-        lines = lines.join(F.broadcast(firsts), F.col(ORD_COL) == F.col("__first"), "left_anti")
+        firsts = guarded_broadcast(firsts)      # one row per file
+        lines = lines.join(firsts, F.col(ORD_COL) == F.col("__first"), "left_anti")
     return lines.where(F.length(F.trim("line")) > 0)
 
 

@@ -106,3 +106,43 @@ def test_oracle_equality_sf0001(spark, name):
     norm = lambda df: sorted(tuple("∅" if (v is None or v != v) else str(v) for v in row)
                              for row in df[cols].itertuples(index=False))
     assert norm(got) == norm(exp)
+
+
+def test_daily_base_counts_runner_per_file_date_column(spark, scratch):
+    write(f"{scratch}/b/BASE MAIN Q001 x.csv", "Fecha_Base;id\n15/04/2026;1\n14/04/2026;2\n15/04/2026;3\n")
+    write(f"{scratch}/b/confirm q001.csv", "id,other\n1,a\n2,b\n")               # no date column: all rows
+    write(f"{scratch}/b/q003 list.csv", "Fecha_Base\t id\n15/04/2026\t1\n")
+    write(f"{scratch}/b/none.csv", "Fecha_Base;id\n15/04/2026;1\n")
+    inputs = JobInputs(file_rules=((("CONFIRM", "Q001"), "confirm"), (("BASE MAIN Q001",), "main"),
+                                   (("Q003",), "q3"), (("Q004",), "q4")),
+                       bucket_columns={"main": "main", "confirm": "confirm", "q3": "q3", "q4": "q4"})
+    row = jobs.run_daily_base_counts(spark, f"{scratch}/b", as_of="2026-04-15", inputs=inputs).first()
+    assert (row["main"], row["confirm"], row["q3"], row["q4"]) == (2, 2, 1, 0)
+
+
+def test_run_all_end_to_end(spark, scratch):
+    write(f"{scratch}/cl/a.csv", "inin-outbound-id,FONO_CONTACTO,Segment_of_Origin\nk1,911112222,Seg A\n")
+    write(f"{scratch}/hist/2026/04. Abril/h.csv", HEAD +
+          'a_b_ana pérez_c;03/04/2026 10:15;Q1;"C; ACEPTA AGENDA - MIGRACION";k1;Saliente;56911112222\n')
+    write(f"{scratch}/today/t.csv", HEAD +
+          'a_b_ana pérez_c;15/04/2026 09:00;Q1;"C; VOLVER A LLAMAR";k1;Saliente;56911112222\n'
+          'a_b_ana pérez_c;15/04/2026 09:00;Q1;"C; VOLVER A LLAMAR";k1;Saliente;56911112222\n')
+    stages = {"contact_roots": [f"{scratch}/cl"], "contact_out": f"{scratch}/out/contact_base",
+              "accumulated_root": f"{scratch}/hist", "accumulated_out": f"{scratch}/out/accumulated",
+              "today_root": f"{scratch}/today", "consolidated_out": f"{scratch}/out/consolidated",
+              "staffing": staffing(spark)}
+    rep = jobs.run_all(spark, as_of="2026-04-15", stages=stages)
+    assert rep["consolidated"] == {"consolidated": "written", "accumulated": "written"}
+    cons = spark.read.parquet(f"{scratch}/out/consolidated/consolidated").collect()
+    assert len(cons) == 1 and cons[0]["bucket"] == "Seg A" and cons[0]["supervisor"] == "Sup Uno"
+    acc = spark.read.parquet(f"{scratch}/out/consolidated/accumulated").collect()
+    assert [r["contact_id"] for r in acc] == ["k1"]
+
+
+def test_record_count_and_keyvalue_runners(spark, scratch):
+    write(f"{scratch}/r/a.rsl", "ID=1|N=a\nID=2|N=b\n", encoding="latin-1")
+    write(f"{scratch}/r/b.rsl", "ID=3|N=c\n", encoding="latin-1")
+    assert jobs.run_record_count(spark, [f"{scratch}/r"]).first()["records"] == 3
+    assert jobs.run_record_count(spark, [f"{scratch}/missing"]).first()["records"] == 0
+    assert jobs.run_keyvalue_base(spark, [f"{scratch}/r"], f"{scratch}/kv")["status"] == "written"
+    assert spark.read.parquet(f"{scratch}/kv").count() == 3

@@ -86,3 +86,21 @@ def test_bucket_counts_sum(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "l string")
     row = A.bucket_counts(df, "l", {"A": "a", "B": "b", "C": "c"}, total="rows").first()
     assert (row["A"], row["B"], row["C"], row["rows"]) == (2, 1, 0, 4)
+
+
+def test_null_keys_spread_on_sort_merge_path(spark):
+    """Without a broadcast, null fact keys are spread over many reducers and
+    still never match; every left row survives exactly once."""
+    fact = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, None)
+                                    .otherwise((F.col("id") % 50).cast("string")).alias("k"))
+    dim = spark.range(60).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("v"), "id").alias("v"),
+                                 F.col("id").alias("o"))
+    out = lookup(fact, dim, fact_key="k", dim_key="k", values=["v"], order=["o"], broadcast=False)
+    rows = out.collect()
+    assert len(rows) == 4000
+    assert all((r["v"] is None) == (r["k"] is None) for r in rows)
+    assert all(r["v"] == "v" + r["k"] for r in rows if r["k"] is not None)
+    fb = fallback_lookup(fact.withColumn("k2", F.col("k")), dim.withColumn("k2", F.col("k")),
+                         keys=[("k", "k"), ("k2", "k2")], value="v", out="b", order=["o"], default="none",
+                         broadcast=False)
+    assert fb.count() == 4000 and fb.where("k IS NULL AND b <> 'none'").count() == 0
