@@ -190,7 +190,8 @@ def q_multi_table_sink(spark, sf_dir):
                           .agg(F.count(F.lit(1)).alias("rows"))
                           .select(F.lit(name).alias("table_name"), F.lit(st).alias("status"), "rows"))
         else:
-            frames.append(spark.table("region").limit(1)
+            # a global aggregate has exactly one row
+            frames.append(spark.table("region").agg(F.count(F.lit(1)).alias("n"))
                           .select(F.lit(name).alias("table_name"), F.lit(st).alias("status"), F.lit(0).cast("long").alias("rows")))
     return union_all_by_name(frames)
 
@@ -236,9 +237,10 @@ def q_optional_output_read(spark, sf_dir):
         absent.select(F.lit("notice").alias("source"), F.lit(None).cast("string").alias("key"), F.col("Aviso").alias("name")),
     ]
     if empty.empty:
-        parts.append(spark.table("region").limit(1).select(F.lit("empty_input").alias("source"),
-                                                           F.lit(None).cast("string").alias("key"),
-                                                           F.lit("no input").alias("name")))
+        # one status row (a global aggregate has exactly one row)
+        parts.append(spark.table("region").agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit("empty_input").alias("source"), F.lit(None).cast("string").alias("key"),
+                             F.lit("no input").alias("name")))
     return union_all_by_name(parts)
 
 
