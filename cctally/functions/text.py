@@ -67,17 +67,17 @@ def fill(c, value) -> Column:
 def title_case(c) -> Column:
     """Python ``str.title()``.
 
-    The text is cut into maximal runs of letters and of non-letters; each
-    letter run gets an upper-case first letter and lower-case rest.  A letter
-    that follows any non-letter (digit, apostrophe, hyphen) therefore starts a
-    new word, as in Python.
+    Python starts a new word after any non-letter (digit, apostrophe,
+    hyphen, blank); Spark's ``initcap`` lower-cases the text and title-cases
+    the first letter after a blank.  So every non-letter other than a blank
+    is first followed by a marker and a blank, ``initcap`` runs, and the
+    markers are removed.  The marker is U+FFFF, a Unicode noncharacter that
+    interchanged text does not contain.  Matches ``str.title()`` including
+    title-case letters (``ǆ`` -> ``ǅ``) and ``ß`` (-> ``Ss``); everything
+    stays in codegen.
     """
-    runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    cased = F.transform(
-        runs,
-        lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))),
-    )
-    return F.array_join(cased, "")
+    marked = F.regexp_replace(_c(c), r"([^\p{L} ])", "$1\uffff ")
+    return F.replace(F.initcap(marked), F.lit("\uffff "), F.lit(""))
 
 
 def collapse_title(c) -> Column:

@@ -41,6 +41,7 @@ def test_title_matches_python_on_random_latin_text(spark):
     rnd = random.Random(7)
     alphabet = string.ascii_letters + "áéíóúñÑÁÉ" + " -'_0123456789.,"
     vals = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    vals += ["ß straße", "ǆemal", "a\tb\nc", "x\xa0y", "--a--b", ""]
     assert col1(spark, vals, T.title_case) == [v.title() for v in vals]
 
 
