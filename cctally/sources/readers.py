@@ -345,15 +345,24 @@ def read_dimension(spark: SparkSession, path: str, *, fmt: str = "parquet", sche
     return df
 
 
+def _fs_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(conf).getContentSummary(p).getLength())
+
+
 def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet",
-               min_partitions: int | None = None) -> DataFrame:
+               min_partitions: int | None = None, min_split_bytes: int = 1 << 20) -> DataFrame:
     """A staged table.  When it arrives in fewer splits than the cluster has
-    cores (one small file, one row group), it is spread round-robin so the
-    per-row text work uses every core; a large input already has enough
-    splits and is left as scanned (no shuffle)."""
+    cores (one file, one row group) and those splits are big (more than
+    ``min_split_bytes`` each), it is spread round-robin so the per-row work
+    uses every core.  A small table (a dimension) stays as scanned, and a
+    large input already has enough splits: no shuffle in either case."""
     df = spark.read.format(fmt).load(path)
     want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    have = df.rdd.getNumPartitions()
+    if have < want and _fs_bytes(spark, path) > min_split_bytes * have:
         df = df.repartition(want)
     return df
 
