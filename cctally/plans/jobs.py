@@ -299,10 +299,14 @@ def run_accumulated(spark: SparkSession, root: str, staffing: DataFrame | None,
                                  rename=schemas.header_repairs(schemas.INTERACTION_HEADERS))
     if res.empty:
         return {"status": "no input", "files": res.files}
-    inter = res.data.withColumnRenamed(readers.FILE_COL, "source_file")
-    result = accumulated_contacts(inter, staffing, as_of=as_of, inputs=inputs)
+    inter, seen = A.observe_counts(res.data.withColumnRenamed(readers.FILE_COL, "source_file"), "read")
+    result, kept = A.observe_counts(accumulated_contacts(inter, staffing, as_of=as_of, inputs=inputs), "kept")
     sinks.write_delimited(result, out)
-    return {"status": "written", "files": res.files}
+    rejected = res.rejects.count()
+    return {"status": "written", "files": res.files,
+            "metrics": {"rows_read": seen.get["rows"], "rows_rejected": rejected,
+                        "rows_written": kept.get["rows"],
+                        "rows_filtered": A.removed_rows(seen.get["rows"], kept.get["rows"])}}
 
 
 def run_contact_base(spark: SparkSession, roots: Sequence[str], out: str) -> dict:
@@ -312,8 +316,10 @@ def run_contact_base(spark: SparkSession, roots: Sequence[str], out: str) -> dic
                                  rename=schemas.CONTACT_LIST_HEADERS)
     if res.empty:
         return {"status": "no input", "files": res.files}
-    sinks.write_table(contact_base(res.data), out)
-    return {"status": "written", "files": res.files}
+    out_df, kept = A.observe_counts(contact_base(res.data), "kept")
+    sinks.write_table(out_df, out)
+    return {"status": "written", "files": res.files,
+            "metrics": {"rows_written": kept.get["rows"], "rows_rejected": res.rejects.count()}}
 
 
 def run_daily_base_counts(spark: SparkSession, root: str, *, as_of, inputs: JobInputs,
@@ -374,12 +380,16 @@ def run_all(spark: SparkSession, *, as_of, stages: dict, inputs: JobInputs = Job
     if res.empty:
         report["consolidated"] = {"status": "no input"}
         return report
-    inter = res.data.withColumnRenamed(readers.FILE_COL, "source_file")
+    inter, seen = A.observe_counts(res.data.withColumnRenamed(readers.FILE_COL, "source_file"), "read")
     cl = spark.read.parquet(stages["contact_out"]).withColumn("_ord", F.monotonically_increasing_id()) \
         if report["contact_base"]["status"] == "written" else None
     cons = consolidated_interactions(inter, cl, staffing, stages.get("quartiles"), stages.get("shifts"),
                                      as_of=as_of, inputs=inputs)
+    cons, kept = A.observe_counts(cons, "kept")
     prev = readers.read_optional(spark, stages["accumulated_out"])
     report["consolidated"] = sinks.write_tables(
         {"consolidated": cons, "accumulated": prev}, stages["consolidated_out"])
+    # A4: lookups keep every row, so the difference is what the dedup removed
+    report["consolidated_metrics"] = {"rows_read": seen.get["rows"], "rows_written": kept.get["rows"],
+                                      "duplicates_removed": A.removed_rows(seen.get["rows"], kept.get["rows"])}
     return report

@@ -39,6 +39,8 @@ def test_accumulated_runner_reads_two_month_folders(spark, scratch):
     rep = jobs.run_accumulated(spark, root, staffing(spark), out, as_of="2026-04-15",
                                inputs=JobInputs(queue_map={"Q1": "Base Uno"}))
     assert rep["status"] == "written"
+    # the February folder is outside the two months of as_of and never read
+    assert rep["metrics"] == {"rows_read": 3, "rows_rejected": 0, "rows_written": 2, "rows_filtered": 1}
     rows = spark.read.option("header", True).option("sep", ";").csv(out).collect()
     got = sorted((r["contact_id"], r["time"], r["agent"], r["base_cloud"], r["supervisor"], r["source_file"])
                  for r in rows)
@@ -135,6 +137,7 @@ def test_run_all_end_to_end(spark, scratch):
     assert rep["consolidated"] == {"consolidated": "written", "accumulated": "written"}
     cons = spark.read.parquet(f"{scratch}/out/consolidated/consolidated").collect()
     assert len(cons) == 1 and cons[0]["bucket"] == "Seg A" and cons[0]["supervisor"] == "Sup Uno"
+    assert rep["consolidated_metrics"] == {"rows_read": 2, "rows_written": 1, "duplicates_removed": 1}
     acc = spark.read.parquet(f"{scratch}/out/consolidated/accumulated").collect()
     assert [r["contact_id"] for r in acc] == ["k1"]
 

@@ -52,3 +52,8 @@ def test_ymd_and_month_paths(spark):
     assert [r[0] for r in df.select(D.ymd_to_dmy("s")).collect()] == ["03/04/2026", None, None]
     assert D.month_folder_paths("/r", dt.date(2026, 1, 9)) == ["/r/2026/01. Enero", "/r/2025/12. Diciembre"]
     assert spark.range(1).select(D.month_label(F.lit(dt.date(2026, 3, 1)))).first()[0] == "03. Marzo"
+
+
+def test_today_in_zone_is_a_date(spark):
+    d = spark.range(1).select(D.today_in("America/Santiago").alias("d")).first()["d"]
+    assert isinstance(d, dt.date) and abs((d - dt.date.today()).days) <= 1
