@@ -76,7 +76,8 @@ def decode_line(value: F.Column, utf8_ok: F.Column) -> F.Column:
     return F.when(utf8_ok, value).otherwise(F.decode(value.cast("binary"), LATIN1))
 
 
-def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str) -> list[dict]:
+def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str,
+                    check_utf8: bool = True, fixed_encoding: str | None = None) -> list[dict]:
     """One pass over the raw lines: per file, UTF-8 validity and first line.
 
     The first line of a file is the line of its first split (block start 0)
@@ -93,10 +94,16 @@ def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str) ->
             F.monotonically_increasing_id().alias("mid"),
         )
     )
+    valid = F.bool_and(F.is_valid_utf8("value")) if check_utf8 else F.lit(True)
     heads = lines.groupBy("path", "name").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        valid.alias("utf8"),
         F.min_by("value", F.when(F.col("blk") == 0, F.col("mid"))).alias("raw_head"),
-    ).select("path", "name", "utf8", decode_line(F.col("raw_head"), F.col("utf8")).alias("head"))
+    )
+    if fixed_encoding and fixed_encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        head = F.decode(F.col("raw_head").cast("binary"), fixed_encoding)
+    else:
+        head = decode_line(F.col("raw_head"), F.col("utf8"))
+    heads = heads.select("path", "name", "utf8", head.alias("head"))
     return [r.asDict() for r in heads.collect()]
 
 
@@ -180,12 +187,15 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
                    delimiter_mode: str = "fixed", deep_headers: bool = False,
                    rename: Mapping[str, str] | None = None,
                    na_tokens: Sequence[str] | None = NA_TOKENS,
-                   flag_columns: Sequence[str] = ()) -> ReadResult:
+                   flag_columns: Sequence[str] = (),
+                   encodings: Sequence[str] = (UTF8, LATIN1)) -> ReadResult:
     """Read every matching file under the
     roots into one all-string DataFrame.
 
     ``flag_columns`` adds a boolean ``_has_<name>`` per row telling whether
     the row's file had that column at all (null value vs absent column).
+    ``encodings``: (UTF-8, fallback) decides per file by a whole-file
+    validity check (S4); a single encoding skips the check.
 
     Output columns: the wanted columns present in at least one file (null
     where a file lacks them), ``Origen_Archivo`` (file name) and ``_ord``
@@ -198,11 +208,18 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
     roots = existing_roots(spark, roots)
     if not roots:
         return ReadResult(None, None, [])
-    heads = scan_file_heads(spark, roots, pattern)
+    detect = len(encodings) > 1
+    if detect and encodings[0].upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        raise ValueError("encoding detection needs UTF-8 first, then the fallback")
+    heads = scan_file_heads(spark, roots, pattern, check_utf8=detect,
+                            fixed_encoding=None if detect else encodings[0])
     groups: dict[tuple, list[str]] = defaultdict(list)
     report = []
     for h in sorted(heads, key=lambda r: r["path"]):
-        enc = UTF8 if h["utf8"] else LATIN1
+        if not detect:
+            enc = encodings[0]
+        else:
+            enc = encodings[0] if h["utf8"] else encodings[1]
         sep = choose_delimiter(h["head"], delimiter_mode, delimiters)
         names = clean_header(split_header(h["head"], sep), deep_headers, rename)
         present = [n for n in names if wanted is None or n in wanted]

@@ -76,3 +76,10 @@ def test_delimited_roundtrip_latin1(spark, scratch):
     sinks.write_delimited(df, f"{scratch}/out", encoding="ISO-8859-1")
     res = readers.read_delimited(spark, [f"{scratch}/out"], ["id", "name"])
     assert [tuple(r) for r in res.data.select("id", "name").collect()] == [("1", "Peña")]
+
+
+def test_single_declared_encoding_skips_detection(spark, scratch):
+    write(f"{scratch}/l.csv", "id;Año\n1;Peña\n", encoding="latin-1")
+    res = readers.read_delimited(spark, [scratch], ["id", "Año"], encodings=("ISO-8859-1",))
+    assert [r["Año"] for r in res.data.collect()] == ["Peña"]
+    assert res.files[0]["encoding"] == "ISO-8859-1"
