@@ -19,8 +19,18 @@ NA_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
-# Unicode white space, as Python's ``str.split``/``strip`` and ``\s`` see it.
-_WS = r"(?U)\s"
+# White space as Python's ``str.strip()`` and ``re`` ``\s`` see it
+# (``str.isspace``): tab to carriage return, the four information separators,
+# blank, next line, no-break space, ogham space, en quad to hair space, line
+# and paragraph separators, narrow no-break, medium mathematical and
+# ideographic space.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
 
 def _c(c) -> Column:
@@ -30,13 +40,14 @@ def _c(c) -> Column:
 # --- blanks and nulls ---------------------------------------------------------
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: removes Unicode white space (incl. U+00A0)."""
-    return F.regexp_replace(_c(c), rf"^{_WS}+|{_WS}+$", "")
+    """Python ``str.strip()``: removes Python white space at both ends
+    (incl. U+00A0), with Spark's character-set trim (no regex)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c) -> Column:
     """Every white-space run (incl. no-break space) -> one blank, trimmed."""
-    return F.trim(F.regexp_replace(_c(c), rf"{_WS}+", " "))
+    return F.trim(F.regexp_replace(_c(c), _WS_CLASS + "+", " "))
 
 
 def is_blank(c) -> Column:

@@ -79,3 +79,10 @@ def test_no_python_udf_in_text_plans(spark):
     df = spark.createDataFrame([("x_y_Ana b",)], "s string")
     plan = df.select(T.agent_name_consolidated("s"), T.collapse_title("s"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_whitespace_matches_python(spark):
+    ws = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+    vals = [ws + "a" + ws + "b" + ws, "\x1c x 　", "​ zero-width stays ​", "plain"]
+    assert col1(spark, vals, T.py_strip) == [v.strip() for v in vals]
+    assert col1(spark, vals, T.collapse_ws) == [" ".join(v.split()) for v in vals]
