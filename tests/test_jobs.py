@@ -149,3 +149,41 @@ def test_record_count_and_keyvalue_runners(spark, scratch):
     assert jobs.run_record_count(spark, [f"{scratch}/missing"]).first()["records"] == 0
     assert jobs.run_keyvalue_base(spark, [f"{scratch}/r"], f"{scratch}/kv")["status"] == "written"
     assert spark.read.parquet(f"{scratch}/kv").count() == 3
+
+
+def test_form_report_runner_multi_table(spark, scratch):
+    import datetime as dt
+    form = spark.createDataFrame(
+        [(dt.datetime(2026, 4, 10, 9, 30), " pu1 ", "Keep", "NO ACEPTA", "SI", "obs"),
+         (dt.datetime(2026, 4, 10, 9, 31), "pu2", "piloto x", "OTRO", "NO", "obs")],
+        "stamp timestamp_ntz, user string, campaign_type string, disposition string, contacted string, "
+        "`OBSERVACIÓN` string")
+    st = spark.createDataFrame([("pu1", "ana  perez", "Sup", "2026-04-01", "0077", "S1", 1)],
+                               "platform_user string, full_name string, supervisor string, start_date string, "
+                               "dni string, site string, _ord int")
+    calls = spark.createDataFrame([("Perez, Ana", "5", "00:03", 1), ("Perez,Ana", "6", "00:04", 2)],
+                                  "Name string, calls string, AHT string, _ord int")
+    qu = spark.createDataFrame([("77.0", "Q2", 1)], "dni string, quartile string, _ord int")
+    write(f"{scratch}/camp/a.csv", "Name|Answers|Hit Ratio|No Answer Result\nC1|3|5%|1\nC9|1|1%|0\nC1|4|6%|2|x\n")
+    camp = readers.read_delimited(spark, [f"{scratch}/camp"], None, delimiters=readers.SNIFF_CANDIDATES,
+                                  delimiter_mode="sniff").data.drop(readers.FILE_COL, readers.ORD_COL)
+    write(f"{scratch}/rsl/a.rsl", "ID=1\nID=2\n", encoding="latin-1")
+    inputs = JobInputs(excluded_campaigns=("PILOTO X",), campaign_names=("C1",))
+    st_out = jobs.run_form_report(spark, form=form, staffing=st, calls=calls, quartiles=qu, shifts=None,
+                                  campaign_raw=camp, rsl_roots=[f"{scratch}/rsl"], out=f"{scratch}/out",
+                                  as_of="2026-04-15", inputs=inputs)
+    assert st_out == {"form_report": "written", "campaign_activity": "written", "record_count": "written"}
+    fr = spark.read.parquet(f"{scratch}/out/form_report").collect()
+    assert len(fr) == 2                                   # one form row, two call rows (fan-out)
+    r = fr[0]
+    assert (r["full_name"], r["dni"], r["quartile"], r["tenure"], r["not_accepted_form"], r["contact_form"],
+            r["stamp"]) == ("Ana Perez", "77", "Q2", "Prematuro", 1, 1, "10/04/2026 09:30")
+    assert "AHT" not in r.asDict() and "OBSERVACIÓN" not in r.asDict() and "start_date" not in r.asDict()
+    ca = spark.read.parquet(f"{scratch}/out/campaign_activity")
+    assert ca.columns == ["Name", "Hit Ratio", "Contacto (Answer)", "No Contacto (No Answer Result)"]
+    assert ca.count() == 1                                # C9 filtered, the too-wide row rejected
+    assert spark.read.parquet(f"{scratch}/out/record_count").first()["records"] == 2
+    empty = jobs.run_form_report(spark, form=form, staffing=st, calls=None, quartiles=None, shifts=None,
+                                 campaign_raw=camp.where("false"), rsl_roots=[f"{scratch}/none"],
+                                 out=f"{scratch}/out2", as_of="2026-04-15", inputs=inputs)
+    assert empty["campaign_activity"] == "skipped"
