@@ -41,8 +41,9 @@ def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
     The proof is a row count of ``bound_by`` (default: ``dim`` itself) --
     for a keep-first dimension the raw rows before the reduction, which bound
     its size (times ``factor`` when several key projections are unioned).
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed
-    and, because only a count is asked, skips every projected expression.
+    The count is a global aggregate: every task counts its own rows and only
+    one number per task reaches the final step (no rows funnel into one
+    task), and as only a count is asked, no projected expression is computed.
     Beyond the bound no hint is given and the planner picks a sort-merge
     join (AQE splits skewed fact partitions).  ``mode=True`` forces the
     hint, ``False`` never hints.
@@ -51,11 +52,8 @@ def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
         return dim
     if mode is True:
         return F.broadcast(dim)
-    limit = max_rows if max_rows is not None else broadcast_max_rows(dim.sparkSession)
     source = bound_by if bound_by is not None else dim
-    cap = limit // max(factor, 1)
-    n = source.limit(cap + 1).count()
-    return F.broadcast(dim) if n <= cap else dim
+    return F.broadcast(dim) if _proven_small(source, max_rows, "auto", factor) else dim
 
 
 SPREAD_BUCKETS = 1024
@@ -82,7 +80,7 @@ def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = Non
                 factors: Mapping[str, int] | None = None) -> dict[str, bool]:
     """Check several dimensions' row bounds in one job.
 
-    Returns ``{name: rows * factor <= max_rows}`` from a union of limited
+    Returns ``{name: rows * factor <= max_rows}`` from a union of global
     counts (one small job instead of one per lookup); pass the flags on as
     ``broadcast=`` so each lookup skips its own check.  ``factors`` covers a
     dimension whose key projections are unioned (J2).
@@ -94,7 +92,7 @@ def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = Non
     spark = next(iter(present.values())).sparkSession
     limit = max_rows if max_rows is not None else broadcast_max_rows(spark)
     caps = {k: limit // max(factors.get(k, 1), 1) for k in present}
-    parts = [df.limit(caps[k] + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n")
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n")
              for k, df in present.items()]
     counts = parts[0]
     for p in parts[1:]:
@@ -110,7 +108,8 @@ def _proven_small(bound_by: DataFrame, max_rows: int | None, mode, factor: int =
         return mode
     limit = max_rows if max_rows is not None else broadcast_max_rows(bound_by.sparkSession)
     cap = limit // max(factor, 1)
-    return bound_by.limit(cap + 1).count() <= cap
+    n = bound_by.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return n <= cap
 
 
 def first_wins(dim: DataFrame, key: str, values: Sequence[str], order: Sequence) -> DataFrame:
