@@ -106,7 +106,8 @@ def q_wide_row_skip(spark, sf_dir):
         r.select(part, F.lit(1).alias("o"), F.concat_ws(";", (F.col("r_regionkey") + 20).cast("string"), "r_name",
                                                          F.lit("x"), F.lit("y")).alias("line"), (F.col("r_regionkey") + 20).alias("k")),
     ])
-    lines = union_all_by_name([header, body]).repartition(1, "part").sortWithinPartitions("part", "o", "k")
+    # one hash partition per folder value: its header line sorts first in its file
+    lines = union_all_by_name([header, body]).repartition("part").sortWithinPartitions("part", "o", "k")
     _text_lines(lines.select("part", "line"), base, partition_by=["part"])
     res = readers.read_delimited(spark, [f"{base}/part=0", f"{base}/part=1"], ["Clave", "Nombre"])
     kept = res.data.select(F.col("Clave").alias("key"), F.col("Nombre").alias("name"), F.lit("kept").alias("status"))
