@@ -145,14 +145,14 @@ def clean_header(fields: Sequence[str], deep: bool, rename: Mapping[str, str] |
 
 def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names: list[str],
                 wanted: Sequence[str] | None, na_tokens: Sequence[str] | None,
-                flag_columns: Sequence[str] = ()):
+                flag_columns: Sequence[str] = (), multi_line: bool = False):
     width = len(names)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width + 1)])
     raw = (
         spark.read.schema(schema)
         .option("header", True).option("enforceSchema", True)
         .option("sep", sep).option("encoding", enc).option("quote", '"')
-        .option("mode", "PERMISSIVE")
+        .option("mode", "PERMISSIVE").option("multiLine", multi_line)
         .csv(files)
         .select(
             "*",
@@ -188,7 +188,8 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
                    rename: Mapping[str, str] | None = None,
                    na_tokens: Sequence[str] | None = NA_TOKENS,
                    flag_columns: Sequence[str] = (),
-                   encodings: Sequence[str] = (UTF8, LATIN1)) -> ReadResult:
+                   encodings: Sequence[str] = (UTF8, LATIN1),
+                   multi_line: bool = False) -> ReadResult:
     """Read every matching file under the
     roots into one all-string DataFrame.
 
@@ -196,6 +197,8 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
     the row's file had that column at all (null value vs absent column).
     ``encodings``: (UTF-8, fallback) decides per file by a whole-file
     validity check (S4); a single encoding skips the check.
+    ``multi_line`` parses quoted fields holding line breaks (such files are
+    then read whole, one task per file, instead of split).
 
     Output columns: the wanted columns present in at least one file (null
     where a file lacks them), ``Origen_Archivo`` (file name) and ``_ord``
@@ -232,7 +235,7 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
         return ReadResult(None, None, report)
     datas, rejs = [], []
     for (enc, sep, names), files in sorted(groups.items()):
-        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens, flag_columns)
+        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens, flag_columns, multi_line)
         datas.append(d)
         rejs.append(r)
     data = union_all_by_name(datas)

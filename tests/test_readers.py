@@ -83,3 +83,9 @@ def test_single_declared_encoding_skips_detection(spark, scratch):
     res = readers.read_delimited(spark, [scratch], ["id", "Año"], encodings=("ISO-8859-1",))
     assert [r["Año"] for r in res.data.collect()] == ["Peña"]
     assert res.files[0]["encoding"] == "ISO-8859-1"
+
+
+def test_quoted_line_breaks_with_multi_line(spark, scratch):
+    write(f"{scratch}/m.csv", 'id;note\n1;"two\nlines"\n2;plain\n')
+    res = readers.read_delimited(spark, [scratch], ["id", "note"], multi_line=True)
+    assert sorted(tuple(r) for r in res.data.select("id", "note").collect()) == [("1", "two\nlines"), ("2", "plain")]
