@@ -138,7 +138,6 @@ def _shifts(d):
 def _duck_first(src: str, key: str, values: list[str]) -> str:
     """DuckDB first-wins: one row per non-null key, values of the min _ord row."""
     packed = ", ".join(f"'{v}': {v}" for v in values)
-    outs = ", ".join(f"f.{v} AS {v}" for v in values)
     return (f"(SELECT k, {', '.join(f'p.{v} AS {v}' for v in values)} FROM "
             f"(SELECT {key} AS k, arg_min_null({{{packed}}}, _ord) AS p FROM {src} WHERE {key} IS NOT NULL GROUP BY 1))")
 

@@ -6,7 +6,6 @@ import os
 import duckdb
 import pytest
 
-from cctally import schemas
 from cctally.plans import jobs
 from cctally.plans.rules_config import JobInputs
 from cctally.sources import readers
