@@ -57,6 +57,51 @@ def guarded_broadcast(dim: DataFrame, max_rows: int | None = None, mode="auto",
 
 
 SPREAD_BUCKETS = 1024
+SALT_BUCKETS = 32
+HOT_SAMPLE_FRACTION = 0.01
+HOT_MIN_SHARE = 0.01
+
+
+def hot_keys(fact: DataFrame, key: Column, *, fraction: float = HOT_SAMPLE_FRACTION,
+             min_share: float = HOT_MIN_SHARE, seed: int = 17) -> list:
+    """Keys that hold at least ``min_share`` of a row sample of ``fact``.
+
+    One pass: a grouped count over a Bernoulli sample (partial aggregation
+    per task), kept while its total and its qualifying keys are read.  A key
+    qualifies with at least ``min_share`` of the sampled rows (and at least
+    two of them); as the shares add up to one, at most ``1 / min_share``
+    keys qualify, so the list reaching the driver is bounded.  The sample
+    only detects hot keys; no row is dropped.
+    """
+    sample = fact.select(key.alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n")).persist()
+    try:
+        total = counts.agg(F.sum("__n").alias("t")).first()["t"]
+        if not total:
+            return []
+        threshold = max(2.0, min_share * total)
+        return [r["__hk"] for r in counts.where(F.col("__n") >= F.lit(threshold)).collect()]
+    finally:
+        counts.unpersist()
+
+
+def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key: str,
+                hot: list, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left join ``fact`` to ``right`` on ``fact_key == right[right_key]``
+    with hot keys salted: their fact rows get ``salt = hash % buckets`` and
+    their (one-per-key) dimension rows are replicated once per salt, so a
+    key holding a third of the fact is spread over ``buckets`` reducers.
+    Other keys use salt 0.  The result equals the plain left join."""
+    hot_lit = [F.lit(h) for h in hot]
+    f = fact.withColumn("__fk", fact_key)
+    is_hot_f = F.col("__fk").isin(hot_lit) if hot else F.lit(False)
+    f = f.withColumn("__salt", F.when(is_hot_f, F.abs(F.xxhash64(F.monotonically_increasing_id())) % buckets)
+                     .otherwise(F.lit(0)).cast("int"))
+    is_hot_r = F.col(right_key).isin(hot_lit) if hot else F.lit(False)
+    r = right.withColumn("__salt", F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                              .otherwise(F.array(F.lit(0)))))
+    cond = (F.col("__fk") == F.col(right_key)) & (f["__salt"] == r["__salt"])
+    return f.join(r, cond, "left").drop("__fk", right_key).drop(f["__salt"]).drop(r["__salt"])
 
 
 def _join_keys(fact_key: Column, dim_key: Column, broadcast_side: bool) -> tuple[Column, Column]:
@@ -135,7 +180,7 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
            values: Sequence[str], order: Sequence | None = None, dedupe: bool = True,
            fill: Mapping[str, str] | None = None, marker: str | None = None,
            rename: Mapping[str, str] | None = None, broadcast="auto",
-           max_rows: int | None = None) -> DataFrame:
+           max_rows: int | None = None, salt_hot_keys: bool = True) -> DataFrame:
     """Left lookup of ``values`` from ``dim``.
 
     * ``dedupe=True`` reduces the dimension to its first row per key (D1,
@@ -144,6 +189,9 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
       (J8) adds the value columns as ``marker`` (null when no marker).
     * ``fill`` null-fills attributes after the join (J9).
     * ``rename`` renames attributes on the way out (P6).
+    * Beyond the broadcast bound, hot fact keys are salted
+      (``salt_hot_keys``, see :func:`salted_join`) and null fact keys are
+      spread (see :func:`_join_keys`).
     Key canonicalisation (J6) is done by the caller on both sides.
     """
     values = list(values)
@@ -165,8 +213,12 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
     small = _proven_small(dim, max_rows, broadcast)
     fk, dk = _join_keys(_col(fact_key), F.col("__lk"), small)
     right = right.withColumn("__lk", dk)
-    right = F.broadcast(right) if small else right
-    joined = fact.withColumn("__fk", fk).join(right, F.col("__fk") == F.col("__lk"), "left").drop("__fk", "__lk")
+    if small:
+        joined = fact.withColumn("__fk", fk).join(F.broadcast(right), F.col("__fk") == F.col("__lk"), "left") \
+            .drop("__fk", "__lk")
+    else:
+        hot = hot_keys(fact, fk) if salt_hot_keys else []
+        joined = salted_join(fact, right, fk, "__lk", hot)
     if fill:
         joined = joined.withColumns({c: F.coalesce(_col(c), F.lit(v)) for c, v in fill.items()})
     return joined
@@ -215,9 +267,11 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
         small = _proven_small(dim, max_rows, broadcast, factor=len(dks))
         fkey, dkey = _join_keys(_col(fk), F.col("__k"), small)
         right = right.withColumn("__k", dkey)
-        right = F.broadcast(right) if small else right
-        joined = joined.withColumn("__fk", fkey).join(right, F.col("__fk") == F.col("__k"), "left") \
-            .drop("__fk", "__k")
+        if small:
+            joined = joined.withColumn("__fk", fkey).join(F.broadcast(right), F.col("__fk") == F.col("__k"), "left") \
+                .drop("__fk", "__k")
+        else:
+            joined = salted_join(joined, right, fkey, "__k", hot_keys(joined, fkey))
         result_cols.append(F.col(name))
     pick = F.coalesce(*result_cols, F.lit(default)) if default is not None else F.coalesce(*result_cols)
     return joined.withColumn(out, pick).drop(*[f"__fb{i}" for i in range(len(runs))])

@@ -104,3 +104,20 @@ def test_null_keys_spread_on_sort_merge_path(spark):
                          keys=[("k", "k"), ("k2", "k2")], value="v", out="b", order=["o"], default="none",
                          broadcast=False)
     assert fb.count() == 4000 and fb.where("k IS NULL AND b <> 'none'").count() == 0
+
+
+def test_hot_key_salting_is_exact(spark):
+    """One key holds a third of the fact: it is salted over many reducers on
+    the sort-merge path, and the result equals the broadcast result."""
+    fact = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+                                    .when(F.col("id") % 7 == 0, F.lit(None))
+                                    .otherwise((F.col("id") % 40).cast("string")).alias("k"))
+    dim = spark.range(40).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("v"), "id").alias("v"),
+                                 F.col("id").alias("o")).unionByName(
+        spark.createDataFrame([("HOT", "vhot", 0)], "k string, v string, o long"))
+    from cctally.operators.lookup import hot_keys
+    assert "kHOT" in hot_keys(fact, F.concat(F.lit("k"), F.col("k")), fraction=1.0, min_share=0.2)
+    salted = lookup(fact, dim, fact_key="k", dim_key="k", values=["v"], order=["o"], broadcast=False)
+    plain = lookup(fact, dim, fact_key="k", dim_key="k", values=["v"], order=["o"], broadcast=True)
+    assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert salted.count() == 6000
