@@ -10,6 +10,7 @@ dedup, counts) stay in the batch job that reads the appended table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,9 @@ def ingest_new_files(spark: SparkSession, landing: str, columns: Sequence[str],
         file_name_col().alias(FILE_COL))
     if transform is not None:
         stream = transform(stream)
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{abs(hash((landing, out)))}"
+    # a stable name per (landing, output) pair, so every run resumes the same stream
+    digest = hashlib.sha1(f"{landing}\n{out}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{digest}"
     query = (stream.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     query.awaitTermination()

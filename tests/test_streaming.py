@@ -27,3 +27,11 @@ def test_available_now_processes_only_new_files(spark, scratch):
     rows = sorted((r["agent"], r["time"], r["not_applicable"], r["base_cloud"], r["Origen_Archivo"])
                   for r in spark.read.parquet(out).collect())
     assert rows == [("Ana", "10:15", 1, "Uno", "a.csv"), ("Discador", "00:00", 0, "-", "b.csv")]
+
+
+def test_checkpoint_name_is_stable(spark, scratch):
+    land, out = f"{scratch}/landing2", f"{scratch}/out2"
+    write(f"{land}/a.csv", ";".join(COLS) + "\nu;01/01/2026;x;1;q;c;k\n")
+    first = ingest_new_files(spark, land, COLS, out)
+    again = ingest_new_files(spark, land, COLS, out)
+    assert first["checkpoint"] == again["checkpoint"] and (first["rows"], again["rows"]) == (1, 0)
