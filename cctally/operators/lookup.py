@@ -247,15 +247,15 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
     result_cols = []
     joined = fact
     for i, (fk, dks) in enumerate(runs):
-        parts = [
-            dim.where(_col(dk).isNotNull()).select(
-                _col(dk).alias("__k"), F.lit(p).alias("__p"), _col(value).alias("__v"),
-                ordering.alias("__o"))
-            for p, dk in enumerate(dks)
-        ]
-        cand = parts[0]
-        for p in parts[1:]:
-            cand = cand.unionByName(p)
+        # one pass over the dimension per run: each row yields one
+        # (priority, key) pair per key column of the run
+        types = {dict(dim.dtypes)[dk] for dk in dks}
+        as_key = (lambda c: c) if len(types) == 1 else (lambda c: c.cast("string"))
+        pairs = F.array(*[F.struct(F.lit(p).alias("__p"), as_key(_col(dk)).alias("__k"))
+                          for p, dk in enumerate(dks)])
+        cand = (dim.select(F.explode(pairs).alias("__e"), _col(value).alias("__v"), ordering.alias("__o"))
+                .select(F.col("__e.__k").alias("__k"), F.col("__e.__p").alias("__p"), "__v", "__o")
+                .where(F.col("__k").isNotNull()))
         # per key: first row's value within each priority, then the first non-null
         per_prio = [
             F.min_by(F.col("__v"), F.when(F.col("__p") == p, F.col("__o")))
