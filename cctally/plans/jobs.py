@@ -335,9 +335,12 @@ def run_daily_base_counts(spark: SparkSession, root: str, *, as_of, inputs: JobI
                              date_col=date_col, has_date_col=f"_has_{date_col}")
 
 
-def run_record_count(spark: SparkSession, roots, *, pattern: str = "*.rsl") -> DataFrame:
-    """L7 over key=value export folders; 0 when there is no file."""
-    lines = readers.read_keyvalue_lines(spark, roots, pattern=pattern)
+def run_record_count(spark: SparkSession, roots, *, pattern: str = "*.rsl",
+                     drop_first_line: bool = False) -> DataFrame:
+    """L7 over key=value export folders; 0 when there is no file.
+    ``drop_first_line=True`` reproduces the reference, whose reader takes
+    each file's first line as a header and does not count it (Q20)."""
+    lines = readers.read_keyvalue_lines(spark, roots, pattern=pattern, drop_first_line=drop_first_line)
     if lines is None:
         return spark.range(1).select(F.lit(0).cast("long").alias("records"))
     return record_count(lines)

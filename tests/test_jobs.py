@@ -145,6 +145,7 @@ def test_record_count_and_keyvalue_runners(spark, scratch):
     write(f"{scratch}/r/a.rsl", "ID=1|N=a\nID=2|N=b\n", encoding="latin-1")
     write(f"{scratch}/r/b.rsl", "ID=3|N=c\n", encoding="latin-1")
     assert jobs.run_record_count(spark, [f"{scratch}/r"]).first()["records"] == 3
+    assert jobs.run_record_count(spark, [f"{scratch}/r"], drop_first_line=True).first()["records"] == 1
     assert jobs.run_record_count(spark, [f"{scratch}/missing"]).first()["records"] == 0
     assert jobs.run_keyvalue_base(spark, [f"{scratch}/r"], f"{scratch}/kv")["status"] == "written"
     assert spark.read.parquet(f"{scratch}/kv").count() == 3
