@@ -52,10 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # only a local session (tests) gets here; a cluster names its folder
         configured = tempfile.mkdtemp(prefix="cctally-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
