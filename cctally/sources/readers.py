@@ -77,7 +77,8 @@ def decode_line(value: F.Column, utf8_ok: F.Column) -> F.Column:
 
 
 def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str,
-                    check_utf8: bool = True, fixed_encoding: str | None = None) -> list[dict]:
+                    check_utf8: bool = True, fixed_encoding: str | None = None,
+                    ignore_corrupt: bool = False) -> list[dict]:
     """One pass over the raw lines: per file, UTF-8 validity and first line.
 
     The first line of a file is the line of its first split (block start 0)
@@ -85,7 +86,8 @@ def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str,
     Returns one small dict per non-empty file.
     """
     lines = (
-        spark.read.option("pathGlobFilter", pattern).text(list(roots))
+        spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", ignore_corrupt)
+        .text(list(roots))
         .select(
             F.col("value"),
             _decoded(F.col("_metadata.file_path")).alias("path"),
@@ -145,7 +147,8 @@ def clean_header(fields: Sequence[str], deep: bool, rename: Mapping[str, str] |
 
 def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names: list[str],
                 wanted: Sequence[str] | None, na_tokens: Sequence[str] | None,
-                flag_columns: Sequence[str] = (), multi_line: bool = False):
+                flag_columns: Sequence[str] = (), multi_line: bool = False,
+                ignore_corrupt: bool = False):
     width = len(names)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width + 1)])
     raw = (
@@ -153,6 +156,7 @@ def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names
         .option("header", True).option("enforceSchema", True)
         .option("sep", sep).option("encoding", enc).option("quote", '"')
         .option("mode", "PERMISSIVE").option("multiLine", multi_line)
+        .option("ignoreCorruptFiles", ignore_corrupt)
         .csv(files)
         .select(
             "*",
@@ -189,7 +193,7 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
                    na_tokens: Sequence[str] | None = NA_TOKENS,
                    flag_columns: Sequence[str] = (),
                    encodings: Sequence[str] = (UTF8, LATIN1),
-                   multi_line: bool = False) -> ReadResult:
+                   multi_line: bool = False, ignore_corrupt_files: bool = False) -> ReadResult:
     """Read every matching file under the
     roots into one all-string DataFrame.
 
@@ -199,6 +203,9 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
     validity check (S4); a single encoding skips the check.
     ``multi_line`` parses quoted fields holding line breaks (such files are
     then read whole, one task per file, instead of split).
+    ``ignore_corrupt_files`` skips unreadable files/blocks (S8) instead of
+    failing the job.  Files without any wanted column appear in the reject
+    table with reason ``no_wanted_columns`` (P5).
 
     Output columns: the wanted columns present in at least one file (null
     where a file lacks them), ``Origen_Archivo`` (file name) and ``_ord``
@@ -215,7 +222,8 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
     if detect and encodings[0].upper().replace("_", "-") not in ("UTF-8", "UTF8"):
         raise ValueError("encoding detection needs UTF-8 first, then the fallback")
     heads = scan_file_heads(spark, roots, pattern, check_utf8=detect,
-                            fixed_encoding=None if detect else encodings[0])
+                            fixed_encoding=None if detect else encodings[0],
+                            ignore_corrupt=ignore_corrupt_files)
     groups: dict[tuple, list[str]] = defaultdict(list)
     report = []
     for h in sorted(heads, key=lambda r: r["path"]):
@@ -228,16 +236,21 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
         present = [n for n in names if wanted is None or n in wanted]
         status = "read" if present else "no_wanted_columns"
         report.append({"file": h["name"], "encoding": enc, "delimiter": sep,
-                       "columns": len(names), "status": status})
+                       "columns": len(names), "status": status, "header": h["head"]})
         if present:
             groups[(enc, sep, tuple(names))].append(h["path"])
     if not groups:
         return ReadResult(None, None, report)
     datas, rejs = [], []
     for (enc, sep, names), files in sorted(groups.items()):
-        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens, flag_columns, multi_line)
+        d, r = _read_group(spark, files, enc, sep, list(names), wanted, na_tokens, flag_columns, multi_line,
+                           ignore_corrupt_files)
         datas.append(d)
         rejs.append(r)
+    skipped = [(f["file"], f["status"], f["header"]) for f in report if f["status"] != "read"]
+    if skipped:
+        # one row per skipped file (bounded by the file listing)
+        rejs.append(spark.createDataFrame(skipped, "file string, reason string, raw string"))
     data = union_all_by_name(datas)
     if wanted is not None:
         order = [c for c in wanted if c in data.columns]

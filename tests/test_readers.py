@@ -26,6 +26,7 @@ def test_mixed_encodings_delimiters_headers(spark, scratch):
     status = {f["file"]: (f["encoding"], f["delimiter"], f["status"]) for f in res.files}
     assert status["b.csv"] == ("ISO-8859-1", ";", "read")
     assert status["none.csv"][2] == "no_wanted_columns"
+    assert [(r["file"], r["reason"]) for r in res.rejects.collect()] == [("none.csv", "no_wanted_columns")]
 
 
 def test_wide_rows_rejected_short_rows_padded(spark, scratch):
