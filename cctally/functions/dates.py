@@ -98,8 +98,9 @@ def display_texts(ts) -> dict[str, Column]:
 
 
 def month_label(d, names=MONTH_NAMES_ES) -> Column:
-    """``MM. Name`` folder label of a date."""
-    d = _c(d) if not isinstance(d, (_dt.date, str)) else as_date(d)
+    """``MM. Name`` folder label of a date (Column, column name or a
+    ``datetime.date``)."""
+    d = as_date(d) if isinstance(d, _dt.date) else _c(d)
     arr = F.array(*[F.lit(n) for n in names])
     return F.concat(F.date_format(d, "MM"), F.lit(". "), F.element_at(arr, F.month(d)))
 

@@ -885,3 +885,35 @@ def q_header_repair(spark, sf_dir):
     df = spark.table("nation").select("n_nationkey", "n_name", "n_regionkey").toDF(*dirty)
     fixes = header_repairs({"n_nationkey": "key", "Nombre país": "name", "Región": "region_key"})
     return normalize_headers(df, deep=True, rename=fixes).withColumnRenamed("name", "nation_name")
+
+
+# =============================================================================
+# T8 month labels, X14 value after '='
+# =============================================================================
+
+@register("month_labels", """
+SELECT o_orderkey, strftime(o_orderdate, '%m') || '. ' ||
+  CASE month(o_orderdate) WHEN 1 THEN 'Enero' WHEN 2 THEN 'Febrero' WHEN 3 THEN 'Marzo' WHEN 4 THEN 'Abril'
+    WHEN 5 THEN 'Mayo' WHEN 6 THEN 'Junio' WHEN 7 THEN 'Julio' WHEN 8 THEN 'Agosto' WHEN 9 THEN 'Septiembre'
+    WHEN 10 THEN 'Octubre' WHEN 11 THEN 'Noviembre' ELSE 'Diciembre' END AS folder
+FROM orders""")
+def q_month_labels(spark, sf_dir):
+    """``MM. Month`` folder label of each order date."""
+    views(spark, sf_dir, "orders")
+    return spark.table("orders").select("o_orderkey", D.month_label("o_orderdate").alias("folder"))
+
+
+def _cells(d):
+    return """SELECT p_partkey,
+      CASE p_partkey % 3 WHEN 0 THEN 'NAME=' || p_name WHEN 1 THEN p_name
+                         ELSE 'EXPR=size=' || CAST(p_size AS STRING) END AS cell
+    FROM part"""
+
+
+@register("after_equals", cte(_cells) + """
+SELECT p_partkey, CASE WHEN strpos(cell, '=') > 0 THEN substr(cell, strpos(cell, '=') + 1) ELSE cell END AS value
+FROM src""")
+def q_after_equals(spark, sf_dir):
+    """The text after the first ``=`` of a cell, the cell when it has none."""
+    df = standin(spark, sf_dir, ["part"], _cells)
+    return df.select("p_partkey", T.after_equals("cell").alias("value"))
