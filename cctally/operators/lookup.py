@@ -226,7 +226,7 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
 
 def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str, str]],
                     value: str, out: str, order: Sequence, default: str | None = None,
-                    broadcast="auto", max_rows: int | None = None) -> DataFrame:
+                    broadcast="auto", max_rows: int | None = None, salt_hot_keys: bool = True) -> DataFrame:
     """Prioritised lookup over several (fact key, dimension key) pairs.
 
     For each pair the first dimension row per key gives a candidate (which
@@ -271,7 +271,8 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
             joined = joined.withColumn("__fk", fkey).join(F.broadcast(right), F.col("__fk") == F.col("__k"), "left") \
                 .drop("__fk", "__k")
         else:
-            joined = salted_join(joined, right, fkey, "__k", hot_keys(joined, fkey))
+            hot = hot_keys(joined, fkey) if salt_hot_keys else []
+            joined = salted_join(joined, right, fkey, "__k", hot)
         result_cols.append(F.col(name))
     pick = F.coalesce(*result_cols, F.lit(default)) if default is not None else F.coalesce(*result_cols)
     return joined.withColumn(out, pick).drop(*[f"__fb{i}" for i in range(len(runs))])

@@ -85,3 +85,20 @@ def test_dimensions_are_broadcast_at_test_scale(plans):
                  "accumulated_contacts"):
         assert "BroadcastHashJoin" in plans[name], name
         assert "SortMergeJoin" not in plans[name], name
+
+
+def test_consolidation_same_without_broadcast(spark):
+    """Every lookup forced beyond the broadcast bound (sort-merge, null-key
+    spreading, hot-key salting) gives the same rows as the broadcast plan."""
+    a = sorted(map(tuple, E.entry(spark).collect()), key=str)
+    spark.conf.set("cctally.broadcast.maxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.entry(spark)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        b = sorted(map(tuple, df.collect()), key=str)
+    finally:
+        spark.conf.unset("cctally.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert a == b
