@@ -102,3 +102,18 @@ def test_consolidation_same_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["form_report", "accumulated_contacts", "fallback_lookup", "lookup_left_first_wins",
+                                  "lookup_fanout", "null_keys_never_match"])
+def test_queries_same_without_broadcast(spark, name):
+    q = E.queries()[name]
+    a = sorted(map(tuple, q(spark, SF).collect()), key=str)
+    spark.conf.set("cctally.broadcast.maxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(map(tuple, q(spark, SF).collect()), key=str)
+    finally:
+        spark.conf.unset("cctally.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert a == b
