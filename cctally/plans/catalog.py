@@ -917,3 +917,11 @@ def q_after_equals(spark, sf_dir):
     """The text after the first ``=`` of a cell, the cell when it has none."""
     df = standin(spark, sf_dir, ["part"], _cells)
     return df.select("p_partkey", T.after_equals("cell").alias("value"))
+
+
+@register("document_title", f"""
+SELECT doc_id, {duck_title(duck_collapse('text'))} AS titled FROM documents""")
+def q_document_title(spark, sf_dir):
+    """X7/X17 over whole documents: blanks collapsed, Python-style title case."""
+    views(spark, sf_dir, "documents")
+    return spark.table("documents").select("doc_id", T.collapse_title("text").alias("titled"))

@@ -40,8 +40,10 @@ def duck_collapse(x: str) -> str:
 
 
 def duck_title(x: str) -> str:
+    # Python's title case maps a word-initial sharp s to "Ss" (its titlecase
+    # mapping); DuckDB's upper() maps it to U+1E9E
     return (rf"array_to_string(list_transform(regexp_extract_all({x}, '(\p{{L}}+|\P{{L}}+)'), "
-            r"lambda r: upper(r[1]) || lower(r[2:])), '')")
+            r"lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || lower(r[2:])), '')")
 
 
 def duck_blank(x: str) -> str:
