@@ -187,3 +187,27 @@ def test_form_report_runner_multi_table(spark, scratch):
                                  campaign_raw=camp.where("false"), rsl_roots=[f"{scratch}/none"],
                                  out=f"{scratch}/out2", as_of="2026-04-15", inputs=inputs)
     assert empty["campaign_activity"] == "skipped"
+
+
+def test_cli_runs_consolidation_from_config(spark, scratch):
+    import json
+    from cctally.plans import cli
+    write(f"{scratch}/cl/a.csv", "inin-outbound-id,FONO_CONTACTO,Segment_of_Origin\nk1,911112222,Seg A\n")
+    write(f"{scratch}/today/t.csv", HEAD +
+          'a_b_ana pérez_c;15/04/2026 09:00;Q1;"C; VOLVER A LLAMAR";k1;Saliente;56911112222\n')
+    write(f"{scratch}/dims/staff.csv", "NOMBRE COMPLETO,SUPERVISOR,ANDES,SEDE,FECHA INGRESO,DNI\nAna Pérez,Sup Uno,A1,,2026-03-20,77\n")
+    cfg = {"paths": {"contact_roots": [f"{scratch}/cl"], "contact_out": f"{scratch}/out/cb",
+                     "accumulated_root": f"{scratch}/hist", "accumulated_out": f"{scratch}/out/acc",
+                     "today_root": f"{scratch}/today", "consolidated_out": f"{scratch}/out/cons"},
+           "dimensions": {"staffing": {"path": f"{scratch}/dims/staff.csv", "format": "csv",
+                                       "rename": {"NOMBRE COMPLETO": "full_name", "SUPERVISOR": "supervisor",
+                                                  "ANDES": "andes", "SEDE": "site", "FECHA INGRESO": "start_date",
+                                                  "DNI": "dni"}}},
+           "inputs": {"queue_map": {"Q1": "Base Uno"}, "default_site": "Sin sede"}}
+    with open(f"{scratch}/run.json", "w") as fh:
+        json.dump(cfg, fh)
+    rep = cli.main(["consolidated", "--config", f"{scratch}/run.json", "--as-of", "2026-04-15"], spark=spark)
+    assert rep["accumulated"]["status"] == "no input"
+    row = spark.read.parquet(f"{scratch}/out/cons/consolidated").first()
+    assert (row["bucket"], row["supervisor"], row["base_cloud"], row["site"], row["tenure"]) == (
+        "Seg A", "Sup Uno", "Base Uno", "Sin sede", "Prematuro")
