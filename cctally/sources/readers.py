@@ -109,6 +109,15 @@ def scan_file_heads(spark: SparkSession, roots: Sequence[str], pattern: str,
     return [r.asDict() for r in heads.collect()]
 
 
+_GLOB_CHARS = "\\*?[]{}"
+
+
+def escape_glob(path: str) -> str:
+    """A listed file path as a literal for ``spark.read`` (which treats every
+    path as a Hadoop glob): glob characters get a backslash."""
+    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
+
+
 # --- per-file decisions (S5, S6, P1-P3, P5) ----------------------------------------
 
 def split_header(line: str, sep: str) -> list[str]:
@@ -238,7 +247,7 @@ def read_delimited(spark: SparkSession, roots: Sequence[str] | str, wanted: Sequ
         report.append({"file": h["name"], "encoding": enc, "delimiter": sep,
                        "columns": len(names), "status": status, "header": h["head"]})
         if present:
-            groups[(enc, sep, tuple(names))].append(h["path"])
+            groups[(enc, sep, tuple(names))].append(escape_glob(h["path"]))
     if not groups:
         return ReadResult(None, None, report)
     datas, rejs = [], []

@@ -90,3 +90,11 @@ def test_quoted_line_breaks_with_multi_line(spark, scratch):
     write(f"{scratch}/m.csv", 'id;note\n1;"two\nlines"\n2;plain\n')
     res = readers.read_delimited(spark, [scratch], ["id", "note"], multi_line=True)
     assert sorted(tuple(r) for r in res.data.select("id", "note").collect()) == [("1", "two\nlines"), ("2", "plain")]
+
+
+def test_file_names_with_glob_characters(spark, scratch):
+    write(f"{scratch}/base[1] {{x}}.csv", "id;name\n1;a\n")
+    write(f"{scratch}/base1 x.csv", "id;name\n2;b\n")
+    res = readers.read_delimited(spark, [scratch], ["id", "name"])
+    assert sorted((r["id"], r["Origen_Archivo"]) for r in res.data.collect()) == [
+        ("1", "base[1] {x}.csv"), ("2", "base1 x.csv")]
