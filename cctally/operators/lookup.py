@@ -284,15 +284,18 @@ def map_with_table(fact: DataFrame, column: str, mapping: DataFrame, *, src: str
     """X4/C1 with a mapping table: whole-value replacement in one pass.
 
     ``keep_unmapped`` keeps unmapped values (replace); otherwise they become
-    ``default`` (map with default).
+    ``default`` (map with default).  The first mapping row per source value
+    wins; the join is a :func:`lookup`, so the broadcast bound, null-key
+    spreading and hot-key salting apply.
     """
     out = out or column
-    m = first_wins(mapping.withColumn("__o", F.monotonically_increasing_id()), src, [dst], ["__o"])
-    m = m.select(F.col(f"`{src}`").alias("__mk"), F.col(f"`{dst}`").alias("__mv"))
-    m = guarded_broadcast(m, None, broadcast, bound_by=mapping)
-    j = fact.join(m, _col(column) == F.col("__mk"), "left")
-    fallback = _col(column) if keep_unmapped else F.lit(default)
-    mapped = F.coalesce(F.col("__mv"), fallback)
-    if not keep_unmapped and default is None:
+    m = mapping.select(_col(src).alias("__mk"), _col(dst).alias("__mv"),
+                       F.monotonically_increasing_id().alias("__mo"))
+    j = lookup(fact, m, fact_key=column, dim_key="__mk", values=["__mv"], order=["__mo"], broadcast=broadcast)
+    if keep_unmapped:
+        mapped = F.coalesce(F.col("__mv"), _col(column))
+    elif default is not None:
+        mapped = F.coalesce(F.col("__mv"), F.lit(default))
+    else:
         mapped = F.col("__mv")
-    return j.withColumn(out, mapped).drop("__mk", "__mv")
+    return j.withColumn(out, mapped).drop("__mv")

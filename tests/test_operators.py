@@ -121,3 +121,16 @@ def test_hot_key_salting_is_exact(spark):
     plain = lookup(fact, dim, fact_key="k", dim_key="k", values=["v"], order=["o"], broadcast=True)
     assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert salted.count() == 6000
+
+
+def test_map_with_table_modes(spark):
+    from cctally.operators.lookup import map_with_table
+    fact = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "s string")
+    mp = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "late")], "from string, to string")
+    for mode in ("auto", False):
+        rep = map_with_table(fact, "s", mp, out="r", broadcast=mode)
+        assert sorted(((r["s"], r["r"]) for r in rep.collect()), key=str) == sorted(
+            [("a", "b"), ("b", "a"), ("c", "c"), (None, None)], key=str)
+        dflt = map_with_table(fact, "s", mp, out="r", keep_unmapped=False, default="-", broadcast=mode)
+        assert sorted(((r["s"], r["r"]) for r in dflt.collect()), key=str) == sorted(
+            [("a", "b"), ("b", "a"), ("c", "-"), (None, "-")], key=str)
