@@ -39,6 +39,7 @@ def q_folder_scan_roundtrip(spark, sf_dir):
     base = staging_dir(spark, "scan")
     nat = spark.table("nation").select(F.col("n_nationkey").alias("Clave"), F.col("n_name").alias("Nombre"),
                                        F.col("n_regionkey").alias("Región"))
+    # two roots; every row is written once
     sinks.write_delimited(nat.where("`Región` <= 1").repartition(3), f"{base}/root_a")
     sinks.write_delimited(nat.where("`Región` > 1"), f"{base}/root_b")
     res = readers.read_delimited(spark, [f"{base}/root_a", f"{base}/root_b", f"{base}/missing"],
@@ -60,6 +61,7 @@ def q_encoding_fallback(spark, sf_dir):
         F.col("p_partkey").alias("id"),
         F.concat(F.replace(F.col("p_name"), F.lit("e"), F.lit("é")), F.lit(" Ñu")).alias("name"),
         F.col("p_brand").alias("brand"))
+    # the table is split in two halves (every row written once), one per encoding
     sinks.write_delimited(df.where(F.col("id") % 2 == 0), base, encoding="UTF-8")
     sinks.write_delimited(df.where(F.col("id") % 2 == 1), base, encoding="ISO-8859-1", mode="append")
     res = readers.read_delimited(spark, [base], ["id", "name", "brand"])
@@ -77,7 +79,7 @@ def q_delimiter_header_groups(spark, sf_dir):
     views(spark, sf_dir, "supplier")
     base = staging_dir(spark, "delim")
     s = spark.table("supplier")
-    k = F.col("s_suppkey") % 3
+    k = F.col("s_suppkey") % 3      # three layouts; every row is written once
     sinks.write_delimited(s.where(k == 0).select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
                                                  F.col("s_nationkey").alias("nation")), base, sep=",")
     sinks.write_delimited(s.where(k == 1).select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id"),
