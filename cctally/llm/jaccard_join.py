@@ -185,21 +185,26 @@ def _unit(threshold: float, tolerance: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, class_id, n_links``, with ``set_key`` of its text.
+def _keyed(column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in slices(batch.column(column)):
+                doc, h = shingles(words_of(texts), WORDS)
+                part = batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(set_keys(len(texts), doc, h), pa.binary())],
+                    names=[*batch.schema.names, "set_key"])
+    return run
 
-    ``class_id`` is the least doc_id of the texts reachable by links;
-    ``n_links`` counts the other rows at or above the threshold.
-    """
-    spark = docs.sparkSession
+
+def _classes(docs: DataFrame, threshold: float, tolerance: float, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(sketch of every row, facts of every shingle set: ``set_key, root, class_id, n_links``)."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = stage(source.mapInArrow(
         _sketch, "doc_id long, set_key binary, n_shingles long, bands array<long>"), "sketch")
     whole = sketch.filter("set_key is not null")
     classes = stage(whole.groupBy("set_key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"),
-                                                 F.max("n_shingles").alias("n_shingles"),
-                                                 F.count("doc_id").alias("ids")), "classes")
+                                                 F.max("n_shingles").alias("n_shingles")), "classes")
     banded = whole.select("set_key", F.explode("bands").alias("band")).distinct()
     shared = banded.groupBy("band").agg(F.min("set_key").alias("v"), F.max("set_key").alias("last")) \
         .filter("v <> last").select("band", "v")
@@ -225,10 +230,45 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     labels = roots.join(classes.select("set_key", "doc_id"), F.col("node") == F.col("set_key"))
     least = labels.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     counts = linked.groupBy(F.col("u").alias("set_key")).agg(F.sum("links").alias("links"))
-    found = labels.join(least, "root").select("set_key", "class_id").join(counts, "set_key", "left")
-    facts = stage(classes.join(found, "set_key", "left").select(
-        "set_key", F.coalesce("class_id", "doc_id").alias("class_id"),
+    found = labels.join(least, "root").select("set_key", "root", "class_id").join(counts, "set_key", "left")
+    return sketch, stage(classes.join(found, "set_key", "left").select(
+        "set_key", F.coalesce("root", "set_key").alias("root"), F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "facts")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, class_id, n_links``.
+
+    ``class_id`` is the least doc_id of the texts reachable by links;
+    ``n_links`` counts the other rows at or above the threshold.
+    """
+    sketch, facts = _classes(docs, threshold, tolerance, block_bytes)
     return sketch.select("doc_id", "set_key").join(facts, "set_key", "left").select(
         "doc_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "set_key")
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
+             block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns kept, with one row of each class of linked texts.
+
+    That row has the least doc_id of its class; of several such rows the one
+    with the least hash of its columns. Texts without words all stay.
+    """
+    sketch, facts = _classes(docs, threshold, tolerance, block_bytes)
+    linked = facts.filter("n_links > 0").select(F.col("set_key").alias("_key"), "root", "class_id")
+    winner = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    firsts = stage(sketch.select("doc_id", "set_key").join(linked, F.col("set_key") == F.col("_key")).filter(winner)
+                   .groupBy("root").count().filter("count > 1").select(F.col("root").alias("several")), "several")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    keyed = docs.mapInArrow(_keyed(docs.columns.index("text")), f"{kinds}, set_key binary") \
+        .select(F.struct(*columns).alias("row"), F.col("row.doc_id").cast("long").alias("doc_id"), "set_key") \
+        .join(linked, F.col("set_key") == F.col("_key"), "left") \
+        .join(firsts, F.col("root") == F.col("several"), "left")
+    out = keyed.filter(F.col("_key").isNull() | (winner & F.col("several").isNull())).select("row.*")
+    if not firsts.isEmpty():
+        again = keyed.filter(winner & F.col("several").isNotNull()).withColumn("h", F.xxhash64("row"))
+        out = out.union(again.groupBy("root").agg(F.min_by("row", "h").alias("row")).select("row.*"))
+    return out

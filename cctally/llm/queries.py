@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cctally.llm import bpe, decontaminate, jaccard_join, line_dedup
-from cctally.llm.common import table
+from cctally.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from cctally.llm.common import held_out, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda c: ~held_out(c, 3, 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
