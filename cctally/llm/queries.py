@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cctally.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from cctally.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, toxicity
 from cctally.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -62,3 +62,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op8_hamming_top_k", hamming.ORACLE_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = hamming.binary_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1)
+    return hamming.top_k(codes, codes.filter(F.col("id") % 50 == 0))
