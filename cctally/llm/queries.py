@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cctally.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, toxicity
+from cctally.llm import bpe, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, toxicity, warc
 from cctally.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -68,3 +68,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = hamming.binary_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1)
     return hamming.top_k(codes, codes.filter(F.col("id") % 50 == 0))
+
+
+@query("op9_warc", warc.ORACLE_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(pages)
+    index = warc.write_archives(pages, folder)
+    return warc.read_archives(index, folder, keep_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_html_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs, language.fit(docs, lambda c: ~held_out(c, 4, 2)))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "languages", "shares")
