@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cctally.llm import bpe, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, toxicity, warc
+from cctally.llm import (
+    bpe, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, suffix_tree, toxicity, warc)
 from cctally.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -89,3 +90,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.predict(docs, language.fit(docs, lambda c: ~held_out(c, 4, 2)))
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+@query("op4_suffix_tree_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
