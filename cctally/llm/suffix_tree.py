@@ -9,8 +9,9 @@ longest retained suffix of up to ``DEPTH`` bytes of its token.
 1. A narrow pass tests each token as a context, per block of texts: the
    leave-one-out gain in log likelihood of its next-token distribution over
    the root's. Contexts whose gains sum to at least ``TOKEN_GAIN`` nats and
-   that hold ``TOKEN_SHARE`` of all tokens are retained, so at most
-   ``1 / TOKEN_SHARE`` of them at any corpus size; their hashes are broadcast.
+   ``TOKEN_GAIN_EACH`` per occurrence, and that hold ``TOKEN_SHARE`` of all
+   tokens, are retained, so at most ``1 / TOKEN_SHARE`` of them at any corpus
+   size; their hashes are broadcast.
 2. A second narrow pass turns each block into its distinct tokens, its pairs
    of a retained context and a next token, and per text their counts. All
    training texts are counted, and counts are summed over the blocks.
@@ -56,8 +57,8 @@ BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 200_000
-#: Retained token contexts: least gain in nats, least share of all tokens.
-TOKEN_GAIN, TOKEN_SHARE = 10.0, 1e-6
+#: Retained token contexts: least gain in nats in all and per occurrence, least share of all tokens.
+TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 2.0, 1e-6
 #: Hashes of the text's beginning as a context and of its end as a next token.
 START_HASH, END_HASH = U64(0x5354415254), U64(0x454E44)
 
@@ -135,12 +136,14 @@ def _gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(gain[hit])], names=["context", "n", "gain"])
 
 
-def retained_contexts(source: DataFrame, min_gain: float = TOKEN_GAIN, min_share: float = TOKEN_SHARE) -> np.ndarray:
+def retained_contexts(source: DataFrame, min_gain: float = TOKEN_GAIN, min_each: float = TOKEN_GAIN_EACH,
+                      min_share: float = TOKEN_SHARE) -> np.ndarray:
     """Sorted hashes of the retained token contexts, at most ``1 / min_share``."""
     gains = stage(source.mapInArrow(_gains, "context long, n long, gain double").groupBy("context")
                   .agg(F.sum("n").alias("n"), F.sum("gain").alias("gain")), "gains")
     total = gains.agg(F.sum("n")).first()[0] or 0
-    kept = gains.filter((F.col("gain") >= min_gain) & (F.col("n") >= min_share * total)).select("context")
+    kept = gains.filter((F.col("gain") >= F.greatest(F.lit(min_gain), min_each * F.col("n")))
+                        & (F.col("n") >= min_share * total)).select("context")
     return np.sort(kept.toArrow()["context"].to_numpy()).astype(np.int64)
 
 
