@@ -51,14 +51,14 @@ from cctally.llm.common import U64, held_out, mix, slices, stage
 DEPTH = 6
 MIN_SHARE = 1e-5
 MIN_GAIN = 4.0
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 12_000_000
 #: Symbols: a byte plus 1; the token's beginning; the token's end; the text's end. 0: none.
 BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 200_000
 #: Retained token contexts: least gain in nats in all and per occurrence, least share of all tokens.
-TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 2.0, 1e-6
+TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.7, 1e-6
 #: Hashes of the text's beginning as a context and of its end as a next token.
 START_HASH, END_HASH = U64(0x5354415254), U64(0x454E44)
 
@@ -105,12 +105,12 @@ def pairs_of(texts: pa.Array) -> tuple:
     n, size = len(texts), len(distinct)
     count = np.bincount(row, minlength=n)
     last = np.cumsum(count + 1) - 1
-    rows = np.repeat(np.arange(n), count + 1)
+    rows = np.repeat(np.arange(n, dtype=np.int32), count + 1)
     inner = np.ones(len(rows), bool)
     inner[last] = False
-    after = np.full(len(rows), size)
+    after = np.full(len(rows), size, np.int32)
     after[inner] = at
-    before = np.r_[size, after[:-1]] if len(rows) else after
+    before = np.roll(after, 1)
     before[last - count] = size
     return rows, before, after, distinct
 
