@@ -36,7 +36,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     of computing the steps before them again.
     """
     path = staging_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

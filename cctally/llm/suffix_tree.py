@@ -6,27 +6,26 @@ before it, or nothing. The root's distribution over tokens is smoothed with
 their spelling, in which each byte (or the token's end) is predicted from the
 longest retained suffix of up to ``DEPTH`` bytes of its token.
 
-1. A narrow pass tests each token as a context, per block of texts: the
-   leave-one-out gain in log likelihood of its next-token distribution over
-   the root's. Contexts whose gains sum to at least ``TOKEN_GAIN`` nats and
+1. A narrow pass over blocks of training texts counts byte contexts and tests
+   each token as a context: the leave-one-out gain in log likelihood of its
+   next-token distribution over the root's, for each of ``WEIGHTS``.
+2. Token contexts whose gains sum to at least ``TOKEN_GAIN`` nats and
    ``TOKEN_GAIN_EACH`` per occurrence, and that hold ``TOKEN_SHARE`` of all
-   tokens, are retained, so at most ``1 / TOKEN_SHARE`` of them at any corpus
-   size; their hashes are broadcast.
-2. A second narrow pass turns each block into its distinct tokens, its pairs
-   of a retained context and a next token, and per text their counts. All
-   training texts are counted, and counts are summed over the blocks.
-3. Byte contexts are counted from the token counts. Those that hold at least
-   ``MIN_SHARE`` of all symbols are candidates, at most ``DEPTH / MIN_SHARE``;
-   one is retained when its next-symbol distribution diverges from its
-   parent's: count times Kullback-Leibler divergence of at least ``MIN_GAIN``
-   nats per next symbol seen. The suffixes of retained contexts stay too.
-4. Distributions are smoothed with their parents' (Witten-Bell), the root of
-   the spelling with the uniform one. The bounded spelling tree is broadcast,
-   every distinct token is scored once, and token and pair figures return to
-   the blocks, where the texts' scores are summed.
-
-A token or pair of a third of all rows is one row per block in the joins,
-which adaptive execution may split; blocks hold a bounded number of bytes.
+   tokens, are retained with their best weight: at most ``1 / TOKEN_SHARE`` of
+   them at any corpus size. Byte contexts that hold ``MIN_SHARE`` of all
+   symbols are candidates, at most ``DEPTH / MIN_SHARE``; one is retained when
+   its next-symbol distribution diverges from its parent's: count times
+   Kullback-Leibler divergence of at least ``MIN_GAIN`` nats per next symbol
+   seen. The suffixes of retained contexts stay too. Both are broadcast.
+3. A second narrow pass turns each block into its distinct tokens, spelled out
+   by the tree, its pairs of a retained context and a next token, and per text
+   their numbers. Counts of tokens and pairs are summed over all blocks by
+   their hashes and return to the blocks, where the texts' scores are summed.
+4. Distributions are smoothed with their parents' (Witten-Bell, or the chosen
+   weight for a token context), the root of the spelling with the uniform one.
+
+A token or pair has one row per block at most, however often it occurs, and
+blocks hold a bounded number of bytes.
 
 Defined results: a null text is empty and has one token, its end. Without
 training texts N and V are 0, base scores are 0 and symbols are uniform.
@@ -43,12 +42,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cctally.llm.common import U64, held_out, mix, slices, stage
 
-DEPTH = 6
+DEPTH = 5
 MIN_SHARE = 1e-5
 MIN_GAIN = 4.0
 BLOCK_BYTES = 12_000_000
@@ -58,9 +57,14 @@ NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 200_000
 #: Retained token contexts: least gain in nats in all and per occurrence, least share of all tokens.
-TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.7, 1e-6
+TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.5, 1e-6
+#: Weights of the root in a token context's distribution, of which the best is chosen.
+WEIGHTS = (0.5, 3.0, 20.0, 150.0)
 #: Hashes of the text's beginning as a context and of its end as a next token.
 START_HASH, END_HASH = U64(0x5354415254), U64(0x454E44)
+#: Depth of the rows about token contexts.
+TOKEN_ROW = -1
+STATISTICS = "depth int, context long, symbol int, n long, " + ", ".join(f"g{k} double" for k in range(len(WEIGHTS)))
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -115,40 +119,65 @@ def pairs_of(texts: pa.Array) -> tuple:
     return rows, before, after, distinct
 
 
-def _gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: hash, count and leave-one-out gain of each context of the training texts."""
+def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the training texts: per block, counts and gains of token contexts; per task, counts of byte contexts."""
+    names = [x.split()[0] for x in STATISTICS.split(", ")]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        for start, texts in slices(batch.column(1), BLOCK_BYTES):
-            held = batch.column(2).slice(start, len(texts)).to_numpy(zero_copy_only=False)
+        for _, texts in slices(batch.column(0), BLOCK_BYTES):
             row, before, after, distinct = pairs_of(texts)
-            train = ~held[row]
-            before, after, size = before[train], after[train], len(distinct) + 1
+            size = len(distinct) + 1
+            times = np.bincount(after, minlength=size)
+            for low in range(0, size - 1, CHUNK_TOKENS):
+                owner, context, symbol = contexts(distinct.slice(low, CHUNK_TOKENS))
+                held.append(((context << BITS) | symbol, times[low + owner]))
+            held = [_merge(held)] if held else held
             key, n = np.unique(before.astype(np.int64) * size + after, return_counts=True)
-            context, following = key // size, key % size
-            total, kinds = np.bincount(before, minlength=size), np.bincount(context, minlength=size)
-            p = np.bincount(after, minlength=size)[following] / max(len(after), 1)
-            k = kinds[context]
-            gain = n * np.log((n - 1 + k * p) / (total[context] - 1 + k) / p)
-            gain = np.bincount(context, weights=gain, minlength=size)
+            context = key // size
+            total = np.bincount(before, minlength=size)
+            p = times[key % size] / max(len(after), 1)
+            rest = total[context] - 1
+            gains = [np.bincount(context, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=size)
+                     for w in WEIGHTS]
             hit = np.flatnonzero(total >= 2)
             hashes = np.r_[token_hashes(distinct), START_HASH].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[hit]), pa.array(total[hit].astype(np.int64)),
-                                              pa.array(gain[hit])], names=["context", "n", "gain"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(hit), TOKEN_ROW), pa.int32()), pa.array(hashes[hit]), pa.array(np.zeros(len(hit)), pa.int32()),
+                pa.array(total[hit].astype(np.int64)), *[pa.array(g[hit]) for g in gains]], names=names)
+    if held:
+        keys, counts = held[0]
+        context, symbol = keys >> BITS, keys & ((1 << BITS) - 1)
+        for d in range(DEPTH + 1):
+            # a context shorter than d symbols has no d-symbol form
+            deep = np.ones(len(context), bool) if d == 0 else (context >> (BITS * (d - 1))) & ((1 << BITS) - 1) != 0
+            short = context & ((1 << (BITS * d)) - 1) if d else np.zeros(len(context), np.int64)
+            k, n = _merge([(((short << BITS) | symbol)[deep], counts[deep])])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(k), d), pa.int32()), pa.array(k >> BITS, pa.int64()),
+                pa.array(k & ((1 << BITS) - 1), pa.int32()), pa.array(n, pa.int64()),
+                *[pa.array(np.zeros(len(k)))] * len(WEIGHTS)], names=names)
+
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    unique, inverse = np.unique(keys, return_inverse=True)
+    return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
 
-def retained_contexts(source: DataFrame, min_gain: float = TOKEN_GAIN, min_each: float = TOKEN_GAIN_EACH,
-                      min_share: float = TOKEN_SHARE) -> np.ndarray:
-    """Sorted hashes of the retained token contexts, at most ``1 / min_share``."""
-    gains = stage(source.mapInArrow(_gains, "context long, n long, gain double").groupBy("context")
-                  .agg(F.sum("n").alias("n"), F.sum("gain").alias("gain")), "gains")
-    total = gains.agg(F.sum("n")).first()[0] or 0
-    kept = gains.filter((F.col("gain") >= F.greatest(F.lit(min_gain), min_each * F.col("n")))
-                        & (F.col("n") >= min_share * total)).select("context")
-    return np.sort(kept.toArrow()["context"].to_numpy()).astype(np.int64)
 
+def retained_contexts(statistics: DataFrame, min_gain: float = TOKEN_GAIN, min_each: float = TOKEN_GAIN_EACH,
+                      min_share: float = TOKEN_SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, weights) of the retained token contexts, at most ``1 / min_share``."""
+    rows = statistics.filter(F.col("depth") == TOKEN_ROW)
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    best = F.greatest(*[F.col(f"g{k}") for k in range(len(WEIGHTS))])
+    weight = F.coalesce(*[F.when(F.col(f"g{k}") == best, w) for k, w in enumerate(WEIGHTS)])
+    kept = rows.filter((best >= F.greatest(F.lit(min_gain), min_each * F.col("n"))) & (F.col("n") >= min_share * total)) \
+        .select("context", weight.alias("weight")).orderBy("context").toArrow()
+    return kept["context"].to_numpy().astype(np.int64), kept["weight"].to_numpy().astype(float)
 
-BLOCKS = ("kind string, block string, doc_id long, held_out boolean, n_tokens long, locals binary, counts binary, "
-          "pairs binary, pair_counts binary, token binary, local int, n_train long, context long, pair long, following int")
+
+BLOCKS = ("kind string, block long, doc_id long, held_out boolean, n_tokens long, locals binary, counts binary, "
+          "pairs binary, pair_counts binary, hash long, local int, times int, logp binary, heads binary, following binary, weights binary")
 
 
 def _bags(row: np.ndarray, item: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,51 +186,64 @@ def _bags(row: np.ndarray, item: np.ndarray, n: int, size: int) -> tuple[np.ndar
     return np.searchsorted(key, np.arange(n + 1) * size), (key % size).astype(np.int32), count.astype(np.int32)
 
 
-def _block(retained: np.ndarray):
+def _block(retained: np.ndarray, weights: np.ndarray, tree: Tree):
+    """Per block: a row for each text, one for each distinct token and pair, and one for the block itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, part = 0, TaskContext.get().partitionId()
-        schema = pa.schema([(x.split()[0], {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(),
-                                            "binary": pa.binary()}[x.split()[1]]) for x in BLOCKS.split(", ")])
+        kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}
+        schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in BLOCKS.split(", ")])
 
-        def rows(kind: str, block: str, n: int, **columns) -> Iterator[pa.RecordBatch]:
+        def rows(kind: str, block: int, n: int, **columns) -> Iterator[pa.RecordBatch]:
             for low in range(0, n, 100_000):
                 m = min(100_000, n - low)
-                fixed = {"kind": kind, "block": block}
+                fixed = {"kind": pa.array([kind] * m), "block": pa.array(np.full(m, block))}
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([fixed[f.name]] * m) if f.name in fixed
-                    else columns[f.name].slice(low, m) if f.name in columns else pa.nulls(m, f.type) for f in schema],
-                    schema=schema)
+                    fixed[f.name] if f.name in fixed else pa.array(columns[f.name][low:low + m], f.type)
+                    if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
 
         for batch in batches:
             for start, texts in slices(batch.column(1), BLOCK_BYTES):
-                block, number, n = f"{part}-{number}", number + 1, len(texts)
-                held = batch.column(2).slice(start, n)
+                block, number, n = (part << 32) | number, number + 1, len(texts)
+                held = batch.column(2).slice(start, n).to_numpy(zero_copy_only=False)
                 row, before, after, distinct = pairs_of(texts)
-                train = ~held.to_numpy(zero_copy_only=False)[row]
+                train = ~held[row]
                 size = len(distinct) + 1
                 hashes = np.r_[token_hashes(distinct), START_HASH]
-                known = np.isin(hashes.view(np.int64), retained)
-                word = after < size - 1
+                at = np.minimum(np.searchsorted(retained, hashes.view(np.int64)), max(len(retained) - 1, 0))
+                known = retained[at] == hashes.view(np.int64) if len(retained) else np.zeros(size, bool)
+                word, use = after < size - 1, known[before]
                 c0, c1, c2 = _bags(row[word], after[word], n, size)
-                use = known[before]
                 key, item = np.unique(before[use].astype(np.int64) * size + after[use], return_inverse=True)
                 p0, p1, p2 = _bags(row[use], item, n, max(len(key), 1))
-                cut = lambda a, at: pa.array([a[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)], pa.binary())
+                cut = lambda a, at: [a[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
                 yield from rows("text", block, n, doc_id=batch.column(0).slice(start, n), held_out=held,
-                                n_tokens=pa.array(np.bincount(row, minlength=n), pa.int64()), locals=cut(c1, c0),
-                                counts=cut(c2, c0), pairs=cut(p1, p0), pair_counts=cut(p2, p0))
-                yield from rows("token", block, size - 1, token=distinct, local=pa.array(np.arange(size - 1), pa.int32()),
-                                n_train=pa.array(np.bincount(after[word & train], minlength=size)[:-1], pa.int64()))
-                context, following = key // size, key % size
+                                n_tokens=np.bincount(row, minlength=n), locals=cut(c1, c0), counts=cut(c2, c0),
+                                pairs=cut(p1, p0), pair_counts=cut(p2, p0))
+                head, following = key // size, key % size
                 ends = np.r_[hashes[:-1], END_HASH]
-                pair = mix(hashes[context] * U64(0x9E3779B97F4A7C15) + ends[following])
-                yield from rows("pair", block, len(key), local=pa.array(np.arange(len(key)), pa.int32()),
-                                n_train=pa.array(np.bincount(item[train[use]], minlength=len(key)), pa.int64()),
-                                context=pa.array(hashes[context].view(np.int64)), pair=pa.array(pair.view(np.int64)),
-                                following=pa.array(following, pa.int32()))
+                pair = mix(hashes[head] * U64(0x9E3779B97F4A7C15) + ends[following] + U64(1))
+                times = np.r_[np.bincount(after[word & train], minlength=size)[:-1],
+                              np.bincount(item[train[use]], minlength=len(key))]
+                named = np.r_[hashes[:-1] & ~U64(1), pair | U64(1)]  # tokens are even, pairs odd
+                yield from rows("item", block, len(times), hash=named.view(np.int64), local=np.arange(len(times)), times=times)
+                yield from rows("block", block, 1, logp=[spell(tree, distinct).astype(np.float32).tobytes()],
+                                heads=[head.astype(np.int32).tobytes()], following=[following.astype(np.int32).tobytes()],
+                                weights=[(weights[at[head]] if len(key) else np.zeros(0)).astype(np.float32).tobytes()])
     return run
 
 
+def spell(tree: Tree, tokens: pa.Array) -> np.ndarray:
+    """log10 probability of each token's bytes and end."""
+    out = [np.zeros(0)]
+    for low in range(0, len(tokens), CHUNK_TOKENS):
+        part = tokens.slice(low, CHUNK_TOKENS)
+        owner, context, symbol = contexts(part)
+        key, inverse = np.unique((context << BITS) | symbol, return_inverse=True)
+        logs = tree.log10(key >> BITS, key & ((1 << BITS) - 1))[inverse]
+        out.append(np.bincount(owner, weights=logs, minlength=len(part)))
+    return np.concatenate(out)
+
+
 def contexts(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, context of up to ``DEPTH`` symbols, next symbol) of every symbol of the tokens.
 
@@ -228,35 +270,6 @@ def contexts(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[is_next], context[is_next], symbols[is_next]
 
 
-def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weighted counts of (depth, context, next symbol), combined per task."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def merge(parts):
-        keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-        unique, inverse = np.unique(keys, return_inverse=True)
-        return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
-
-    for batch in batches:
-        for low in range(0, batch.num_rows, CHUNK_TOKENS):
-            part = batch.slice(low, CHUNK_TOKENS)
-            owner, context, symbol = contexts(part.column(0))
-            held.append(((context << BITS) | symbol, part.column(1).to_numpy()[owner]))
-            if sum(len(k) for k, _ in held) > 3_000_000:
-                held = [merge(held)]
-    if held:
-        keys, counts = merge(held)
-        context, symbol = keys >> BITS, keys & ((1 << BITS) - 1)
-        for d in range(DEPTH + 1):
-            # a context shorter than d symbols has no d-symbol form
-            deep = np.ones(len(context), bool) if d == 0 else (context >> (BITS * (d - 1))) & ((1 << BITS) - 1) != 0
-            short = context & ((1 << (BITS * d)) - 1) if d else np.zeros(len(context), np.int64)
-            k, n = merge([(((short << BITS) | symbol)[deep], counts[deep])])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), d), pa.int32()), pa.array(k >> BITS, pa.int64()),
-                                              pa.array(k & ((1 << BITS) - 1), pa.int32()), pa.array(n, pa.int64())],
-                                             names=["depth", "context", "symbol", "n"])
-
-
 @dataclass
 class Tree:
     """Per depth: sorted states with total and kinds of next symbols, sorted transitions with counts."""
@@ -283,14 +296,11 @@ class Tree:
         return np.log10(p)
 
 
-def learn(tokens: DataFrame, texts: int, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN) -> Tree:
-    """The tree of a table ``(token, c)`` of training counts and the number of training texts."""
-    spark = tokens.sparkSession
-    counts = tokens.select("token", "c").mapInArrow(_count_contexts, "depth int, context long, symbol int, n long")
-    ends = spark.createDataFrame([(0, 0, TEXT_END, texts), (1, BEGIN, TEXT_END, texts)],
-                                 "depth int, context long, symbol int, n long").filter("n > 0")
-    moves = counts.union(ends).groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n"))
-    moves = stage(moves, "moves")
+def learn(statistics: DataFrame, texts: int, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN) -> Tree:
+    """The spelling tree of the counted byte contexts and the number of training texts."""
+    ends = statistics.sparkSession.createDataFrame([(0, 0, TEXT_END, texts), (1, BEGIN, TEXT_END, texts)],
+                                                   "depth int, context long, symbol int, n long").filter("n > 0")
+    moves = statistics.filter("depth >= 0").select("depth", "context", "symbol", "n").union(ends)
     symbols = moves.filter("depth = 0").agg(F.sum("n")).first()[0] or 0
     states = moves.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")) \
         .filter(F.col("total") >= min_share * symbols)
@@ -317,46 +327,33 @@ def learn(tokens: DataFrame, texts: int, min_share: float = MIN_SHARE, min_gain:
     return out
 
 
-def _score_tokens(tree: Tree):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, CHUNK_TOKENS):
-                part = batch.slice(low, CHUNK_TOKENS)
-                owner, context, symbol = contexts(part.column(0))
-                key, inverse = np.unique((context << BITS) | symbol, return_inverse=True)
-                logs = tree.log10(key >> BITS, key & ((1 << BITS) - 1))[inverse]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.bincount(owner, weights=logs, minlength=part.num_rows))],
-                    names=[*part.schema.names, "logp"])
-    return run
-
-
 def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
     scale = total + 0.1 * (distinct + 1)
     base = lambda c: np.log10((c + 0.1) / scale)
     # the root: counts smoothed with the spelling, weighted by the number of distinct tokens
     root = lambda c, logp: np.log10((c + max(distinct, 1) * 10.0 ** logp) / (total + max(distinct, 1)))
-
-    def run(docs: pd.DataFrame, facts: pd.DataFrame) -> pd.DataFrame:
-        tokens, pairs = facts[facts["total"].isna()], facts[facts["total"].notna()]
-        size = len(tokens)
-        logp, c = np.full(size + 1, end_logp), np.full(size + 1, float(texts))
-        at = tokens["local"].to_numpy(int)
-        logp[at], c[at] = tokens["logp"].to_numpy(), tokens["c"].to_numpy()
+    read = lambda b, kind=np.int32: np.frombuffer(b, kind)
+
+    def run(docs: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        of_block = docs["logp"].notna()
+        own = docs[of_block].iloc[0]
+        logp = np.r_[read(own["logp"], np.float32).astype(float), end_logp]
+        size = len(logp) - 1
+        counts = np.zeros(len(items))
+        counts[items["local"].to_numpy()] = items["c"].to_numpy()
+        c = np.r_[counts[:size], texts]
         known, plain, simple = c > 0, root(c, logp), base(c)
-        gain = np.zeros(len(pairs))
-        kinds, p = pairs["kinds"].to_numpy(float), plain[pairs["following"].to_numpy(int)]
-        gain[pairs["local"].to_numpy(int)] = np.log10(
-            (pairs["c"].to_numpy(float) + kinds * 10.0 ** p) / (pairs["total"].to_numpy(float) + kinds)) - p
+        heads, following, weight = read(own["heads"]), read(own["following"]), read(own["weights"], np.float32).astype(float)
+        p = plain[following]
+        gain = np.log10((counts[size:] + weight * 10.0 ** p) / (c[heads] + weight)) - p
         out = []
-        read = lambda b: np.frombuffer(b, np.int32)
-        for doc_id, held, n, *bags in docs[["doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts"]] \
-                .itertuples(index=False):
+        columns = ["doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts"]
+        for doc_id, held, n, *bags in docs.loc[~of_block, columns].itertuples(index=False):
             i, k, j, m = map(read, bags)
             out.append((doc_id, bool(held), n, int(k[known[i]].sum()) + int(known[size]), total,
                         float(k @ simple[i]) + float(simple[size]), float(k @ plain[i]) + float(plain[size]) + float(m @ gain[j])))
         return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]) \
-            .astype({"doc_id": "Int64"})
+            .astype({"doc_id": "Int64", "n_tokens": "int64"})
     return run
 
 
@@ -367,26 +364,22 @@ def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          held_out("doc_id", folds, fold).alias("held_out"))
-    blocks = stage(source.mapInArrow(_block(retained_contexts(source)), BLOCKS), "blocks")
-    vocabulary = blocks.filter("kind = 'token'").select("block", "token", "local", "n_train")
-    tokens = stage(vocabulary.groupBy("token").agg(F.sum("n_train").alias("c")), "tokens")
-    facts = tokens.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long"))).first()
-    texts = blocks.filter("kind = 'text' and not held_out").count()
-    total, distinct = (facts[0] or 0) + texts, (facts[1] or 0) + (texts > 0)
-    tree = learn(tokens.filter("c > 0"), texts)
+    sums = [F.sum(c).alias(c) for c in ("n", *[f"g{k}" for k in range(len(WEIGHTS))])]
+    statistics = stage(source.filter("not held_out").select("text").mapInArrow(_statistics, STATISTICS)
+                       .groupBy("depth", "context", "symbol").agg(*sums), "statistics")
+    texts = source.filter("not held_out").count()
+    tree = learn(statistics, texts)
     end_logp = float(tree.log10(np.array([BEGIN]), np.array([TEXT_END]))[0])
-    scored = tokens.mapInArrow(_score_tokens(tree), "token binary, c long, logp double")
-    placed = vocabulary.select(F.col("block").alias("place"), "token", "local").join(scored, "token").select(
-        "place", "local", "c", "logp", F.lit(None).cast("long").alias("total"), F.lit(None).cast("long").alias("kinds"),
-        F.lit(None).cast("int").alias("following"))
-    pairs = blocks.filter("kind = 'pair'").select(F.col("block").alias("place"), "local", "n_train", "context", "pair", "following")
-    counted = stage(pairs.groupBy("context", "pair").agg(F.sum("n_train").alias("c")), "pairs")
-    heads = counted.groupBy("context").agg(F.sum("c").alias("total"), F.sum((F.col("c") > 0).cast("long")).alias("kinds"))
-    figures = counted.join(heads, "context").select("pair", "c", "total", "kinds")  # at most 1 / TOKEN_SHARE heads
-    linked = pairs.select("place", "local", "pair", "following").join(figures, "pair").select(
-        "place", "local", "c", F.lit(0.0).alias("logp"), "total", "kinds", "following")
+    blocks = stage(source.mapInArrow(_block(*retained_contexts(statistics), tree), BLOCKS), "blocks")
+    same = Window.partitionBy("hash")
+    counted = stage(blocks.filter("kind = 'item'").select("hash", "block", "local", "times")
+                    .withColumn("c", F.sum("times").over(same)).withColumn("k", F.row_number().over(same.orderBy("block", "local")))
+                    .select("block", "local", "c", ((F.col("k") == 1) & (F.col("c") > 0) & (F.col("hash") % 2 == 0)).alias("type")),
+                    "counted")
+    distinct = counted.filter("type").count() + (texts > 0)
+    total = blocks.filter("kind = 'text' and not held_out").agg(F.sum("n_tokens")).first()[0] or 0
     run = _score_texts(total, distinct, texts, end_logp)
-    return blocks.filter("kind = 'text'") \
-        .select("block", "doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts") \
-        .groupBy("block").cogroup(placed.union(linked).groupBy("place")).applyInPandas(run, (
+    return blocks.filter("kind <> 'item'").drop("kind", "hash", "local", "times") \
+        .groupBy("block").cogroup(counted.select(F.col("block").alias("place"), "local", "c").groupBy("place")) \
+        .applyInPandas(run, (
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
