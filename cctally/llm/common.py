@@ -78,6 +78,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span that depends on nothing else."""
+    sums = np.zeros(len(data) + 1, U64)
+    np.cumsum((data.astype(U64) + U64(1)) * powers(len(data), _BASE), out=sums[1:])
+    return mix((sums[end] - sums[start]) * powers(len(data) + 1, _INVERSE)[start])
+
+
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
@@ -114,9 +121,7 @@ def words_of(texts: pa.Array) -> Words:
     ends = inside[:-1] & ~inside[1:]
     ends[edges[edges > 0] - 1] |= inside[edges[edges > 0] - 1]
     end = np.flatnonzero(ends) + 1
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * powers(len(data), _BASE), out=sums[1:])
-    h = mix((sums[end] - sums[start]) * powers(len(data) + 1, _INVERSE)[start])
+    h = span_hashes(data, start, end)
     doc = np.searchsorted(offsets, start, side="right") - 1
     return Words(n, doc, start, end, h, offsets, data)
 

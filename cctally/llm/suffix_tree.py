@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cctally.llm.common import U64, held_out, mix, slices, stage
+from cctally.llm.common import U64, held_out, mix, slices, span_hashes, stage
 
 DEPTH = 5
 MIN_SHARE = 1e-5
@@ -55,9 +55,9 @@ BLOCK_BYTES = 12_000_000
 BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
-CHUNK_TOKENS = 200_000
+CHUNK_TOKENS = 50_000
 #: Retained token contexts: least gain in nats in all and per occurrence, least share of all tokens.
-TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.5, 1e-6
+TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.8, 1e-6
 #: Weights of the root in a token context's distribution, of which the best is chosen.
 WEIGHTS = (0.5, 3.0, 20.0, 150.0)
 #: Hashes of the text's beginning as a context and of its end as a next token.
@@ -90,13 +90,11 @@ def byte_strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def token_hashes(tokens: pa.Array) -> np.ndarray:
     """A 64-bit hash of each token that is the same in every block."""
-    offsets, data = byte_strings(tokens)
-    out = np.zeros(len(tokens), U64)
-    lengths = np.diff(offsets)
-    for k in range(int(lengths.max()) if len(lengths) else 0):  # one step for each byte place, over all tokens that have it
-        have = np.flatnonzero(lengths > k) if k else np.arange(len(tokens))
-        out[have] = mix(out[have] * U64(0x100000001B3) + data[offsets[:-1][have] + k] + U64(1))
-    return out
+    out = [np.zeros(0, U64)]
+    for low in range(0, len(tokens), CHUNK_TOKENS):
+        offsets, data = byte_strings(tokens.slice(low, CHUNK_TOKENS))
+        out.append(span_hashes(data, offsets[:-1], offsets[1:]))
+    return np.concatenate(out)
 
 
 def pairs_of(texts: pa.Array) -> tuple:
@@ -139,7 +137,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rest = total[context] - 1
             gains = [np.bincount(context, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=size)
                      for w in WEIGHTS]
-            hit = np.flatnonzero(total >= 2)
+            hit = np.flatnonzero(total >= 3)
             hashes = np.r_[token_hashes(distinct), START_HASH].view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(hit), TOKEN_ROW), pa.int32()), pa.array(hashes[hit]), pa.array(np.zeros(len(hit)), pa.int32()),

@@ -190,8 +190,9 @@ def _read(folder: str, keep_payload: bool):
 
 def read_archives(index: DataFrame, folder: str, keep_payload: bool = True) -> DataFrame:
     """The records that rows of ``index`` name: ids, URL, payload size and digest, type, page referred to, payload."""
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are small, the reads are not
     spans = index.select("file", "offset", "length", F.floor(F.col("offset") / STRETCH_BYTES).alias("stretch")) \
-        .repartition("file", "stretch").sortWithinPartitions("file", "offset").select("file", "offset", "length")
+        .repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").select("file", "offset", "length")
     return spans.mapInArrow(_read(folder, keep_payload), (
         "page_id long, target_uri string, payload_bytes long, payload_digest string, record_type string, "
         "refers_to long, payload string"))
