@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if not large:
         both = both.filter("v < u")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # written first, so that the join deals its sides anew and adaptive execution can split a hub
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     linked = both.join(least, "u").select("u", "v", "m")
     if large:
         out = linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -72,8 +72,9 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
                      .groupBy("h").agg(F.min("p").alias("a"), F.max("p").alias("b"))
                      .filter("a <> b").select("h"), "repeated")
     found = stage(chunks.withColumn("h", F.xxhash64("chunk")).join(repeated, "h", "left_semi"), "occurrences")
-    first = found.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b")) \
-        .filter("a <> b").select("h", "chunk", "a")
+    # written first, so that the join deals its sides anew and adaptive execution can split a hot chunk
+    first = stage(found.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                  .filter("a <> b").select("h", "chunk", "a"), "first")
     gone = found.join(first, ["h", "chunk"]).filter(place != F.col("a")) \
         .groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")) \
         .agg(F.collect_set("at").alias("_gone"))

@@ -200,6 +200,7 @@ def _block(retained: np.ndarray, weights: np.ndarray, tree: Tree):
                     if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
 
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             for start, texts in slices(batch.column(1), BLOCK_BYTES):
                 block, number, n = (part << 32) | number, number + 1, len(texts)
                 held = batch.column(2).slice(start, n).to_numpy(zero_copy_only=False)
