@@ -88,7 +88,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, words: int = 1) -> D
     nearest = Window.partitionBy("code").orderBy("distance", "id")
     while True:
         probes = pending.select("code", "limit", F.inline(_values(spans, radius)))
-        met = probes.join(listed, (probes.segment == listed.segment) & (probes.value == listed.value)
+        # the probes are many more than their estimate: without the hint Spark would broadcast them
+        met = probes.join(listed.hint("shuffle_hash"), (probes.segment == listed.segment) & (probes.value == listed.value)
                           & (_distance("code", "found", words) <= F.col("limit"))) \
             .select("code", "found", "ids").distinct() \
             .select("code", _distance("code", "found", words).cast("int").alias("distance"), F.explode("ids").alias("id"))

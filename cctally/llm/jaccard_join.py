@@ -193,7 +193,7 @@ def _keyed(column: int):
                 part = batch.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(set_keys(len(texts), doc, h), pa.binary())],
-                    names=[*batch.schema.names, "set_key"])
+                    names=[*batch.schema.names, "_set_key_"])
     return run
 
 
@@ -263,9 +263,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
                    .groupBy("root").count().filter("count > 1").select(F.col("root").alias("several")), "several")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    keyed = docs.mapInArrow(_keyed(docs.columns.index("text")), f"{kinds}, set_key binary") \
-        .select(F.struct(*columns).alias("row"), F.col("row.doc_id").cast("long").alias("doc_id"), "set_key") \
-        .join(linked, F.col("set_key") == F.col("_key"), "left") \
+    keyed = docs.mapInArrow(_keyed(docs.columns.index("text")), f"{kinds}, _set_key_ binary") \
+        .select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "_set_key_") \
+        .join(linked, F.col("_set_key_") == F.col("_key"), "left") \
         .join(firsts, F.col("root") == F.col("several"), "left")
     out = keyed.filter(F.col("_key").isNull() | (winner & F.col("several").isNull())).select("row.*")
     if not firsts.isEmpty():
