@@ -74,17 +74,15 @@ def whole_days(start, as_of) -> Column:
 def parse_timestamp(c) -> Column:
     """A start-date text or timestamp -> TIMESTAMP_NTZ; invalid -> null.
 
-    Accepts ISO ``yyyy-MM-dd[ HH:mm[:ss]]`` and day-first ``d/M/yyyy``.
+    Accepts ISO ``yyyy-MM-dd[ HH:mm[:ss[.fraction]]]`` (blank or ``T``) and
+    day-first ``d/M/yyyy[ H:m]``.  No session time zone takes part.
     """
     c = _c(c)
     s = c.cast("string")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(s, F.lit("d/M/yyyy H:m")),
-        F.try_to_timestamp(s, F.lit("d/M/yyyy")),
-    ).cast("timestamp_ntz")
+    iso = F.regexp_replace(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: (\d{1,2}:\d{1,2}))?$", "$3-$2-$1 $4")
+    iso = F.rtrim(iso)
+    good = iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?$")
+    return F.when(good, iso.try_cast("timestamp_ntz"))
 
 
 def display_texts(ts) -> dict[str, Column]:

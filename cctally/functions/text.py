@@ -205,8 +205,10 @@ def numeric_id_text(c) -> Column:
     ``'00123'`` -> ``'123'``, ``'12.0'`` -> ``'12'``; text, fractions and
     blanks -> null (Q17: the reference raised on fractions; null never joins).
     """
-    d = py_strip(_c(c)).try_cast("decimal(38,6)")
-    return F.when(d == F.floor(d), F.floor(d).cast("decimal(38,0)").cast("string"))
+    s = py_strip(_c(c))
+    d = s.try_cast("decimal(38,6)")
+    # a fraction too small for the decimal type is still a fraction
+    return F.when((d == F.floor(d)) & ~s.rlike(r"\.[0-9]*[1-9][0-9]*$"), F.floor(d).cast("decimal(38,0)").cast("string"))
 
 
 def first_token(c, sep: str = " ") -> Column:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staging_dir
+
 
 def _col(c) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
@@ -28,24 +30,27 @@ def keep_first(df: DataFrame, keys: Sequence, order_by: Sequence[Column]) -> Dat
 def number_in_order(df: DataFrame, order_by: Sequence[Column], out: str = "row_no") -> DataFrame:
     """O1/O2: global 1-based position of every row in a total order.
 
-    Distributed: a range-partitioned sort, then per-partition row counts
-    (one small row per partition) turned into offsets, which are joined back.
+    Distributed: a range-partitioned sort is written once, with each row's
+    partition and place in it, to the shared folder.  The rows and the sizes
+    (one small row per partition) are both read from that table, so they see
+    the same partitions whatever columns either needs.
     No step moves the rows to one task.
     """
-    sorted_df = df.orderBy(*order_by)
-    tagged = sorted_df.select(
-        "*",
-        F.spark_partition_id().alias("__pid"),
-        F.monotonically_increasing_id().alias("__mid"),
+    row = df.orderBy(*order_by).select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.spark_partition_id().alias("pid"),
+        F.monotonically_increasing_id().alias("mid"),
     )
+    path = staging_dir(df.sparkSession, "numbered")
+    row.write.parquet(path)
+    tagged = df.sparkSession.read.schema(row.schema).parquet(path)
     # the id is (partition << 33) + index within the partition
-    tagged = tagged.withColumn("__idx", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
-    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
+    index = F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33)
+    offsets = tagged.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("pid").alias("part"),
+        F.sum("n").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)).alias("off"),
     )
     # one row per partition: bounded by the partition count, safe to broadcast
-    out_df = tagged.join(F.broadcast(offsets), "__pid", "left")
-    return out_df.withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__idx") + 1).cast("long")) \
-        .drop("__pid", "__mid", "__idx", "__off")
+    placed = tagged.join(F.broadcast(offsets), F.col("pid") == F.col("part"), "left")
+    kept = [F.col(f"row.`{c}`") for c in df.columns if c != out]
+    return placed.select(*kept, (F.coalesce(F.col("off"), F.lit(0)) + index + 1).cast("long").alias(out))

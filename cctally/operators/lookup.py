@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType, StringType
 
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -95,7 +96,7 @@ def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key:
     hot_lit = [F.lit(h) for h in hot]
     f = fact.withColumn("__fk", fact_key)
     is_hot_f = F.col("__fk").isin(hot_lit) if hot else F.lit(False)
-    f = f.withColumn("__salt", F.when(is_hot_f, F.abs(F.xxhash64(F.monotonically_increasing_id())) % buckets)
+    f = f.withColumn("__salt", F.when(is_hot_f, F.abs(F.xxhash64(*[_col(c) for c in fact.columns]) % buckets))
                      .otherwise(F.lit(0)).cast("int"))
     is_hot_r = F.col(right_key).isin(hot_lit) if hot else F.lit(False)
     r = right.withColumn("__salt", F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(buckets - 1)))
@@ -104,7 +105,25 @@ def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key:
     return f.join(r, cond, "left").drop("__fk", right_key).drop(f["__salt"]).drop(r["__salt"])
 
 
-def _join_keys(fact_key: Column, dim_key: Column, broadcast_side: bool) -> tuple[Column, Column]:
+def _common_type(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: Column) -> tuple[Column, Column]:
+    """Both keys as one type, the same for every join path: text meets a
+    number or date as that type (unreadable text never matches), integers
+    meet as bigint, other numbers as double."""
+    a = fact.select(fact_key.alias("k")).schema["k"].dataType
+    b = dim.select(dim_key.alias("k")).schema["k"].dataType
+    if a == b:
+        return fact_key, dim_key
+    if isinstance(a, StringType):
+        return fact_key.try_cast(b), dim_key
+    if isinstance(b, StringType):
+        return fact_key, dim_key.try_cast(a)
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        kind = "bigint" if isinstance(a, IntegralType) and isinstance(b, IntegralType) else "double"
+        return fact_key.cast(kind), dim_key.cast(kind)
+    raise ValueError(f"lookup keys of types {a.simpleString()} and {b.simpleString()} cannot be compared")
+
+
+def _join_keys(fact: DataFrame, fact_key: Column, dim_key: Column, broadcast_side: bool) -> tuple[Column, Column]:
     """Join key expressions for a left lookup.
 
     With a broadcast dimension the keys are used as they are.  Otherwise a
@@ -115,7 +134,7 @@ def _join_keys(fact_key: Column, dim_key: Column, broadcast_side: bool) -> tuple
     """
     if broadcast_side:
         return fact_key, dim_key
-    spread = F.concat(F.lit("n"), (F.abs(F.xxhash64(F.monotonically_increasing_id())) % SPREAD_BUCKETS).cast("string"))
+    spread = F.concat(F.lit("n"), F.abs(F.xxhash64(*[_col(c) for c in fact.columns]) % SPREAD_BUCKETS).cast("string"))
     fk = F.when(fact_key.isNull(), spread).otherwise(F.concat(F.lit("k"), fact_key.cast("string")))
     dk = F.concat(F.lit("k"), dim_key.cast("string"))
     return fk, dk
@@ -211,7 +230,7 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
         right = dim.where(_col(dim_key).isNotNull()).select(_col(dim_key), *[_col(v) for v in values])
     right = right.select(_col(dim_key).alias("__lk"), *[_col(v).alias(o) for v, o in zip(values, outs)])
     small = _proven_small(dim, max_rows, broadcast)
-    fk, dk = _join_keys(_col(fact_key), F.col("__lk"), small)
+    fk, dk = _join_keys(fact, *_common_type(fact, _col(fact_key), right, F.col("__lk")), small)
     right = right.withColumn("__lk", dk)
     if small:
         joined = fact.withColumn("__fk", fk).join(F.broadcast(right), F.col("__fk") == F.col("__lk"), "left") \
@@ -265,7 +284,7 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
         name = f"__fb{i}"
         right = cand.groupBy("__k").agg(best.alias(name))
         small = _proven_small(dim, max_rows, broadcast, factor=len(dks))
-        fkey, dkey = _join_keys(_col(fk), F.col("__k"), small)
+        fkey, dkey = _join_keys(joined, *_common_type(joined, _col(fk), right, F.col("__k")), small)
         right = right.withColumn("__k", dkey)
         if small:
             joined = joined.withColumn("__fk", fkey).join(F.broadcast(right), F.col("__fk") == F.col("__k"), "left") \

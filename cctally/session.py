@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith(("local[", "local")) or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # only a local session (tests) gets here; a cluster names its folder
         configured = tempfile.mkdtemp(prefix="cctally-ckpt-")
     sc.setCheckpointDir(configured)

@@ -159,11 +159,12 @@ def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names
                 flag_columns: Sequence[str] = (), multi_line: bool = False,
                 ignore_corrupt: bool = False):
     width = len(names)
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width + 1)])
+    fields = [StructField(f"_c{i}", StringType()) for i in range(width)]
     raw = (
-        spark.read.schema(schema)
+        spark.read.schema(StructType([*fields, StructField("_raw", StringType())]))
+        .option("columnNameOfCorruptRecord", "_raw")
         .option("header", True).option("enforceSchema", True)
-        .option("sep", sep).option("encoding", enc).option("quote", '"')
+        .option("sep", sep).option("encoding", enc).option("quote", '"').option("escape", '"')
         .option("mode", "PERMISSIVE").option("multiLine", multi_line)
         .option("ignoreCorruptFiles", ignore_corrupt)
         .csv(files)
@@ -177,11 +178,17 @@ def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names
             ).alias(ORD_COL),
         )
     )
-    extra = F.col(f"_c{width}")
-    rejects = raw.where(extra.isNotNull()).select(
+    # Spark keeps the untouched line of a row whose number of fields is not the header's;
+    # separators within quotes do not count
+    bare = F.regexp_replace("_raw", '"(?:[^"]|"")*"', "")
+    wide = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) >= F.lit(width * len(sep)),
+                      F.lit(False))
+    # every field is asked for: Spark counts a row's fields against the columns it reads
+    wide = wide & (F.length(F.concat_ws("", *[F.col(f.name) for f in fields])) >= 0)
+    rejects = raw.where(wide).select(
         F.col(FILE_COL).alias("file"),
         F.lit("too_wide").alias("reason"),
-        F.concat_ws(sep, *[F.col(f"_c{i}") for i in range(width + 1)]).alias("raw"),
+        F.col("_raw").alias("raw"),
     )
     keep = [i for i, n in enumerate(names) if wanted is None or n in wanted]
     cols = []
@@ -191,7 +198,7 @@ def _read_group(spark: SparkSession, files: list[str], enc: str, sep: str, names
             c = F.when(~c.isin(list(na_tokens)), c)
         cols.append(c.alias(names[i]))
     flags = [F.lit(c in names).alias(f"_has_{c}") for c in flag_columns]
-    data = raw.where(extra.isNull()).select(*cols, *flags, F.col(FILE_COL), F.col(ORD_COL))
+    data = raw.where(~wide).select(*cols, *flags, F.col(FILE_COL), F.col(ORD_COL))
     return data, rejects
 
 

@@ -17,7 +17,7 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ";", header: bool =
                     encoding: str = "UTF-8", mode: str = "overwrite") -> str:
     """K1: delimited text with a header row."""
     (df.write.mode(mode).option("sep", sep).option("header", header)
-       .option("encoding", encoding).csv(path))
+       .option("encoding", encoding).option("escape", '"').csv(path))
     return path
 
 

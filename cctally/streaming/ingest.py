@@ -21,6 +21,10 @@ from ..session import ensure_checkpoint_dir
 from ..sources.readers import FILE_COL, NA_TOKENS, file_name_col
 
 
+#: Triggers of one run whose row counts are kept (a few hundred bytes each).
+PROGRESS_KEPT = 1_000_000
+
+
 def ingest_new_files(spark: SparkSession, landing: str, columns: Sequence[str], out: str, *,
                      sep: str = ";", encoding: str = "UTF-8", pattern: str = "*.csv",
                      transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -35,7 +39,9 @@ def ingest_new_files(spark: SparkSession, landing: str, columns: Sequence[str],
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     reader = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
-              .option("encoding", encoding).option("pathGlobFilter", pattern))
+              .option("encoding", encoding).option("pathGlobFilter", pattern)
+              # a header in another order fails the run instead of being read by position
+              .option("escape", '"').option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing).select(
@@ -45,9 +51,15 @@ def ingest_new_files(spark: SparkSession, landing: str, columns: Sequence[str],
         stream = transform(stream)
     # a stable name per (landing, output) pair, so every run resumes the same stream
     digest = hashlib.sha1(f"{landing}\n{out}".encode()).hexdigest()[:16]
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{digest}"
+    # below the configured folder itself: what Spark appends to it changes with every application
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ensure_checkpoint_dir(spark)
+    ckpt = checkpoint or f"{shared.rstrip('/')}/streams/{digest}"
+    retention = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(retention)
+    spark.conf.set(retention, str(PROGRESS_KEPT))  # the default forgets all but the last hundred triggers
     query = (stream.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    spark.conf.set(retention, before)
     query.awaitTermination()
     rows = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
     return {"rows": rows, "checkpoint": ckpt}

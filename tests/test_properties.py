@@ -67,13 +67,13 @@ def test_consolidation_independent_of_partitioning(spark):
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in CA.QUERIES.items():
         out[name] = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
     return out
 
 
 def test_no_python_or_cartesian_in_any_plan(plans):
-    assert len(plans) == len(E.oracle_sql())
+    assert len(plans) == len(CA.ORACLES)
     for name, plan in plans.items():
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
                     "BroadcastNestedLoopJoin"):
@@ -107,7 +107,7 @@ def test_consolidation_same_without_broadcast(spark):
 @pytest.mark.parametrize("name", ["form_report", "accumulated_contacts", "fallback_lookup", "lookup_left_first_wins",
                                   "lookup_fanout", "null_keys_never_match"])
 def test_queries_same_without_broadcast(spark, name):
-    q = E.queries()[name]
+    q = CA.QUERIES[name]
     a = sorted(map(tuple, q(spark, SF).collect()), key=str)
     spark.conf.set("cctally.broadcast.maxRows", "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
