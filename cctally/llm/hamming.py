@@ -3,7 +3,7 @@
 Vectors become codes of one sign bit per dimension. Equal codes are one entry
 of the index with the least ids of its rows, so a vector that a third of all
 rows share is one entry. Every code is listed under each of its ``m`` segments
-(about log2 of the number of codes bits wide).
+(about log2 of the number of codes, less 2, bits wide).
 
 A query probes, in round r, the segment values at distance r from its own.
 After round r every code within distance ``m * (r + 1) - 1`` has been met: a
@@ -46,8 +46,12 @@ def binary_codes(vectors: DataFrame, id_column: str, vector_column: str, words:
 
 
 def segment_spans(words: int, codes: int) -> list[tuple[int, int, int]]:
-    """(word, shift, width) of the segments: near log2(codes) bits, of 4 to 16, widths alike."""
-    parts = max(4, min(16, round(WORD / max(1.0, log2(max(codes, 2))))))
+    """(word, shift, width) of the segments: near log2(codes) - 2 bits, of 4 to 16, widths alike.
+
+    A probe then meets about four codes: to verify those is cheaper than the
+    probes of wider segments, whose number grows much faster with the radius.
+    """
+    parts = max(4, min(16, round(WORD / max(1.0, log2(max(codes, 2)) - 2))))
     edges = [WORD * k // parts for k in range(parts + 1)]
     return [(w, a, b - a) for w in range(words) for a, b in zip(edges, edges[1:], strict=False)]
 
