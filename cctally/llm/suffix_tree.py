@@ -6,21 +6,24 @@ before it, or nothing. The root's distribution over tokens is smoothed with
 their spelling, in which each byte (or the token's end) is predicted from the
 longest retained suffix of up to ``DEPTH`` bytes of its token.
 
-1. A narrow pass over blocks of training texts counts byte contexts and tests
-   each token as a context: the leave-one-out gain in log likelihood of its
-   next-token distribution over the root's, for each of ``WEIGHTS``.
-2. Token contexts whose gains sum to at least ``TOKEN_GAIN`` nats and
-   ``TOKEN_GAIN_EACH`` per occurrence, and that hold ``TOKEN_SHARE`` of all
-   tokens, are retained with their best weight: at most ``1 / TOKEN_SHARE`` of
-   them at any corpus size. Byte contexts that hold ``MIN_SHARE`` of all
-   symbols are candidates, at most ``DEPTH / MIN_SHARE``; one is retained when
-   its next-symbol distribution diverges from its parent's: count times
-   Kullback-Leibler divergence of at least ``MIN_GAIN`` nats per next symbol
-   seen. The suffixes of retained contexts stay too. Both are broadcast.
-3. A second narrow pass turns each block into its distinct tokens, spelled out
-   by the tree, its pairs of a retained context and a next token, and per text
-   their numbers. Counts of tokens and pairs are summed over all blocks by
-   their hashes and return to the blocks, where the texts' scores are summed.
+1. A narrow pass over the training texts counts byte contexts. Those that hold
+   ``MIN_SHARE`` of all symbols are candidates, at most ``DEPTH / MIN_SHARE``;
+   one is retained when its next-symbol distribution diverges from its
+   parent's: count times Kullback-Leibler divergence of at least ``MIN_GAIN``
+   nats per next symbol seen. The suffixes of retained contexts stay too. They
+   are broadcast.
+2. A second narrow pass turns each block into its distinct tokens, spelled out
+   by the tree, its pairs of a token and the next one, and per text their
+   numbers. Counts of tokens and pairs are summed over all blocks by their
+   hashes and return to the blocks.
+3. Each pair adds once, in one of its blocks, to the leave-one-out gain in log
+   likelihood of its context's next-token distribution over the corpus root's,
+   for each of ``WEIGHTS``, from counts of the whole corpus. Token contexts
+   whose gain is at least ``TOKEN_GAIN`` nats and ``TOKEN_GAIN_EACH`` per
+   occurrence, and that hold ``TOKEN_SHARE`` of all tokens, are retained with
+   their best weight.
+   The retained contexts are a table that is joined to the blocks by hash; no
+   result depends on how the texts are cut into blocks.
 4. Distributions are smoothed with their parents' (Witten-Bell, or the chosen
    weight for a token context), the root of the spelling with the uniform one.
 
@@ -62,9 +65,8 @@ TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.8, 1e-6
 WEIGHTS = (0.5, 3.0, 20.0, 150.0)
 #: Hashes of the text's beginning as a context and of its end as a next token.
 START_HASH, END_HASH = U64(0x5354415254), U64(0x454E44)
-#: Depth of the rows about token contexts.
-TOKEN_ROW = -1
-STATISTICS = "depth int, context long, symbol int, n long, " + ", ".join(f"g{k} double" for k in range(len(WEIGHTS)))
+STATISTICS = "depth int, context long, symbol int, n long"
+GAINS = [f"g{k}" for k in range(len(WEIGHTS))]
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -118,30 +120,17 @@ def pairs_of(texts: pa.Array) -> tuple:
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the training texts: per block, counts and gains of token contexts; per task, counts of byte contexts."""
+    """Of the training texts: per task, counts of byte contexts."""
     names = [x.split()[0] for x in STATISTICS.split(", ")]
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         for _, texts in slices(batch.column(0), BLOCK_BYTES):
-            row, before, after, distinct = pairs_of(texts)
-            size = len(distinct) + 1
-            times = np.bincount(after, minlength=size)
-            for low in range(0, size - 1, CHUNK_TOKENS):
+            _, _, after, distinct = pairs_of(texts)
+            times = np.bincount(after, minlength=len(distinct) + 1)
+            for low in range(0, len(distinct), CHUNK_TOKENS):
                 owner, context, symbol = contexts(distinct.slice(low, CHUNK_TOKENS))
                 held.append(((context << BITS) | symbol, times[low + owner]))
             held = [_merge(held)] if held else held
-            key, n = np.unique(before.astype(np.int64) * size + after, return_counts=True)
-            context = key // size
-            total = np.bincount(before, minlength=size)
-            p = times[key % size] / max(len(after), 1)
-            rest = total[context] - 1
-            gains = [np.bincount(context, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=size)
-                     for w in WEIGHTS]
-            hit = np.flatnonzero(total >= 3)
-            hashes = np.r_[token_hashes(distinct), START_HASH].view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(hit), TOKEN_ROW), pa.int32()), pa.array(hashes[hit]), pa.array(np.zeros(len(hit)), pa.int32()),
-                pa.array(total[hit].astype(np.int64)), *[pa.array(g[hit]) for g in gains]], names=names)
     if held:
         keys, counts = held[0]
         context, symbol = keys >> BITS, keys & ((1 << BITS) - 1)
@@ -152,8 +141,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k, n = _merge([(((short << BITS) | symbol)[deep], counts[deep])])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(k), d), pa.int32()), pa.array(k >> BITS, pa.int64()),
-                pa.array(k & ((1 << BITS) - 1), pa.int32()), pa.array(n, pa.int64()),
-                *[pa.array(np.zeros(len(k)))] * len(WEIGHTS)], names=names)
+                pa.array(k & ((1 << BITS) - 1), pa.int32()), pa.array(n, pa.int64())], names=names)
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -162,20 +150,8 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
 
 
-def retained_contexts(statistics: DataFrame, min_gain: float = TOKEN_GAIN, min_each: float = TOKEN_GAIN_EACH,
-                      min_share: float = TOKEN_SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, weights) of the retained token contexts, at most ``1 / min_share``."""
-    rows = statistics.filter(F.col("depth") == TOKEN_ROW)
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    best = F.greatest(*[F.col(f"g{k}") for k in range(len(WEIGHTS))])
-    weight = F.coalesce(*[F.when(F.col(f"g{k}") == best, w) for k, w in enumerate(WEIGHTS)])
-    kept = rows.filter((best >= F.greatest(F.lit(min_gain), min_each * F.col("n"))) & (F.col("n") >= min_share * total)) \
-        .select("context", weight.alias("weight")).orderBy("context").toArrow()
-    return kept["context"].to_numpy().astype(np.int64), kept["weight"].to_numpy().astype(float)
-
-
 BLOCKS = ("kind string, block long, doc_id long, held_out boolean, n_tokens long, locals binary, counts binary, "
-          "pairs binary, pair_counts binary, hash long, local int, times int, logp binary, heads binary, following binary, weights binary")
+          "pairs binary, pair_counts binary, hash long, local int, times int, logp binary, heads binary, following binary, hashes binary")
 
 
 def _bags(row: np.ndarray, item: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,7 +160,7 @@ def _bags(row: np.ndarray, item: np.ndarray, n: int, size: int) -> tuple[np.ndar
     return np.searchsorted(key, np.arange(n + 1) * size), (key % size).astype(np.int32), count.astype(np.int32)
 
 
-def _block(retained: np.ndarray, weights: np.ndarray, tree: Tree):
+def _block(tree: Tree, block_bytes: int):
     """Per block: a row for each text, one for each distinct token and pair, and one for the block itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, part = 0, TaskContext.get().partitionId()
@@ -201,19 +177,17 @@ def _block(retained: np.ndarray, weights: np.ndarray, tree: Tree):
 
         for batch in batches:
             pa.default_memory_pool().release_unused()
-            for start, texts in slices(batch.column(1), BLOCK_BYTES):
+            for start, texts in slices(batch.column(1), block_bytes):
                 block, number, n = (part << 32) | number, number + 1, len(texts)
                 held = batch.column(2).slice(start, n).to_numpy(zero_copy_only=False)
                 row, before, after, distinct = pairs_of(texts)
                 train = ~held[row]
                 size = len(distinct) + 1
                 hashes = np.r_[token_hashes(distinct), START_HASH]
-                at = np.minimum(np.searchsorted(retained, hashes.view(np.int64)), max(len(retained) - 1, 0))
-                known = retained[at] == hashes.view(np.int64) if len(retained) else np.zeros(size, bool)
-                word, use = after < size - 1, known[before]
+                word = after < size - 1
                 c0, c1, c2 = _bags(row[word], after[word], n, size)
-                key, item = np.unique(before[use].astype(np.int64) * size + after[use], return_inverse=True)
-                p0, p1, p2 = _bags(row[use], item, n, max(len(key), 1))
+                key, item = np.unique(before.astype(np.int64) * size + after, return_inverse=True)
+                p0, p1, p2 = _bags(row, item, n, max(len(key), 1))
                 cut = lambda a, at: [a[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
                 yield from rows("text", block, n, doc_id=batch.column(0).slice(start, n), held_out=held,
                                 n_tokens=np.bincount(row, minlength=n), locals=cut(c1, c0), counts=cut(c2, c0),
@@ -221,13 +195,14 @@ def _block(retained: np.ndarray, weights: np.ndarray, tree: Tree):
                 head, following = key // size, key % size
                 ends = np.r_[hashes[:-1], END_HASH]
                 pair = mix(hashes[head] * U64(0x9E3779B97F4A7C15) + ends[following] + U64(1))
-                times = np.r_[np.bincount(after[word & train], minlength=size)[:-1],
-                              np.bincount(item[train[use]], minlength=len(key))]
-                named = np.r_[hashes[:-1] & ~U64(1), pair | U64(1)]  # tokens are even, pairs odd
+                # the last token stands for the text's beginning as a context and its end as a next token
+                times = np.r_[np.bincount(after[train], minlength=size), np.bincount(item[train], minlength=len(key))]
+                hashes &= ~U64(1)
+                named = np.r_[hashes, pair | U64(1)]  # tokens are even, pairs odd
                 yield from rows("item", block, len(times), hash=named.view(np.int64), local=np.arange(len(times)), times=times)
                 yield from rows("block", block, 1, logp=[spell(tree, distinct).astype(np.float32).tobytes()],
                                 heads=[head.astype(np.int32).tobytes()], following=[following.astype(np.int32).tobytes()],
-                                weights=[(weights[at[head]] if len(key) else np.zeros(0)).astype(np.float32).tobytes()])
+                                hashes=[hashes.tobytes()])
     return run
 
 
@@ -299,7 +274,7 @@ def learn(statistics: DataFrame, texts: int, min_share: float = MIN_SHARE, min_g
     """The spelling tree of the counted byte contexts and the number of training texts."""
     ends = statistics.sparkSession.createDataFrame([(0, 0, TEXT_END, texts), (1, BEGIN, TEXT_END, texts)],
                                                    "depth int, context long, symbol int, n long").filter("n > 0")
-    moves = statistics.filter("depth >= 0").select("depth", "context", "symbol", "n").union(ends)
+    moves = statistics.union(ends)
     symbols = moves.filter("depth = 0").agg(F.sum("n")).first()[0] or 0
     states = moves.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")) \
         .filter(F.col("total") >= min_share * symbols)
@@ -326,6 +301,42 @@ def learn(statistics: DataFrame, texts: int, min_share: float = MIN_SHARE, min_g
     return out
 
 
+def _counts(items: pd.DataFrame, column: str) -> np.ndarray:
+    out = np.zeros(int(items["local"].max()) + 1)
+    out[items["local"].to_numpy()] = items[column].to_numpy()
+    return out
+
+
+def _gains(total: int):
+    """Per block: the gains of its contexts from the pairs that it is the first block of."""
+    def run(docs: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        own = docs.iloc[0]
+        hashes = np.frombuffer(own["hashes"], np.int64)
+        size = len(hashes)
+        counts, once = _counts(items, "c"), _counts(items, "once") > 0
+        hit = once[size:]
+        n, head = counts[size:][hit], np.frombuffer(own["heads"], np.int32)[hit]
+        p = counts[np.frombuffer(own["following"], np.int32)[hit]] / max(total, 1)
+        rest = counts[head] - 1
+        context, at = np.unique(head, return_inverse=True)
+        gains = [np.bincount(at, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=len(context)) for w in WEIGHTS]
+        return pd.DataFrame({"context": hashes[context], "n": np.bincount(at, weights=n, minlength=len(context)).astype(np.int64)}
+                            | dict(zip(GAINS, gains, strict=True)))
+    return run
+
+
+def retained_contexts(blocks: DataFrame, counted: DataFrame, total: int) -> DataFrame:
+    """``context, weight`` of the retained token contexts, by their gains in the whole corpus."""
+    gains = blocks.filter("kind = 'block'").select("block", "heads", "following", "hashes").groupBy("block") \
+        .cogroup(counted.select(F.col("block").alias("place"), "local", "c", "once").groupBy("place")) \
+        .applyInPandas(_gains(total), "context long, n long, " + ", ".join(f"{g} double" for g in GAINS)) \
+        .groupBy("context").agg(*[F.sum(c).alias(c) for c in ("n", *GAINS)])
+    best = F.greatest(*GAINS)
+    weight = F.coalesce(*[F.when(F.col(g) == best, F.lit(float(w))) for g, w in zip(GAINS, WEIGHTS, strict=True)])
+    return gains.filter((best >= F.greatest(F.lit(TOKEN_GAIN), TOKEN_GAIN_EACH * F.col("n"))) & (F.col("n") >= TOKEN_SHARE * total)) \
+        .select("context", weight.alias("weight"))
+
+
 def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
     scale = total + 0.1 * (distinct + 1)
     base = lambda c: np.log10((c + 0.1) / scale)
@@ -337,48 +348,61 @@ def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
         of_block = docs["logp"].notna()
         own = docs[of_block].iloc[0]
         logp = np.r_[read(own["logp"], np.float32).astype(float), end_logp]
-        size = len(logp) - 1
-        counts = np.zeros(len(items))
-        counts[items["local"].to_numpy()] = items["c"].to_numpy()
-        c = np.r_[counts[:size], texts]
+        size = len(logp)
+        known_weight = items["weight"] > 0
+        counts = _counts(items[~known_weight], "c")
+        weight = np.zeros(size)
+        weight[items.loc[known_weight, "local"].to_numpy()] = items.loc[known_weight, "weight"].to_numpy()
+        c = counts[:size]
         known, plain, simple = c > 0, root(c, logp), base(c)
-        heads, following, weight = read(own["heads"]), read(own["following"]), read(own["weights"], np.float32).astype(float)
-        p = plain[following]
-        gain = np.log10((counts[size:] + weight * 10.0 ** p) / (c[heads] + weight)) - p
+        heads, following = read(own["heads"]), read(own["following"])
+        p, w = plain[following], weight[heads]
+        use = np.where(w > 0, w, 1.0)
+        gain = np.where(w > 0, np.log10((counts[size:] + use * 10.0 ** p) / (c[heads] + use)) - p, 0.0)
         out = []
         columns = ["doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts"]
         for doc_id, held, n, *bags in docs.loc[~of_block, columns].itertuples(index=False):
             i, k, j, m = map(read, bags)
-            out.append((doc_id, bool(held), n, int(k[known[i]].sum()) + int(known[size]), total,
-                        float(k @ simple[i]) + float(simple[size]), float(k @ plain[i]) + float(plain[size]) + float(m @ gain[j])))
+            out.append((doc_id, bool(held), n, int(k[known[i]].sum()) + int(known[-1]), total,
+                        float(k @ simple[i]) + float(simple[-1]), float(k @ plain[i]) + float(plain[-1]) + float(m @ gain[j])))
         return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]) \
             .astype({"doc_id": "Int64", "n_tokens": "int64"})
     return run
 
 
-def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0) -> DataFrame:
+def count_blocks(source: DataFrame, tree: Tree, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, int]:
+    """(blocks, per block and item its count in the whole corpus, number of training tokens)."""
+    blocks = stage(source.mapInArrow(_block(tree, block_bytes), BLOCKS), "blocks")
+    same = Window.partitionBy("hash")
+    counted = stage(blocks.filter("kind = 'item'").select("hash", "block", "local", "times")
+                    .withColumn("c", F.sum("times").over(same)).withColumn("k", F.row_number().over(same.orderBy("block", "local")))
+                    .select("block", "local", "c", ((F.col("k") == 1) & (F.col("c") > 0)).alias("once"),
+                            (F.col("hash") % 2 == 0).alias("token")), "counted")
+    total = blocks.filter("kind = 'text' and not held_out").agg(F.sum("n_tokens")).first()[0] or 0
+    return blocks, counted, total
+
+
+def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Texts whose crc32(doc_id as text) modulo ``folds`` is ``fold`` are held out.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          held_out("doc_id", folds, fold).alias("held_out"))
-    sums = [F.sum(c).alias(c) for c in ("n", *[f"g{k}" for k in range(len(WEIGHTS))])]
     statistics = stage(source.filter("not held_out").select("text").mapInArrow(_statistics, STATISTICS)
-                       .groupBy("depth", "context", "symbol").agg(*sums), "statistics")
+                       .groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n")), "statistics")
     texts = source.filter("not held_out").count()
     tree = learn(statistics, texts)
     end_logp = float(tree.log10(np.array([BEGIN]), np.array([TEXT_END]))[0])
-    blocks = stage(source.mapInArrow(_block(*retained_contexts(statistics), tree), BLOCKS), "blocks")
-    same = Window.partitionBy("hash")
-    counted = stage(blocks.filter("kind = 'item'").select("hash", "block", "local", "times")
-                    .withColumn("c", F.sum("times").over(same)).withColumn("k", F.row_number().over(same.orderBy("block", "local")))
-                    .select("block", "local", "c", ((F.col("k") == 1) & (F.col("c") > 0) & (F.col("hash") % 2 == 0)).alias("type")),
-                    "counted")
-    distinct = counted.filter("type").count() + (texts > 0)
-    total = blocks.filter("kind = 'text' and not held_out").agg(F.sum("n_tokens")).first()[0] or 0
+    blocks, counted, total = count_blocks(source, tree, block_bytes)
+    distinct = counted.filter("once and token").count()  # with the text's end
+    retained = stage(retained_contexts(blocks, counted, total), "retained")
+    weights = blocks.filter("kind = 'item' and hash % 2 = 0").join(retained, F.col("hash") == F.col("context")) \
+        .select("block", "local", F.lit(0).cast("long").alias("c"), "weight")
+    items = counted.select("block", "local", "c", F.lit(0.0).alias("weight")).union(weights) \
+        .withColumnRenamed("block", "place")
     run = _score_texts(total, distinct, texts, end_logp)
-    return blocks.filter("kind <> 'item'").drop("kind", "hash", "local", "times") \
-        .groupBy("block").cogroup(counted.select(F.col("block").alias("place"), "local", "c").groupBy("place")) \
+    return blocks.filter("kind <> 'item'").drop("kind", "hash", "local", "times", "hashes") \
+        .groupBy("block").cogroup(items.groupBy("place")) \
         .applyInPandas(run, (
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))

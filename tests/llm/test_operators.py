@@ -180,6 +180,13 @@ def test_language_model_base_equals_brute_force_and_model_is_proper(spark):
     assert suffix_tree.score_texts(frame(spark, rows).filter("false")).count() == 0
 
 
+def test_language_model_does_not_depend_on_blocks(spark):
+    rows = [(i, t) for i, t in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()][:150]
+    whole, cut = ({r.doc_id: r.score for r in suffix_tree.score_texts(frame(spark, rows).coalesce(1), block_bytes=b).collect()}
+                  for b in (12_000_000, 3_000))
+    assert whole.keys() == cut.keys() and all(abs(whole[i] - cut[i]) < 1e-3 for i in whole)
+
+
 def test_spelling_distribution_sums_to_one():
     counts = {"a": 5, "ab": 3, "b": 1}
     owner, context, symbol = suffix_tree.contexts(pa.array(list(counts), pa.binary()))
