@@ -19,9 +19,8 @@ longest retained suffix of up to ``DEPTH`` bytes of its token.
 3. Each pair adds once, in one of its blocks, to the leave-one-out gain in log
    likelihood of its context's next-token distribution over the corpus root's,
    for each of ``WEIGHTS``, from counts of the whole corpus. Token contexts
-   whose gain is at least ``TOKEN_GAIN`` nats and ``TOKEN_GAIN_EACH`` per
-   occurrence, and that hold ``TOKEN_SHARE`` of all tokens, are retained with
-   their best weight.
+   whose gain is at least ``TOKEN_GAIN`` nats are retained with their best
+   weight, however often they occur and however large the corpus is.
    The retained contexts are a table that is joined to the blocks by hash; no
    result depends on how the texts are cut into blocks.
 4. Distributions are smoothed with their parents' (Witten-Bell, or the chosen
@@ -59,8 +58,8 @@ BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 50_000
-#: Retained token contexts: least gain in nats in all and per occurrence, least share of all tokens.
-TOKEN_GAIN, TOKEN_GAIN_EACH, TOKEN_SHARE = 10.0, 0.8, 1e-6
+#: Least gain in nats of a retained token context.
+TOKEN_GAIN = 10.0
 #: Weights of the root in a token context's distribution, of which the best is chosen.
 WEIGHTS = (0.5, 3.0, 20.0, 150.0)
 #: Hashes of the text's beginning as a context and of its end as a next token.
@@ -320,8 +319,7 @@ def _gains(total: int):
         rest = counts[head] - 1
         context, at = np.unique(head, return_inverse=True)
         gains = [np.bincount(at, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=len(context)) for w in WEIGHTS]
-        return pd.DataFrame({"context": hashes[context], "n": np.bincount(at, weights=n, minlength=len(context)).astype(np.int64)}
-                            | dict(zip(GAINS, gains, strict=True)))
+        return pd.DataFrame({"context": hashes[context]} | dict(zip(GAINS, gains, strict=True)))
     return run
 
 
@@ -329,12 +327,11 @@ def retained_contexts(blocks: DataFrame, counted: DataFrame, total: int) -> Data
     """``context, weight`` of the retained token contexts, by their gains in the whole corpus."""
     gains = blocks.filter("kind = 'block'").select("block", "heads", "following", "hashes").groupBy("block") \
         .cogroup(counted.select(F.col("block").alias("place"), "local", "c", "once").groupBy("place")) \
-        .applyInPandas(_gains(total), "context long, n long, " + ", ".join(f"{g} double" for g in GAINS)) \
-        .groupBy("context").agg(*[F.sum(c).alias(c) for c in ("n", *GAINS)])
+        .applyInPandas(_gains(total), "context long, " + ", ".join(f"{g} double" for g in GAINS)) \
+        .groupBy("context").agg(*[F.sum(g).alias(g) for g in GAINS])
     best = F.greatest(*GAINS)
     weight = F.coalesce(*[F.when(F.col(g) == best, F.lit(float(w))) for g, w in zip(GAINS, WEIGHTS, strict=True)])
-    return gains.filter((best >= F.greatest(F.lit(TOKEN_GAIN), TOKEN_GAIN_EACH * F.col("n"))) & (F.col("n") >= TOKEN_SHARE * total)) \
-        .select("context", weight.alias("weight"))
+    return gains.filter(best >= TOKEN_GAIN).select("context", weight.alias("weight"))
 
 
 def _score_texts(total: int, distinct: int, texts: int, end_logp: float):

@@ -187,6 +187,28 @@ def test_language_model_does_not_depend_on_blocks(spark):
     assert whole.keys() == cut.keys() and all(abs(whole[i] - cut[i]) < 1e-3 for i in whole)
 
 
+def test_token_contexts_kept_by_gain_alone(spark):
+    rows = [(i, t) for i, t in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()][:150]
+    source = frame(spark, rows).select("doc_id", "text", F.lit(False).alias("held_out")).coalesce(1)
+    tree = suffix_tree.Tree([], [])
+    blocks, counted, total = suffix_tree.count_blocks(source, tree, 20_000)
+    got = sorted(r.weight for r in suffix_tree.retained_contexts(blocks, counted, total).collect())
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    pairs, c = Counter(), Counter()
+    for _, t in rows:
+        tokens = [None, *re.findall(r"[^\x20\x09-\x0D]+", low(t)), None]  # the text's beginning and its end
+        c.update(tokens[1:])
+        pairs.update(zip(tokens, tokens[1:], strict=False))
+    gains = {}
+    for (a, b), n in pairs.items():
+        own, p = gains.setdefault(a, [0.0] * len(suffix_tree.WEIGHTS)), c[b] / total
+        for k, w in enumerate(suffix_tree.WEIGHTS):
+            own[k] += n * math.log((n - 1 + w * p) / (c[a] - 1 + w) / p)
+    kept = {a: g for a, g in gains.items() if max(g) >= 10}
+    assert got == sorted(suffix_tree.WEIGHTS[g.index(max(g))] for g in kept.values())
+    assert any(max(g) < 0.8 * c[a] for a, g in kept.items())
+
+
 def test_spelling_distribution_sums_to_one():
     counts = {"a": 5, "ab": 3, "b": 1}
     owner, context, symbol = suffix_tree.contexts(pa.array(list(counts), pa.binary()))
