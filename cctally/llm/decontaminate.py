@@ -1,20 +1,17 @@
-"""Operator 1: benchmark decontamination by rare n-gram seeds and local alignment.
+"""Operator 1: benchmark decontamination by n-gram seeds and local alignment.
 
 1. The benchmark's word n-grams are the seeds. They are handed to the tasks in
    slices of a bounded number of items' words; each slice is one more pass.
-2. A first pass counts in how many documents each seed occurs; a seed found in
-   at most ``RARE_SHARE`` of all documents is rare.
-3. A second pass looks the seeds up in each whole text. Hits of one item at
-   like offsets form a passage. A passage with a rare seed, or with at least
-   ``COMMON_SEEDS`` different common ones, is aligned with its item
-   (Smith-Waterman over words, linear gaps), so a much-copied passage is found
-   as well as a rare one.
+2. One pass looks the seeds up in each whole text. Hits of one item at like
+   offsets form a passage, which is aligned with its item (Smith-Waterman over
+   words, linear gaps), however many documents hold its seeds.
+3. Only a passage whose shared words prove that no alignment can reach the
+   score of a leak is left out.
 4. A passage leaks its item when the alignment scores at least ``MIN_SCORE``
    of what the item scores against itself, and ``MIN_POINTS`` or the whole
    item.
 
-Both passes are narrow: only seed counts (bounded by the slice) and leaks are
-shuffled, so no key can grow hot.
+The pass is narrow: only leaks are shuffled, so no key can grow hot.
 
 Defined results: null or empty texts and items have no seeds and never match;
 an item of fewer words than a seed has none either. Items with equal text are
@@ -36,8 +33,6 @@ from pyspark.sql import functions as F
 from cctally.llm.common import grams, slices, words_of
 
 SEED_WORDS = 4
-RARE_SHARE = 0.001
-COMMON_SEEDS = 3
 MIN_SCORE = 0.45
 #: A shorter alignment (in score points, two a word) is no leak unless it is the whole item.
 MIN_POINTS = 12
@@ -55,7 +50,6 @@ class Seeds:
     hash: np.ndarray
     item: np.ndarray
     at: np.ndarray
-    common: np.ndarray | None = None
 
 
 def seeds_of(items: list, texts: list) -> Seeds:
@@ -97,6 +91,12 @@ def best_span(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return score / (MATCH * len(item)), end - length, end
 
 
+def score_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """At least the best local score: a word in the aligned part of ``a`` matches one of ``b`` or costs a mismatch or gap."""
+    total = np.cumsum(np.where(np.isin(a, b), MATCH, max(MISMATCH, GAP)))
+    return int(np.max(total - np.minimum.accumulate(np.r_[0, total[:-1]]), initial=0))
+
+
 def hits_of(words, seeds: Seeds) -> tuple[np.ndarray, np.ndarray]:
     """(first word in the texts, index into the seeds) of every seed occurrence."""
     h, first = grams(words.hash, words.doc, SEED_WORDS)
@@ -125,44 +125,18 @@ def leaks_of(words, seeds: Seeds, min_score: float = MIN_SCORE) -> Iterator[tupl
     starts = np.flatnonzero(new)
     begins = np.searchsorted(words.doc, np.arange(words.rows + 1))
     for a, b in zip(starts, np.r_[starts[1:], len(first)], strict=True):
-        own = np.unique(seeds.hash[seed[a:b]])
-        if seeds.common is not None and len(own) < COMMON_SEEDS and np.isin(own, seeds.common).all():
-            continue
         k, d, n = item[a], doc[a], size[a]
         low = max(begins[d], offset[a] - n // 2)
         high = min(begins[d + 1], offset[b - 1] + n + n // 2 + 1)
-        score, s, e = best_span(seeds.words[k], words.hash[low:high])
-        if score >= max(min_score, min(1.0, MIN_POINTS / (MATCH * n))):
+        least = max(min_score, min(1.0, MIN_POINTS / (MATCH * n)))
+        own, text = seeds.words[k], words.hash[low:high]
+        if score_bound(own, text) / (MATCH * n) < least or score_bound(text, own) / (MATCH * n) < least:
+            continue
+        score, s, e = best_span(own, text)
+        if score >= least:
             yield int(d), int(k), score, int(low + s), int(low + e)
 
 
-def _count(seeds: Seeds):
-    def run(batches):
-        total = np.zeros(len(seeds.hash), np.int64)
-        rows = 0
-        for batch in batches:
-            rows += batch.num_rows
-            for _, texts in slices(batch.column(0)):
-                words = words_of(texts)
-                first, seed = hits_of(words, seeds)
-                pair = np.unique(words.doc[first] * len(seeds.hash) + np.searchsorted(seeds.hash, seeds.hash[seed]))
-                np.add.at(total, pair % max(len(seeds.hash), 1), 1)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*hit, -1], pa.int64()), pa.array([*total[hit], rows], pa.int64())], names=["seed", "docs"])
-    return run
-
-
-def with_common(docs: DataFrame, seeds: Seeds) -> Seeds:
-    """The seeds with those set that occur in more than ``RARE_SHARE`` of all documents."""
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_count(seeds), "seed long, docs long") \
-        .groupBy("seed").agg(F.sum("docs").alias("docs"))
-    got = {r.seed: r.docs for r in counts.collect()}  # at most one row for each seed of the slice
-    limit = RARE_SHARE * got.pop(-1, 0)
-    seeds.common = np.unique(seeds.hash[[k for k, n in got.items() if n > limit]])
-    return seeds
-
-
 def benchmark_slices(benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> Iterator[Seeds]:
     """The benchmark in slices of about ``slice_words`` words."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
@@ -205,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = None
     for seeds in benchmark_slices(benchmark):
-        part = source.mapInArrow(_leaks(with_common(source, seeds), min_score), (
+        part = source.mapInArrow(_leaks(seeds, min_score), (
             "doc_id long, item_id long, score double, first_word long, end_word long, first_char long, end_char long"))
         found = part if found is None else found.union(part)
     best = F.max(F.struct("score", *[(-F.col(c)).alias(c) for c in (
@@ -230,5 +204,5 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     """The rows of ``docs``, all columns kept, whose text leaks no benchmark item."""
     column = docs.columns.index("text")
     for seeds in benchmark_slices(benchmark):
-        docs = docs.mapInArrow(_clean(with_common(docs, seeds), column, min_score), docs.schema)
+        docs = docs.mapInArrow(_clean(seeds, column, min_score), docs.schema)
     return docs

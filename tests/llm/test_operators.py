@@ -83,6 +83,26 @@ def test_leaks_found_edited_or_common_and_clean_kept(spark):
     assert decontaminate.leaks(d, empty).count() == 0 and decontaminate.leaks(d.filter("false"), b).count() == 0
 
 
+def test_leaks_with_few_common_seeds_found(spark):
+    rng = random.Random(8)
+    item = words(rng, 16).split()
+    edited = " ".join("other" if k in (3, 8, 13) else w for k, w in enumerate(item))
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(k, words(rng, 20) + " " + edited + " " + words(rng, 20)) for k in range(40)] + [(50, words(rng, 60))]
+    for some in (rows, rows[:1] + rows[-1:]):
+        got = {r.doc_id: r.score for r in decontaminate.leaks(frame(spark, some), b).collect()}
+        assert got == {i: 23 / 32 for i, _ in some if i < 40}
+        assert [r.doc_id for r in decontaminate.drop_leaking(frame(spark, some), b).collect()] == [50]
+
+
+def test_score_bound_is_never_below_the_alignment():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = rng.integers(0, 9, rng.integers(1, 12)), rng.integers(0, 9, rng.integers(0, 20))
+        best = decontaminate.align(a, b)[0]
+        assert decontaminate.score_bound(a, b) >= best and decontaminate.score_bound(b, a) >= best
+
+
 # --- 2 -------------------------------------------------------------------------
 
 def test_line_dedup_edge_cases(spark):
