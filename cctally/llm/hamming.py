@@ -17,7 +17,7 @@ least ids. A query's own row is not its neighbour.
 
 Defined results: rows with a null id or a null or empty vector are neither
 indexed nor queried; a null component counts as not positive; shorter vectors
-are padded with zero bits. With fewer than k other rows all are returned.
+are padded with zero bits to the longest. With fewer than k other rows all are returned.
 Rows that repeat an id count once per code. Other columns are not read.
 """
 
@@ -45,6 +45,11 @@ def binary_codes(vectors: DataFrame, id_column: str, vector_column: str, words:
         F.col(id_column).cast("long").alias("id"), F.array(*[word(k) for k in range(words)]).alias("code"))
 
 
+def words_needed(vectors: DataFrame, vector_column: str) -> int:
+    """64-bit integers that hold a sign of every component of the longest vector."""
+    return max(1, -(-(vectors.agg(F.max(F.size(vector_column))).first()[0] or 0) // WORD))
+
+
 def segment_spans(words: int, codes: int) -> list[tuple[int, int, int]]:
     """(word, shift, width) of the segments: near log2(codes) - 2 bits, of 4 to 16, widths alike.
 

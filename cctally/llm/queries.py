@@ -67,8 +67,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_hamming_top_k", hamming.ORACLE_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = hamming.binary_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1)
-    return hamming.top_k(codes, codes.filter(F.col("id") % 50 == 0))
+    vectors = table(spark, sf_dir, "embeddings")
+    words = hamming.words_needed(vectors, "embedding")
+    codes = hamming.binary_codes(vectors, "vec_id", "embedding", words)
+    return hamming.top_k(codes, codes.filter(F.col("id") % 50 == 0), words=words)
 
 
 @query("op9_warc", warc.ORACLE_SQL)

@@ -337,6 +337,17 @@ def test_top_k_with_ties_copies_and_odd_vectors(spark):
     assert hamming.top_k(few.filter("false"), few.filter("false")).count() == 0
 
 
+def test_top_k_uses_every_component(spark, tmp_path):
+    v = np.random.default_rng(2).normal(size=(30, 150))
+    v[1:, :64] = v[0, :64]
+    rows = [(i, [float(x) for x in a]) for i, a in enumerate(v)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = queries.QUERIES["op8_hamming_top_k"](spark, str(tmp_path))
+    got = sorted(tuple(r) for r in found.select("neighbour_id", "distance").collect())
+    d = ((v[1:] > 0) != (v[0] > 0)).sum(axis=1)
+    assert got == sorted((i + 1, int(d[i])) for i in np.argsort(d, kind="stable")[:hamming.K])
+
+
 # --- 9 -------------------------------------------------------------------------
 
 def test_archives_round_trip(spark):
