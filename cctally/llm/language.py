@@ -4,8 +4,7 @@
    over a sample of at most about ``MAX_ROWS`` labelled texts per language,
    chosen by a hash of the id; whole texts are read.
 2. A text is a mixture of the languages: expectation-maximisation estimates
-   the proportions that make its trigrams likeliest. Where there are more
-   than ``SHORTLIST`` languages, those of the best single likelihood take part.
+   the proportions that make its trigrams likeliest. All languages take part.
 3. The languages are added in order of their proportions while the likelihood,
    less ``PENALTY`` per added language and log of the text's length, grows.
    The prediction is the largest of the chosen set; the score its proportion.
@@ -34,7 +33,6 @@ from cctally.llm.common import slices, stage
 
 BUCKETS = 1 << 15
 MAX_ROWS = 3_000
-SHORTLIST = 6
 ITERATIONS = 10
 PENALTY = 6.0
 UNKNOWN = "und"
@@ -103,13 +101,7 @@ def mixtures(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, p: np.ndarr
     like = p[bucket]
     totals = np.add.reduceat(count, begin)
     single = np.add.reduceat(count[:, None] * np.log(like), begin)
-    n = p.shape[1]
-    pick = None
-    if n > SHORTLIST:
-        pick = np.sort(np.argsort(-single, axis=1, kind="stable")[:, :SHORTLIST], axis=1)
-        like = np.take_along_axis(like, pick[group], axis=1)
-        single = np.take_along_axis(single, pick, axis=1)
-    k = like.shape[1]
+    k = p.shape[1]
 
     def improve(pi, times):
         for _ in range(times):
@@ -137,10 +129,6 @@ def mixtures(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, p: np.ndarr
         if not better.any():
             break
         best[better], value[better] = part[better], got[better]
-    if pick is not None:
-        whole = np.zeros((len(begin), n))
-        np.put_along_axis(whole, pick, best, axis=1)
-        best = whole
     return row[begin], best
 
 
@@ -148,7 +136,7 @@ def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
-            for start, texts in slices(batch.column(1), 1_000_000):
+            for start, texts in slices(batch.column(1), 6_000_000 // max(len(model.languages), 6)):
                 n, k = len(texts), len(model.languages)
                 share = np.zeros((n, k + 1))
                 share[:, k] = 1.0

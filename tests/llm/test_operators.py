@@ -270,6 +270,18 @@ def test_mixture_recovers_proportions():
     assert abs(share[0, 0] - 0.7) < 0.08 and share[0, 1] == 0
 
 
+def test_mixture_finds_a_minor_language_among_many():
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet(np.ones(200), 9).T
+    p[:, 1:8] = 0.5 * p[:, :1] + 0.5 * p[:, 1:8]  # eight related languages and one apart from them
+    draw = np.r_[rng.choice(200, 1600, p=p[:, 0]), rng.choice(200, 400, p=p[:, 8])]
+    bucket, count = np.unique(draw, return_counts=True)
+    single = count @ np.log(p[bucket])
+    assert np.argsort(-single).tolist().index(8) >= 6
+    _, share = language.mixtures(np.zeros(len(bucket), int), bucket, count.astype(float), p)
+    assert share[0, 8] > 0.1 and share[0, 0] > 0.5
+
+
 # --- 6 -------------------------------------------------------------------------
 
 @pytest.mark.parametrize("html,text", [
