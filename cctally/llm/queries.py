@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cctally.llm import (
-    bpe, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, suffix_tree, toxicity, warc)
+    bpe, collocations, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, packing, prefix_trie,
+    suffix_tree, toxicity, warc)
 from cctally.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -97,3 +98,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_tree_lm")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op11_curve_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), keep_ids=False).drop("ids")
+
+
+@query("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digests(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_collocations", collocations.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_collocations(table(spark, sf_dir, "documents"))
