@@ -11,18 +11,22 @@ replaces it.
    into its distinct words and an array of word numbers. Word counts per
    language are summed over all blocks; words with the least count get global
    numbers, which return to the blocks that hold them.
-2. At each level a block builds its stripes, one entry per distinct (prefix,
-   next word) it holds, of prefixes and suffixes that reached the least count
-   over the whole corpus. A phrase that reaches it has only such parts, so
-   nothing is lost. Stripes are merged elementwise, by a sum grouped on
-   (prefix, next word) with partial sums in every task: a stripe of a very
-   frequent word is spread over all tasks, never held by one. The entries that
-   reach the least count are numbered and return to their blocks.
-3. Cuts, scores and the greatest extension counts are joins and grouped
+2. At each level a block builds its stripes: for each prefix it holds, the
+   next words in ascending order with their counts, written as differences of
+   one to two bytes. Only prefixes and suffixes that reached the least count
+   over the whole corpus take part; a phrase that reaches it has only such
+   parts, so nothing is lost.
+3. Stripes of one prefix meet in sorted partitions and are merged elementwise
+   as a stream. A stripe is cut into segments by a hash of the next word, in
+   proportion to the prefix's count, so that none holds much more than
+   1 / ``SPLIT`` of all occurrences. Entries that reach the least count are
+   numbered and return to the blocks.
+4. Cuts, scores and the greatest extension counts are joins and grouped
    aggregates over the phrases that were kept, in exact decimals.
 
 A block passes on only the stretches of text that can still grow. No step
-holds more than a block; nothing is broadcast by a hint.
+holds more than a block, a segment or an Arrow batch; nothing is broadcast by a
+hint. Stripes are built twice, for the merge and for the return, and not kept.
 
 Defined results: a null text is empty; a null language is ``und``. Repeated
 rows count each time. An empty table gives no rows. ``doc_id`` and other
@@ -37,17 +41,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cctally.llm.common import slices, stage
+from cctally.llm.common import mix, slices, stage
 from cctally.operators.dedup import number_in_order
 
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 #: Bytes of text of a block (or one longer text).
-BLOCK_BYTES = 12_000_000
-#: Groups that each keep their first rows before a language's rows meet.
-RANK_SALTS = 64
+BLOCK_BYTES = 16_000_000
+#: A prefix that holds 1 / SPLIT of all words has one segment, a more frequent one several.
+SPLIT = 1000
 
 _BLANKS, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, np.uint8)
@@ -71,7 +75,7 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     ends = np.r_[0, np.cumsum(end - start)]
     words = pa.Array.from_buffers(pa.large_binary(), len(start), [
         None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[inside]))])
-    piece = np.cumsum(kind == 2, dtype=np.int64)[start] if len(start) else np.empty(0, np.int64)
+    piece = np.cumsum(kind == 2, dtype=np.int32)[start] if len(start) else np.empty(0, np.int32)
     doc = np.searchsorted(offsets - offsets[0], start, side="right") - 1
     return words, doc, piece
 
@@ -135,49 +139,226 @@ def stripes(words: np.ndarray, grams: np.ndarray, length: int, size: int):
     return key // max(size, 1), key % max(size, 1), count, found
 
 
-_STATE = "block long, words binary, ids binary, grams binary, pos int, prefix long, next long, n long"
-
-
-def _grow(length: int):
-    """Blocks with the numbers of their kept phrases of ``length - 1`` words -> their stripes and what can still grow."""
-    schema = pa.schema([("block", pa.int64()), ("words", pa.binary()), ("ids", pa.binary()), ("grams", pa.binary()),
-                        ("pos", pa.int32()), ("prefix", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
-
-    def grow(block: int, words, ids, grams, kept: pa.StructScalar) -> Iterator[pa.RecordBatch]:
-        pos = kept.values.field("pos").to_numpy()
-        number = kept.values.field("id").to_numpy()
-        grams = np.frombuffer(grams, np.int32)
-        place = np.full(max(int(grams.max()), int(pos.max())) + 2, -1, np.int32)  # the last stays -1, for gaps
-        place[pos] = np.arange(len(pos), dtype=np.int32)
-        grams = place[grams]
-        if words is None:  # single words: they are their own prefixes
-            words, ids = grams, number
-        else:
-            words, ids = np.frombuffer(words, np.int32), np.frombuffer(ids, np.int64)
-        words, grams = prune(words, grams, length - 1)
-        prefix, after, count, found = stripes(words, grams, length, len(ids))
-        n = len(prefix)
-        if not n:
-            return
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (words, ids, found)],
-             *[pa.nulls(1, f.type) for f in list(schema)[4:]]], schema=schema)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, block)), *[pa.nulls(n, pa.binary())] * 3, pa.array(np.arange(n, dtype=np.int32)),
-             pa.array(number[prefix]), pa.array(ids[after]), pa.array(count, pa.int64())], schema=schema)
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in groups of seven bits, low first, the last byte of each below 128; and the size of each."""
+    size = np.ones(len(values), np.int64)
+    rest = values >> 7
+    while rest.any():
+        size += rest > 0
+        rest = rest >> 7
+    begin = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        at = np.flatnonzero(size > k)
+        out[begin[at] + k] = (values[at] >> (7 * k)) & 127 | np.where(size[at] > k + 1, 128, 0)
+    return out, size
+
+
+def read_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers written by ``varints`` and the last byte of each."""
+    last = np.flatnonzero(data < 128)
+    if not len(last):
+        return np.empty(0, np.int64), last
+    begin = np.r_[0, last[:-1] + 1]
+    shift = 7 * (np.arange(len(data)) - np.repeat(begin, last - begin + 1))
+    return np.add.reduceat((data & 127).astype(np.int64) << shift, begin), last
+
+
+def _blobs(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [
+        None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.py_buffer(data)])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a binary column without nulls, row ends)."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    return data, offsets[1:] - offsets[0]
+
+
+def _entries(nexts: pa.Array, counts: pa.Array | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, next word, count) of the entries of a column of stripes."""
+    data, ends = _bytes(nexts)
+    value, last = read_varints(data)
+    row = np.searchsorted(ends, last, side="right")
+    step = np.cumsum(value >> 1)
+    first = np.searchsorted(row, np.arange(len(nexts)))
+    before = np.r_[0, step][first]
+    count = np.ones(len(value), np.int64)
+    if counts is not None:
+        count[value & 1 == 1] = read_varints(_bytes(counts)[0])[0]
+    return row, step - before[row], count
+
+
+_CODEC = "zstd"
+_STATE = "block long, words binary, ids binary, grams binary, numbers binary, splits binary"
+
+
+class Block:
+    """What can still grow of a block: word and prefix at each position, -1 for none; their global numbers."""
+
+    def __init__(self, words, ids, grams, numbers, splits):
+        self.words, self.ids, self.grams, self.numbers, self.splits = words, ids, grams, numbers, splits
+
+    def row(self, block: int) -> pa.RecordBatch:
+        fields = [None if x is None else len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), _CODEC, asbytes=True)
+                  for x in (self.words, self.ids, self.grams, self.numbers, self.splits)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), *[pa.array([f], pa.binary()) for f in fields]],
+            names=[x.split()[0] for x in _STATE.split(", ")])
+
+    @staticmethod
+    def read(fields: list) -> Block:
+        """From the binary fields of a row; single words are their own prefixes and not written twice."""
+        def array(field: bytes | None, kind) -> np.ndarray | None:
+            if field is None:
+                return None
+            size = int.from_bytes(field[:8], "little") * np.dtype(kind).itemsize
+            return np.frombuffer(pa.decompress(field[8:], size, _CODEC) if size else b"", kind)
+
+        words, ids, grams, numbers, splits = map(array, fields, (np.int32, np.int64, np.int32, np.int64, np.int32))
+        return Block(words, ids, words if grams is None else grams, ids if numbers is None else numbers, splits)
+
+    def stripes(self, length: int):
+        """Rows of ``prefix, seg, nexts, counts``."""
+        prefix, after, count, _ = stripes(self.words, self.grams, length, len(self.ids))
+        after = self.ids[after]
+        first = np.cumsum(self.splits) - self.splits
+        part = (mix(after.astype(np.uint64)) % self.splits[prefix].astype(np.uint64)).astype(np.int64)
+        group = first[prefix] + part
+        order = np.argsort(group, kind="stable")
+        group, prefix, part, after, count = (x[order] for x in (group, prefix, part, after, count))
+        new = np.r_[True, group[1:] != group[:-1]] if len(group) else np.empty(0, bool)
+        step = np.diff(after, prepend=0)
+        step[new] = after[new]
+        many = count > 1
+        nexts, size = varints(step << 1 | many)
+        counts, more = varints(count[many])
+        wide = np.zeros(len(count), np.int64)
+        wide[many] = more
+        at = np.flatnonzero(new)
+        if not len(at):
+            return None
+        return [pa.array(self.numbers[prefix[at]]), pa.array(part[at].astype(np.int32)),
+                _blobs(nexts, np.add.reduceat(size, at)), _blobs(counts, np.add.reduceat(wide, at))]
+
+    def advance(self, length: int, prefix: np.ndarray, after: np.ndarray, number: np.ndarray, split: np.ndarray) -> Block:
+        """The block with phrases of ``length`` words for prefixes, of which it holds (prefix, next word, number, split)."""
+        by = np.argsort(self.numbers)
+        left = by[np.searchsorted(self.numbers, prefix, sorter=by)]
+        right = np.searchsorted(self.ids, after)  # ids ascend
+        key = left.astype(np.int64) * len(self.ids) + right
+        order = np.argsort(key)
+        key, number, split = key[order], number[order], split[order]
+        at = np.flatnonzero((self.grams[:-1] >= 0) & (self.grams[1:] >= 0))
+        mine = self.grams[at].astype(np.int64) * len(self.ids) + self.words[at + length - 1]
+        place = np.minimum(np.searchsorted(key, mine), len(key) - 1)
+        grams = np.full(len(self.words), -1, np.int32)
+        grams[at] = np.where(key[place] == mine, place, -1)
+        words, grams = prune(self.words, grams, length)
+        return Block(words, self.ids, grams, number, split)
+
+
+def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with the numbers of their kept words -> what can grow."""
+    for batch in batches:
+        for block, tokens, kept in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            pos, number, split = (kept.values.field(x).to_numpy() for x in ("pos", "id", "split"))
+            order = np.argsort(number)
+            tokens = np.frombuffer(tokens.as_buffer(), np.int32)
+            place = np.full(max(int(tokens.max()), int(pos.max())) + 2, -1, np.int32)  # the last stays -1, for gaps
+            place[pos[order]] = np.arange(len(pos), dtype=np.int32)
+            words = place[tokens]
+            words, _ = prune(words, words, 1)
+            yield Block(words, number[order], None, None, split[order]).row(block)
+
+
+def _stripes(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block in enumerate(batch.column(0).to_pylist()):
+                found = Block.read([batch.column(c)[k].as_py() for c in range(1, 6)]).stripes(length)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), block)), *found],
+                                                     names=["block", "prefix", "seg", "nexts", "counts"])
+    return run
+
+
+def _advance(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block in enumerate(batch.column(0).to_pylist()):
+                kept = batch.column(6)[k].values
+                yield Block.read([batch.column(c)[k].as_py() for c in range(1, 6)]).advance(
+                    length, *[kept.field(x).to_numpy() for x in ("prefix", "next", "id", "split")]).row(block)
+    return run
+
+
+def _sums(group: np.ndarray, after: np.ndarray, count: np.ndarray):
+    """Elementwise sum of stripes: (group, next word, count), each once and in order."""
+    order = np.lexsort((after, group))
+    group, after, count = group[order], after[order], count[order]
+    at = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (after[1:] != after[:-1])]) if len(group) else order
+    return group[at], after[at], np.add.reduceat(count, at) if len(at) else count
+
+
+def _merge(least: int):
+    """Stripes sorted by prefix and segment -> ``prefix, seg, next, a`` of the entries with the least count."""
+    def out(prefix, seg, after, count):
+        good = count >= least
+        return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (prefix, seg, after, count)],
+                                          names=["prefix", "seg", "next", "a"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # prefix, segment, next words and counts of the stripe that the next batch may go on with
         for batch in batches:
-            words, ids, grams, kept = (batch.column(k) for k in range(1, 5))
-            for row, block in enumerate(batch.column(0).to_pylist()):
-                yield from grow(block, words[row].as_py(), ids[row].as_py(), grams[row].as_py(), kept[row])
+            if not batch.num_rows:
+                continue
+            prefix, seg = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            row, after, count = _entries(batch.column(2), batch.column(3))
+            change = np.r_[False, (prefix[1:] != prefix[:-1]) | (seg[1:] != seg[:-1])]
+            group = np.cumsum(change)
+            if held is not None and (held[0], held[1]) == (prefix[0], seg[0]):
+                after, count = np.r_[held[2], after], np.r_[held[3], count]
+                row = np.r_[np.zeros(len(held[2]), np.int64), row]
+            elif held is not None:
+                n = len(held[2])
+                yield out(np.full(n, held[0]), np.full(n, held[1], np.int32), held[2], held[3])
+            number, after, count = _sums(group[row], after, count)
+            heads = np.flatnonzero(np.r_[True, change[1:]])
+            done = int(np.searchsorted(number, group[-1]))
+            yield out(prefix[heads][number[:done]], seg[heads][number[:done]], after[:done], count[:done])
+            held = prefix[-1], seg[-1], after[done:], count[done:]
+        if held is not None:
+            n = len(held[2])
+            yield out(np.full(n, held[0]), np.full(n, held[1], np.int32), held[2], held[3])
     return run
 
 
-def _returned(entries: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
-    """Per block, the numbers of those of its entries that are kept."""
-    back = entries.join(kept.select(*keys, "id"), keys).select("block", F.struct("pos", "id").alias("x"))
-    return back.groupBy("block").agg(F.collect_list("x").alias("kept"))
+def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stripes of blocks beside the kept entries of their segment -> the kept entries that the block has."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row, after, _ = _entries(batch.column(2), None)
+        kept = batch.column(3)
+        owner = pc.list_parent_indices(kept).to_numpy()
+        entry = kept.flatten()
+        after_kept = entry.field("next").to_numpy()
+        have, want = row << 44 | after, owner << 44 | after_kept  # both ascend
+        place = np.minimum(np.searchsorted(have, want), len(have) - 1)
+        good = have[place] == want
+        owner = owner[good]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(batch.column(0).to_numpy()[owner]), pa.array(batch.column(1).to_numpy()[owner]),
+             pa.array(after_kept[good]), *[pa.array(entry.field(x).to_numpy()[good]) for x in ("id", "split")]],
+            names=["block", "prefix", "next", "id", "split"])
+
+
+def _numbered(counts: DataFrame, order: list, words: int, name: str) -> DataFrame:
+    """``counts`` with a number ``id`` and the segments ``split`` of each phrase, written."""
+    split = F.ceil(F.col("a") * SPLIT / max(words, 1)).cast("int")
+    return stage(number_in_order(counts, order, "id").withColumn("split", split), name)
 
 
 def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
@@ -188,30 +369,37 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_CO
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     blocks = stage(rows.mapInArrow(_blocks, _BLOCKS), "collocation_blocks")
     vocabulary = blocks.filter("word IS NOT NULL")
-    totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    kept = number_in_order(
+    totals = stage(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "collocation_totals")
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    kept = _numbered(
         vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count),
-        [F.col("lang"), F.col("word")], "id")
-    single = kept.select("id", "lang", F.col("word").alias("phrase"), "a")
-    found, known = [single.withColumn("n_words", F.lit(1))], single
-    state = blocks.filter("tokens IS NOT NULL").select(
-        "block", F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("ids"),
-        F.col("tokens").alias("grams"))
-    back = _returned(vocabulary, kept, ["lang", "word"])
+        [F.col("a").desc(), F.col("lang"), F.col("word")], words, "collocation_words")
+    known = single = kept.select("id", "lang", F.col("word").alias("phrase"), "a")
+    found = [single.withColumn("n_words", F.lit(1))]
+    back = vocabulary.join(kept.select("lang", "word", "id", "split"), ["lang", "word"]).groupBy("block").agg(
+        F.collect_list(F.struct("pos", "id", "split")).alias("kept"))
+    state = stage(blocks.filter("tokens IS NOT NULL").select("block", "tokens").join(back, "block").select(
+        "block", "tokens", "kept").mapInArrow(_first, _STATE), "collocation_state_1")
     for length in range(2, max_words + 1):
-        grown = state.join(back, "block").select("block", "words", "ids", "grams", "kept")
-        level = stage(grown.mapInArrow(_grow(length), _STATE), f"collocation_stripes_{length}")
-        entries = level.filter("prefix IS NOT NULL").select("block", "pos", "prefix", "next", "n")
-        kept = number_in_order(
-            entries.groupBy("prefix", "next").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count),
-            [F.col("prefix"), F.col("next")], "id")
+        held = state.mapInArrow(_stripes(length), "block long, prefix long, seg int, nexts binary, counts binary")
+        merged = held.select("prefix", "seg", "nexts", "counts").repartition("prefix", "seg").sortWithinPartitions(
+            "prefix", "seg").mapInArrow(_merge(min_count), "prefix long, seg int, next long, a long")
+        kept = _numbered(merged, [F.col("prefix"), F.col("next")], words, f"collocation_kept_{length}")
         known = stage(
             kept.join(known.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head")), "prefix")
             .join(single.select(F.col("id").alias("next"), F.col("phrase").alias("tail")), "next")
             .select("id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a"), f"collocation_phrases_{length}")
         found.append(known.withColumn("n_words", F.lit(length)))
-        state = level.filter("words IS NOT NULL").select("block", "words", "ids", "grams")
-        back = _returned(entries, kept, ["prefix", "next"])
+        if length == max_words:
+            break
+        segments = stage(kept.groupBy("prefix", "seg").agg(
+            F.sort_array(F.collect_list(F.struct("next", "id", "split"))).alias("kept")), f"collocation_segments_{length}")
+        back = held.select("block", "prefix", "seg", "nexts").join(segments, ["prefix", "seg"]).select(
+            "block", "prefix", "nexts", "kept").mapInArrow(
+            _match, "block long, prefix long, next long, id long, split int").groupBy("block").agg(
+            F.collect_list(F.struct("prefix", "next", "id", "split")).alias("kept"))
+        state = stage(state.join(back, "block").select("block", "words", "ids", "grams", "numbers", "splits", "kept")
+                      .mapInArrow(_advance(length), _STATE), f"collocation_state_{length}")
     out = found[0]
     for level in found[1:]:
         out = out.unionByName(level)
@@ -248,17 +436,12 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
 
 
 def top_collocations(docs: DataFrame, top: int = TOP, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
-    """The first ``top`` phrases of each language by score, count and byte order.
-
-    A phrase among a language's first ones is among the first of its salt, so
-    the final task of a language reads at most ``RANK_SALTS * top`` rows.
-    """
-    found = collocations(docs, max_words, min_count).withColumn("_salt", F.abs(F.hash("phrase")) % RANK_SALTS)
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    ranked = lambda keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
-    first = found.withColumn("rank", ranked(["lang", "_salt"])).filter(F.col("rank") <= top)
-    return first.withColumn("rank", ranked(["lang"])).filter(F.col("rank") <= top).select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    """The first ``top`` phrases of each language by score, count and byte order, by their places in one sorted table."""
+    order = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    placed = number_in_order(collocations(docs, max_words, min_count), order, "place")
+    first = placed.groupBy("lang").agg(F.min("place").alias("first"))  # one row per language
+    return placed.join(first, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).filter(
+        F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 ORACLE_SQL = f"""
