@@ -49,7 +49,7 @@ from cctally.operators.dedup import number_in_order
 
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 #: Bytes of text of a block (or one longer text).
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 12_000_000
 #: A prefix that holds 1 / SPLIT of all words has one segment, a more frequent one several.
 SPLIT = 1000
 
@@ -80,16 +80,35 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, doc, piece
 
 
+_CODEC = "zstd"
+
+
+def packed(x: np.ndarray | None) -> bytes | None:
+    """An array as its length and its compressed bytes."""
+    return None if x is None else len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), _CODEC, asbytes=True)
+
+
+def unpacked(field: bytes | None, kind) -> np.ndarray | None:
+    if field is None:
+        return None
+    size = int.from_bytes(field[:8], "little") * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(field[8:], size, _CODEC) if size else b"", kind)
+
+
 _BLOCKS = "block long, tokens binary, pos int, lang string, word string, n long"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(block_bytes: int):
+    return lambda batches: _read_blocks(batches, block_bytes)
+
+
+def _read_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("block", pa.int64()), ("tokens", pa.binary()), ("pos", pa.int32()), ("lang", pa.string()),
                         ("word", pa.string()), ("n", pa.int64())])
     block = TaskContext.get().partitionId() << 33
     for batch in batches:
         langs = batch.column(0)
-        for first, texts in slices(batch.column(1), BLOCK_BYTES):
+        for first, texts in slices(batch.column(1), block_bytes):
             words, doc, piece = tokens_of(texts)
             if not len(words):
                 continue
@@ -101,7 +120,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             breaks = np.flatnonzero(piece[1:] != piece[:-1]) + 1
             tokens = np.insert(local.astype(np.int32), breaks, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([tokens.tobytes()], pa.binary()),
+                [pa.array([block], pa.int64()), pa.array([packed(tokens)], pa.binary()),
                  *[pa.nulls(1, f.type) for f in list(schema)[2:]]], schema=schema)
             n = len(vocabulary)
             yield pa.RecordBatch.from_arrays(
@@ -190,7 +209,6 @@ def _entries(nexts: pa.Array, counts: pa.Array | None) -> tuple[np.ndarray, np.n
     return row, step - before[row], count
 
 
-_CODEC = "zstd"
 _STATE = "block long, words binary, ids binary, grams binary, numbers binary, splits binary"
 
 
@@ -201,8 +219,7 @@ class Block:
         self.words, self.ids, self.grams, self.numbers, self.splits = words, ids, grams, numbers, splits
 
     def row(self, block: int) -> pa.RecordBatch:
-        fields = [None if x is None else len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), _CODEC, asbytes=True)
-                  for x in (self.words, self.ids, self.grams, self.numbers, self.splits)]
+        fields = [packed(x) for x in (self.words, self.ids, self.grams, self.numbers, self.splits)]
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), *[pa.array([f], pa.binary()) for f in fields]],
             names=[x.split()[0] for x in _STATE.split(", ")])
@@ -210,13 +227,7 @@ class Block:
     @staticmethod
     def read(fields: list) -> Block:
         """From the binary fields of a row; single words are their own prefixes and not written twice."""
-        def array(field: bytes | None, kind) -> np.ndarray | None:
-            if field is None:
-                return None
-            size = int.from_bytes(field[:8], "little") * np.dtype(kind).itemsize
-            return np.frombuffer(pa.decompress(field[8:], size, _CODEC) if size else b"", kind)
-
-        words, ids, grams, numbers, splits = map(array, fields, (np.int32, np.int64, np.int32, np.int64, np.int32))
+        words, ids, grams, numbers, splits = map(unpacked, fields, (np.int32, np.int64, np.int32, np.int64, np.int32))
         return Block(words, ids, words if grams is None else grams, ids if numbers is None else numbers, splits)
 
     def stripes(self, length: int):
@@ -265,7 +276,7 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, tokens, kept in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             pos, number, split = (kept.values.field(x).to_numpy() for x in ("pos", "id", "split"))
             order = np.argsort(number)
-            tokens = np.frombuffer(tokens.as_buffer(), np.int32)
+            tokens = unpacked(tokens.as_py(), np.int32)
             place = np.full(max(int(tokens.max()), int(pos.max())) + 2, -1, np.int32)  # the last stays -1, for gaps
             place[pos[order]] = np.arange(len(pos), dtype=np.int32)
             words = place[tokens]
@@ -355,25 +366,26 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["block", "prefix", "next", "id", "split"])
 
 
-def _numbered(counts: DataFrame, order: list, words: int, name: str) -> DataFrame:
+def _numbered(counts: DataFrame, order: list, share: float, name: str) -> DataFrame:
     """``counts`` with a number ``id`` and the segments ``split`` of each phrase, written."""
-    split = F.ceil(F.col("a") * SPLIT / max(words, 1)).cast("int")
+    split = F.ceil(F.col("a") * share).cast("int")
     return stage(number_in_order(counts, order, "id").withColumn("split", split), name)
 
 
-def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
+def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, block_bytes: int = BLOCK_BYTES,
+            split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
     """All phrases that occur ``min_count`` times, and the number of words of each language.
 
     ``lang, phrase, n_words, a`` for 1 to ``max_words`` words; ``lang, n``.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    blocks = stage(rows.mapInArrow(_blocks, _BLOCKS), "collocation_blocks")
+    blocks = stage(rows.mapInArrow(_blocks(block_bytes), _BLOCKS), "collocation_blocks")
     vocabulary = blocks.filter("word IS NOT NULL")
     totals = stage(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "collocation_totals")
-    words = totals.agg(F.sum("n")).first()[0] or 0
+    share = split / (totals.agg(F.sum("n")).first()[0] or 1)
     kept = _numbered(
         vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count),
-        [F.col("a").desc(), F.col("lang"), F.col("word")], words, "collocation_words")
+        [F.col("a").desc(), F.col("lang"), F.col("word")], share, "collocation_words")
     known = single = kept.select("id", "lang", F.col("word").alias("phrase"), "a")
     found = [single.withColumn("n_words", F.lit(1))]
     back = vocabulary.join(kept.select("lang", "word", "id", "split"), ["lang", "word"]).groupBy("block").agg(
@@ -384,7 +396,7 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_CO
         held = state.mapInArrow(_stripes(length), "block long, prefix long, seg int, nexts binary, counts binary")
         merged = held.select("prefix", "seg", "nexts", "counts").repartition("prefix", "seg").sortWithinPartitions(
             "prefix", "seg").mapInArrow(_merge(min_count), "prefix long, seg int, next long, a long")
-        kept = _numbered(merged, [F.col("prefix"), F.col("next")], words, f"collocation_kept_{length}")
+        kept = _numbered(merged, [F.col("prefix"), F.col("next")], share, f"collocation_kept_{length}")
         known = stage(
             kept.join(known.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head")), "prefix")
             .join(single.select(F.col("id").alias("next"), F.col("phrase").alias("tail")), "next")
@@ -406,9 +418,9 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_CO
     return out.select("lang", "phrase", "n_words", "a"), totals
 
 
-def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
+def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, **bounds) -> DataFrame:
     """``lang, phrase, n_words, a, l, r, n, score`` of every phrase of two words or more that no longer one replaces."""
-    counted, totals = phrases(docs, max_words, min_count)
+    counted, totals = phrases(docs, max_words, min_count, **bounds)
     counted = stage(counted, "collocation_phrases")
     candidates = counted.filter("n_words > 1")
     part = counted.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
@@ -435,10 +447,11 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
                        F.col("best.score").alias("score"))
 
 
-def top_collocations(docs: DataFrame, top: int = TOP, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
+def top_collocations(docs: DataFrame, top: int = TOP, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
+                     **bounds) -> DataFrame:
     """The first ``top`` phrases of each language by score, count and byte order, by their places in one sorted table."""
     order = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    placed = number_in_order(collocations(docs, max_words, min_count), order, "place")
+    placed = number_in_order(collocations(docs, max_words, min_count, **bounds), order, "place")
     first = placed.groupBy("lang").agg(F.min("place").alias("first"))  # one row per language
     return placed.join(first, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).filter(
         F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -328,7 +328,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end: int =
 def unused_share(pieces: DataFrame, length: int = LENGTH) -> float:
     """The share of padding in the sequences of ``pieces``: those that are no power of two are padded to ``length``."""
     size = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"))
-    power = F.shiftleft(F.lit(1).cast("long"), F.floor(F.log2("n") + 1e-9).cast("int")) == F.col("n")
+    power = F.col("n").bitwiseAND(F.col("n") - 1) == 0
     row = size.select("n", F.when(power, F.col("n")).otherwise(length).alias("room")).agg(
         F.sum("n").alias("n"), F.sum("room").alias("room")).first()
     return 0.0 if not row.room else 1 - row.n / row.room

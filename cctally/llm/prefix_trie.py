@@ -93,14 +93,14 @@ def rebuilt(conversations: DataFrame, family: int = 20, shared: int = 4, keep_te
     return opening.unionByName(own).unionByName(empty)
 
 
-def _walk(columns: dict[str, np.ndarray], band: int) -> Iterator[tuple]:
+def _walk(columns: dict[str, np.ndarray], band: int, size: int) -> Iterator[tuple]:
     """The nodes of one unit: key, parent's key, depth, words, members, ends (conversation ids, ascending)."""
-    low = band * BAND
+    low = band * size
     bit, pos, length = columns["bit"], columns["pos"], columns["length"]
     ids = dict(zip(bit.tolist(), columns["conv_id"].tolist(), strict=True))
     ends: dict[int, int] = {}
-    for b, size in dict(zip(bit.tolist(), length.tolist(), strict=True)).items():
-        ends[size] = ends.get(size, 0) | 1 << b
+    for b, turns in dict(zip(bit.tolist(), length.tolist(), strict=True)).items():
+        ends[turns] = ends.get(turns, 0) | 1 << b
     postings: dict[tuple, int] = {}
     turn_at: dict[tuple, tuple] = {}
     starts: dict[tuple, int] = {}
@@ -128,7 +128,7 @@ def _walk(columns: dict[str, np.ndarray], band: int) -> Iterator[tuple]:
     while stack:
         k1, k2, depth, bits = stack.pop()
         rest = bits & ~ends.get(depth, 0)
-        if depth == low + BAND:
+        if depth == low + size:
             continue
         while rest:
             turn, words = turn_at[(rest & -rest).bit_length() - 1, depth]
@@ -144,42 +144,44 @@ _ENTRIES = pa.schema([
     ("depth", pa.int64()), ("words", pa.int64()), ("members", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
 
-def _unit(key: tuple, rows: pa.Table) -> pa.Table:
-    shard, band = (k.as_py() for k in key)
-    found = list(_walk({c: rows[c].to_numpy() for c in rows.column_names}, band))
-    columns = list(zip(*found, strict=True)) if found else [[]] * 8
-    return pa.Table.from_arrays([pa.array(np.full(len(found), shard), pa.int64()), *[
-        pa.array(c, f.type) for c, f in zip(columns, list(_ENTRIES)[1:], strict=True)]], schema=_ENTRIES)
+def _unit(size: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        shard, band = (k.as_py() for k in key)
+        found = list(_walk({c: rows[c].to_numpy() for c in rows.column_names}, band, size))
+        columns = list(zip(*found, strict=True)) if found else [[]] * 8
+        return pa.Table.from_arrays([pa.array(np.full(len(found), shard), pa.int64()), *[
+            pa.array(c, f.type) for c, f in zip(columns, list(_ENTRIES)[1:], strict=True)]], schema=_ENTRIES)
+    return run
 
 
-def entries(turns: DataFrame) -> DataFrame:
-    """Step 2: one row per node and shard, with members and ends as lists of at most ``SHARD`` ids."""
+def entries(turns: DataFrame, shard: int = SHARD, band: int = BAND) -> DataFrame:
+    """Step 2: one row per node and shard, with members and ends as lists of at most ``shard`` ids."""
     sizes = turns.groupBy("conv_id").agg(F.count("pos").alias("length"))
     numbered = number_in_order(sizes, [F.col("conv_id")], "number").select(
-        "conv_id", "length", F.floor((F.col("number") - 1) / SHARD).alias("shard"),
-        ((F.col("number") - 1) % SHARD).cast("int").alias("bit"))
+        "conv_id", "length", F.floor((F.col("number") - 1) / shard).alias("shard"),
+        ((F.col("number") - 1) % shard).cast("int").alias("bit"))
     numbered = stage(numbered, "trie_numbers")
-    turns = turns.withColumn("band", F.floor(F.coalesce("pos", F.lit(0)) / BAND)).select(
+    turns = turns.withColumn("band", F.floor(F.coalesce("pos", F.lit(0)) / band)).select(
         "conv_id", F.coalesce("pos", F.lit(-1)).alias("pos"), F.coalesce("words", F.lit(0)).alias("words"), "band",
         F.xxhash64("pos", "digest").alias("z1"), F.xxhash64("digest", "pos", F.lit(1)).alias("z2"))
     # keys at the start of later bands; conversations of one band need none
-    long = numbered.filter(F.col("length") > BAND).select("conv_id")
+    long = numbered.filter(F.col("length") > band).select("conv_id")
     sums = turns.join(long, "conv_id", "left_semi").groupBy("conv_id", "band").agg(
         F.bit_xor("z1").alias("z1"), F.bit_xor("z2").alias("z2"))
     earlier = Window.partitionBy("conv_id").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("conv_id", "band", F.bit_xor("z1").over(earlier).alias("s1"), F.bit_xor("z2").over(earlier).alias("s2"))
     # one row per conversation and band, so that a long conversation's turns meet it in pieces
     banded = numbered.withColumn("band", F.explode(F.sequence(
-        F.lit(0), F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / BAND))))
+        F.lit(0), F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / band))))
     banded = banded.join(sums, ["conv_id", "band"], "left").withColumns(
         {"s1": F.coalesce("s1", F.lit(0)), "s2": F.coalesce("s2", F.lit(0))})
     units = turns.join(banded, ["conv_id", "band"])
     return units.groupBy("shard", "band").applyInArrow(
-        _unit, "shard long, k1 long, k2 long, p1 long, p2 long, depth long, words long, members array<long>, "
+        _unit(band), "shard long, k1 long, k2 long, p1 long, p2 long, depth long, words long, members array<long>, "
         "ends array<long>")
 
 
-def trie(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+def trie(turns: DataFrame, shard: int = SHARD, band: int = BAND) -> tuple[DataFrame, DataFrame]:
     """(nodes, ends) of the trie of ``turns`` (``conv_id, pos, digest, words``).
 
     Nodes: ``k1, k2, depth`` (the key), ``conv_id`` (smallest member),
@@ -187,7 +189,7 @@ def trie(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``k1, k2, depth, shard, ends``, lists that are ascending within and over
     shards.
     """
-    found = stage(entries(turns), "trie_entries")
+    found = stage(entries(turns, shard, band), "trie_entries")
     nodes = found.groupBy(*KEY).agg(
         F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.max("words").alias("words"),
         F.min(F.col("members")[0]).alias("conv_id"), F.sum(F.size("members")).alias("n_convs"))
@@ -195,9 +197,9 @@ def trie(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     children = nodes.filter("depth > 0").groupBy(
         F.col("p1").alias("k1"), F.col("p2").alias("k2"), (F.col("depth") - 1).alias("depth")).agg(
         F.count(F.lit(1)).alias("n_children"))
-    band = F.floor(F.col("depth") / BAND)
+    of_band = F.floor(F.col("depth") / band)
     nodes = nodes.join(children, KEY, "left").select(
-        *KEY, "conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), band.alias("band"),
+        *KEY, "conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), of_band.alias("band"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("saving"))
     nodes = stage(nodes, "trie_counted")
     chains = nodes.groupBy("conv_id").agg(
@@ -206,8 +208,8 @@ def trie(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     chains = stage(chains, "trie_chains")
     # what hangs below a node: the chains whose top lies deeper on a path through it
     paths = found.join(nodes.select(*KEY, F.col("conv_id").alias("owner")), KEY).select(
-        *KEY, "owner", band.alias("band"), F.explode("members").alias("conv_id"))
-    above = chains.withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("top") / BAND))))
+        *KEY, "owner", of_band.alias("band"), F.explode("members").alias("conv_id"))
+    above = chains.withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("top") / band))))
     paths = stage(paths.join(above, ["conv_id", "band"]).filter("depth < top").select(
         *KEY, "owner", "conv_id", "top", "savings", "leaf"), "trie_paths")
     below = paths.groupBy(*KEY).agg(F.sum("savings").alias("hung"), F.sum("leaf").alias("leaves"))
@@ -254,9 +256,9 @@ def _hash_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*node, state.hexdigest())], names=names)
 
 
-def digests(turns: DataFrame) -> DataFrame:
+def digests(turns: DataFrame, shard: int = SHARD, band: int = BAND) -> DataFrame:
     """The nodes with ``ends_sha256``; a node's end lists pass through one digest as a stream, never held together."""
-    nodes, ends = trie(turns)
+    nodes, ends = trie(turns, shard, band)
     hashed = ends.repartition(*KEY).sortWithinPartitions(*KEY, "shard").select(*KEY, "ends").mapInArrow(
         _hash_lists, "k1 long, k2 long, depth long, ends_sha256 string")
     return nodes.join(hashed, KEY, "left").select(

@@ -334,11 +334,17 @@ def retained_contexts(blocks: DataFrame, counted: DataFrame, total: int) -> Data
     return gains.filter(best >= TOKEN_GAIN).select("context", weight.alias("weight"))
 
 
+def add(count: np.ndarray, weight, logp: np.ndarray) -> np.ndarray:
+    """log10(count + weight * 10**logp), also where the power is too small for a float."""
+    with np.errstate(divide="ignore"):  # a count of 0 adds nothing
+        return np.logaddexp(np.log(count), np.log(weight) + logp * np.log(10)) / np.log(10)
+
+
 def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
     scale = total + 0.1 * (distinct + 1)
     base = lambda c: np.log10((c + 0.1) / scale)
     # the root: counts smoothed with the spelling, weighted by the number of distinct tokens
-    root = lambda c, logp: np.log10((c + max(distinct, 1) * 10.0 ** logp) / (total + max(distinct, 1)))
+    root = lambda c, logp: add(c, max(distinct, 1), logp) - np.log10(total + max(distinct, 1))
     read = lambda b, kind=np.int32: np.frombuffer(b, kind)
 
     def run(docs: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
@@ -355,7 +361,7 @@ def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
         heads, following = read(own["heads"]), read(own["following"])
         p, w = plain[following], weight[heads]
         use = np.where(w > 0, w, 1.0)
-        gain = np.where(w > 0, np.log10((counts[size:] + use * 10.0 ** p) / (c[heads] + use)) - p, 0.0)
+        gain = np.where(w > 0, add(counts[size:], use, p) - np.log10(c[heads] + use) - p, 0.0)
         out = []
         columns = ["doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts"]
         for doc_id, held, n, *bags in docs.loc[~of_block, columns].itertuples(index=False):
