@@ -66,9 +66,10 @@ def whole_days(start, as_of) -> Column:
     floored like a pandas ``Timedelta.days`` (a start at 10:00 thirty days
     before gives 29, negatives floor too)."""
     start_ts = _c(start).cast("timestamp_ntz")
-    end_ts = as_date(as_of).cast("timestamp_ntz")
-    secs = F.timestamp_diff("SECOND", start_ts, end_ts)
-    return F.floor(secs / F.lit(86400)).cast("int")
+    day = F.to_date(start_ts)
+    # dates and the time within the day, so that no zone's clock change takes part
+    late = (start_ts > day.cast("timestamp_ntz")).cast("int")
+    return (F.date_diff(as_date(as_of), day) - late).cast("int")
 
 
 def parse_timestamp(c) -> Column:
@@ -113,6 +114,13 @@ def month_starts(as_of) -> tuple[_dt.date, _dt.date]:
     return cur, prev
 
 
+def contact_folder_paths(base: str, cloud: str | None, as_of, names=MONTH_NAMES_ES) -> list[str]:
+    """The contact-list folders in the order in which they win: the current load, the history of the
+    month of ``as_of`` and of the month before, then the folder of cloud bases."""
+    base = base.rstrip("/")
+    return [f"{base}/Cargue Actual", *month_folder_paths(f"{base}/Historico", as_of, names), *([cloud] if cloud else [])]
+
+
 def month_folder_paths(root: str, as_of, names=MONTH_NAMES_ES) -> list[str]:
     """``<root>/<yyyy>/<MM. Name>`` folders of the month of ``as_of`` and
     of the month before (a path list built from a parameter, not a listing)."""

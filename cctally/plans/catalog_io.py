@@ -12,11 +12,13 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..operators.lookup import first_wins
 from ..operators.project import union_all_by_name
 from ..session import staging_dir
 from ..sources import readers, sinks
 from . import jobs
 from .catalog import AS_OF, register, views
+from .rules_config import JobInputs
 
 
 def _text_lines(df, path, *, encoding="UTF-8", partition_by=None):
@@ -261,3 +263,161 @@ def q_month_folder_pruning(spark, sf_dir):
                                      F.month("o_orderdate").alias("month"))
     sinks.write_table(o, root, partition_by=["year", "month"])
     return readers.read_month_partitions(spark, root, AS_OF).select("o_orderkey", "year", "month")
+
+
+@register("wide_rows_exact", """
+SELECT CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS text, lang, 'kept' AS status FROM documents
+UNION ALL SELECT CAST(doc_id AS VARCHAR), coalesce(source, '') || ' 5" x', NULL, 'kept' FROM documents
+UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, NULL, 'too_wide' FROM documents""")
+def q_wide_rows_exact(spark, sf_dir):
+    """Whole texts with quotes, separators and line breaks, short
+    rows with an inch mark, and too-wide rows, read back byte for byte."""
+    views(spark, sf_dir, "documents")
+    base = staging_dir(spark, "exact")
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    d = spark.table("documents").withColumns({"id": F.col("doc_id").cast("string"), "part": F.col("doc_id") % 4})
+    body = d.select("part", F.lit(1).alias("o"), F.explode(F.array(
+        F.concat("id", F.lit(";"), quoted, F.lit(";"), F.coalesce("lang", F.lit(""))),
+        F.concat("id", F.lit(";"), F.coalesce("source", F.lit("")), F.lit(' 5" x')),
+        F.concat("id", F.lit(';"a;b\n""c""";5" y;z;LOST"')))).alias("line"))
+    header = d.select("part", F.lit(0).alias("o"), F.lit("id;text;lang").alias("line")).distinct()
+    # one hash partition per folder value: its header line sorts first in its file
+    lines = union_all_by_name([header, body]).repartition("part").sortWithinPartitions("part", "o")
+    lines.select("part", "line").write.partitionBy("part").text(base)
+    res = readers.read_delimited(spark, [f"{base}/part={k}" for k in range(4)], ["id", "text", "lang"], pattern="*.txt",
+                                 na_tokens=None)
+    landed = readers.land(res)
+    rejected = landed.rejects.select(F.split_part("raw", F.lit(";"), F.lit(1)).alias("id"), F.lit(None).cast("string").alias("text"),
+                                     F.lit(None).cast("string").alias("lang"), F.col("reason").alias("status"))
+    return landed.rows.select("id", "text", "lang", F.lit("kept").alias("status")).unionByName(rejected)
+
+
+@register("root_order_first_wins", """
+SELECT CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_custkey % 2 = 0 THEN 'first ' || c_mktsegment ELSE 'second ' || c_mktsegment END AS segment
+FROM customer""")
+def q_root_order_first_wins(spark, sf_dir):
+    """Two roots hold the same keys; the root given first wins, whatever
+    its name, through the written contact base (L2) and its source order."""
+    views(spark, sf_dir, "customer")
+    base = staging_dir(spark, "ranked")
+    c = spark.table("customer")
+    row = lambda label: [F.col("c_custkey").alias("inin-outbound-id"), F.concat(
+        F.lit(label), F.col("c_mktsegment")).alias("Segment_of_Origin")]
+    sinks.write_delimited(c.where(F.col("c_custkey") % 2 == 0).select(*row("first ")), f"{base}/z", sep=",")
+    sinks.write_delimited(c.select(*row("second ")), f"{base}/a", sep=";")
+    jobs.run_contact_base(spark, [f"{base}/z", f"{base}/a"], f"{base}/out", ordered_out=f"{base}/out_ordered")
+    handed = spark.read.parquet(f"{base}/out_ordered")
+    return first_wins(handed, "contact_id", ["segment"], ["_ord"]).select(F.col("contact_id").alias("id"), "segment")
+
+
+@register("keyvalue_bare_cells", """
+SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_brand AS brand, 'kept' AS status FROM part
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, NULL, 'kept' FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, NULL, 'bare_cell' FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, NULL, 'unknown_key' FROM part WHERE p_partkey % 5 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, NULL, 'kept' FROM part WHERE p_partkey % 5 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, p_brand, 'kept' FROM part WHERE p_partkey % 7 = 0""")
+def q_keyvalue_bare_cells(spark, sf_dir):
+    """Bare cells take the key of their place or are rejected, bare
+    lines are rows, unknown keys are rejected; keys declared, so one scan."""
+    views(spark, sf_dir, "part")
+    base = staging_dir(spark, "bare")
+    p = spark.table("part")
+    key, name, brand = F.concat(F.lit("ID="), "p_partkey"), F.col("p_name"), F.concat(F.lit("BRAND="), "p_brand")
+    lines = union_all_by_name([
+        p.select(F.concat_ws("|", key, name, brand).alias("line")),
+        p.where("p_partkey % 3 = 0").select(F.concat_ws("|", key, name, F.lit(""), F.lit("plain")).alias("line")),
+        p.where("p_partkey % 5 = 0").select(F.concat_ws("|", key, F.lit("COLOUR=red")).alias("line")),
+        p.where("p_partkey % 7 = 0").select(F.concat_ws("|", "p_partkey", name, "p_brand").alias("line"))])
+    _text_lines(lines, base, encoding="ISO-8859-1")
+    res = readers.read_keyvalue_parsed(spark, [base], ["ID", "NAME", "BRAND"], pattern="*.csv")
+    blank = lambda c: F.when(F.col(c) != "", F.col(c))
+    kept = res.data.select(F.col("ID").alias("key"), blank("NAME").alias("name"), blank("BRAND").alias("brand"),
+                           F.lit("kept").alias("status"))
+    lost = res.rejects.select(F.regexp_extract("raw", r"ID=(\d+)", 1).alias("key"), F.lit(None).cast("string").alias("name"),
+                              F.lit(None).cast("string").alias("brand"), F.col("reason").alias("status"))
+    return kept.unionByName(lost)
+
+
+def _run_all_today(d):
+    """Interactions of the run: one call per order, twice for some (removed as duplicates)."""
+    return """SELECT 'x_agent ' || CAST(o_custkey % 50 AS STRING) || '_v' AS "Usuarios",
+             '15/03/1997 ' || lpad(CAST(8 + o_orderkey % 12 AS STRING), 2, '0') || ':15' AS "Fecha",
+             'Q' || CAST(o_orderkey % 3 AS STRING) AS "Cola", 'VOLVER A LLAMAR' AS "Conclusión",
+             'K' || CAST(o_custkey AS STRING) AS "Identificación de contacto", 'Saliente' AS "Dirección",
+             '569' || lpad(CAST(o_orderkey AS STRING), 8, '0') AS "DNIS" FROM orders""".replace(
+        '"', "`" if d == "spark" else '"')
+
+
+@register("run_all", f"""
+WITH today AS ({_run_all_today('duckdb')}),
+first AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS bucket
+          FROM customer WHERE c_custkey % 3 <> 0)
+SELECT 'consolidated' AS tbl, coalesce(bucket, 'No Encontrado') AS key, count(*) AS n
+  FROM today LEFT JOIN first ON "Identificación de contacto" = 'K' || id GROUP BY ALL
+UNION ALL SELECT 'accumulated', 'Q' || CAST(o_orderkey % 3 AS VARCHAR), count(*) FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL
+UNION ALL SELECT 'contact_base', 'rows', count(*) + count(*) FILTER (c_custkey % 2 = 0) FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'base_counts', 'main', count(*) FROM supplier
+UNION ALL SELECT 'keyvalue_base', 'rows', count(*) FROM part
+UNION ALL SELECT 'form_report', 'rows', count(*) FROM supplier
+UNION ALL SELECT 'record_count', 'records', count(*) FROM part
+UNION ALL SELECT 'rejects', 'too_wide', count(*) FROM nation
+UNION ALL SELECT 'metrics', 'duplicates_removed', count(*) FROM orders WHERE o_orderkey % 4 = 0
+UNION ALL SELECT 'metrics', 'resumed jobs', 5 FROM region WHERE r_regionkey = 0""")
+def q_run_all(spark, sf_dir):
+    """L1 to L8 as one run over raw folders, every written table read
+    back: buckets by the first root that has the contact, accumulated rows
+    under report headers, counts, rejects; a resumed run repeats no job."""
+    views(spark, sf_dir, "orders", "customer", "supplier", "part", "nation", "region")
+    base = staging_dir(spark, "run_all")
+    today = spark.sql(_run_all_today("spark"))
+    fields = lambda df: df.select(F.concat_ws(";", *[f"`{c}`" for c in today.columns]).alias("line"))
+    again = today.where(F.right("DNIS", F.lit(8)).cast("long") % 4 == 0)
+    body = union_all_by_name([fields(today), fields(again), spark.table("nation").select(
+        F.concat_ws(";", *["n_name"] * 9).alias("line"))]).withColumn("part", F.crc32("line") % 2)
+    header = body.select("part", F.lit(0).alias("o"), F.lit(";".join(today.columns)).alias("line")).distinct()
+    lines = union_all_by_name([header, body.withColumn("o", F.lit(1))]).repartition("part").sortWithinPartitions("part", "o")
+    _text_lines(lines.select("part", "line"), f"{base}/today", partition_by=["part"])
+    past = today.withColumns({"Fecha": F.lit("03/03/1997 10:15"), "Conclusión": F.lit("C; ACEPTA AGENDA - MIGRACION")})
+    even = spark.table("orders").where("o_orderkey % 2 = 0").select(
+        F.concat(F.lit("569"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("DNIS"))
+    sinks.write_delimited(past.join(even, "DNIS", "left_semi"), f"{base}/hist/1997/03. Marzo")
+    contacts = lambda label, keep: sinks.write_delimited(spark.table("customer").where(keep).select(
+        F.concat(F.lit("K"), "c_custkey").alias("inin-outbound-id"), F.lit(label).alias("Segment_of_Origin")), f"{base}/lists/{label}")
+    contacts("second", "c_custkey % 3 <> 0")
+    contacts("first", "c_custkey % 3 <> 0 and c_custkey % 2 = 0")
+    sinks.write_delimited(spark.table("supplier").select("s_suppkey", "s_name"), f"{base}/bases")
+    _text_lines(spark.table("part").select(F.concat(F.lit("ID="), "p_partkey", F.lit("|NAME="), "p_name").alias("line")),
+                f"{base}/records", encoding="ISO-8859-1")
+    out = f"{base}/out"
+    stages = {"contact_roots": [f"{base}/lists/first", f"{base}/lists/second"], "contact_out": f"{out}/contact_base",
+              "accumulated_root": f"{base}/hist", "accumulated_out": f"{out}/accumulated",
+              "today_root": [f"{base}/today/part=0", f"{base}/today/part=1"], "consolidated_out": f"{out}/consolidated",
+              "bases_root": f"{base}/bases", "keyvalue_roots": [f"{base}/records"], "keyvalue_pattern": "*.csv",
+              "keyvalue_keys": ["ID", "NAME"], "keyvalue_out": f"{out}/keyvalue", "form_out": f"{out}/form",
+              "form": spark.table("supplier").select(F.col("s_suppkey").alias("event_id"), F.lit("u").alias("user")),
+              "report_headers": True, "state_out": f"{out}/state"}
+    inputs = JobInputs(file_rules=((("PART",), "main"),), bucket_columns={"main": "main"})
+    report = jobs.run_all(spark, as_of=AS_OF, stages=stages, inputs=inputs)
+    resumed = jobs.run_all(spark, as_of=AS_OF, stages=stages, inputs=inputs, resume=True)
+    skipped = sum(r.get("status") == "done before" for r in resumed.values())
+
+    def counted(path, tbl, key):
+        df = spark.read.parquet(f"{out}/{path}")
+        return df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(tbl).alias("tbl"), "key", "n")
+
+    rows = F.lit("rows")
+    one = spark.table("region").where("r_regionkey = 0")
+    metric = lambda key, n: one.select(F.lit("metrics").alias("tbl"), F.lit(key).alias("key"), F.lit(n).cast("long").alias("n"))
+    return union_all_by_name([
+        counted("consolidated/consolidated", "consolidated", F.col("Bucket")),
+        counted("consolidated/accumulated", "accumulated", F.col("Cola")),
+        counted("contact_base", "contact_base", rows),
+        spark.read.parquet(f"{out}/consolidated/base_counts").select(
+            F.lit("base_counts").alias("tbl"), F.lit("main").alias("key"), F.col("main").alias("n")),
+        counted("keyvalue", "keyvalue_base", rows), counted("form/form_report", "form_report", rows),
+        spark.read.parquet(f"{out}/form/record_count").select(
+            F.lit("record_count").alias("tbl"), F.lit("records").alias("key"), F.col("records").alias("n")),
+        counted("consolidated_rejects", "rejects", F.col("reason")),
+        metric("duplicates_removed", report["consolidated_metrics"]["duplicates_removed"]), metric("resumed jobs", skipped)])

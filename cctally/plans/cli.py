@@ -55,12 +55,13 @@ def run(spark: SparkSession, job: str, cfg: dict, as_of: dt.date) -> dict:
         return jobs.run_accumulated(spark, paths["accumulated_root"], dims["staffing"], paths["accumulated_out"],
                                     as_of=as_of, inputs=inputs)
     if job == "contact-base":
-        return jobs.run_contact_base(spark, paths["contact_roots"], paths["contact_out"])
+        return jobs.run_contact_base(spark, paths.get("contact_roots"), paths["contact_out"], as_of=as_of,
+                                     base_root=paths.get("contact_base_root"), cloud_root=paths.get("contact_cloud_root"))
     if job == "keyvalue-base":
         return jobs.run_keyvalue_base(spark, paths["keyvalue_roots"], paths["keyvalue_out"])
     if job == "consolidated":
         stages = dict(paths, staffing=dims["staffing"], quartiles=dims["quartiles"], shifts=dims["shifts"])
-        return jobs.run_all(spark, as_of=as_of, stages=stages, inputs=inputs)
+        return jobs.run_all(spark, as_of=as_of, stages=stages, inputs=inputs, resume=bool(cfg.get("resume")))
     if job == "form-report":
         form = dimension(spark, cfg["dimensions"]["form"])
         campaign = None

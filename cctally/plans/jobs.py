@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def accumulated_contacts(interactions: DataFrame, staffing: DataFrame | None, *,
     df = with_columns_present(interactions, ACCUMULATED_INPUT).withColumn("agent", agent)
 
     if staffing is not None:
-        dim = staffing.withColumn("__name", T.collapse_title(_c("full_name")))
+        dim = with_columns_present(staffing, ["full_name"]).withColumn("__name", T.collapse_title(_c("full_name")))
         df = lookup(df, dim, fact_key="agent", dim_key="__name", values=["supervisor"], order=["_ord"])
     else:
         df = df.withColumn("supervisor", F.lit(C.NO_QUEUE))
@@ -84,7 +85,7 @@ def accumulated_contacts(interactions: DataFrame, staffing: DataFrame | None, *,
 
 # --- L2 contact base ---------------------------------------------------------------
 
-def contact_base(raw: DataFrame) -> DataFrame:
+def contact_base(raw: DataFrame, keep_order: bool = False) -> DataFrame:
     """L2: cleaned contact lists.  Input: the contact-list columns present
     (contact_id, effective_date, person_id, phone_1, phone_2, segment)."""
     strings = [c for c in raw.columns if c not in (readers.ORD_COL,)]
@@ -98,7 +99,8 @@ def contact_base(raw: DataFrame) -> DataFrame:
             df = df.withColumn(p, T.phone_suffix(_c(p), 9, strip_first=True))   # X10
     df = df.withColumns({c: T.repair_text(_c(c), C.REPAIR_TO_ACCENTS)          # X6
                          for c in df.columns if c in schemas.CONTACT_BASE_COLUMNS})
-    return fixed_order(df, schemas.CONTACT_BASE_COLUMNS, fill_missing=True)
+    order = [readers.ORD_COL] if keep_order else []
+    return fixed_order(df, [*schemas.CONTACT_BASE_COLUMNS, *order], fill_missing=True)
 
 
 # --- L4 consolidation ----------------------------------------------------------------
@@ -150,7 +152,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
 
     # Contact id, then phone in either phone column
     if contact_list is not None:
-        cl = contact_list.withColumns({
+        cl = with_columns_present(contact_list, ["contact_id", "phone_1", "phone_2", "segment"]).withColumns({
             "__id": T.py_strip(_c("contact_id")),
             "__p1": T.py_strip(_c("phone_1")),
             "__p2": T.py_strip(_c("phone_2")),
@@ -164,7 +166,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     # J1 + J9: staffing by canonical name
     staff_values = ["andes", "supervisor", "start_date", "dni", "site"]
     if staffing is not None:
-        st = staffing.withColumn("__name", T.collapse_title(_c("full_name")))
+        st = with_columns_present(staffing, ["full_name"]).withColumn("__name", T.collapse_title(_c("full_name")))
         df = lookup(df, st, fact_key="agent", dim_key="__name", values=staff_values, order=["_ord"],
                     fill={"site": inputs.default_site} if inputs.default_site else None,
                     broadcast=small["staff"])
@@ -182,7 +184,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     df = df.withColumn("dni", T.py_strip(_c("dni")))
     for dim, val in ((quartiles, "quartile"), (shifts, "shift")):
         if dim is not None:
-            d = dim.withColumn("__dni", T.py_strip(_c("dni")))
+            d = with_columns_present(dim, ["dni"]).withColumn("__dni", T.py_strip(_c("dni")))
             df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"],
                         broadcast=small[val])
         else:
@@ -226,7 +228,7 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
     small = prove_small({"staff": staffing, "calls": calls, "quartile": quartiles, "shift": shifts})
     staff_values = ["platform_user", "full_name", "supervisor", "start_date", "dni", "site"]
     if staffing is not None and "user" in df.columns:
-        st = staffing.withColumns({
+        st = with_columns_present(staffing, staff_values).withColumns({
             "__key": T.py_strip(_c("platform_user")),
             "full_name": T.collapse_title(_c("full_name")),
             "dni": T.numeric_id_text(_c("dni")),
@@ -244,7 +246,7 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
         df = df.withColumns({c: F.lit("Error") for c in staff_values})
 
     if calls is not None and "full_name" in df.columns:
-        cl = calls.withColumn("__name", T.replace_values(T.name_swap(_c("Name")), inputs.name_fixes))
+        cl = with_columns_present(calls, ["Name"]).withColumn("__name", T.replace_values(T.name_swap(_c("Name")), inputs.name_fixes))
         metric_cols = [c for c in cl.columns if c not in ("__name", "Name", "_ord")]
         df = lookup(df, cl, fact_key="full_name", dim_key="__name", values=metric_cols,
                     order=["_ord"], dedupe=dedupe_calls, broadcast=small["calls"])           # J4
@@ -252,7 +254,7 @@ def form_report(form: DataFrame, staffing: DataFrame | None, calls: DataFrame |
     if "dni" in df.columns:
         for dim, val in ((quartiles, "quartile"), (shifts, "shift")):
             if dim is not None:
-                d = dim.withColumn("__dni", T.numeric_id_text(_c("dni")))                    # X18
+                d = with_columns_present(dim, ["dni"]).withColumn("__dni", T.numeric_id_text(_c("dni")))   # X18
                 df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"],
                             broadcast=small[val])
     return drop_present(df, C.FORM_DROP_COLUMNS + ("_ord",))
@@ -291,35 +293,57 @@ def daily_base_counts(rows: DataFrame, *, as_of, inputs: JobInputs, file_col: st
 
 # --- runners: read folders, write outputs (L9) ----------------------------------------------
 
+def _rejects(landed: readers.Landed, out: str) -> None:
+    """Every runner leaves its rejects beside its output (an empty table when there are none)."""
+    sinks.write_table(landed.rejects, out.rstrip("/") + "_rejects")
+
+
 def run_accumulated(spark: SparkSession, root: str, staffing: DataFrame | None, out: str, *,
-                    as_of, inputs: JobInputs = JobInputs()) -> dict:
+                    as_of, inputs: JobInputs = JobInputs(), report_headers: bool = False) -> dict:
     """L1 over ``<root>/<yyyy>/<MM. Month>`` of this and the previous month."""
     paths = D.month_folder_paths(root, as_of)
     res = readers.read_delimited(spark, paths, list(schemas.INTERACTION_HEADERS.values()),
                                  rename=schemas.header_repairs(schemas.INTERACTION_HEADERS))
     if res.empty:
         return {"status": "no input", "files": res.files}
-    inter, seen = A.observe_counts(res.data.withColumnRenamed(readers.FILE_COL, "source_file"), "read")
+    landed = readers.land(res)
+    inter = landed.rows.withColumnRenamed(readers.FILE_COL, "source_file")
     result, kept = A.observe_counts(accumulated_contacts(inter, staffing, as_of=as_of, inputs=inputs), "kept")
-    sinks.write_delimited(result, out)
-    rejected = res.rejects.count()
+    sinks.write_delimited(schemas.report_headers(result, schemas.ACCUMULATED_REPORT) if report_headers else result, out)
+    _rejects(landed, out)
     return {"status": "written", "files": res.files,
-            "metrics": {"rows_read": seen.get["rows"], "rows_rejected": rejected,
+            "metrics": {"rows_read": landed.n_rows, "rows_rejected": landed.n_rejected,
                         "rows_written": kept.get["rows"],
-                        "rows_filtered": A.removed_rows(seen.get["rows"], kept.get["rows"])}}
+                        "rows_filtered": A.removed_rows(landed.n_rows, kept.get["rows"])}}
 
 
-def run_contact_base(spark: SparkSession, roots: Sequence[str], out: str) -> dict:
-    """L2 over several roots (comma or semicolon, UTF-8 or Latin-1)."""
+def run_contact_base(spark: SparkSession, roots: Sequence[str] | None, out: str, *, as_of=None,
+                     base_root: str | None = None, cloud_root: str | None = None,
+                     ordered_out: str | None = None) -> dict:
+    """L2 over several roots (comma or semicolon, UTF-8 or Latin-1).
+
+    Without ``roots`` the four folders of ``as_of`` are read (current load,
+    two months of history, cloud bases). ``ordered_out`` is the hand-over to
+    later jobs: the same table with its source order (``_ord``: rank of the
+    root, file, place), so that the first root wins in the lookups that read it.
+    """
+    if roots is None:
+        roots = D.contact_folder_paths(base_root, cloud_root, as_of)
     res = readers.read_delimited(spark, roots, list(schemas.CONTACT_LIST_HEADERS.values()),
                                  delimiters=(",", ";"), delimiter_mode="fallback", deep_headers=True,
                                  rename=schemas.CONTACT_LIST_HEADERS)
     if res.empty:
         return {"status": "no input", "files": res.files}
-    out_df, kept = A.observe_counts(contact_base(res.data), "kept")
-    sinks.write_table(out_df, out)
+    landed = readers.land(res)
+    out_df, kept = A.observe_counts(contact_base(landed.rows, keep_order=True), "kept")
+    if ordered_out:
+        sinks.write_table(out_df, ordered_out)
+        sinks.write_table(spark.read.parquet(ordered_out).drop(readers.ORD_COL), out)
+    else:
+        sinks.write_table(out_df.drop(readers.ORD_COL), out)
+    _rejects(landed, out)
     return {"status": "written", "files": res.files,
-            "metrics": {"rows_written": kept.get["rows"], "rows_rejected": res.rejects.count()}}
+            "metrics": {"rows_written": kept.get["rows"], "rows_rejected": landed.n_rejected}}
 
 
 def run_daily_base_counts(spark: SparkSession, root: str, *, as_of, inputs: JobInputs,
@@ -348,51 +372,130 @@ def run_record_count(spark: SparkSession, roots, *, pattern: str = "*.rsl",
 
 def run_keyvalue_base(spark: SparkSession, roots, out: str, *, pattern: str = "*.rsl",
                       keys: Sequence[str] | None = None, drop_first_line: bool = False) -> dict:
-    """L3: key=value exports -> one table with the source file per row."""
-    df = readers.read_keyvalue(spark, roots, keys, pattern=pattern, drop_first_line=drop_first_line)
-    if df is None:
+    """L3: key=value exports -> one table with the source file per row, and the rejects."""
+    res = readers.read_keyvalue_parsed(spark, roots, keys, pattern=pattern, drop_first_line=drop_first_line)
+    if res.empty:
         return {"status": "no input"}
-    sinks.write_table(df.drop(readers.ORD_COL), out)
-    return {"status": "written"}
+    rows, kept = A.observe_counts(res.data.drop(readers.ORD_COL), "kept")
+    sinks.write_table(rows, out)
+    sinks.write_table(res.rejects, out.rstrip("/") + "_rejects")
+    return {"status": "written", "metrics": {"rows_written": kept.get["rows"]}}
 
 
 def run_form_report(spark: SparkSession, *, form: DataFrame, staffing: DataFrame | None,
                     calls: DataFrame | None, quartiles: DataFrame | None, shifts: DataFrame | None,
                     campaign_raw: DataFrame | None, rsl_roots, out: str, as_of,
-                    inputs: JobInputs = JobInputs()) -> dict:
+                    inputs: JobInputs = JobInputs(), rsl_pattern: str = "*.rsl") -> dict:
     """L5 + L6 + L7 written as one multi-table output (K3); the campaign
     table is optional and skipped when empty (K4)."""
     tables = {
         "form_report": form_report(form, staffing, calls, quartiles, shifts, as_of=as_of, inputs=inputs),
         "campaign_activity": campaign_activity(campaign_raw, inputs=inputs) if campaign_raw is not None else None,
-        "record_count": run_record_count(spark, rsl_roots),
+        "record_count": run_record_count(spark, rsl_roots, pattern=rsl_pattern),
     }
     return sinks.write_tables(tables, out, optional={"campaign_activity"})
 
 
-def run_all(spark: SparkSession, *, as_of, stages: dict, inputs: JobInputs = JobInputs()) -> dict:
-    """Explicit order -- contact base and accumulated first, then the
-    consolidation that reads them (no producer/consumer race)."""
-    report = {}
-    report["contact_base"] = run_contact_base(spark, stages["contact_roots"], stages["contact_out"])
-    staffing = stages.get("staffing")
-    report["accumulated"] = run_accumulated(spark, stages["accumulated_root"], staffing,
-                                            stages["accumulated_out"], as_of=as_of, inputs=inputs)
+def _ordered(stages: dict) -> str:
+    """Where the contact base is handed over with its source order."""
+    return stages["contact_out"].rstrip("/") + "_ordered"
+
+
+def run_consolidated(spark: SparkSession, *, as_of, stages: dict, inputs: JobInputs = JobInputs()) -> dict:
+    """L4 over the written contact base and accumulated report: three tables (K3) and the rejects.
+
+    ``consolidated`` is written in order of time (nulls last), ``base_counts``
+    is there when ``bases_root`` is given, ``accumulated`` is the written
+    report or a notice (S15).
+    """
     res = readers.read_delimited(spark, stages["today_root"], list(schemas.INTERACTION_HEADERS.values()),
                                  rename=schemas.header_repairs(schemas.INTERACTION_HEADERS))
     if res.empty:
-        report["consolidated"] = {"status": "no input"}
-        return report
-    inter, seen = A.observe_counts(res.data.withColumnRenamed(readers.FILE_COL, "source_file"), "read")
-    cl = spark.read.parquet(stages["contact_out"]).withColumn("_ord", F.monotonically_increasing_id()) \
-        if report["contact_base"]["status"] == "written" else None
-    cons = consolidated_interactions(inter, cl, staffing, stages.get("quartiles"), stages.get("shifts"),
-                                     as_of=as_of, inputs=inputs)
-    cons, kept = A.observe_counts(cons, "kept")
-    prev = readers.read_optional(spark, stages["accumulated_out"])
-    report["consolidated"] = sinks.write_tables(
-        {"consolidated": cons, "accumulated": prev}, stages["consolidated_out"])
+        return {"status": "no input", "files": res.files}
+    landed = readers.land(res)
+    inter = landed.rows.withColumnRenamed(readers.FILE_COL, "source_file")
+    written = readers.existing_roots(spark, [_ordered(stages)])
+    cons = consolidated_interactions(inter, spark.read.parquet(*written) if written else None, stages.get("staffing"),
+                                     stages.get("quartiles"), stages.get("shifts"), as_of=as_of, inputs=inputs)
+    cons = cons.orderBy(_c("time").asc_nulls_last(), "source_file", "agent", "phone", "disposition", "bucket")
+    cons, kept = A.observe_counts(cons, "kept")  # after the sort, whose sampling reads its input once more
+    if stages.get("report_headers"):
+        cons = schemas.report_headers(cons, schemas.CONSOLIDATED_REPORT)
+    tables = {"consolidated": cons}
+    if stages.get("bases_root"):
+        tables["base_counts"] = run_daily_base_counts(spark, stages["bases_root"], as_of=as_of, inputs=inputs)
+    tables["accumulated"] = readers.read_optional(spark, stages["accumulated_out"])
+    status = sinks.write_tables(tables, stages["consolidated_out"])
+    _rejects(landed, stages["consolidated_out"])
     # A4: lookups keep every row, so the difference is what the dedup removed
-    report["consolidated_metrics"] = {"rows_read": seen.get["rows"], "rows_written": kept.get["rows"],
-                                      "duplicates_removed": A.removed_rows(seen.get["rows"], kept.get["rows"])}
+    return {"status": "written", "tables": status, "files": res.files, "metrics": {
+        "rows_read": landed.n_rows, "rows_rejected": landed.n_rejected, "rows_written": kept.get["rows"],
+        "duplicates_removed": A.removed_rows(landed.n_rows, kept.get["rows"])}}
+
+
+#: Job -> the jobs whose written tables it reads. A job that lacks its folders is left out.
+JOB_NEEDS = {
+    "contact_base": (), "accumulated": (), "keyvalue_base": (), "form_report": (),
+    "consolidated": ("contact_base", "accumulated"),
+}
+
+
+def _job(spark: SparkSession, name: str, as_of, stages: dict, inputs: JobInputs) -> dict | None:
+    """Run one job of ``JOB_NEEDS``; None when ``stages`` does not ask for it."""
+    if name == "contact_base":
+        return run_contact_base(spark, stages.get("contact_roots"), stages["contact_out"], as_of=as_of,
+                                base_root=stages.get("contact_base_root"), cloud_root=stages.get("contact_cloud_root"), ordered_out=_ordered(stages))
+    if name == "accumulated":
+        return run_accumulated(spark, stages["accumulated_root"], stages.get("staffing"), stages["accumulated_out"],
+                               as_of=as_of, inputs=inputs, report_headers=bool(stages.get("report_headers")))
+    if name == "keyvalue_base" and stages.get("keyvalue_out"):
+        return run_keyvalue_base(spark, stages["keyvalue_roots"], stages["keyvalue_out"], keys=stages.get("keyvalue_keys"),
+                                 pattern=stages.get("keyvalue_pattern", "*.rsl"))
+    if name == "form_report" and stages.get("form_out"):
+        return run_form_report(spark, form=stages["form"], staffing=stages.get("staffing"), calls=stages.get("calls"),
+                               quartiles=stages.get("quartiles"), shifts=stages.get("shifts"),
+                               campaign_raw=stages.get("campaign_raw"), rsl_roots=stages.get("keyvalue_roots", []),
+                               rsl_pattern=stages.get("keyvalue_pattern", "*.rsl"), out=stages["form_out"], as_of=as_of, inputs=inputs)
+    if name == "consolidated" and stages.get("consolidated_out"):
+        return run_consolidated(spark, as_of=as_of, stages=stages, inputs=inputs)
+    return None
+
+
+def run_all(spark: SparkSession, *, as_of, stages: dict, inputs: JobInputs = JobInputs(), resume: bool = False) -> dict:
+    """All jobs, producers first (``JOB_NEEDS``); each hands over written tables.
+
+    A failed job is reported and the jobs that need it are left out; the others
+    run. With ``state_out`` every job's report is written there under its name
+    and run date, and ``resume=True`` runs only the jobs that are not done yet.
+    """
+    report: dict = {}
+    done = _finished(spark, stages, as_of) if resume else set()
+    for name, needs in JOB_NEEDS.items():
+        if name in done:
+            report[name] = {"status": "done before"}
+            continue
+        if any(report.get(n, {}).get("status") == "failed" for n in needs):
+            report[name] = {"status": "left out", "needs": list(needs)}
+            continue
+        try:
+            found = _job(spark, name, as_of, stages, inputs)
+        except (PySparkException, KeyError, OSError) as failure:
+            report[name] = {"status": "failed", "error": str(failure)[:2000]}
+            continue
+        if found is None:
+            continue
+        report[name] = found
+        if name == "consolidated" and "tables" in found:
+            report[name] = found["tables"]
+            report["consolidated_rejected"] = found["metrics"].pop("rows_rejected")
+            report["consolidated_metrics"] = found["metrics"]
+        if stages.get("state_out"):
+            row = {"job": name, "as_of": str(as_of), "status": found.get("status", "written")}
+            sinks.write_table(A.metrics_frame(spark, [row]), f"{stages['state_out']}/{as_of}/{name}")
     return report
+
+
+def _finished(spark: SparkSession, stages: dict, as_of) -> set[str]:
+    """The jobs whose reports of this run date are written."""
+    root = f"{stages['state_out']}/{as_of}"
+    return {n for n in JOB_NEEDS if readers.existing_roots(spark, [f"{root}/{n}/_SUCCESS"])}

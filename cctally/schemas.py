@@ -71,3 +71,24 @@ CONSOLIDATED_COLUMNS = (
     "errors", "untyped", "base_cloud", "bucket", "andes", "dni", "supervisor",
     "tenure", "quartile", "shift", "site",
 )
+
+
+# internal name -> report header of the written tables (the order is that of the column lists above)
+ACCUMULATED_REPORT = {
+    "date": "Fecha", "time": "Hora", "queue": "Cola", "agent": "Usuarios", "phone": "Fono",
+    "disposition": "Tipificacion", "contact_id": "Identificación de contacto", "base_cloud": "Base Cloud",
+    "source_file": "Origen_Archivo", "supervisor": "SUPERVISOR",
+}
+CONSOLIDATED_REPORT = {
+    "date": "Fecha.", "time": "Hora", "queue": "Cola", "campaign": "Nombre de campaña", "agent": "Usuarios",
+    "phone": "Fono", "disposition": "Tipificacion", "contact_id": "Identificación de contacto",
+    "source_file": "Origen_Archivo", "call_type": "Tipo de llamada", "handled": "Gestión",
+    "not_applicable": "No aplica", "migration": "Migracion", "contact": "Contacto.", "errors": "Errores",
+    "untyped": "Sin tipificar", "base_cloud": "Base Cloud", "bucket": "Bucket", "andes": "ANDES", "dni": "DNI",
+    "supervisor": "SUPERVISOR", "tenure": "Antiguedad", "quartile": "Cuartil", "shift": "Turno", "site": "SEDE",
+}
+
+
+def report_headers(df, headers):
+    """The columns of a written report under their headers."""
+    return df.withColumnsRenamed({k: v for k, v in headers.items() if k in df.columns})

@@ -211,3 +211,61 @@ def test_cli_runs_consolidation_from_config(spark, scratch):
     row = spark.read.parquet(f"{scratch}/out/cons/consolidated").first()
     assert (row["bucket"], row["supervisor"], row["base_cloud"], row["site"], row["tenure"]) == (
         "Seg A", "Sup Uno", "Base Uno", "Sin sede", "Prematuro")
+
+
+def test_four_folders_report_headers_and_rejects(spark, scratch):
+    write(f"{scratch}/b/Cargue Actual/z.csv", "inin-outbound-id;Segment_of_Origin\nk1;current\n")
+    write(f"{scratch}/b/Historico/2026/04. Abril/a.csv", "inin-outbound-id;Segment_of_Origin\nk1;april\nk2;april\nk;w;x;y\n")
+    write(f"{scratch}/b/Historico/2026/03. Marzo/a.csv", "inin-outbound-id;Segment_of_Origin\nk2;march\nk3;march\n")
+    write(f"{scratch}/cloud/a.csv", "inin-outbound-id,Segment_of_Origin\nk3,cloud\nk4,cloud\n")
+    rep = jobs.run_contact_base(spark, None, f"{scratch}/cb", as_of="2026-04-15", base_root=f"{scratch}/b",
+                                cloud_root=f"{scratch}/cloud", ordered_out=f"{scratch}/cb_ordered")
+    assert rep["metrics"] == {"rows_written": 7, "rows_rejected": 1}
+    first = {}
+    for r in sorted(spark.read.parquet(f"{scratch}/cb_ordered").collect(), key=lambda r: r._ord):
+        first.setdefault(r.contact_id, r.segment)
+    assert first == {"k1": "current", "k2": "april", "k3": "march", "k4": "cloud"}
+    assert [tuple(r) for r in spark.read.parquet(f"{scratch}/cb_rejects").collect()] == [("a.csv", "too_wide", "k;w;x;y")]
+    write(f"{scratch}/hist/2026/04. Abril/h.csv", HEAD +
+          'a_b_ana pérez_c;03/04/2026 10:15;Q1;"C; ACEPTA AGENDA - MIGRACION";k1;Saliente;56911112222\n')
+    jobs.run_accumulated(spark, f"{scratch}/hist", None, f"{scratch}/acc", as_of="2026-04-15", report_headers=True)
+    out = spark.read.option("header", True).option("sep", ";").csv(f"{scratch}/acc")
+    assert out.columns == list(jobs.schemas.ACCUMULATED_REPORT.values()) and out.first()["Usuarios"] == "Ana Pérez"
+
+
+def test_a_failed_job_is_reported_and_the_run_resumes(spark, scratch):
+    write(f"{scratch}/cl/a.csv", "inin-outbound-id,Segment_of_Origin\nk1,Seg A\n")
+    write(f"{scratch}/today/t.csv", HEAD + 'a_b_ana_c;15/04/2026 09:00;Q1;x;k1;Saliente;56911112222\n')
+    stages = {"contact_roots": [f"{scratch}/cl"], "contact_out": f"{scratch}/out/cb", "accumulated_root": f"{scratch}/none",
+              "accumulated_out": f"{scratch}/out/acc", "keyvalue_out": f"{scratch}/out/kv",      # no keyvalue_roots: fails
+              "today_root": f"{scratch}/today", "consolidated_out": f"{scratch}/out/cons", "state_out": f"{scratch}/state"}
+    first = jobs.run_all(spark, as_of="2026-04-15", stages=stages)
+    assert first["keyvalue_base"]["status"] == "failed" and first["consolidated"]["consolidated"] == "written"
+    write(f"{scratch}/kv/a.rsl", "ID=1|N=a\n")
+    second = jobs.run_all(spark, as_of="2026-04-15", stages=stages | {"keyvalue_roots": [f"{scratch}/kv"]}, resume=True)
+    assert second["keyvalue_base"]["status"] == "written" and second["consolidated"] == {"status": "done before"}
+
+
+def test_optional_columns_may_be_absent(spark):
+    inter = spark.createDataFrame([("a_b_ana_c", "03/04/2026 10:15", "f.csv", 1)], "user string, date_text string, source_file string, _ord int")
+    bare = spark.createDataFrame([("x", 1)], "other string, _ord int")
+    out = jobs.consolidated_interactions(inter, bare, bare, bare, bare, as_of="2026-04-15").collect()
+    assert len(out) == 1 and out[0]["supervisor"] is None
+    form = spark.createDataFrame([("pu1",)], "user string")
+    st = spark.createDataFrame([("pu1", 1)], "platform_user string, _ord int")
+    rows = jobs.form_report(form, st, bare, bare, bare, as_of="2026-04-15").collect()
+    assert len(rows) == 1 and rows[0]["dni"] is None
+
+
+def test_whole_days_do_not_depend_on_the_session_zone(spark):
+    from cctally.functions import dates as D
+    df = spark.createDataFrame([("2025-09-07 00:00:00", 7), ("2025-09-06 23:30:00", 7), ("2025-09-07 00:00:01", 6),
+                                ("2025-09-20 10:00:00", -7), (None, None)], "s string, n int")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Santiago", "Asia/Beirut"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = df.select(D.whole_days(D.parse_timestamp("s"), "2025-09-14").alias("d"), "n").collect()
+            assert all(r.d == r.n for r in got), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
