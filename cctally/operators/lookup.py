@@ -2,8 +2,9 @@
 
 All lookups are equi left-outer joins.  Null keys never match (Q1/Q2).
 
-Broadcast policy: a dimension is broadcast only after its row count has been
-checked against a bound (``cctally.broadcast.maxRows``, default 2,000,000);
+Broadcast policy: a dimension is broadcast only after its rows and bytes have
+been checked against bounds (``cctally.broadcast.maxRows``, default 2,000,000,
+and ``cctally.broadcast.maxBytes``, default 512 MiB);
 beyond the bound the join is left to the planner (sort-merge, with AQE skew
 splitting of hot fact keys).  ``broadcast=False`` skips the check.
 """
@@ -14,7 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType, StringType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, FractionalType, IntegralType, MapType, NumericType, StringType, StructType)
 
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -29,6 +31,30 @@ def _col(c) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+#: Bytes of text and numbers that a broadcast side may hold, beside its row bound.
+DEFAULT_BROADCAST_MAX_BYTES = 512 * 1024 * 1024
+
+
+def broadcast_max_bytes(spark) -> int:
+    v = spark.conf.get("cctally.broadcast.maxBytes", None)
+    return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
+
+
+def _size(df: DataFrame) -> list[Column]:
+    """Rows and bytes of a table as two global aggregates."""
+    def wide(f) -> Column:
+        c = _col(f.name)
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + 16
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)).cast("long") + 16
+        return F.lit(16).cast("long")
+    total = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        total = total + wide(f)
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("b")]
+
+
 def broadcast_max_rows(spark) -> int:
     v = spark.conf.get("cctally.broadcast.maxRows", None)
     return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
@@ -86,6 +112,80 @@ def hot_keys(fact: DataFrame, key: Column, *, fraction: float = HOT_SAMPLE_FRACT
         counts.unpersist()
 
 
+def hot_keys_of(fact: DataFrame, keys: Mapping[str, Column], *, fraction: float = HOT_SAMPLE_FRACTION,
+                min_share: float = HOT_MIN_SHARE, seed: int = 17) -> dict[str, list]:
+    """The hot keys of several lookups, found in one job over the raw fact.
+
+    Every sampled row gives one entry per lookup; counts of (lookup, key) and
+    of all rows come from one grouped aggregate, of which only the greatest
+    counts are fetched: at most ``1 / min_share`` keys of a lookup hold that
+    share of the rows, so their number bounds the fetch and none is missed.
+    The sample only detects hot keys; no row is dropped.
+    """
+    names = list(keys)
+    if not names:
+        return {}
+    entry = F.array(*[F.struct(F.lit(i).alias("i"), keys[n].cast("string").alias("k")) for i, n in enumerate(names)],
+                    F.struct(F.lit(-1).alias("i"), F.lit("").alias("k")))
+    seen = fact.sample(fraction=fraction, seed=seed).select(F.explode(entry).alias("e")).where("e.k IS NOT NULL")
+    most = (int(1 / min_share) + 1) * len(names) + 1
+    top = seen.groupBy("e.i", "e.k").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "i").limit(most).collect()
+    total = max([r["n"] for r in top if r["i"] == -1], default=0)
+    return {n: [r["k"] for r in top if r["i"] == i and r["n"] >= max(2.0, min_share * total)] for i, n in enumerate(names)}
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns of a row as values that can be hashed (maps as their JSON text)."""
+    def holds_map(t) -> bool:
+        if isinstance(t, MapType):
+            return True
+        if isinstance(t, ArrayType):
+            return holds_map(t.elementType)
+        return isinstance(t, StructType) and any(holds_map(f.dataType) for f in t.fields)
+    return [F.to_json(F.struct(_col(f.name))) if holds_map(f.dataType) else _col(f.name) for f in df.schema.fields]
+
+
+#: Reducers of a key that is hot on both sides: SIDE x SIDE.
+SIDE = 6
+
+
+def salted_fanout(fact: DataFrame, right: DataFrame, fact_key: Column, right_key: str, hot: list, hot_right: list,
+                  buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left join that keeps every match, with keys that are hot on either side dealt over a grid.
+
+    The rows of a side on which a key is hot are dealt over the rows or the
+    columns of the grid by their hash; the other side's are copied to each of
+    them. A key hot on both sides has ``SIDE`` by ``SIDE`` reducers, so no row
+    is copied more than ``SIDE`` times; a key hot on one side has ``buckets``
+    on that side, and only the few rows of the other are copied. Only facts of
+    keys that are hot on the right have copies, and those have a match.
+    """
+    both = [h for h in hot if h in set(hot_right)]
+    left_only, right_only = [h for h in hot if h not in set(both)], [h for h in hot_right if h not in set(both)]
+
+    def sizes(key: Column) -> tuple[Column, Column]:
+        """Cells along the fact's and the right side's axis."""
+        is_in = lambda some: key.isin([F.lit(h) for h in some]) if some else F.lit(False)
+        a = F.when(is_in(both), SIDE).when(is_in(left_only), buckets).otherwise(1)
+        b = F.when(is_in(both), SIDE).when(is_in(right_only), buckets).otherwise(1)
+        return a, b
+
+    def cells(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    f = fact.withColumn("__fk", fact_key)
+    a, b = sizes(F.col("__fk"))
+    f = f.withColumn("__i", (F.pmod(F.xxhash64(*_hashable(fact)), a)).cast("int")).withColumn("__j", cells(b))
+    r = right.withColumn("__h", F.xxhash64(*_hashable(right)))
+    a, b = sizes(F.col(right_key))
+    r = r.withColumn("__rj", F.pmod(F.col("__h"), b).cast("int")).withColumn("__ri", cells(a)).withColumn("__hit", F.lit(True))
+    joined = f.join(r, (F.col("__fk") == F.col(right_key)) & (F.col("__i") == F.col("__ri")) & (F.col("__j") == F.col("__rj")), "left")
+    # a key that is hot on the right has rows there, so its copies without one in their cell are no unmatched rows
+    matched = F.col("__hit").isNotNull()
+    alone = ~F.coalesce(F.col("__fk").isin([F.lit(h) for h in hot_right]), F.lit(False)) if hot_right else F.lit(True)
+    return joined.where(matched | alone).drop("__fk", "__i", "__j", "__h", "__ri", "__rj", "__hit", right_key)
+
+
 def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key: str,
                 hot: list, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left join ``fact`` to ``right`` on ``fact_key == right[right_key]``
@@ -96,7 +196,7 @@ def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key:
     hot_lit = [F.lit(h) for h in hot]
     f = fact.withColumn("__fk", fact_key)
     is_hot_f = F.col("__fk").isin(hot_lit) if hot else F.lit(False)
-    f = f.withColumn("__salt", F.when(is_hot_f, F.abs(F.xxhash64(*[_col(c) for c in fact.columns]) % buckets))
+    f = f.withColumn("__salt", F.when(is_hot_f, F.pmod(F.xxhash64(*_hashable(fact)), F.lit(buckets)))
                      .otherwise(F.lit(0)).cast("int"))
     is_hot_r = F.col(right_key).isin(hot_lit) if hot else F.lit(False)
     r = right.withColumn("__salt", F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(buckets - 1)))
@@ -134,18 +234,19 @@ def _join_keys(fact: DataFrame, fact_key: Column, dim_key: Column, broadcast_sid
     """
     if broadcast_side:
         return fact_key, dim_key
-    spread = F.concat(F.lit("n"), F.abs(F.xxhash64(*[_col(c) for c in fact.columns]) % SPREAD_BUCKETS).cast("string"))
-    fk = F.when(fact_key.isNull(), spread).otherwise(F.concat(F.lit("k"), fact_key.cast("string")))
-    dk = F.concat(F.lit("k"), dim_key.cast("string"))
-    return fk, dk
+    spread = F.concat(F.lit("n"), F.pmod(F.xxhash64(*_hashable(fact)), F.lit(SPREAD_BUCKETS)).cast("string"))
+    fractional = isinstance(fact.select(fact_key.alias("k")).schema["k"].dataType, FractionalType)
+    # -0.0 equals 0.0, but its text does not
+    text = lambda c: F.concat(F.lit("k"), (c + F.lit(0) if fractional else c).cast("string"))
+    return F.when(fact_key.isNull(), spread).otherwise(text(fact_key)), text(dim_key)
 
 
 def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = None,
                 factors: Mapping[str, int] | None = None) -> dict[str, bool]:
     """Check several dimensions' row bounds in one job.
 
-    Returns ``{name: rows * factor <= max_rows}`` from a union of global
-    counts (one small job instead of one per lookup); pass the flags on as
+    Returns ``{name: rows * factor <= max_rows}``, with the same for bytes,
+    from a union of global sums (one small job instead of one per lookup); pass the flags on as
     ``broadcast=`` so each lookup skips its own check.  ``factors`` covers a
     dimension whose key projections are unioned (J2).
     """
@@ -156,13 +257,13 @@ def prove_small(dims: Mapping[str, DataFrame | None], max_rows: int | None = Non
     spark = next(iter(present.values())).sparkSession
     limit = max_rows if max_rows is not None else broadcast_max_rows(spark)
     caps = {k: limit // max(factors.get(k, 1), 1) for k in present}
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n")
-             for k, df in present.items()]
+    room = {k: broadcast_max_bytes(spark) // max(factors.get(k, 1), 1) for k in present}
+    parts = [df.agg(*_size(df)).select(F.lit(k).alias("k"), "n", "b") for k, df in present.items()]
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
-    got = {r["k"]: r["n"] for r in counts.collect()}
-    return {k: (k in got and got[k] <= caps[k]) for k in dims}
+    got = {r["k"]: r for r in counts.collect()}
+    return {k: (k in got and got[k]["n"] <= caps[k] and got[k]["b"] <= room[k]) for k in dims}
 
 
 def _proven_small(bound_by: DataFrame, max_rows: int | None, mode, factor: int = 1) -> bool:
@@ -170,10 +271,10 @@ def _proven_small(bound_by: DataFrame, max_rows: int | None, mode, factor: int =
     or ``"auto"`` to check ``bound_by`` now."""
     if mode is True or mode is False:
         return mode
-    limit = max_rows if max_rows is not None else broadcast_max_rows(bound_by.sparkSession)
-    cap = limit // max(factor, 1)
-    n = bound_by.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    return n <= cap
+    spark = bound_by.sparkSession
+    limit = max_rows if max_rows is not None else broadcast_max_rows(spark)
+    got = bound_by.agg(*_size(bound_by)).first()
+    return got["n"] <= limit // max(factor, 1) and got["b"] <= broadcast_max_bytes(spark) // max(factor, 1)
 
 
 def first_wins(dim: DataFrame, key: str, values: Sequence[str], order: Sequence) -> DataFrame:
@@ -199,7 +300,8 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
            values: Sequence[str], order: Sequence | None = None, dedupe: bool = True,
            fill: Mapping[str, str] | None = None, marker: str | None = None,
            rename: Mapping[str, str] | None = None, broadcast="auto",
-           max_rows: int | None = None, salt_hot_keys: bool = True) -> DataFrame:
+           max_rows: int | None = None, salt_hot_keys: bool = True, hot: list | None = None,
+           hot_right: list | None = None) -> DataFrame:
     """Left lookup of ``values`` from ``dim``.
 
     * ``dedupe=True`` reduces the dimension to its first row per key (D1,
@@ -209,8 +311,11 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
     * ``fill`` null-fills attributes after the join (J9).
     * ``rename`` renames attributes on the way out (P6).
     * Beyond the broadcast bound, hot fact keys are salted
-      (``salt_hot_keys``, see :func:`salted_join`) and null fact keys are
-      spread (see :func:`_join_keys`).
+      (``salt_hot_keys``, see :func:`salted_join`, and :func:`salted_fanout`
+      where every match is kept) and null fact keys are spread (see
+      :func:`_join_keys`). ``hot`` gives the fact's hot keys as text when a job
+      has found those of all its lookups at once (:func:`hot_keys_of`),
+      ``hot_right`` those of a fan-out's right side (keys that have rows there).
     Key canonicalisation (J6) is done by the caller on both sides.
     """
     values = list(values)
@@ -236,8 +341,13 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
         joined = fact.withColumn("__fk", fk).join(F.broadcast(right), F.col("__fk") == F.col("__lk"), "left") \
             .drop("__fk", "__lk")
     else:
-        hot = hot_keys(fact, fk) if salt_hot_keys else []
-        joined = salted_join(fact, right, fk, "__lk", hot)
+        hot_fact = [f"k{h}" for h in hot] if hot is not None else hot_keys(fact, fk) if salt_hot_keys else []
+        if dedupe:
+            joined = salted_join(fact, right, fk, "__lk", hot_fact)
+        else:
+            found = [f"k{h}" for h in hot_right] if hot_right is not None else \
+                hot_keys(right, F.col("__lk")) if salt_hot_keys else []
+            joined = salted_fanout(fact, right, fk, "__lk", hot_fact, found)
     if fill:
         joined = joined.withColumns({c: F.coalesce(_col(c), F.lit(v)) for c, v in fill.items()})
     return joined
@@ -245,7 +355,8 @@ def lookup(fact: DataFrame, dim: DataFrame | None, *, fact_key: str, dim_key: st
 
 def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str, str]],
                     value: str, out: str, order: Sequence, default: str | None = None,
-                    broadcast="auto", max_rows: int | None = None, salt_hot_keys: bool = True) -> DataFrame:
+                    broadcast="auto", max_rows: int | None = None, salt_hot_keys: bool = True,
+                    hot: Mapping[str, list] | None = None) -> DataFrame:
     """Prioritised lookup over several (fact key, dimension key) pairs.
 
     For each pair the first dimension row per key gives a candidate (which
@@ -253,7 +364,8 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
     else ``default``.  Adjacent pairs that probe the same fact key share one
     join: their candidates are computed in one aggregation over a union of
     the dimension's key projections, so the fact is joined once per distinct
-    run of fact keys instead of once per pair.
+    run of fact keys instead of once per pair. ``hot`` may give the hot keys of
+    each fact column (:func:`hot_keys_of`).
     """
     order = _as_list(order)
     runs: list[tuple[str, list[str]]] = []
@@ -290,8 +402,8 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, *, keys: Sequence[tuple[str
             joined = joined.withColumn("__fk", fkey).join(F.broadcast(right), F.col("__fk") == F.col("__k"), "left") \
                 .drop("__fk", "__k")
         else:
-            hot = hot_keys(joined, fkey) if salt_hot_keys else []
-            joined = salted_join(joined, right, fkey, "__k", hot)
+            found = [f"k{h}" for h in hot.get(fk, [])] if hot is not None else hot_keys(joined, fkey) if salt_hot_keys else []
+            joined = salted_join(joined, right, fkey, "__k", found)
         result_cols.append(F.col(name))
     pick = F.coalesce(*result_cols, F.lit(default)) if default is not None else F.coalesce(*result_cols)
     return joined.withColumn(out, pick).drop(*[f"__fb{i}" for i in range(len(runs))])

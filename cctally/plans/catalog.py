@@ -666,6 +666,30 @@ def q_lookup_same_name(spark, sf_dir):
                   values=["n_name"], order=["ord"]).select("s_suppkey", "n_name")
 
 
+def _fanout_hot(d):
+    return """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'HOT' WHEN o_orderkey % 3 = 1 THEN NULL
+             ELSE CAST(o_custkey AS STRING) END AS k FROM orders"""
+
+
+def _fanout_hot_right(d):
+    return """SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'HOT' ELSE CAST(s_suppkey % 50 AS STRING) END AS rk,
+             s_suppkey AS v FROM supplier"""
+
+
+@register("lookup_fanout_hot_both", f"""
+WITH f AS ({_fanout_hot('duckdb')}), r AS ({_fanout_hot_right('duckdb')})
+SELECT o_orderkey, k, count(*) AS n, count(v) AS matches, coalesce(sum(v), 0)::BIGINT AS total
+FROM f LEFT JOIN r ON f.k = r.rk GROUP BY o_orderkey, k""")
+def q_lookup_fanout_hot_both(spark, sf_dir):
+    """J4 beyond the broadcast bound with a key that is hot on both sides:
+    its rows are dealt over a grid of reducers, none copied to all."""
+    f = standin(spark, sf_dir, ["orders"], _fanout_hot)
+    r = standin(spark, sf_dir, ["supplier"], _fanout_hot_right)
+    out = lookup(f, r, fact_key="k", dim_key="rk", values=["v"], dedupe=False, broadcast=False, hot=["HOT"], hot_right=["HOT"])
+    return out.groupBy("o_orderkey", "k").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("matches"),
+                                              F.coalesce(F.sum("v"), F.lit(0)).cast("long").alias("total"))
+
+
 @register("lookup_fanout", """
 SELECT c.c_custkey, CAST(o.o_orderkey AS VARCHAR) AS o_orderkey
 FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey""")

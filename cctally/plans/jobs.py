@@ -23,7 +23,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..operators import counts as A
 from ..operators.dedup import keep_first
-from ..operators.lookup import fallback_lookup, lookup, prove_small
+from ..operators.lookup import fallback_lookup, hot_keys_of, lookup, prove_small
 from ..operators.project import drop_present, fixed_order
 from ..sources import readers, sinks
 from . import rules_config as C
@@ -150,6 +150,11 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     small = prove_small({"contact": contact_list, "staff": staffing, "quartile": quartiles, "shift": shifts},
                         factors={"contact": 2})
 
+    # beyond the bound, the hot keys of all lookups are found in one job over the raw interactions
+    large = [k for k, dim in (("contact", contact_list), ("staff", staffing), ("quartile", quartiles), ("shift", shifts))
+             if dim is not None and not small[k]]
+    hot = hot_keys_of(df, {k: _c(k) for k in ("contact_id", "phone", "agent")}) if large else {}
+
     # Contact id, then phone in either phone column
     if contact_list is not None:
         cl = with_columns_present(contact_list, ["contact_id", "phone_1", "phone_2", "segment"]).withColumns({
@@ -159,7 +164,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
         })
         df = fallback_lookup(df, cl, keys=[("contact_id", "__id"), ("phone", "__p1"), ("phone", "__p2")],
                              value="segment", out="bucket", order=["_ord"], default=C.NOT_FOUND,
-                             broadcast=small["contact"])
+                             broadcast=small["contact"], hot=hot)
     else:
         df = df.withColumn("bucket", F.lit(C.LOOKUP_FAILED))
 
@@ -169,7 +174,7 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
         st = with_columns_present(staffing, ["full_name"]).withColumn("__name", T.collapse_title(_c("full_name")))
         df = lookup(df, st, fact_key="agent", dim_key="__name", values=staff_values, order=["_ord"],
                     fill={"site": inputs.default_site} if inputs.default_site else None,
-                    broadcast=small["staff"])
+                    broadcast=small["staff"], hot=hot.get("agent"))
     else:
         df = df.withColumns({
             "andes": F.lit(C.LOOKUP_FAILED), "supervisor": F.lit(C.LOOKUP_FAILED),
@@ -180,13 +185,18 @@ def consolidated_interactions(interactions: DataFrame, contact_list: DataFrame |
     days = D.whole_days(D.parse_timestamp(_c("start_date")), as_of)
     df = df.withColumn("tenure", R.tenure_band(days))
 
-    # J3 x2: quartile and shift by id
+    # J3 x2: quartile and shift by id; its hot values are those of the hot agents
     df = df.withColumn("dni", T.py_strip(_c("dni")))
+    hot_ids = []
+    if staffing is not None and hot.get("agent") and {"quartile", "shift"} & set(large):
+        rows = st.where(_c("__name").isin(hot["agent"]))
+        found = with_columns_present(rows, ["dni"]).select(T.py_strip(_c("dni")).alias("k")).distinct()
+        hot_ids = [r["k"] for r in found.limit(10 * len(hot["agent"])).collect() if r["k"] is not None]
     for dim, val in ((quartiles, "quartile"), (shifts, "shift")):
         if dim is not None:
             d = with_columns_present(dim, ["dni"]).withColumn("__dni", T.py_strip(_c("dni")))
             df = lookup(df, d, fact_key="dni", dim_key="__dni", values=[val], order=["_ord"],
-                        broadcast=small[val])
+                        broadcast=small[val], hot=hot_ids)
         else:
             df = df.withColumn(val, F.lit(C.LOOKUP_FAILED))
 
