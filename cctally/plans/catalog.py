@@ -666,6 +666,16 @@ def q_lookup_same_name(spark, sf_dir):
                   values=["n_name"], order=["ord"]).select("s_suppkey", "n_name")
 
 
+@register("today_in_zone", """
+SELECT r_regionkey, CAST(now() AT TIME ZONE 'Pacific/Kiritimati' AS DATE) - CAST(now() AT TIME ZONE 'Pacific/Niue' AS DATE) AS days
+FROM region""")
+def q_today_in_zone(spark, sf_dir):
+    """The current day in a zone; two zones 25 hours apart are one or two days apart."""
+    views(spark, sf_dir, "region")
+    return spark.table("region").select("r_regionkey", F.date_diff(
+        D.today_in("Pacific/Kiritimati"), D.today_in("Pacific/Niue")).cast("long").alias("days"))
+
+
 def _fanout_hot(d):
     return """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'HOT' WHEN o_orderkey % 3 = 1 THEN NULL
              ELSE CAST(o_custkey AS STRING) END AS k FROM orders"""

@@ -340,6 +340,43 @@ def q_keyvalue_bare_cells(spark, sf_dir):
     return kept.unionByName(lost)
 
 
+@register("fallback_delimiter_scan", """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, 'read' AS status FROM supplier
+UNION ALL SELECT DISTINCT NULL, NULL, 'no_wanted_columns' FROM supplier""")
+def q_fallback_delimiter_scan(spark, sf_dir):
+    """S5 (comma, then semicolon, by the header of each file) and P5 (a file
+    without a wanted column is reported, not read)."""
+    views(spark, sf_dir, "supplier")
+    base = staging_dir(spark, "fallback")
+    s = spark.table("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("x"))
+    sinks.write_delimited(s.where("id % 2 = 0"), base, sep=",")
+    sinks.write_delimited(s.where("id % 2 = 1").select("x", "name", "id"), base, sep=";", mode="append")
+    sinks.write_delimited(s.select(F.col("x").alias("other"), F.col("x").alias("more")), base, sep=";", mode="append")
+    res = readers.read_delimited(spark, [base], ["id", "name"], delimiters=(",", ";"), delimiter_mode="fallback")
+    lost = res.rejects.select(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
+                              F.col("reason").alias("status")).distinct()  # one row per file of the sink
+    return res.data.select("id", "name", F.lit("read").alias("status")).unionByName(lost)
+
+
+@register("record_count_skips_wide", """
+SELECT (SELECT count(*) FROM part WHERE p_partkey % 10 <> 0) AS records,
+       (SELECT count(*) FROM part) AS all_records""")
+def q_record_count_skips_wide(spark, sf_dir):
+    """Records with more cells than their file's first line are not counted."""
+    views(spark, sf_dir, "part")
+    base = staging_dir(spark, "counted")
+    p = spark.table("part")
+    wide = p.select((F.col("p_partkey") % 3).alias("part"), (F.col("p_partkey") % 10 == 0).alias("wide"), F.when(
+        F.col("p_partkey") % 10 == 0, F.concat(F.lit("ID="), "p_partkey", F.lit("|A=1|B=2|C=3"))).otherwise(
+        F.concat(F.lit("ID="), "p_partkey", F.lit("|A=1"))).alias("line"))
+    # a narrow record opens each file
+    _text_lines(wide.repartition("part").sortWithinPartitions("part", "wide").select("part", "line"), base, partition_by=["part"])
+    roots = [f"{base}/part={k}" for k in range(3)]
+    count = lambda name, **how: jobs.run_record_count(spark, roots, pattern="*.csv", **how).withColumnRenamed(
+        "records", name).withColumn("j", F.lit(1))
+    return count("records", skip_wide=True).join(count("all_records"), "j").drop("j")
+
+
 def _run_all_today(d):
     """Interactions of the run: one call per order, twice for some (removed as duplicates)."""
     return """SELECT 'x_agent ' || CAST(o_custkey % 50 AS STRING) || '_v' AS "Usuarios",

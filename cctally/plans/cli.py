@@ -72,7 +72,8 @@ def run(spark: SparkSession, job: str, cfg: dict, as_of: dt.date) -> dict:
         return jobs.run_form_report(spark, form=form, staffing=dims["staffing"], calls=dims["calls"],
                                     quartiles=dims["quartiles"], shifts=dims["shifts"], campaign_raw=campaign,
                                     rsl_roots=paths.get("keyvalue_roots", []), out=paths["form_out"],
-                                    as_of=as_of, inputs=inputs)
+                                    as_of=as_of, inputs=inputs, drop_first_line=bool(cfg.get("drop_first_line")),
+                                    skip_wide=bool(cfg.get("skip_wide")))
     if job == "daily-counts":
         counts = jobs.run_daily_base_counts(spark, paths["bases_root"], as_of=as_of, inputs=inputs)
         if counts is None:

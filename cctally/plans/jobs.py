@@ -370,13 +370,27 @@ def run_daily_base_counts(spark: SparkSession, root: str, *, as_of, inputs: JobI
 
 
 def run_record_count(spark: SparkSession, roots, *, pattern: str = "*.rsl",
-                     drop_first_line: bool = False) -> DataFrame:
+                     drop_first_line: bool = False, skip_wide: bool = False, sep: str = "|") -> DataFrame:
     """L7 over key=value export folders; 0 when there is no file.
     ``drop_first_line=True`` reproduces the reference, whose reader takes
-    each file's first line as a header and does not count it (Q20)."""
-    lines = readers.read_keyvalue_lines(spark, roots, pattern=pattern, drop_first_line=drop_first_line)
+    each file's first line as a header and does not count it (Q20).
+    ``skip_wide=True`` leaves out records with more cells than their file's
+    first line, as that reader does (A3)."""
+    lines = readers.read_keyvalue_lines(spark, roots, pattern=pattern)
     if lines is None:
         return spark.range(1).select(F.lit(0).cast("long").alias("records"))
+    order = F.col(f"{readers.ORD_COL}.row")
+    cells = F.length("line") - F.length(F.replace(F.col("line"), F.lit(sep), F.lit("")))
+    lines = lines.select(readers.FILE_COL, F.col(f"{readers.ORD_COL}.file").alias("path"), order.alias("row"), cells.alias("cells"),
+                         (F.col(f"{readers.ORD_COL}.block") == 0).alias("head"))
+    if drop_first_line or skip_wide:
+        # fixed-width values of each file's first line: one row per file
+        first = lines.where("head").groupBy("path").agg(F.min("row").alias("first"), F.min_by("cells", "row").alias("width"))
+        lines = lines.join(first, "path")
+        if drop_first_line:
+            lines = lines.where("row <> first")
+        if skip_wide:
+            lines = lines.where("cells <= width")
     return record_count(lines)
 
 
@@ -395,13 +409,15 @@ def run_keyvalue_base(spark: SparkSession, roots, out: str, *, pattern: str = "*
 def run_form_report(spark: SparkSession, *, form: DataFrame, staffing: DataFrame | None,
                     calls: DataFrame | None, quartiles: DataFrame | None, shifts: DataFrame | None,
                     campaign_raw: DataFrame | None, rsl_roots, out: str, as_of,
-                    inputs: JobInputs = JobInputs(), rsl_pattern: str = "*.rsl") -> dict:
+                    inputs: JobInputs = JobInputs(), rsl_pattern: str = "*.rsl",
+                    drop_first_line: bool = False, skip_wide: bool = False) -> dict:
     """L5 + L6 + L7 written as one multi-table output (K3); the campaign
     table is optional and skipped when empty (K4)."""
     tables = {
         "form_report": form_report(form, staffing, calls, quartiles, shifts, as_of=as_of, inputs=inputs),
         "campaign_activity": campaign_activity(campaign_raw, inputs=inputs) if campaign_raw is not None else None,
-        "record_count": run_record_count(spark, rsl_roots, pattern=rsl_pattern),
+        "record_count": run_record_count(spark, rsl_roots, pattern=rsl_pattern, drop_first_line=drop_first_line,
+                                         skip_wide=skip_wide),
     }
     return sinks.write_tables(tables, out, optional={"campaign_activity"})
 
