@@ -51,12 +51,12 @@ def words_needed(vectors: DataFrame, vector_column: str) -> int:
 
 
 def segment_spans(words: int, codes: int) -> list[tuple[int, int, int]]:
-    """(word, shift, width) of the segments: near log2(codes) - 2 bits, of 4 to 16, widths alike.
+    """(word, shift, width) of the segments: near log2(codes) - 2 bits, of 4 to 32, widths alike.
 
     A probe then meets about four codes: to verify those is cheaper than the
     probes of wider segments, whose number grows much faster with the radius.
     """
-    parts = max(4, min(16, round(WORD / max(1.0, log2(max(codes, 2)) - 2))))
+    parts = max(2, min(16, round(WORD / max(1.0, log2(max(codes, 2)) - 2))))
     edges = [WORD * k // parts for k in range(parts + 1)]
     return [(w, a, b - a) for w in range(words) for a, b in zip(edges, edges[1:], strict=False)]
 

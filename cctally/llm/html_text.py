@@ -43,11 +43,11 @@ NEVER = frozenset((
     "button dialog menu audio video input").split())
 BOILERPLATE = frozenset((
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
-    "navigation menu menubar breadcrumb breadcrumbs pagination pager sidebar aside footer comment comments disqus "
+    "navigation menu menubar breadcrumb breadcrumbs pagination pager sidebar aside footer comment comments commentlist disqus "
     "discussion replies reply responses cookie cookies consent gdpr notice popup modal overlay newsletter subscribe "
     "subscription signup login share sharing social related recommended recommendations toolbar widget masthead "
     "copyright contentinfo complementary search hidden skip teaser toc dialog alert").split())
-#: Names that mark the article itself and so outweigh a boilerplate name beside them.
+#: Words that mark the article itself; a class of these alone outweighs a boilerplate class beside it.
 ARTICLE = frozenset("article content entry main post story body text hentry".split())
 #: Elements nested deeper than this hold their text but no elements; those become siblings.
 MAX_DEPTH = 300
@@ -64,6 +64,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_COMMENTS = re.compile(r"(?:\d+ )?(?:reader |user )?comments?(?: ?\(\d+\))?$|leave a (?:comment|reply)$|\d+ (?:replies|responses)$", re.I)
 
 
 class Node:
@@ -82,14 +84,34 @@ def _boilerplate(tag: str, attrs: str) -> bool:
         return True
     if "=" not in attrs and "hidden" not in attrs:
         return False
-    names: set[str] = set()
+    dropped = saved = False
     for name, a, b, c in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), unescape(a or b or c)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDING.search(value):
             return True
         if name in ("class", "id", "role"):
-            names.update(x.lower() for x in _NAME.findall(value))
-    return bool(names & BOILERPLATE) and not names & ARTICLE and tag not in ("html", "body", "article", "main")
+            for token in value.split():
+                words = {x.lower() for x in _NAME.findall(token)}
+                dropped = dropped or bool(words & BOILERPLATE)
+                saved = saved or bool(words) and words <= ARTICLE
+    return dropped and not saved and tag not in ("html", "body", "article", "main")
+
+
+def _headed_comments(node: Node) -> bool:
+    """True for a box whose first text is a heading that names reader comments."""
+    if node.tag not in ("section", "div"):
+        return False
+    for child in node.children:
+        if isinstance(child, str):
+            if child.strip():
+                return False
+        else:
+            return child.tag in HEADINGS and bool(_COMMENTS.match(_SPACE.sub(" ", _whole_text(child)).strip()))
+    return False
+
+
+def _whole_text(node: Node) -> str:
+    return "".join(c if isinstance(c, str) else _whole_text(c) for c in node.children)
 
 
 def parse(html: str) -> Node:
@@ -161,7 +183,7 @@ def _prune(node: Node) -> tuple[int, int, int]:
             chars += len(child.strip())
             kept.append(child)
             continue
-        if child.drop or child.tag == "header" and not _within(child, "article"):
+        if child.drop or child.tag == "header" and not _within(child, "article") or _headed_comments(child):
             continue
         c, lc, k = _prune(child)
         if child.tag == "a":

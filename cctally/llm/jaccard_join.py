@@ -37,6 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from cctally.llm.common import U64, mix, shingles, slices, stage, words_of
 from cctally.llm.components import components
@@ -262,8 +263,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
     firsts = stage(sketch.select("doc_id", "set_key").join(linked, F.col("set_key") == F.col("_key")).filter(winner)
                    .groupBy("root").count().filter("count > 1").select(F.col("root").alias("several")), "several")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    keyed = docs.mapInArrow(_keyed(docs.columns.index("text")), f"{kinds}, _set_key_ binary") \
+    kinds = StructType([*docs.schema.fields, StructField("_set_key_", BinaryType())])
+    keyed = docs.mapInArrow(_keyed(docs.columns.index("text")), kinds) \
         .select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "_set_key_") \
         .join(linked, F.col("_set_key_") == F.col("_key"), "left") \
         .join(firsts, F.col("root") == F.col("several"), "left")

@@ -47,6 +47,7 @@ class Model:
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, count) of the trigrams of lower-case letters and gaps of each text, by row."""
     low = pc.utf8_lower(pc.fill_null(texts, ""))
+    low = pc.if_else(pc.match_substring_regex(low, r"\p{L}"), low, "")  # marks alone are no letters
     clean = pc.replace_substring_regex(low, r"[^\p{L}\p{M}]+", " ").to_pylist()
     points = np.frombuffer("\0".join([f" {t.strip()} " if t.strip() else "" for t in clean]).encode("utf-32-le"), np.uint32)
     if len(points) < 3:
@@ -126,8 +127,6 @@ def mixtures(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, p: np.ndarr
         part = improve(part, 2)
         got = np.add.reduceat(count * np.log((part[group] * like).sum(axis=1)), begin) - (size - 1) * cost
         better = got > value
-        if not better.any():
-            break
         best[better], value[better] = part[better], got[better]
     return row[begin], best
 

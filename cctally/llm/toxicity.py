@@ -35,6 +35,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from cctally.llm.bpe import split_words
 from cctally.llm.common import slices, stage
@@ -229,9 +230,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if model.trees is None:
         return docs.withColumn("score", F.lit(model.constant))
     names = [c for c in docs.columns]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    kinds = StructType([*docs.schema.fields, StructField("features", ArrayType(DoubleType()))])
     found = docs.select(F.col("text").cast("string").alias("_text_"), *[F.col(f"`{c}`") for c in names]).mapInArrow(
-        _featurise(model.lexicon), f"{kinds}, features array<double>")
+        _featurise(model.lexicon), kinds)
     row = found.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), array_to_vector("features").alias("x"))
     scored = model.trees.transform(row)
     if model.calibration is not None:

@@ -132,9 +132,10 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         html.alias("html"), F.unhex(F.sha1(html.cast("binary"))).alias("sha"))
-    least = rows.filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(
-        F.min("page_id").alias("least"), F.count("*").alias("n")) \
-        .filter("n > 1 and least is not null").select(F.col("sha").alias("_sha"), "least")
+    # written first, so that the join deals its sides anew and adaptive execution can split a hot payload
+    least = stage(rows.filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(
+        F.min("page_id").alias("least"), F.count("*").alias("n"))
+        .filter("n > 1 and least is not null").select(F.col("sha").alias("_sha"), "least"), "warc_least")
     revisit = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least"))
     chosen = rows.join(least, F.col("sha") == F.col("_sha"), "left").select(
         "page_id", "url", "html", revisit.alias("revisit"), "least")

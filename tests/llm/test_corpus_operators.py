@@ -9,9 +9,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cctally.llm import collocations, packing, prefix_trie, queries, suffix_tree
+from cctally.llm import collocations, html_text, language, packing, prefix_trie, queries, suffix_tree
 
 SCHEMA = "doc_id long, text string, lang string, source string, n int, ids string, pos int, a long, row string"
 ODD = [None, "", " ", "\n\n\n", "x", "a" * 30_000, "don't  stop\t\n now 12 345!!", "é b 　c\u0085d\x1ce",
@@ -221,3 +222,63 @@ def test_language_model_scores_very_long_unseen_words(spark):
     got = suffix_tree.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len(rows) and any(r.held_out for r in got if r.doc_id >= 1000)
     assert all(r.score is not None and -1e6 < r.score < 0 for r in got)
+
+
+# --- 5, 6 and the pipeline -------------------------------------------------------
+
+def test_marks_alone_are_undetermined_and_texts_do_not_sway_each_other(spark):
+    rng = random.Random(3)
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=5)) for _ in range(40))
+    rows = [(i, text("abcde"), "aa") for i in range(30)] + [(100 + i, text("vwxyz"), "zz") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, lambda c: F.col(c).isNotNull())
+    odd = [(1, "́ ̂"), (2, "123 !"), (3, None), (4, text("abcde")), (5, text("abcde") + " " + text("vwxyz"))]
+    alone = {i: language.predict(spark.createDataFrame([(i, t)], "doc_id long, text string"), model).first() for i, t in odd}
+    together = {r.doc_id: r for r in language.predict(spark.createDataFrame(odd, "doc_id long, text string").coalesce(1), model).collect()}
+    assert alone == together
+    assert [alone[i].lang_pred for i in (1, 2, 3, 4)] == ["und", "und", "und", "aa"] and alone[1].score == 0
+    assert set(alone[5].languages) == {"aa", "zz"}
+
+
+def test_language_mixture_equals_brute_force():
+    """The chosen set and shares against plain expectation-maximisation over every prefix of the ranked languages."""
+    rng = np.random.default_rng(0)
+    p = rng.dirichlet(np.full(50, 0.3), size=3).T
+    texts = [rng.choice(50, size=200, p=p[:, rng.integers(3)]) for _ in range(10)]
+    texts += [np.r_[rng.choice(50, size=150, p=p[:, 0]), rng.choice(50, size=150, p=p[:, 2])] for _ in range(5)]
+    row = np.concatenate([np.full(len(np.unique(t)), i) for i, t in enumerate(texts)])
+    bucket, count = map(np.concatenate, zip(*[np.unique(t, return_counts=True) for t in texts], strict=True))
+    at, found = language.mixtures(row, bucket, count.astype(float), p)
+    assert at.tolist() == list(range(15)) and np.allclose(found.sum(1), 1)
+    for i, t in enumerate(texts):
+        log = lambda share: np.log(p[t] @ share).sum()  # noqa: E731,B023
+        single = max(log(np.eye(3)[k]) for k in range(3))
+        assert log(found[i]) >= single - 1e-6
+        assert (found[i] > 0.2).sum() == (1 if i < 10 else 2)
+
+
+@pytest.mark.parametrize("name", [
+    "comment-body", "comment-text", "post-comments", "article-comments", "entry-comments", "story-comments", "commentlist",
+    "main-menu", "article-sidebar", "footer-content", "newsletter-body", "cookie-text", "ad-content", "sponsored-content"])
+def test_boilerplate_classes_go_and_the_article_stays(name):
+    para = "A paragraph of the article, with commas, clauses, and words enough to count as running text in any page."
+    page = (f"<body><div class='post-content main'><h1>Title</h1><p>{para}</p><div class='{name}'><p>UNWANTED {para}</p></div>"
+            f"<p>{para}</p><section><h3>Comments (2)</h3><p>READER {para}</p></section><p>{para}</p></div></body>")
+    text = html_text.extract(page)
+    assert text.count(para) == 3 and "UNWANTED" not in text and "READER" not in text
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    import corpus_pipeline
+    sf = "/root/testdata/sf0.001"
+    names = ["score", "features", "_text_", "removed_chunks", "removed_lines", "_set_key_", "row", "h", "whole row", "x"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    plain, out = spark.read.parquet(f"{sf}/documents.parquet"), docs
+    for _, stage_of in corpus_pipeline.STAGES[:4]:
+        out, plain = stage_of(spark, out, sf), stage_of(spark, plain, sf)
+        assert out.columns == docs.columns
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in plain.collect()}
+    assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
