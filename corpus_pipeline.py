@@ -16,26 +16,32 @@ from cctally.llm.common import held_out, stage, table
 ORACLE_SQL = None
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the whole row as one value, so that no column's name meets one of an operator's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores at 0.7 or more go."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda c: ~held_out(c, 3, 1))
-    return toxicity.score(docs, model).filter("score < 0.7").drop("score")
+    model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), lambda c: ~held_out(c, 3, 1))
+    return toxicity.score(packed(docs), model).filter("score < 0.7").select("whole_row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go, and documents of which nothing is left."""
-    out = line_dedup.remove_repeated_chunks(docs)
+    out = line_dedup.remove_repeated_chunks(packed(docs))
     emptied = (F.col("removed_chunks") > 0) & (F.trim("text") == "")
-    out = out.filter(~emptied | F.col("text").isNull()).drop("removed_chunks", "removed_lines")
+    out = out.filter(~emptied | F.col("text").isNull())
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
-            F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+        new["n_chars"] = F.when(F.col("text").isNull(), F.col("whole_row.n_chars")).otherwise(
+            F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col(f"whole_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of linked texts stays: that with the least id."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(packed(docs)).select("whole_row.*")
 
 
 def drop_leaking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
