@@ -467,7 +467,7 @@ def read_keyvalue_parsed(spark: SparkSession, roots, keys: Sequence[str] | None
                          drop_header_rows: bool = True) -> ReadResult:
     """``read_keyvalue`` with its rejects, as one plan.
 
-    A record is one map from key to the value of the key's first cell. A cell
+    A key's value is that of its first cell. A cell
     without ``=`` (X14: its value is the whole cell) belongs to the key at its
     place among the keys, unless the record names that key elsewhere. A line of
     bare cells that are all key names, or hold all key names, is a header. Nothing else is lost: a bare
@@ -487,17 +487,17 @@ def read_keyvalue_parsed(spark: SparkSession, roots, keys: Sequence[str] | None
     keys = list(keys)
     names = F.array(*[F.lit(k) for k in keys])
     cells = pairs.withColumns({"at": F.transform("pairs", lambda p: p["k"])})
-    first = F.filter("pairs", lambda p, i: p["k"].isNotNull() & (F.array_position("at", p["k"]) == i + 1))
-    cells = cells.withColumn("named", F.map_from_entries(first))
 
-    def bare(i: int) -> F.Column:
+    def value_of(i: int, key: str) -> F.Column:
+        """The first cell of the key, else the bare cell at its place."""
         cell = F.try_element_at("pairs", F.lit(i + 1))
-        return F.when(cell.isNotNull() & cell["k"].isNull(), cell["v"])
+        named = F.try_element_at(F.filter("pairs", lambda p: p["k"] == F.lit(key)), F.lit(1))
+        return F.coalesce(named, F.when(cell["k"].isNull(), cell))["v"]
 
-    value = {k: F.when(F.map_contains_key("named", F.lit(k)), F.try_element_at("named", F.lit(k))).otherwise(bare(i))
-             for i, k in enumerate(keys)}
+    value = {k: value_of(i, k) for i, k in enumerate(keys)}
+    named_at = lambda i: F.coalesce(F.array_contains("at", F.try_element_at(names, i + 1)), F.lit(False))
     homeless = F.exists("placed", lambda p: p["k"].isNull() & (F.trim(p["v"]) != "") & (
-        (p["i"] >= len(keys)) | F.map_contains_key("named", F.try_element_at(names, p["i"] + 1))))
+        (p["i"] >= len(keys)) | named_at(p["i"])))
     cells = cells.withColumn("placed", F.transform("pairs", lambda p, i: F.struct(p["k"].alias("k"), p["v"].alias("v"), i.alias("i"))))
     bare_line = F.forall("pairs", lambda p: p["k"].isNull())
     texts = F.transform("pairs", lambda p: F.trim(p["v"]))
