@@ -2,13 +2,20 @@
 
 Native: DataFrame functions only.
 
-1. Lines are hashed; a rolling hash over each line and the one before it
-   starts a new chunk where it is divisible by ``MODULUS``. Boundaries depend
-   on the lines around them alone, so a shift of lines elsewhere moves none.
-2. Chunks of at least two lines are counted by a 64-bit hash, without texts.
-3. Occurrences of chunks whose hash repeats are grouped by their whole bytes;
-   all but the first occurrence (least doc_id, then text digest, then line)
-   are removed.
+1. A 64-bit rolling hash over each line and the one before it is counted over
+   the corpus, without texts. Lines belong together where it occurs more than
+   once; a run ends where it occurs once.
+2. Within a run a chunk starts where a second rolling hash, over hashes of the
+   two lines, is less than those on either side. Boundaries depend on two
+   lines to each side alone, so a shift of lines elsewhere moves none, and no
+   chunk has less than two lines.
+3. Chunks are grouped by their whole bytes; all but the first occurrence
+   (least doc_id, then text digest, then line) are removed.
+
+A run that stands whole in several texts is cut alike in each and goes whole.
+Where one text holds a part of another's run, the chunks at the part's ends may
+differ and stay. A collision of the 64-bit hash joins two lines too many and
+can hide a repeat at that place; it never removes a line.
 
 A passage in a third of all rows is one row per task in both groupings, and
 its occurrences meet their first one in a join that adaptive execution splits.
@@ -29,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cctally.llm.common import stage
 
-MODULUS, FACTOR, MIN_LINES = 4, 31, 2
+FACTOR = 31
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -41,74 +48,106 @@ def _hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def chunk_spans(lines: Column) -> Column:
-    """Array of (start line, number of lines) of the chunks of an array of lines."""
-    def spans(v: Column) -> Column:
-        cut = F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: (i == 0) | (
-            (F.get(v, i) + FACTOR * F.get(v, i - 1)) % MODULUS == 0))
-        return let(cut, lambda s: F.transform(s, lambda a, k: F.struct(
-            a.alias("at"), (F.coalesce(F.get(s, k + 1), F.size(v)) - a).alias("n"))))
-    return let(F.transform(lines, _hash), spans)
-
-
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, at, chunk`` of the chunks of at least two lines."""
+def _pairs(docs: DataFrame) -> DataFrame:
+    """``doc_id, digest, at, h`` of each line that has one before it; ``h`` covers both."""
+    pair = let(_lines(F.col("text")), lambda v: F.transform(
+        F.slice(v, 2, F.size(v)), lambda line, i: F.struct((i + 1).alias("at"), F.xxhash64(F.get(v, i), line).alias("h"))))
+    return docs.filter("text is not null").select("doc_id", F.md5("text").alias("digest"), F.inline(pair))
+
+
+def chunk_spans(lines: Column, joined: Column) -> Column:
+    """Array of (start line, number of lines) of the chunks of an array of lines.
+
+    ``joined``: ascending numbers of the lines that belong with the line before.
+    """
+    def spans(v: Column, m: Column) -> Column:
+        roll = lambda i: F.get(v, i) + FACTOR * F.get(v, i - 1)
+        before = lambda k: (k > 0) & (F.get(m, k - 1) == F.get(m, k) - 1)
+        after = lambda k: (k + 1 < F.size(m)) & (F.get(m, k + 1) == F.get(m, k) + 1)
+        least = lambda i: (roll(i) < roll(i - 1)) & (roll(i) < roll(i + 1))
+        starts = F.filter(F.transform(m, lambda at, k: F.struct(
+            k.alias("k"), F.when(~before(k), at - 1).when(after(k) & least(at), at).alias("at"), before(k).alias("inside"))),
+            lambda s: s["at"].isNotNull())
+        return let(starts, lambda s: F.transform(s, lambda a, j: F.struct(
+            a["at"].alias("at"),
+            (F.coalesce(F.get(s, j + 1)["k"], F.size(m)) - a["k"] + F.when(a["inside"], 0).otherwise(1)).alias("n"))))
+    return let(F.transform(lines, _hash), lambda v: let(joined, lambda m: spans(v, m)))
+
+
+def _chunks(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``doc_id, digest, at, n, chunk`` of the chunks of all runs."""
+    joined = _pairs(docs).join(repeated, "h", "left_semi") \
+        .groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")) \
+        .agg(F.sort_array(F.collect_set("at")).alias("_joined"))
     cut = let(_lines(F.col("text")), lambda lines: F.transform(
-        F.filter(chunk_spans(lines), lambda c: c["n"] >= MIN_LINES),
-        lambda c: F.struct(c["at"].alias("at"),
+        chunk_spans(lines, F.col("_joined")),
+        lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"),
                            F.array_join(F.slice(lines, c["at"] + 1, c["n"]), "\n").alias("chunk"))))
-    return docs.filter("text is not null").select("doc_id", F.md5("text").alias("digest"), F.inline(cut))
+    return docs.join(joined, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.md5("text") == F.col("_digest"))) \
+        .select("doc_id", F.col("_digest").alias("digest"), F.inline(cut))
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """``lines`` but for the ascending, disjoint spans ``gone``."""
+    def rest(g: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(g, k - 1)["at"] + F.get(g, k - 1)["n"], F.lit(0))
+        kept = F.transform(F.sequence(F.lit(0), F.size(g)), lambda k: F.slice(
+            lines, end(k) + 1, F.coalesce(F.get(g, k)["at"], F.size(lines)) - end(k)))
+        return F.flatten(kept)
+    return let(gone, rest)
 
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated chunks, plus ``removed_chunks`` and ``removed_lines``."""
-    place = F.struct("doc_id", "digest", "at")
-    chunks = _chunks(docs.select("doc_id", "text"))
-    repeated = stage(chunks.select(F.xxhash64("chunk").alias("h"), place.alias("p"))
+    texts = docs.select("doc_id", "text")
+    # the place as one number, so that the count is a hash aggregate of fixed width
+    repeated = stage(_pairs(texts).select("h", F.xxhash64("doc_id", "digest", "at").alias("p"))
                      .groupBy("h").agg(F.min("p").alias("a"), F.max("p").alias("b"))
                      .filter("a <> b").select("h"), "repeated")
-    found = stage(chunks.withColumn("h", F.xxhash64("chunk")).join(repeated, "h", "left_semi"), "occurrences")
+    found = stage(_chunks(texts, repeated).withColumn("h", F.xxhash64("chunk")), "occurrences")
+    place = F.struct("doc_id", "digest", "at")
     # written first, so that the join deals its sides anew and adaptive execution can split a hot chunk
     first = stage(found.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                   .filter("a <> b").select("h", "chunk", "a"), "first")
     gone = found.join(first, ["h", "chunk"]).filter(place != F.col("a")) \
         .groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")) \
-        .agg(F.collect_set("at").alias("_gone"))
+        .agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("_gone"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = F.col("row.text")
-    kept = let(_lines(text), lambda lines: let(
-        F.filter(chunk_spans(lines), lambda c: ~F.array_contains(F.col("_gone"), c["at"])),
-        lambda spans: F.struct(
-            F.array_join(F.flatten(F.transform(spans, lambda c: F.slice(lines, c["at"] + 1, c["n"]))), "\n").alias("text"),
-            (F.size(lines) - F.aggregate(spans, F.lit(0), lambda s, c: s + c["n"])).alias("lines"))))
+    kept = F.array_join(let(_lines(text), lambda lines: _without(lines, F.col("_gone"))), "\n")
     joined = row.join(gone, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.md5(text) == F.col("_digest")), "left") \
         .withColumn("kept", F.when(F.col("_gone").isNotNull(), kept))
     return joined.select(
-        *[F.coalesce("kept.text", text).alias("text") if c == "text" else F.col(f"row.`{c}`")
+        *[F.coalesce("kept", text).alias("text") if c == "text" else F.col(f"row.`{c}`")
           for c in docs.columns if c not in ("removed_chunks", "removed_lines")],
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_chunks"),
-        F.coalesce("kept.lines", F.lit(0)).cast("long").alias("removed_lines"))
+        F.coalesce(F.aggregate("_gone", F.lit(0), lambda s, c: s + c["n"]), F.lit(0)).cast("long").alias("removed_lines"))
 
 
 ORACLE_SQL = f"""
-WITH docs AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
-hashed AS (SELECT *, list_transform(lines, lambda x: CAST('0x' || md5(x)[1:8] AS BIGINT)) AS v FROM docs),
-cut AS (SELECT *, list_filter(range(len(lines)), lambda i: i = 0 OR (v[i + 1] + {FACTOR} * v[i]) % {MODULUS} = 0) AS starts FROM hashed),
-spans AS (SELECT doc_id, text, lines, unnest(list_zip(starts, list_append(starts[2:], len(lines)))) AS s FROM cut),
-chunks AS (SELECT doc_id, text, s[1] AS a, s[2] - s[1] AS n, lines[s[1] + 1:s[2]] AS part FROM spans),
-ranked AS (SELECT *, array_to_string(part, chr(10)) AS chunk,
-    row_number() OVER (PARTITION BY array_to_string(part, chr(10)), n >= {MIN_LINES}
-                       ORDER BY doc_id NULLS FIRST, md5(text), a) AS k FROM chunks),
-built AS (SELECT doc_id, text,
-    coalesce(string_agg(chunk, chr(10) ORDER BY a) FILTER (WHERE n < {MIN_LINES} OR k = 1), '') AS kept,
-    count(*) FILTER (WHERE n >= {MIN_LINES} AND k > 1) AS removed_chunks,
-    coalesce(sum(n) FILTER (WHERE n >= {MIN_LINES} AND k > 1), 0) AS removed_lines FROM ranked GROUP BY doc_id, text)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE b.kept END AS text,
-    CAST(coalesce(b.removed_chunks, 0) AS BIGINT) AS removed_chunks,
-    CAST(coalesce(b.removed_lines, 0) AS BIGINT) AS removed_lines
-FROM documents d LEFT JOIN built b ON d.doc_id IS NOT DISTINCT FROM b.doc_id AND d.text = b.text
+WITH docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER () AS d, string_split(text, chr(10)) AS lines FROM docs),
+lines AS (SELECT d, doc_id, md5(text) AS digest, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM numbered),
+hashed AS (SELECT *, CAST('0x' || md5(line)[1:8] AS BIGINT) AS v, lag(line) OVER w AS prev FROM lines WINDOW w AS (PARTITION BY d ORDER BY i)),
+paired AS (SELECT *, i > 0 AND count(*) OVER (PARTITION BY prev, line) > 1 AS s, v + {FACTOR} * lag(v) OVER w AS r
+    FROM hashed WINDOW w AS (PARTITION BY d ORDER BY i)),
+cut AS (SELECT *, NOT s OR coalesce(lag(s) OVER w AND lead(s) OVER w AND r < lag(r) OVER w AND r < lead(r) OVER w, FALSE) AS opens
+    FROM paired WINDOW w AS (PARTITION BY d ORDER BY i)),
+placed AS (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY d ORDER BY i) AS c FROM cut),
+chunks AS (SELECT d, c, doc_id, digest, min(i) AS a, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk
+    FROM placed GROUP BY d, c, doc_id, digest HAVING count(*) > 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id NULLS FIRST, digest, a) AS k FROM chunks),
+gone AS (SELECT d, c, n FROM ranked WHERE k > 1),
+kept AS (SELECT d, string_agg(line, chr(10) ORDER BY i) AS text FROM placed p
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.d = p.d AND g.c = p.c) GROUP BY d),
+sums AS (SELECT d, count(*) AS chunks, sum(n) AS lines FROM gone GROUP BY d)
+SELECT o.doc_id, CASE WHEN o.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+    CAST(coalesce(s.chunks, 0) AS BIGINT) AS removed_chunks,
+    CAST(coalesce(s.lines, 0) AS BIGINT) AS removed_lines
+FROM documents o LEFT JOIN numbered b ON o.doc_id IS NOT DISTINCT FROM b.doc_id AND o.text = b.text
+LEFT JOIN kept k ON k.d = b.d LEFT JOIN sums s ON s.d = b.d
 """

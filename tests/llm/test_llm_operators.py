@@ -105,6 +105,17 @@ def test_score_bound_is_never_below_the_alignment():
 
 # --- 2 -------------------------------------------------------------------------
 
+def line_dedup_oracle(rows):
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()),
+                                        "text": pa.array([t for _, t in rows], pa.string())}))
+    return Counter(con.execute(line_dedup.ORACLE_SQL).fetchall())
+
+
+def line_dedup_rows(out):
+    return Counter(map(tuple, out.select("doc_id", "text", "removed_chunks", "removed_lines").collect()))
+
+
 def test_line_dedup_edge_cases(spark):
     rng = random.Random(2)
     lines = [words(rng, 4) for _ in range(12)]
@@ -115,13 +126,40 @@ def test_line_dedup_edge_cases(spark):
     assert out.count() == len(rows) and set(d.columns) < set(out.columns)
     got = {r.doc_id: r for r in out.collect()}
     assert got[30].text == passage and got[30].removed_chunks == 0
-    assert got[31].removed_chunks > 0 and len(got[31].text) < len(passage)
+    assert got[31].text == "" and got[31].removed_lines == 12
+    assert got[32].text == rows[-1][1].split("\n")[0]
     assert got[2].text is None and got[1].text == ""
     assert line_dedup.remove_repeated_chunks(d.filter("false")).count() == 0
-    con = duckdb.connect()
-    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]}))
-    want = con.execute(line_dedup.ORACLE_SQL).fetchall()
-    assert Counter(map(tuple, out.select("doc_id", "text", "removed_chunks", "removed_lines").collect())) == Counter(want)
+    assert line_dedup_rows(out) == line_dedup_oracle(rows)
+
+
+def test_line_dedup_removes_whole_planted_runs(spark):
+    rng = random.Random(21)
+    line = lambda: words(rng, 6)
+    rows, runs, n = [], {}, 0
+    for length in (2, 3, 4, 6, 8, 12, 40):
+        for _ in range(20):
+            run = [line() for _ in range(length)]
+            for _ in range(3):
+                before, after = ([line() for _ in range(rng.randrange(4))] for _ in range(2))
+                rows.append((n, "\n".join(before + run + after)))
+                runs[n] = ("\n".join(before + after), length)
+                n += 1
+    got = {r.doc_id: r for r in line_dedup.remove_repeated_chunks(frame(spark, rows)).collect()}
+    for k, (rest, length) in runs.items():
+        if k % 3 == 0:
+            assert got[k].text == rows[k][1] and got[k].removed_lines == 0
+        else:
+            assert (got[k].text, got[k].removed_lines) == (rest, length)
+
+
+def test_line_dedup_equals_sql_on_few_distinct_lines(spark):
+    rng = random.Random(22)
+    rows = [(k % 50, "\n".join(rng.choice(["", "a", "b", "c", "d e", "f"]) for _ in range(rng.randrange(1, 30))))
+            for k in range(120)]
+    whole = rows[7][1]
+    rows += [(60, whole[:len(whole) // 2]), (61, "x\n" + whole + "\ny"), (None, whole), (62, None)]
+    assert line_dedup_rows(line_dedup.remove_repeated_chunks(frame(spark, rows))) == line_dedup_oracle(rows)
 
 
 # --- 3 -------------------------------------------------------------------------
