@@ -54,9 +54,11 @@ def _lines(text: Column) -> Column:
 
 def _pairs(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, at, h`` of each line that has one before it; ``h`` covers both."""
-    pair = let(_lines(F.col("text")), lambda v: F.transform(
-        F.slice(v, 2, F.size(v)), lambda line, i: F.struct((i + 1).alias("at"), F.xxhash64(F.get(v, i), line).alias("h"))))
-    return docs.filter("text is not null").select("doc_id", F.md5("text").alias("digest"), F.inline(pair))
+    # the digest goes through the generator, which would else have it computed for each line anew
+    pair = let(F.md5("text"), lambda digest: let(_lines(F.col("text")), lambda v: F.transform(
+        F.slice(v, 2, F.size(v)), lambda line, i: F.struct(
+            digest.alias("digest"), (i + 1).alias("at"), F.xxhash64(F.get(v, i), line).alias("h")))))
+    return docs.filter("text is not null").select("doc_id", F.inline(pair))
 
 
 def chunk_spans(lines: Column, joined: Column) -> Column:
