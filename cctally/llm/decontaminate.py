@@ -1,17 +1,21 @@
 """Operator 1: benchmark decontamination by n-gram seeds and local alignment.
 
 1. The benchmark's word n-grams are the seeds. They are handed to the tasks in
-   slices of a bounded number of items' words; each slice is one more pass.
-2. One pass looks the seeds up in each whole text. Hits of one item at like
-   offsets form a passage, which is aligned with its item (Smith-Waterman over
-   words, linear gaps), however many documents hold its seeds.
-3. Only a passage whose shared words prove that no alignment can reach the
-   score of a leak is left out.
-4. A passage leaks its item when the alignment scores at least ``MIN_SCORE``
+   slices of a bounded number of items' words; each slice is two more passes.
+2. A first pass counts the documents that hold each seed. Those in at most
+   ``RARE_SHARE`` of all documents, or in at most ``RARE_DOCUMENTS``, are rare.
+3. A second pass looks the seeds up in each whole text. Hits of one item at
+   like offsets form a passage. One with a rare seed is aligned with its item
+   (Smith-Waterman over words, linear gaps).
+4. The rest, passages of frequent seeds alone, are aligned too, but for those
+   whose shared words prove that no alignment can reach the score of a leak.
+   So an item that thousands of documents hold is still found in each.
+5. A passage leaks its item when the alignment scores at least ``MIN_SCORE``
    of what the item scores against itself, and ``MIN_POINTS`` or the whole
    item.
 
-The pass is narrow: only leaks are shuffled, so no key can grow hot.
+Both passes are narrow: one count per task and seed, and leaks, are shuffled,
+so no key can grow hot.
 
 Defined results: null or empty texts and items have no seeds and never match;
 an item of fewer words than a seed has none either. Items with equal text are
@@ -23,14 +27,14 @@ earliest span. Null ids are kept as null. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cctally.llm.common import grams, slices, words_of
+from cctally.llm.common import grams, slices, stage, words_of
 
 SEED_WORDS = 4
 MIN_SCORE = 0.45
@@ -39,6 +43,8 @@ MIN_POINTS = 12
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of benchmark items that one broadcast holds (about 40 bytes each).
 SLICE_WORDS = 1_000_000
+#: A seed is rare up to this share of the documents, and up to this number of them in small tables.
+RARE_SHARE, RARE_DOCUMENTS = 1e-3, 10
 
 
 @dataclass
@@ -50,6 +56,7 @@ class Seeds:
     hash: np.ndarray
     item: np.ndarray
     at: np.ndarray
+    rare: np.ndarray
 
 
 def seeds_of(items: list, texts: list) -> Seeds:
@@ -64,7 +71,7 @@ def seeds_of(items: list, texts: list) -> Seeds:
     h = np.concatenate([*hashes, np.empty(0, np.uint64)])
     order = np.argsort(h, kind="stable")
     pick = lambda parts: np.concatenate([*parts, np.empty(0, np.int64)])[order].astype(np.int64)
-    return Seeds(items, words, h[order], pick(item), pick(at))
+    return Seeds(items, words, h[order], pick(item), pick(at), np.ones(len(h), bool))
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -110,6 +117,38 @@ def hits_of(words, seeds: Seeds) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first, n), np.repeat(low - begin, n) + np.arange(n.sum())
 
 
+def _count_seeds(seeds: Seeds):
+    """Per task, the number of rows that hold each seed (by its hash), and of all rows under a null."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct, rows = np.unique(seeds.hash), 0
+        counts = np.zeros(len(distinct), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for _, texts in slices(batch.column(0)):
+                words = words_of(texts)
+                h, first = grams(words.hash, words.doc, SEED_WORDS)
+                known = np.isin(h, distinct)
+                at = np.searchsorted(distinct, h[known])
+                held = np.unique(words.doc[first[known]].astype(np.int64) * max(len(distinct), 1) + at)
+                counts += np.bincount(held % max(len(distinct), 1), minlength=len(distinct))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *distinct[found].view(np.int64).tolist()], pa.int64()),
+             pa.array([rows, *counts[found].tolist()], pa.int64())], names=["seed", "n"])
+    return run
+
+
+def with_rare(seeds: Seeds, docs: DataFrame) -> Seeds:
+    """``seeds`` with those marked rare that few of ``docs`` hold; at most one row per seed of the slice is fetched."""
+    counts = docs.select(F.col("text").cast("string").alias("text")) \
+        .mapInArrow(_count_seeds(seeds), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    rows = stage(counts.filter(F.col("seed").isNull() | (F.col("n") > RARE_DOCUMENTS)), "seed_counts")
+    total = rows.filter("seed is null").first()
+    most = max(RARE_DOCUMENTS, RARE_SHARE * (total.n if total else 0))
+    frequent = [r.seed for r in rows.filter(F.col("seed").isNotNull() & (F.col("n") > most)).select("seed").collect()]
+    return replace(seeds, rare=~np.isin(seeds.hash, np.array(frequent, np.int64).view(np.uint64)))
+
+
 def leaks_of(words, seeds: Seeds, min_score: float = MIN_SCORE) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, first word of the row's span, end word) of the passages that leak."""
     first, seed = hits_of(words, seeds)
@@ -119,6 +158,7 @@ def leaks_of(words, seeds: Seeds, min_score: float = MIN_SCORE) -> Iterator[tupl
     offset = first - seeds.at[seed]
     order = np.lexsort((offset, item, doc))
     first, seed, item, doc, offset = (x[order] for x in (first, seed, item, doc, offset))
+    rare = np.r_[0, np.cumsum(seeds.rare[seed])]
     size = np.array([len(w) for w in seeds.words])[item]
     new = np.ones(len(first), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (np.diff(offset) > np.maximum(size[1:] // 2, 2))
@@ -130,7 +170,7 @@ def leaks_of(words, seeds: Seeds, min_score: float = MIN_SCORE) -> Iterator[tupl
         high = min(begins[d + 1], offset[b - 1] + n + n // 2 + 1)
         least = max(min_score, min(1.0, MIN_POINTS / (MATCH * n)))
         own, text = seeds.words[k], words.hash[low:high]
-        if score_bound(own, text) / (MATCH * n) < least or score_bound(text, own) / (MATCH * n) < least:
+        if rare[a] == rare[b] and min(score_bound(own, text), score_bound(text, own)) / (MATCH * n) < least:
             continue
         score, s, e = best_span(own, text)
         if score >= least:
@@ -179,7 +219,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = None
     for seeds in benchmark_slices(benchmark):
-        part = source.mapInArrow(_leaks(seeds, min_score), (
+        part = source.mapInArrow(_leaks(with_rare(seeds, source), min_score), (
             "doc_id long, item_id long, score double, first_word long, end_word long, first_char long, end_char long"))
         found = part if found is None else found.union(part)
     best = F.max(F.struct("score", *[(-F.col(c)).alias(c) for c in (
@@ -203,6 +243,7 @@ def _clean(seeds: Seeds, column: int, min_score: float):
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose text leaks no benchmark item."""
     column = docs.columns.index("text")
+    kept = docs
     for seeds in benchmark_slices(benchmark):
-        docs = docs.mapInArrow(_clean(seeds, column, min_score), docs.schema)
-    return docs
+        kept = kept.mapInArrow(_clean(with_rare(seeds, docs), column, min_score), docs.schema)
+    return kept

@@ -103,6 +103,42 @@ def test_score_bound_is_never_below_the_alignment():
         assert decontaminate.score_bound(a, b) >= best and decontaminate.score_bound(b, a) >= best
 
 
+def test_leaks_equal_all_items_against_all_texts(spark):
+    rng = random.Random(31)
+    vocabulary = [f"w{k}" for k in range(60)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [some(rng.randrange(3, 30)) for _ in range(12)]
+    common = items[0]
+    texts = []
+    for k in range(150):
+        item = list(common if k % 3 == 0 else rng.choice(items))
+        for _ in range(rng.randrange(0, 1 + len(item) // 4)):
+            item[rng.randrange(len(item))] = "zz"
+        texts.append(some(rng.randrange(20)) + item[:rng.randrange(1, len(item) + 1)] + some(rng.randrange(20)))
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score
+           for r in decontaminate.leaks(frame(spark, [(k, " ".join(t)) for k, t in enumerate(texts)]), b).collect()}
+    number = {w: k for k, w in enumerate([*vocabulary, "zz"])}
+    runs = lambda v: {tuple(v[i:i + 4]) for i in range(len(v) - 3)}
+    want = {}
+    for d, t in enumerate(texts):
+        for k, item in enumerate(items):
+            if runs(t) & runs(item):
+                score = decontaminate.align(np.array([number[w] for w in item]), np.array([number[w] for w in t]))[0] / (2 * len(item))
+                if score >= max(decontaminate.MIN_SCORE, min(1.0, decontaminate.MIN_POINTS / (2 * len(item)))):
+                    want[d, k] = score
+    assert got == want and len(want) > 30
+
+
+def test_rare_seeds_by_documents_that_hold_them(spark):
+    rng = random.Random(32)
+    frequent, rare = words(rng, 6), words(rng, 6)
+    d = frame(spark, [(k, frequent + " " + frequent) for k in range(11)] + [(50 + k, rare) for k in range(10)])
+    seeds = decontaminate.with_rare(decontaminate.seeds_of([1, 2], [frequent, rare]), d)
+    assert {(int(k), bool(r)) for k, r in zip(seeds.item, seeds.rare, strict=True)} == {(0, False), (1, True)}
+    assert decontaminate.with_rare(seeds, d.filter("false")).rare.all()
+
+
 # --- 2 -------------------------------------------------------------------------
 
 def line_dedup_oracle(rows):
