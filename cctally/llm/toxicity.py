@@ -4,7 +4,8 @@
    the training sample; only their ids are broadcast.
 2. The lexicon is learned from them: word stems (whole words and prefixes of
    four to eight letters) that are far more common in toxic texts, in a strong
-   and a weak list of at most ``MAX_STEMS`` each.
+   and a weak list. A stem needs ``MIN_SUPPORT_SHARE`` of the sample's toxic
+   texts, and ``MIN_SUPPORT`` of them; every one that has it is listed.
 3. Every whole text gets dense features in one narrow Arrow pass: lexicon
    densities, lexicon hits near a second person, capitals, punctuation,
    obfuscation and elongation rates, length.
@@ -41,7 +42,6 @@ from cctally.llm.bpe import split_words
 from cctally.llm.common import slices, stage
 
 MAX_TRAIN = 16_000
-MAX_STEMS = 400
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 MIN_SUPPORT_SHARE, MIN_SUPPORT = 0.02, 3
 STRONG_LIFT, WEAK_LIFT = 30.0, 6.0
@@ -113,7 +113,11 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_lexicon(train: DataFrame, positives: int) -> Lexicon:
-    """The lexicon of a training sample ``(text, toxic)``; what reaches the driver is bounded by ``MAX_STEMS``."""
+    """The lexicon of a training sample ``(text, toxic)``.
+
+    The least support bounds what reaches the driver: the lists together hold
+    at most ``6 / MIN_SUPPORT_SHARE`` stems for each distinct word of a mean toxic text.
+    """
     counts = train.select("text", "toxic").mapInArrow(_count_stems, "stem string, toxic long, clean long") \
         .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     support = max(MIN_SUPPORT, int(MIN_SUPPORT_SHARE * positives))
@@ -127,19 +131,21 @@ def learn_lexicon(train: DataFrame, positives: int) -> Lexicon:
         chosen = kept.filter("stem <> ''").withColumn("lift", lift).filter(F.col("lift") >= low)
         if high:
             chosen = chosen.filter(F.col("lift") < high)
-        stems = [r.stem for r in chosen.orderBy(F.desc("toxic"), "stem").limit(8 * MAX_STEMS).collect()]
-        have = set(stems)
-        for s in stems:  # a stem of which a shorter prefix is listed adds nothing
-            bare = s.rstrip("$")
-            shorter = any(bare[:n] in have for n in STEM_LENGTHS if n < len(bare) or (n == len(bare) and s[-1] == "$"))
-            if not shorter and len(out) < MAX_STEMS:
-                out.append(s)
+        have = {r.stem for r in chosen.select("stem").collect()}
+        for stem in sorted(have):  # a stem of which a shorter prefix is listed adds nothing
+            bare = stem.rstrip("$")
+            if not any(bare[:n] in have for n in STEM_LENGTHS if n < len(bare) or (n == len(bare) and stem[-1] == "$")):
+                out.append(stem)
     return found
 
 
-def _pattern(stems: list[str]) -> str | None:
-    escaped = [s[:-1].replace("\\", "") + "$" if s[-1] == "$" else s for s in stems]
-    return "^(?:" + "|".join(escaped) + ")" if stems else None
+def _listed(plain: pa.Array, stems: list[str]) -> np.ndarray:
+    """Which words are, or begin with, one of ``stems`` (``$`` marks whole words)."""
+    found = pc.is_in(plain, pa.array([s[:-1] for s in stems if s[-1] == "$"], pa.string())).to_numpy(zero_copy_only=False)
+    for n in STEM_LENGTHS:
+        prefixes = pa.array([s for s in stems if s[-1] != "$" and len(s) == n], pa.string())
+        found = found | pc.is_in(pc.utf8_slice_codeunits(plain, 0, n), prefixes).to_numpy(zero_copy_only=False)
+    return found
 
 
 def features_of(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
@@ -150,11 +156,10 @@ def features_of(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     if not len(at):
         return np.zeros((n, len(FEATURES)))
     plain = _plain(distinct)
-    match = lambda p, column=plain: (
-        pc.match_substring_regex(column, p).to_numpy(zero_copy_only=False) if p else np.zeros(len(column), bool))
+    match = lambda p, column=plain: pc.match_substring_regex(column, p).to_numpy(zero_copy_only=False)
     count = lambda p: pc.count_substring_regex(distinct, p).to_numpy(zero_copy_only=False).astype(float)
     raw = pc.utf8_lower(distinct)
-    strong, weak = match(_pattern(lexicon.strong)), match(_pattern(lexicon.weak))
+    strong, weak = _listed(plain, lexicon.strong), _listed(plain, lexicon.weak)
     hidden = match(r"\p{L}[^\p{L}\s'’\-]+\p{L}", raw) | match(r"[#$%&*@]{2,}", raw)
     you = pc.is_in(plain, pa.array(SECOND_PERSON)).to_numpy(zero_copy_only=False)
     upper, letters = count(r"\p{Lu}"), count(r"\p{L}")
