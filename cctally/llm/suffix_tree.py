@@ -1,10 +1,11 @@
 """Operator 4: language-model scores from a probabilistic suffix tree.
 
 The tree's contexts have variable length, in two layers. The next token is
-predicted from the longest retained suffix of the tokens so far: the token
-before it, or nothing. The root's distribution over tokens is smoothed with
-their spelling, in which each byte (or the token's end) is predicted from the
-longest retained suffix of up to ``DEPTH`` bytes of its token.
+predicted from the longest retained suffix of the tokens so far, of at most
+``TOKEN_DEPTH`` tokens (the text's beginning counts as one). The root's
+distribution over tokens is smoothed with their spelling, in which each byte
+(or the token's end) is predicted from the longest retained suffix of up to
+``DEPTH`` bytes of its token.
 
 1. A narrow pass over the training texts counts byte contexts. Those that hold
    ``MIN_SHARE`` of all symbols are candidates, at most ``DEPTH / MIN_SHARE``;
@@ -12,22 +13,28 @@ longest retained suffix of up to ``DEPTH`` bytes of its token.
    parent's: count times Kullback-Leibler divergence of at least ``MIN_GAIN``
    nats per next symbol seen. The suffixes of retained contexts stay too. They
    are broadcast.
-2. A second narrow pass turns each block into its distinct tokens, spelled out
-   by the tree, its pairs of a token and the next one, and per text their
-   numbers. Counts of tokens and pairs are summed over all blocks by their
-   hashes and return to the blocks.
-3. Each pair adds once, in one of its blocks, to the leave-one-out gain in log
-   likelihood of its context's next-token distribution over the corpus root's,
-   for each of ``WEIGHTS``, from counts of the whole corpus. Token contexts
-   whose gain is at least ``TOKEN_GAIN`` nats are retained with their best
-   weight, however often they occur and however large the corpus is.
-   The retained contexts are a table that is joined to the blocks by hash; no
-   result depends on how the texts are cut into blocks.
-4. Distributions are smoothed with their parents' (Witten-Bell, or the chosen
+2. A second narrow pass writes the texts as blocks of token numbers, a table
+   bucketed by block, which no later step shuffles.
+3. The tree over tokens grows level by level. A level takes two questions of
+   the blocks to the whole corpus: how often its strings (context and token)
+   occur in training texts, then how much each context gains. Questions are
+   sorted hashes, dealt into buckets and packed; a bucket sums what all blocks
+   say of a hash and answers each block in the order of its question.
+4. A context's gain is that of its next-token distribution over its parent's
+   (the next shorter retained context, or the root), in nats, each occurrence
+   left out of its own counts, added over all occurrences in training texts.
+   It is retained if that is at least ``TOKEN_GAIN`` for the best of
+   ``WEIGHTS``, however large the corpus is. Only retained contexts are
+   extended, to those that occur at least twice: one occurrence, left out of
+   its own counts, gains nothing.
+5. Distributions are smoothed with their parents' (Witten-Bell, or the chosen
    weight for a token context), the root of the spelling with the uniform one.
 
-A token or pair has one row per block at most, however often it occurs, and
-blocks hold a bounded number of bytes.
+A block asks once for a hash, however often it occurs in it; blocks hold a
+bounded number of bytes, and a bucket as many hashes as a block, up to
+``MAX_BUCKETS`` blocks (786 GB; beyond that take larger blocks). A hash is known
+by 48 bits within its bucket. No result depends on how the texts are cut into
+blocks, but for the rounding of gains to 24 bits.
 
 Defined results: a null text is empty and has one token, its end. Without
 training texts N and V are 0, base scores are 0 and symbols are uniform.
@@ -36,6 +43,7 @@ Repeated rows and null ids are scored each (a null id is in training).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,10 +52,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cctally.llm.common import U64, held_out, mix, slices, span_hashes, stage
+from cctally.session import staging_dir
 
 DEPTH = 5
 MIN_SHARE = 1e-5
@@ -58,6 +67,10 @@ BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 50_000
+#: Most tokens of a context, a parameter of ``score_texts``.
+TOKEN_DEPTH = 3
+#: The bit of a hash that is set for strings of several tokens, and the most buckets of hashes.
+TOKEN_BIT, MAX_BUCKETS = 1 << 16, 1 << 16
 #: Least gain in nats of a retained token context.
 TOKEN_GAIN = 10.0
 #: Weights of the root in a token context's distribution, of which the best is chosen.
@@ -65,7 +78,6 @@ WEIGHTS = (0.5, 3.0, 20.0, 150.0)
 #: Hashes of the text's beginning as a context and of its end as a next token.
 START_HASH, END_HASH = U64(0x5354415254), U64(0x454E44)
 STATISTICS = "depth int, context long, symbol int, n long"
-GAINS = [f"g{k}" for k in range(len(WEIGHTS))]
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -149,59 +161,46 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
 
 
-BLOCKS = ("kind string, block long, doc_id long, held_out boolean, n_tokens long, locals binary, counts binary, "
-          "pairs binary, pair_counts binary, hash long, local int, times int, logp binary, heads binary, following binary, hashes binary")
+#: One row per block of texts: per text its id and flags, its number of tokens with the end; per place
+#: the local number of its token; per distinct token its hash and its spelling's log10 probability.
+BLOCKS = ("block long, train_tokens long, ids binary, flags binary, lengths binary, tokens binary, hashes binary, "
+          "logp binary")
+#: Questions of a block to a bucket of hashes, and the bucket's answers in the order of the questions.
+QUESTIONS = "block long, step int, bucket int, hashes binary, amounts binary"
+ANSWERS = "block long, step int, bucket int, data binary, kinds long"
 
 
-def _bags(row: np.ndarray, item: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per row its distinct items and their counts: (first place of each row, items, counts)."""
-    key, count = np.unique(row.astype(np.int64) * size + item, return_counts=True)
-    return np.searchsorted(key, np.arange(n + 1) * size), (key % size).astype(np.int32), count.astype(np.int32)
+def pack(values: np.ndarray) -> bytes:
+    """An array's bytes, those of one place of the numbers together, compressed behind their length."""
+    planes = np.ascontiguousarray(values).reshape(-1, 1).view(np.uint8).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 def _block(tree: Tree, block_bytes: int):
-    """Per block: a row for each text, one for each distinct token and pair, and one for the block itself."""
+    """A row for each block of at most ``block_bytes`` of text, or one text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, part = 0, TaskContext.get().partitionId()
-        kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}
-        schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in BLOCKS.split(", ")])
-
-        def rows(kind: str, block: int, n: int, **columns) -> Iterator[pa.RecordBatch]:
-            for low in range(0, n, 100_000):
-                m = min(100_000, n - low)
-                fixed = {"kind": pa.array([kind] * m), "block": pa.array(np.full(m, block))}
-                yield pa.RecordBatch.from_arrays([
-                    fixed[f.name] if f.name in fixed else pa.array(columns[f.name][low:low + m], f.type)
-                    if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
-
         for batch in batches:
             pa.default_memory_pool().release_unused()
             for start, texts in slices(batch.column(1), block_bytes):
-                block, number, n = (part << 32) | number, number + 1, len(texts)
-                held = batch.column(2).slice(start, n).to_numpy(zero_copy_only=False)
-                row, before, after, distinct = pairs_of(texts)
-                train = ~held[row]
-                size = len(distinct) + 1
-                hashes = np.r_[token_hashes(distinct), START_HASH]
-                word = after < size - 1
-                c0, c1, c2 = _bags(row[word], after[word], n, size)
-                key, item = np.unique(before.astype(np.int64) * size + after, return_inverse=True)
-                p0, p1, p2 = _bags(row, item, n, max(len(key), 1))
-                cut = lambda a, at: [a[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
-                yield from rows("text", block, n, doc_id=batch.column(0).slice(start, n), held_out=held,
-                                n_tokens=np.bincount(row, minlength=n), locals=cut(c1, c0), counts=cut(c2, c0),
-                                pairs=cut(p1, p0), pair_counts=cut(p2, p0))
-                head, following = key // size, key % size
-                ends = np.r_[hashes[:-1], END_HASH]
-                pair = mix(hashes[head] * U64(0x9E3779B97F4A7C15) + ends[following] + U64(1))
-                # the last token stands for the text's beginning as a context and its end as a next token
-                times = np.r_[np.bincount(after[train], minlength=size), np.bincount(item[train], minlength=len(key))]
-                hashes &= ~U64(1)
-                named = np.r_[hashes, pair | U64(1)]  # tokens are even, pairs odd
-                yield from rows("item", block, len(times), hash=named.view(np.int64), local=np.arange(len(times)), times=times)
-                yield from rows("block", block, 1, logp=[spell(tree, distinct).astype(np.float32).tobytes()],
-                                heads=[head.astype(np.int32).tobytes()], following=[following.astype(np.int32).tobytes()],
-                                hashes=[hashes.tobytes()])
+                n = len(texts)
+                held = batch.column(2).slice(start, n).to_numpy(zero_copy_only=False).astype(bool)
+                ids = batch.column(0).slice(start, n)
+                row, _, after, distinct = pairs_of(texts)
+                lengths = np.bincount(row, minlength=n)
+                flags = held.astype(np.uint8) + 2 * pc.is_null(ids).to_numpy(zero_copy_only=False).astype(np.uint8)
+                columns = [ids.fill_null(0).to_numpy().astype(np.int64), flags, lengths.astype(np.int64),
+                           after.astype(np.int32), token_hashes(distinct), spell(tree, distinct).astype(np.float32)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(part << 32) | number], pa.int64()), pa.array([int(lengths[~held].sum())], pa.int64())]
+                    + [pa.array([pack(c)], pa.binary()) for c in columns], names=[x.split()[0] for x in BLOCKS.split(", ")])
+                number += 1
     return run
 
 
@@ -300,92 +299,242 @@ def learn(statistics: DataFrame, texts: int, min_share: float = MIN_SHARE, min_g
     return out
 
 
-def _counts(items: pd.DataFrame, column: str) -> np.ndarray:
-    out = np.zeros(int(items["local"].max()) + 1)
-    out[items["local"].to_numpy()] = items[column].to_numpy()
-    return out
+def add(count: np.ndarray, weight, logp: np.ndarray) -> np.ndarray:
+    """log10(count + weight * 10**logp), also where the power is too small for a float."""
+    with np.errstate(divide="ignore"):  # a count of 0 adds nothing
+        return np.logaddexp(np.log(count), np.log(weight) + logp * np.log(10)) / np.log(10)
 
 
-def _gains(total: int):
-    """Per block: the gains of its contexts from the pairs that it is the first block of."""
-    def run(docs: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        own = docs.iloc[0]
-        hashes = np.frombuffer(own["hashes"], np.int64)
-        size = len(hashes)
-        counts, once = _counts(items, "c"), _counts(items, "once") > 0
-        hit = once[size:]
-        n, head = counts[size:][hit], np.frombuffer(own["heads"], np.int32)[hit]
-        p = counts[np.frombuffer(own["following"], np.int32)[hit]] / max(total, 1)
-        rest = counts[head] - 1
-        context, at = np.unique(head, return_inverse=True)
-        gains = [np.bincount(at, weights=n * np.log((n - 1 + w * p) / (rest + w) / p), minlength=len(context)) for w in WEIGHTS]
-        return pd.DataFrame({"context": hashes[context]} | dict(zip(GAINS, gains, strict=True)))
-    return run
+@dataclass
+class Corpus:
+    """What the blocks need of the whole corpus; ``distinct`` is known after the first step."""
 
+    buckets: int
+    total: int = 0
+    distinct: int = 0
+    end_logp: float = 0.0
+    depth: int = TOKEN_DEPTH
 
-def retained_contexts(blocks: DataFrame, counted: DataFrame, total: int) -> DataFrame:
-    """``context, weight`` of the retained token contexts, by their gains in the whole corpus."""
-    gains = blocks.filter("kind = 'block'").select("block", "heads", "following", "hashes").groupBy("block") \
-        .cogroup(counted.select(F.col("block").alias("place"), "local", "c", "once").groupBy("place")) \
-        .applyInPandas(_gains(total), "context long, " + ", ".join(f"{g} double" for g in GAINS)) \
-        .groupBy("context").agg(*[F.sum(g).alias(g) for g in GAINS])
-    best = F.greatest(*GAINS)
-    weight = F.coalesce(*[F.when(F.col(g) == best, F.lit(float(w))) for g, w in zip(GAINS, WEIGHTS, strict=True)])
-    return gains.filter(best >= TOKEN_GAIN).select("context", weight.alias("weight"))
 
+class Block:
+    """A block's texts, replayed along the answers of the steps done so far.
 
-def add(count: np.ndarray, weight, logp: np.ndarray) -> np.ndarray:
-    """log10(count + weight * 10**logp), also where the power is too small for a float."""
-    with np.errstate(divide="ignore"):  # a count of 0 adds nothing
-        return np.logaddexp(np.log(count), np.log(weight) + logp * np.log(10)) / np.log(10)
+    ``place`` of a token within its text; ``n`` training occurrences of the
+    string of a place's context and token; ``c`` of its context alone; ``logp``
+    by the longest retained context so far. A step of ``questions`` and one of
+    ``answer`` alternate for each level.
+    """
 
+    def __init__(self, row, corpus: Corpus):
+        self.corpus = corpus
+        self.ids, self.flags = unpack(row["ids"], np.int64), unpack(row["flags"], np.uint8)
+        self.lengths, self.after = unpack(row["lengths"], np.int64), unpack(row["tokens"], np.int32)
+        first = np.cumsum(self.lengths) - self.lengths
+        self.first = first
+        self.place = np.arange(len(self.after)) - np.repeat(first, self.lengths)
+        self.train = np.repeat(self.flags & 1 == 0, self.lengths)
+        self.hashes = np.r_[unpack(row["hashes"], U64), END_HASH, START_HASH]
+        self.spelled = np.r_[unpack(row["logp"], np.float32).astype(float), corpus.end_logp]
+        self.gram = self.hashes[self.after]
+
+    def before(self, values: np.ndarray) -> np.ndarray:
+        """The value at the place before, of the same text where it matters."""
+        return np.roll(values, 1)
+
+    def counted(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, training occurrences) that level ``d`` asks the counts of; a hash may stand repeatedly."""
+        back = self.place - d  # the place of the string's first token; -1: the text's beginning
+        head = np.where(back >= 0, np.roll(self.hashes[self.after], d), START_HASH)
+        longer = mix(self.gram * U64(0x9E3779B97F4A7C15) + head + U64(d))
+        if d == 1:
+            times = np.bincount(self.after[self.train], minlength=len(self.hashes))
+            times[-1] = (self.flags & 1 == 0).sum()
+            self.shorter, self.gram, self.asked = None, longer, np.ones(len(longer), bool)
+            token = self.hashes & ~U64(TOKEN_BIT)
+            token[-1] |= U64(TOKEN_BIT)  # the beginning is no token
+            return np.r_[token, longer | U64(TOKEN_BIT)], np.r_[times, self.train]
+        self.asked = self.alive & (back >= -1)
+        if d == 2:  # every string of two tokens was counted at the level before
+            self.asked &= self.before(self.n) >= 2
+        else:
+            self.asked &= ~(self.before(self.known) & (self.before(self.n) <= 1))
+        self.shorter, self.gram = self.before(self.gram), longer
+        own = [longer[self.asked]] + [self.shorter[self.asked]] * (d > 2)
+        return np.concatenate(own) | U64(TOKEN_BIT), np.tile(self.train[self.asked], len(own))
+
+    def take_counts(self, d: int, index: np.ndarray, counts: np.ndarray) -> None:
+        """Counts of level ``d``'s strings and contexts, and the contexts as numbers."""
+        of = counts.astype(float)
+        if d == 1:
+            size = len(self.hashes)
+            token, string = index[:size], index[size:]
+            previous = np.where(self.place > 0, self.before(self.after), size - 1)
+            self.token_counts = of[token[:-1]]
+            self.context, self.c, self.n = token[previous], of[token[previous]], of[string]
+            self.string, self.known = string, np.ones(len(string), bool)
+            self.alive = np.ones(len(string), bool)
+            self.logp = root_logp(self.corpus, self.token_counts, self.spelled)[self.after]
+            return
+        m = int(self.asked.sum())
+        context, c = np.zeros(len(self.n), np.int64), np.zeros(len(self.n))
+        if d == 2:
+            context, c = self.before(self.string), self.before(self.n)
+        else:
+            context[self.asked], c[self.asked] = index[m:], of[index[m:]]
+        # a string that was not asked for has a context seen once at most, or one that is not retained
+        self.known = self.alive | (self.n <= 1)
+        n = np.minimum(self.n, 1.0)
+        n[self.asked] = of[index[:m]]
+        string = np.zeros(len(n), np.int64)
+        string[self.asked] = index[:m]
+        self.context, self.c, self.n, self.string = context, c, n, string
+        self.alive = self.asked & (c >= 2)
+
+    def contexts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(the contexts that stand here, each place's number among them), of the ``size`` sorted hashes."""
+        mark = np.zeros(size, bool)
+        mark[self.context[self.alive]] = True
+        return np.flatnonzero(mark), (np.cumsum(mark) - 1)[self.context[self.alive]]
+
+    def gains(self, at: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Per context of this block, its leave-one-out gain over its parent with each weight."""
+        use = self.train[self.alive]
+        n, c = self.n[self.alive][use], self.c[self.alive][use]
+        p = self.logp[self.alive][use] * np.log(10)
+        own = index[use]
+        out = [np.bincount(own, weights=np.logaddexp(np.log(np.maximum(n - 1, 1e-300)), np.log(w) + p)
+                           - np.log(np.maximum(c - 1, 0) + w) - p, minlength=len(at)) for w in WEIGHTS]
+        return np.array(out).T.reshape(len(at), len(WEIGHTS))
+
+    def take_weights(self, choice: np.ndarray) -> None:
+        """The chosen weight per context, 0 where it is not retained, refines the probabilities."""
+        use = np.zeros(len(self.n))
+        use[self.alive] = np.r_[0.0, WEIGHTS][choice]
+        self.alive = use > 0
+        n, c, w, p = (x[self.alive] for x in (self.n, self.c, use, self.logp))
+        self.logp[self.alive] = add(n, w, p) - np.log10(c + w)
+
+    def replay(self, answers: pd.DataFrame, until: int) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys, amounts) that step ``until`` asks, the answers of the steps before it taken in."""
+        data = {step: part.sort_values("bucket")["data"] for step, part in answers.groupby("step")}
+
+        def answer(step: int, kind) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *[unpack(x, kind) for x in data.get(step, ())]])
+
+        for d in range(1, self.corpus.depth + 1):
+            hashes, times = self.counted(d)
+            keys, index = np.unique(keyed(hashes, self.corpus.buckets), return_inverse=True)
+            if until == 2 * d - 1:
+                return keys, np.bincount(index, weights=times, minlength=len(keys)).astype(np.int64)
+            self.take_counts(d, index, answer(2 * d - 1, np.int64))
+            among = pairs if d == 2 else keys
+            at, number = self.contexts(len(among))
+            if until == 2 * d:
+                return among[at], self.gains(at, number)
+            self.take_weights(answer(2 * d, np.uint8)[number])
+            pairs = keys
+        return np.zeros(0, U64), np.zeros(0)
+
+
+def keyed(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket from a hash's lowest 16 bits, before its other 48 bits."""
+    bucket = ((hashes & U64(0xFFFF)) * U64(buckets)) >> U64(16)
+    return (bucket << U64(48)) | (hashes >> U64(16))
+
+
+def root_logp(corpus: Corpus, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """log10 probability by the root: counts smoothed with the spelling, weighted by the number of distinct tokens."""
+    distinct = max(corpus.distinct, 1)
+    return add(counts, distinct, spelled) - np.log10(corpus.total + distinct)
+
+
+def _ask(corpus: Corpus, step: int):
+    def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        keys, amounts = Block(own.iloc[0], corpus).replay(answers, step)
+        bucket = (keys >> U64(48)).astype(np.int64)
+        cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+        rest = keys & U64((1 << 48) - 1)
+        rows = []
+        for low, high in zip(cut, [*cut[1:], len(keys)], strict=False):
+            amount = amounts[low:high].astype(np.float32 if step % 2 == 0 else np.int64)
+            rows.append((own["block"].iloc[0], step, bucket[low], pack(np.diff(rest[low:high], prepend=U64(0))),
+                         pack(amount.ravel())))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in QUESTIONS.split(", ")])
+    return run
 
-def _score_texts(total: int, distinct: int, texts: int, end_logp: float):
-    scale = total + 0.1 * (distinct + 1)
-    base = lambda c: np.log10((c + 0.1) / scale)
-    # the root: counts smoothed with the spelling, weighted by the number of distinct tokens
-    root = lambda c, logp: add(c, max(distinct, 1), logp) - np.log10(total + max(distinct, 1))
-    read = lambda b, kind=np.int32: np.frombuffer(b, kind)
-
-    def run(docs: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        of_block = docs["logp"].notna()
-        own = docs[of_block].iloc[0]
-        logp = np.r_[read(own["logp"], np.float32).astype(float), end_logp]
-        size = len(logp)
-        known_weight = items["weight"] > 0
-        counts = _counts(items[~known_weight], "c")
-        weight = np.zeros(size)
-        weight[items.loc[known_weight, "local"].to_numpy()] = items.loc[known_weight, "weight"].to_numpy()
-        c = counts[:size]
-        known, plain, simple = c > 0, root(c, logp), base(c)
-        heads, following = read(own["heads"]), read(own["following"])
-        p, w = plain[following], weight[heads]
-        use = np.where(w > 0, w, 1.0)
-        gain = np.where(w > 0, add(counts[size:], use, p) - np.log10(c[heads] + use) - p, 0.0)
-        out = []
-        columns = ["doc_id", "held_out", "n_tokens", "locals", "counts", "pairs", "pair_counts"]
-        for doc_id, held, n, *bags in docs.loc[~of_block, columns].itertuples(index=False):
-            i, k, j, m = map(read, bags)
-            out.append((doc_id, bool(held), n, int(k[known[i]].sum()) + int(known[-1]), total,
-                        float(k @ simple[i]) + float(simple[-1]), float(k @ plain[i]) + float(plain[-1]) + float(m @ gain[j])))
-        return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]) \
-            .astype({"doc_id": "Int64", "n_tokens": "int64"})
+
+def _answer(step: int):
+    """Sums a bucket's amounts over all blocks; each block gets them in the order of its hashes."""
+    def run(asked: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(unpack(x, U64), dtype=U64) for x in asked["hashes"]]
+        unique, index = np.unique(np.concatenate(keys), return_inverse=True)
+        kinds = 0
+        if step % 2:
+            sums = np.bincount(index, weights=np.concatenate([unpack(x, np.int64) for x in asked["amounts"]]),
+                               minlength=len(unique)).astype(np.int64)
+            if step == 1:
+                kinds = int(((unique & U64(TOKEN_BIT >> 16)) == 0)[sums > 0].sum())
+        else:
+            gains = np.concatenate([unpack(x, np.float32).reshape(-1, len(WEIGHTS)) for x in asked["amounts"]])
+            total = np.array([np.bincount(index, weights=gains[:, k], minlength=len(unique)) for k in range(len(WEIGHTS))])
+            sums = np.where(total.max(axis=0) >= TOKEN_GAIN, total.argmax(axis=0) + 1, 0).astype(np.uint8)
+            kinds = int((sums > 0).sum())
+        ends = np.cumsum([len(k) for k in keys])
+        data = [pack(sums[x]) for x in np.split(index, ends[:-1])]
+        return pd.DataFrame({"block": asked["block"], "step": step, "bucket": asked["bucket"], "data": data,
+                             "kinds": [kinds] + [0] * (len(data) - 1)})
     return run
 
 
-def count_blocks(source: DataFrame, tree: Tree, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, int]:
-    """(blocks, per block and item its count in the whole corpus, number of training tokens)."""
-    blocks = stage(source.mapInArrow(_block(tree, block_bytes), BLOCKS), "blocks")
-    same = Window.partitionBy("hash")
-    counted = stage(blocks.filter("kind = 'item'").select("hash", "block", "local", "times")
-                    .withColumn("c", F.sum("times").over(same)).withColumn("k", F.row_number().over(same.orderBy("block", "local")))
-                    .select("block", "local", "c", ((F.col("k") == 1) & (F.col("c") > 0)).alias("once"),
-                            (F.col("hash") % 2 == 0).alias("token")), "counted")
-    total = blocks.filter("kind = 'text' and not held_out").agg(F.sum("n_tokens")).first()[0] or 0
-    return blocks, counted, total
+def _score(corpus: Corpus):
+    scale = corpus.total + 0.1 * (corpus.distinct + 1)
+
+    def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        b = Block(own.iloc[0], corpus)
+        b.replay(answers, 2 * corpus.depth + 1)
+        count = b.token_counts[b.after]
+        sums = lambda x: np.add.reduceat(x, b.first) if len(b.first) else np.zeros(0)
+        ids = pd.array(b.ids, dtype="Int64")
+        ids[b.flags & 2 > 0] = pd.NA
+        return pd.DataFrame({
+            "doc_id": ids, "held_out": b.flags & 1 > 0, "n_tokens": b.lengths, "n_known": sums((count > 0).astype(np.int64)),
+            "train_tokens": corpus.total, "base_score": sums(np.log10((count + 0.1) / scale)), "score": sums(b.logp)})
+    return run
+
+
+def write_blocks(source: DataFrame, tree: Tree, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The texts' blocks as a table bucketed by block, so that no step shuffles them."""
+    spark = source.sparkSession
+    path, name = staging_dir(spark, "blocks"), f"blocks_{uuid.uuid4().hex}"
+    source.mapInArrow(_block(tree, block_bytes), BLOCKS).write.option("path", path) \
+        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name)
+    return spark.table(name)
+
+
+def grow(blocks: DataFrame, end_logp: float, depth: int = TOKEN_DEPTH) -> tuple[Corpus, DataFrame]:
+    """(the corpus' numbers, all answers to the blocks): level by level, counts and then retained contexts."""
+    spark = blocks.sparkSession
+    own = blocks.agg(F.count("*").alias("blocks"), F.sum("train_tokens").alias("total")).first()
+    buckets = min(max(own["blocks"], int(spark.conf.get("spark.sql.shuffle.partitions"))), MAX_BUCKETS)
+    corpus = Corpus(buckets, own["total"] or 0, end_logp=end_logp, depth=depth)
+    answers = spark.createDataFrame([], ANSWERS)
+    for step in range(1, 2 * depth + 1):
+        asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_ask(corpus, step), QUESTIONS)
+        answered = stage(asked.groupBy("bucket").applyInPandas(_answer(step), ANSWERS), f"answers_{step}")
+        answers = answers.union(answered) if step > 1 else answered
+        if step == 1:
+            corpus.distinct = answered.agg(F.sum("kinds")).first()[0] or 0  # with the text's end
+    return corpus, answers
+
+
+def scores(blocks: DataFrame, corpus: Corpus, answers: DataFrame) -> DataFrame:
+    """The blocks' texts scored by the tree that their answers hold."""
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(corpus), (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
 
 
-def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0, block_bytes: int = BLOCK_BYTES,
+                depth: int = TOKEN_DEPTH) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Texts whose crc32(doc_id as text) modulo ``folds`` is ``fold`` are held out.
@@ -397,15 +546,5 @@ def score_texts(docs: DataFrame, folds: int = 10, fold: int = 0, block_bytes: in
     texts = source.filter("not held_out").count()
     tree = learn(statistics, texts)
     end_logp = float(tree.log10(np.array([BEGIN]), np.array([TEXT_END]))[0])
-    blocks, counted, total = count_blocks(source, tree, block_bytes)
-    distinct = counted.filter("once and token").count()  # with the text's end
-    retained = stage(retained_contexts(blocks, counted, total), "retained")
-    weights = blocks.filter("kind = 'item' and hash % 2 = 0").join(retained, F.col("hash") == F.col("context")) \
-        .select("block", "local", F.lit(0).cast("long").alias("c"), "weight")
-    items = counted.select("block", "local", "c", F.lit(0.0).alias("weight")).union(weights) \
-        .withColumnRenamed("block", "place")
-    run = _score_texts(total, distinct, texts, end_logp)
-    return blocks.filter("kind <> 'item'").drop("kind", "hash", "local", "times", "hashes") \
-        .groupBy("block").cogroup(items.groupBy("place")) \
-        .applyInPandas(run, (
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    blocks = write_blocks(source, tree, block_bytes)
+    return scores(blocks, *grow(blocks, end_logp, depth))

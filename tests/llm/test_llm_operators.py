@@ -281,26 +281,55 @@ def test_language_model_does_not_depend_on_blocks(spark):
     assert whole.keys() == cut.keys() and all(abs(whole[i] - cut[i]) < 1e-3 for i in whole)
 
 
-def test_token_contexts_kept_by_gain_alone(spark):
+def test_token_tree_equals_brute_force(spark):
     rows = [(i, t) for i, t in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()][:150]
-    source = frame(spark, rows).select("doc_id", "text", F.lit(False).alias("held_out")).coalesce(1)
-    tree = suffix_tree.Tree([], [])
-    blocks, counted, total = suffix_tree.count_blocks(source, tree, 20_000)
-    got = sorted(r.weight for r in suffix_tree.retained_contexts(blocks, counted, total).collect())
+    rows += [(9000 + i, "one two three four five six " * 3 + "seven eight") for i in range(20)]
+    source = frame(spark, rows).select("doc_id", "text", held_out("doc_id", 10, 0).alias("held_out")).coalesce(1)
+    tree, end = suffix_tree.Tree([], []), -math.log10(suffix_tree.NEXT_SYMBOLS)
+    blocks = suffix_tree.write_blocks(source, tree, 20_000)
+    corpus, answers = suffix_tree.grow(blocks, end, 3)
+    scored = suffix_tree.scores(blocks, corpus, answers).collect()
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-    pairs, c = Counter(), Counter()
-    for _, t in rows:
-        tokens = [None, *re.findall(r"[^\x20\x09-\x0D]+", low(t)), None]  # the text's beginning and its end
-        c.update(tokens[1:])
-        pairs.update(zip(tokens, tokens[1:], strict=False))
-    gains = {}
-    for (a, b), n in pairs.items():
-        own, p = gains.setdefault(a, [0.0] * len(suffix_tree.WEIGHTS)), c[b] / total
-        for k, w in enumerate(suffix_tree.WEIGHTS):
-            own[k] += n * math.log((n - 1 + w * p) / (c[a] - 1 + w) / p)
-    kept = {a: g for a, g in gains.items() if max(g) >= 10}
-    assert got == sorted(suffix_tree.WEIGHTS[g.index(max(g))] for g in kept.values())
-    assert any(max(g) < 0.8 * c[a] for a, g in kept.items())
+    texts = {i: [None, *re.findall(r"[^\x20\x09-\x0D]+", low(t)), "\n"] for i, t in rows}  # the beginning and the end
+    n, of, c = Counter(), Counter(), Counter()  # strings, contexts, tokens
+    training = [x for i, x in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    for x in training:
+        for k in range(1, len(x)):
+            c[x[k]] += 1
+            for d in range(1, min(k, 3) + 1):
+                n[*x[k - d:k + 1]] += 1
+                of[*x[k - d:k]] += 1
+    total, distinct = sum(c.values()), len(c)
+    spell = lambda w: suffix_tree.NEXT_SYMBOLS ** -(1.0 if w == "\n" else len(w.encode()) + 1)
+    kept, gains = [{}, {}, {}, {}], Counter()
+
+    def p(x, k, depth):
+        at = (c[x[k]] + distinct * spell(x[k])) / (total + distinct)
+        for d in range(1, min(k, depth) + 1):
+            w = kept[d].get(tuple(x[k - d:k]))
+            if w is None:
+                break
+            at = (n[*x[k - d:k + 1]] + w * at) / (of[*x[k - d:k]] + w)
+        return at
+
+    for d in (1, 2, 3):
+        gains.clear()
+        for x in training:
+            for k in range(d, len(x)):
+                h = tuple(x[k - d:k])
+                if d == 1 or h[1:] in kept[d - 1]:
+                    q = p(x, k, d - 1)
+                    for w in suffix_tree.WEIGHTS:
+                        gains[h, w] += math.log((n[*h, x[k]] - 1 + w * q) / (of[h] - 1 + w) / q)
+        for h in {h for h, _ in gains}:
+            best = max(suffix_tree.WEIGHTS, key=lambda w: gains[h, w])
+            if gains[h, best] >= suffix_tree.TOKEN_GAIN:
+                kept[d][h] = best
+    assert all(kept[1:]) and any(of[h] < 20 for h in kept[2])
+    asked = {r.step: r.n for r in answers.groupBy("step").agg(F.sum("kinds").alias("n")).collect()}
+    assert [asked[2], asked[4], asked[6]] == [len(k) for k in kept[1:]] and asked[1] == distinct
+    want = {i: sum(math.log10(p(x, k, 3)) for k in range(1, len(x))) for i, x in texts.items()}
+    assert len(scored) == len(want) and all(abs(r.score - want[r.doc_id]) < 1e-3 for r in scored)
 
 
 def test_spelling_distribution_sums_to_one():
