@@ -400,10 +400,9 @@ class Block:
         """Per context of this block, its leave-one-out gain over its parent with each weight."""
         use = self.train[self.alive]
         n, c = self.n[self.alive][use], self.c[self.alive][use]
-        p = self.logp[self.alive][use] * np.log(10)
+        rarity = 10.0 ** -self.logp[self.alive][use]  # of a training token, so at most about the corpus' tokens
         own = index[use]
-        out = [np.bincount(own, weights=np.logaddexp(np.log(np.maximum(n - 1, 1e-300)), np.log(w) + p)
-                           - np.log(np.maximum(c - 1, 0) + w) - p, minlength=len(at)) for w in WEIGHTS]
+        out = [np.bincount(own, weights=np.log(((n - 1) * rarity + w) / (c - 1 + w)), minlength=len(at)) for w in WEIGHTS]
         return np.array(out).T.reshape(len(at), len(WEIGHTS))
 
     def take_weights(self, choice: np.ndarray) -> None:
