@@ -36,7 +36,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from cctally.llm.bpe import split_words
 from cctally.llm.common import slices, stage
@@ -166,19 +166,25 @@ def features_of(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     facts = [strong, weak, you, upper, (upper >= 2) & (upper == letters), count(r"[\p{P}\p{S}]"), count(r"[!?]"),
              count(r"\p{Nd}"), hidden, match("a{3}|e{3}|i{3}|o{3}|u{3}|!{2}|\\?{2}", raw), strong & hidden, letters,
              pc.utf8_length(distinct).to_numpy(zero_copy_only=False)]
-    sums = np.stack([np.r_[0.0, np.cumsum(f.astype(float)[at])] for f in facts])
-    s = sums[:, offsets[1:]] - sums[:, offsets[:-1]]
-    doc = np.repeat(np.arange(n), words)
+    s = np.empty((len(facts), n))
+    for k, fact in enumerate(facts):  # the running sums of one fact at a time
+        sums = np.r_[0.0, np.cumsum(fact.astype(float)[at])]
+        s[k] = sums[offsets[1:]] - sums[offsets[:-1]]
     hits = np.flatnonzero(strong[at])
-    low = np.maximum(hits - NEAR_WORDS, offsets[doc[hits]])
-    high = np.minimum(hits + NEAR_WORDS + 1, offsets[doc[hits] + 1])
-    near = np.bincount(doc[hits], weights=(sums[2, high] - sums[2, low]) > 0, minlength=n)
+    doc = np.searchsorted(offsets, hits, side="right") - 1
+    low = np.maximum(hits - NEAR_WORDS, offsets[doc])
+    high = np.minimum(hits + NEAR_WORDS + 1, offsets[doc + 1])
+    yours = np.r_[0, np.cumsum(you[at])]
+    near = np.bincount(doc, weights=yours[high] > yours[low], minlength=n)
     w, chars, let = np.maximum(words, 1), np.maximum(s[12], 1), np.maximum(s[11], 1)
     return np.stack([s[0] / w, s[1] / w, s[0] > 0, np.log1p(s[0]), near / w, s[2] / w, s[3] / let, s[4] / w,
                      s[5] / chars, s[6] / w, s[7] / chars, s[8] / w, s[9] / w, s[10] / w, np.log1p(words)], axis=1)
 
 
-def _featurise(lexicon: Lexicon):
+def _featurise(lexicon: Lexicon, keep_text: bool = False):
+    """The first column is the text; it goes on with the others if ``keep_text``."""
+    kept = 0 if keep_text else 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch.column(0)):
@@ -187,7 +193,8 @@ def _featurise(lexicon: Lexicon):
                 lists = pa.ListArray.from_arrays(
                     np.arange(0, n * len(FEATURES) + 1, len(FEATURES), dtype=np.int32), x.ravel())
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(start, n) for c in batch.columns[1:]], lists], names=[*batch.schema.names[1:], "features"])
+                    [*[c.slice(start, n) for c in batch.columns[kept:]], lists],
+                    names=[*batch.schema.names[kept:], "features"])
     return run
 
 
@@ -235,9 +242,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if model.trees is None:
         return docs.withColumn("score", F.lit(model.constant))
     names = [c for c in docs.columns]
-    kinds = StructType([*docs.schema.fields, StructField("features", ArrayType(DoubleType()))])
-    found = docs.select(F.col("text").cast("string").alias("_text_"), *[F.col(f"`{c}`") for c in names]).mapInArrow(
-        _featurise(model.lexicon), kinds)
+    plain = docs.schema["text"].dataType == StringType()
+    if plain:  # a text that is a string goes to the task once
+        first, sent = F.col("text"), ["text", *[c for c in names if c != "text"]]
+    else:
+        first, sent = F.col("text").cast("string").alias("_text_"), names
+    kinds = StructType([*[docs.schema[c] for c in sent], StructField("features", ArrayType(DoubleType()))])
+    found = docs.select(first, *[F.col(f"`{c}`") for c in sent[1 if plain else 0:]]).mapInArrow(
+        _featurise(model.lexicon, keep_text=plain), kinds)
     row = found.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), array_to_vector("features").alias("x"))
     scored = model.trees.transform(row)
     if model.calibration is not None:

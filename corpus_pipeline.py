@@ -24,7 +24,10 @@ def packed(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores at 0.7 or more go."""
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), lambda c: ~held_out(c, 3, 1))
-    return toxicity.score(packed(docs), model).filter("score < 0.7").select("whole_row.*")
+    # the text beside the rest of its row, so that a task gets it once
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    kept = toxicity.score(docs.select("text", rest.alias("rest")), model).filter("score < 0.7")
+    return kept.select(*[F.col("text" if c == "text" else f"rest.`{c}`") for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

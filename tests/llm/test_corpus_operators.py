@@ -282,3 +282,42 @@ def test_pipeline_keeps_columns_of_any_name(spark):
     rows = out.collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in plain.collect()}
     assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_toxicity_task_gets_each_text_once(spark, monkeypatch):
+    """The pipeline sent three copies of a text to a task, and held the running sums of all facts at once."""
+    import corpus_pipeline
+    from cctally.llm import toxicity
+    model = toxicity.Model(toxicity.Lexicon(["vile$"], []), None, None, 0.0)
+    seen = []
+
+    class Trees:
+        def transform(self, rows):
+            seen.append(rows)
+            return rows.withColumn("probability", rows["x"])
+
+    model.trees = Trees()
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: model)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    docs = spark.createDataFrame([(1, "a vile text", "x", 3), (2, None, "y", None)],
+                                 "doc_id long, text string, lang string, `a.b` int")
+    out = corpus_pipeline.drop_toxic(spark, docs, "")
+    assert out.columns == docs.columns and out.schema["text"].dataType == docs.schema["text"].dataType
+    plan = seen[0]._jdf.queryExecution().analyzed().toString()
+    line = next(x for x in plan.splitlines() if "MapInArrow" in x)
+    assert line.count("text#") == 2  # once in, once out
+    assert "text" not in seen[0].schema["row"].dataType["rest"].dataType.names
+
+
+def test_features_hold_one_fact_at_a_time():
+    import tracemalloc
+
+    from cctally.llm import toxicity
+    texts = pa.array(["you are a vile person and this text is long " * 400] * 20)
+    tracemalloc.start()
+    x = toxicity.features_of(texts, toxicity.Lexicon(["vile$"], ["pers"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words = 10 * 400 * 20
+    assert np.allclose(x[0, :2], [0.1, 0.1]) and x[0, 3] == np.log1p(400) and x[0, 4] == pytest.approx(0.1)
+    assert peak < 10 * 8 * words  # before: the sums of 13 facts, twice
