@@ -52,6 +52,8 @@ MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 BLOCK_BYTES = 12_000_000
 #: A prefix that holds 1 / SPLIT of all words has one segment, a more frequent one several.
 SPLIT = 1000
+#: Words of a block's vocabulary in one Arrow batch.
+VOCABULARY_ROWS = 50_000
 
 _BLANKS, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, np.uint8)
@@ -102,6 +104,43 @@ def _blocks(block_bytes: int):
     return lambda batches: _read_blocks(batches, block_bytes)
 
 
+def _coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words in order of appearance, number of each word, its text, the words that begin a piece).
+
+    The texts are split a slice at a time, so that only numbers of all words are held at once.
+    """
+    distinct, codes, docs, breaks, n = [], [], [], [], 0
+    for first, part in slices(texts):
+        words, doc, piece = tokens_of(part)
+        if not len(words):
+            continue
+        coded = words.dictionary_encode()
+        distinct.append(coded.dictionary)
+        codes.append(coded.indices.to_numpy())
+        docs.append((doc + first).astype(np.int32))
+        breaks.append(np.flatnonzero(np.diff(piece, prepend=-1)) + n)  # a text ends a piece
+        n += len(words)
+    if not n:
+        return pa.array([], pa.large_binary()), *[np.empty(0, np.int32)] * 3
+    both = pa.concat_arrays(distinct).dictionary_encode()
+    place, at = both.indices.to_numpy(), 0
+    for k, words in enumerate(distinct):
+        codes[k] = place[at:at + len(words)][codes[k]]
+        at += len(words)
+    return both.dictionary, np.concatenate(codes), np.concatenate(docs), np.concatenate(breaks)[1:]
+
+
+def _numbers(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys ascending, place of each key among them, count of each) of keys below ``most``."""
+    if most > 4 * len(key):
+        return np.unique(key, return_inverse=True, return_counts=True)
+    count = np.bincount(key, minlength=most)
+    found = np.flatnonzero(count)
+    place = np.zeros(most, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place[key], count[found]
+
+
 def _read_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("block", pa.int64()), ("tokens", pa.binary()), ("pos", pa.int32()), ("lang", pa.string()),
                         ("word", pa.string()), ("n", pa.int64())])
@@ -109,25 +148,28 @@ def _read_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterato
     for batch in batches:
         langs = batch.column(0)
         for first, texts in slices(batch.column(1), block_bytes):
-            words, doc, piece = tokens_of(texts)
-            if not len(words):
+            distinct, code, doc, breaks = _coded(texts)
+            if not len(code):
                 continue
-            coded = words.dictionary_encode()
             spoken = pc.fill_null(langs.slice(first, len(texts)), "und").dictionary_encode()
-            size = len(coded.dictionary)
-            key = spoken.indices.to_numpy().astype(np.int64)[doc] * size + coded.indices.to_numpy()
-            vocabulary, local, count = np.unique(key, return_inverse=True, return_counts=True)
-            breaks = np.flatnonzero(piece[1:] != piece[:-1]) + 1
+            size = len(distinct)
+            key = spoken.indices.to_numpy().astype(np.int64)[doc] * size + code
+            vocabulary, local, count = _numbers(key, len(spoken.dictionary) * size)
             tokens = np.insert(local.astype(np.int32), breaks, -1)
+            del code, doc, key, local
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([packed(tokens)], pa.binary()),
                  *[pa.nulls(1, f.type) for f in list(schema)[2:]]], schema=schema)
-            n = len(vocabulary)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)),
-                 spoken.dictionary.cast(pa.string()).take(pa.array(vocabulary // size)),
-                 coded.dictionary.take(pa.array(vocabulary % size)).cast(pa.string()), pa.array(count, pa.int64())],
-                schema=schema)
+            del tokens
+            # the vocabulary in pieces: each is a batch on both sides
+            for k in range(0, len(vocabulary), VOCABULARY_ROWS):
+                part = vocabulary[k:k + VOCABULARY_ROWS]
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, block)), pa.nulls(n, pa.binary()), pa.array(np.arange(k, k + n, dtype=np.int32)),
+                     spoken.dictionary.cast(pa.string()).take(pa.array(part // size)),
+                     distinct.take(pa.array(part % size)).cast(pa.string()), pa.array(count[k:k + n], pa.int64())],
+                    schema=schema)
             block += 1
 
 

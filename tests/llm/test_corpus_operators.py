@@ -321,3 +321,21 @@ def test_features_hold_one_fact_at_a_time():
     words = 10 * 400 * 20
     assert np.allclose(x[0, :2], [0.1, 0.1]) and x[0, 3] == np.log1p(400) and x[0, 4] == pytest.approx(0.1)
     assert peak < 10 * 8 * words  # before: the sums of 13 facts, twice
+
+
+def test_blocks_are_read_a_slice_at_a_time(monkeypatch):
+    from cctally.llm import common
+    texts = pa.array(["A b. c a", None, "", "b;b é\nc", "x", "  ", "a b c d e"])
+    words, doc, piece = collocations.tokens_of(texts)
+    coded = words.dictionary_encode()
+    breaks = np.flatnonzero(piece[1:] != piece[:-1]) + 1
+    for limit in (1, 9, 1000):
+        monkeypatch.setattr(collocations, "slices", lambda t, n=limit: common.slices(t, n))
+        distinct, code, at, cut = collocations._coded(texts)
+        assert distinct.to_pylist() == coded.dictionary.to_pylist()
+        assert code.tolist() == coded.indices.to_pylist()
+        assert at.tolist() == doc.tolist() and cut.tolist() == breaks.tolist()
+    key = np.array([5, 1, 5, 3])
+    for most in (6, 1000):
+        got = collocations._numbers(key, most)
+        assert [x.tolist() for x in got] == [[1, 3, 5], [2, 0, 2, 1], [1, 1, 2]]
