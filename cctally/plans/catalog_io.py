@@ -424,9 +424,7 @@ def q_run_all(spark, sf_dir):
     again = today.where(F.right("DNIS", F.lit(8)).cast("long") % 4 == 0)
     body = union_all_by_name([fields(today), fields(again), spark.table("nation").select(
         F.concat_ws(";", *["n_name"] * 9).alias("line"))]).withColumn("part", F.crc32("line") % 2)
-    header = body.select("part", F.lit(0).alias("o"), F.lit(";".join(today.columns)).alias("line")).distinct()
-    lines = union_all_by_name([header, body.withColumn("o", F.lit(1))]).repartition("part").sortWithinPartitions("part", "o")
-    _text_lines(lines.select("part", "line"), f"{base}/today", partition_by=["part"])
+    _text_lines(_headed(body, ";".join(today.columns), 2), f"{base}/today", partition_by=["part"])
     past = today.withColumns({"Fecha": F.lit("03/03/1997 10:15"), "Conclusión": F.lit("C; ACEPTA AGENDA - MIGRACION")})
     even = spark.table("orders").where("o_orderkey % 2 = 0").select(
         F.concat(F.lit("569"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("DNIS"))
