@@ -1,9 +1,10 @@
 """Keep-first dedup and ordering: D2, O1, O2.
 
-``keep_first`` is ``row_number() = 1`` over a window partitioned by the key.
-Spark plans it with a partial group limit before the shuffle (each map task
-keeps one row per key), so a key holding a third of the rows shrinks to one
-row per map task before it is exchanged.
+``keep_first`` is ``row_number() = 1`` over a window partitioned by the key,
+taken twice: first within ``SALTS`` parts of each key, then over the parts'
+first rows.  Both are computed behind an exchange, so a task sorts one shuffle
+partition and no task sorts all rows of its input split; a key holding a third
+of the rows is dealt over ``SALTS`` tasks and shrinks to one row per part.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staging_dir
+from .lookup import hashable
+
+#: Parts of a key's rows that are reduced on their own.
+SALTS = 32
 
 
 def _col(c) -> Column:
@@ -23,8 +28,17 @@ def _col(c) -> Column:
 def keep_first(df: DataFrame, keys: Sequence, order_by: Sequence[Column]) -> DataFrame:
     """One row per key -- the first in ``order_by`` (make it a total
     order: e.g. time nulls last, then source file, then row ordinal, Q5)."""
-    w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order_by)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    cols = [_col(k) for k in keys]
+
+    def first(rows: DataFrame, by: Sequence[Column]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order_by)
+        # dealt before the window: its partial group limit would sort whole input splits
+        dealt = rows.repartition(*by) if by else rows
+        return dealt.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+
+    part = F.pmod(F.xxhash64(*hashable(df)), F.lit(SALTS)).cast("int")
+    parts = first(df.withColumn("__part", part), [*cols, F.col("__part")])
+    return first(parts, cols).drop("__part")
 
 
 def number_in_order(df: DataFrame, order_by: Sequence[Column], out: str = "row_no") -> DataFrame:

@@ -134,7 +134,7 @@ def hot_keys_of(fact: DataFrame, keys: Mapping[str, Column], *, fraction: float
     return {n: [r["k"] for r in top if r["i"] == i and r["n"] >= max(2.0, min_share * total)] for i, n in enumerate(names)}
 
 
-def _hashable(df: DataFrame) -> list[Column]:
+def hashable(df: DataFrame) -> list[Column]:
     """The columns of a row as values that can be hashed (maps as their JSON text)."""
     def holds_map(t) -> bool:
         if isinstance(t, MapType):
@@ -175,8 +175,8 @@ def salted_fanout(fact: DataFrame, right: DataFrame, fact_key: Column, right_key
 
     f = fact.withColumn("__fk", fact_key)
     a, b = sizes(F.col("__fk"))
-    f = f.withColumn("__i", (F.pmod(F.xxhash64(*_hashable(fact)), a)).cast("int")).withColumn("__j", cells(b))
-    r = right.withColumn("__h", F.xxhash64(*_hashable(right)))
+    f = f.withColumn("__i", (F.pmod(F.xxhash64(*hashable(fact)), a)).cast("int")).withColumn("__j", cells(b))
+    r = right.withColumn("__h", F.xxhash64(*hashable(right)))
     a, b = sizes(F.col(right_key))
     r = r.withColumn("__rj", F.pmod(F.col("__h"), b).cast("int")).withColumn("__ri", cells(a)).withColumn("__hit", F.lit(True))
     joined = f.join(r, (F.col("__fk") == F.col(right_key)) & (F.col("__i") == F.col("__ri")) & (F.col("__j") == F.col("__rj")), "left")
@@ -196,7 +196,7 @@ def salted_join(fact: DataFrame, right: DataFrame, fact_key: Column, right_key:
     hot_lit = [F.lit(h) for h in hot]
     f = fact.withColumn("__fk", fact_key)
     is_hot_f = F.col("__fk").isin(hot_lit) if hot else F.lit(False)
-    f = f.withColumn("__salt", F.when(is_hot_f, F.pmod(F.xxhash64(*_hashable(fact)), F.lit(buckets)))
+    f = f.withColumn("__salt", F.when(is_hot_f, F.pmod(F.xxhash64(*hashable(fact)), F.lit(buckets)))
                      .otherwise(F.lit(0)).cast("int"))
     is_hot_r = F.col(right_key).isin(hot_lit) if hot else F.lit(False)
     r = right.withColumn("__salt", F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(buckets - 1)))
@@ -234,7 +234,7 @@ def _join_keys(fact: DataFrame, fact_key: Column, dim_key: Column, broadcast_sid
     """
     if broadcast_side:
         return fact_key, dim_key
-    spread = F.concat(F.lit("n"), F.pmod(F.xxhash64(*_hashable(fact)), F.lit(SPREAD_BUCKETS)).cast("string"))
+    spread = F.concat(F.lit("n"), F.pmod(F.xxhash64(*hashable(fact)), F.lit(SPREAD_BUCKETS)).cast("string"))
     fractional = isinstance(fact.select(fact_key.alias("k")).schema["k"].dataType, FractionalType)
     # -0.0 equals 0.0, but its text does not
     text = lambda c: F.concat(F.lit("k"), (c + F.lit(0) if fractional else c).cast("string"))

@@ -73,6 +73,20 @@ def test_keep_first_independent_of_partitioning(spark):
     assert a == b
 
 
+def test_keep_first_sorts_behind_an_exchange_and_deals_hot_keys(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, (F.col("id") % 50).cast("string")).alias("k"),
+        (F.col("id") * 7919 % 1009).alias("t"), "id")
+    order = [F.col("t").asc_nulls_last(), F.col("id")]
+    out = keep_first(df, ["k"], order)
+    rows = sorted(df.collect(), key=lambda r: (r["t"], r["id"]), reverse=True)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, {r["k"]: r for r in rows}.values()), key=str)
+    # no input split is sorted: an exchange lies below the lowest sort, and it deals a key's rows by their parts
+    text = plan(out)
+    assert text.rindex("Exchange hashpartitioning") > text.rindex("Sort [") and "hashpartitioning(k#" in text
+    assert "__part#" in text[text.rindex("Exchange hashpartitioning"):].splitlines()[0]
+
+
 def test_number_in_order_matches_sorted_positions(spark):
     df = spark.range(500).select("id", ((F.col("id") * 7919) % 503).alias("k")).repartition(7)
     out = number_in_order(df, [F.col("k"), F.col("id")])
