@@ -67,6 +67,8 @@ BEGIN, TOKEN_END, TEXT_END = 257, 258, 259
 NEXT_SYMBOLS = 256 + 2
 BITS = 9
 CHUNK_TOKENS = 50_000
+#: Places of a block that a step of many temporary arrays handles at once.
+CHUNK_PLACES = 1 << 17
 #: Most tokens of a context, a parameter of ``score_texts``.
 TOKEN_DEPTH = 3
 #: The bit of a hash that is set for strings of several tokens, and the most buckets of hashes.
@@ -331,7 +333,8 @@ class Block:
         self.lengths, self.after = unpack(row["lengths"], np.int64), unpack(row["tokens"], np.int32)
         first = np.cumsum(self.lengths) - self.lengths
         self.first = first
-        self.place = np.arange(len(self.after)) - np.repeat(first, self.lengths)
+        self.place = np.arange(len(self.after), dtype=np.int32)
+        self.place -= np.repeat(first.astype(np.int32), self.lengths)
         self.train = np.repeat(self.flags & 1 == 0, self.lengths)
         self.hashes = np.r_[unpack(row["hashes"], U64), END_HASH, START_HASH]
         self.spelled = np.r_[unpack(row["logp"], np.float32).astype(float), corpus.end_logp]
@@ -341,26 +344,34 @@ class Block:
         """The value at the place before, of the same text where it matters."""
         return np.roll(values, 1)
 
-    def counted(self, d: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, training occurrences) that level ``d`` asks the counts of; a hash may stand repeatedly."""
-        back = self.place - d  # the place of the string's first token; -1: the text's beginning
-        head = np.where(back >= 0, np.roll(self.hashes[self.after], d), START_HASH)
-        longer = mix(self.gram * U64(0x9E3779B97F4A7C15) + head + U64(d))
+    def strings(self, d: int) -> np.ndarray:
+        """The hash of the string of ``d`` tokens and the token at each place; the text's beginning counts as one."""
+        longer = np.roll(self.hashes[self.after], d)
+        longer[self.place < d] = START_HASH
+        for low in range(0, len(longer), CHUNK_PLACES):
+            part = slice(low, low + CHUNK_PLACES)
+            longer[part] = mix(self.gram[part] * U64(0x9E3779B97F4A7C15) + longer[part] + U64(d))
+        return longer
+
+    def counted(self, d: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(hashes, training occurrences in parts) that level ``d`` asks the counts of; a hash may stand repeatedly."""
+        longer = self.strings(d)
         if d == 1:
             times = np.bincount(self.after[self.train], minlength=len(self.hashes))
             times[-1] = (self.flags & 1 == 0).sum()
             self.shorter, self.gram, self.asked = None, longer, np.ones(len(longer), bool)
             token = self.hashes & ~U64(TOKEN_BIT)
             token[-1] |= U64(TOKEN_BIT)  # the beginning is no token
-            return np.r_[token, longer | U64(TOKEN_BIT)], np.r_[times, self.train]
-        self.asked = self.alive & (back >= -1)
+            return np.r_[token, longer | U64(TOKEN_BIT)], [times, self.train]
+        self.asked = self.alive & (self.place >= d - 1)
         if d == 2:  # every string of two tokens was counted at the level before
             self.asked &= self.before(self.n) >= 2
         else:
             self.asked &= ~(self.before(self.known) & (self.before(self.n) <= 1))
         self.shorter, self.gram = self.before(self.gram), longer
-        own = [longer[self.asked]] + [self.shorter[self.asked]] * (d > 2)
-        return np.concatenate(own) | U64(TOKEN_BIT), np.tile(self.train[self.asked], len(own))
+        own = np.concatenate([longer[self.asked]] + [self.shorter[self.asked]] * (d > 2))
+        own |= U64(TOKEN_BIT)
+        return own, [self.train[self.asked]] * (1 + (d > 2))
 
     def take_counts(self, d: int, index: np.ndarray, counts: np.ndarray) -> None:
         """Counts of level ``d``'s strings and contexts, and the contexts as numbers."""
@@ -376,7 +387,7 @@ class Block:
             self.logp = root_logp(self.corpus, self.token_counts, self.spelled)[self.after]
             return
         m = int(self.asked.sum())
-        context, c = np.zeros(len(self.n), np.int64), np.zeros(len(self.n))
+        context, c = np.zeros(len(self.n), np.int32), np.zeros(len(self.n))
         if d == 2:
             context, c = self.before(self.string), self.before(self.n)
         else:
@@ -385,7 +396,7 @@ class Block:
         self.known = self.alive | (self.n <= 1)
         n = np.minimum(self.n, 1.0)
         n[self.asked] = of[index[:m]]
-        string = np.zeros(len(n), np.int64)
+        string = np.zeros(len(n), np.int32)
         string[self.asked] = index[:m]
         self.context, self.c, self.n, self.string = context, c, n, string
         self.alive = self.asked & (c >= 2)
@@ -394,24 +405,35 @@ class Block:
         """(the contexts that stand here, each place's number among them), of the ``size`` sorted hashes."""
         mark = np.zeros(size, bool)
         mark[self.context[self.alive]] = True
-        return np.flatnonzero(mark), (np.cumsum(mark) - 1)[self.context[self.alive]]
+        number = np.cumsum(mark, dtype=np.int32)
+        number -= 1
+        return np.flatnonzero(mark), number[self.context[self.alive]]
 
     def gains(self, at: np.ndarray, index: np.ndarray) -> np.ndarray:
         """Per context of this block, its leave-one-out gain over its parent with each weight."""
-        use = self.train[self.alive]
-        n, c = self.n[self.alive][use], self.c[self.alive][use]
-        rarity = 10.0 ** -self.logp[self.alive][use]  # of a training token, so at most about the corpus' tokens
-        own = index[use]
-        out = [np.bincount(own, weights=np.log(((n - 1) * rarity + w) / (c - 1 + w)), minlength=len(at)) for w in WEIGHTS]
-        return np.array(out).T.reshape(len(at), len(WEIGHTS))
+        use = self.alive & self.train
+        own = index[self.train[self.alive]].astype(np.int64)
+        odds = -self.logp[use]  # of a training token, so at most about the corpus' tokens when raised
+        np.power(10.0, odds, out=odds)
+        odds *= self.n[use] - 1
+        others = self.c[use]
+        others -= 1
+        out = np.empty((len(at), len(WEIGHTS)))
+        for k, w in enumerate(WEIGHTS):
+            gain = odds + w
+            gain /= others + w
+            out[:, k] = np.bincount(own, weights=np.log(gain, out=gain), minlength=len(at))
+        return out
 
     def take_weights(self, choice: np.ndarray) -> None:
         """The chosen weight per context, 0 where it is not retained, refines the probabilities."""
         use = np.zeros(len(self.n))
         use[self.alive] = np.r_[0.0, WEIGHTS][choice]
         self.alive = use > 0
-        n, c, w, p = (x[self.alive] for x in (self.n, self.c, use, self.logp))
-        self.logp[self.alive] = add(n, w, p) - np.log10(c + w)
+        for low in range(0, len(use), CHUNK_PLACES):
+            at = low + np.flatnonzero(self.alive[low:low + CHUNK_PLACES])
+            n, c, w, p = (x[at] for x in (self.n, self.c, use, self.logp))
+            self.logp[at] = add(n, w, p) - np.log10(c + w)
 
     def replay(self, answers: pd.DataFrame, until: int) -> tuple[np.ndarray, np.ndarray]:
         """(sorted keys, amounts) that step ``until`` asks, the answers of the steps before it taken in."""
@@ -422,13 +444,16 @@ class Block:
 
         for d in range(1, self.corpus.depth + 1):
             hashes, times = self.counted(d)
-            keys, index = np.unique(keyed(hashes, self.corpus.buckets), return_inverse=True)
+            hashes = keyed(hashes, self.corpus.buckets)
+            keys, index = numbered(hashes)
+            del hashes
             if until == 2 * d - 1:
-                return keys, np.bincount(index, weights=times, minlength=len(keys)).astype(np.int64)
+                return keys, np.bincount(index, weights=np.concatenate(times, dtype=float), minlength=len(keys)).astype(np.int64)
             self.take_counts(d, index, answer(2 * d - 1, np.int64))
             among = pairs if d == 2 else keys
             at, number = self.contexts(len(among))
             if until == 2 * d:
+                self.gram = self.shorter = self.string = None  # no later step follows
                 return among[at], self.gains(at, number)
             self.take_weights(answer(2 * d, np.uint8)[number])
             pairs = keys
@@ -437,8 +462,26 @@ class Block:
 
 def keyed(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket from a hash's lowest 16 bits, before its other 48 bits."""
-    bucket = ((hashes & U64(0xFFFF)) * U64(buckets)) >> U64(16)
-    return (bucket << U64(48)) | (hashes >> U64(16))
+    out = hashes & U64(0xFFFF)
+    out *= U64(buckets)
+    out >>= U64(16)
+    out <<= U64(48)
+    out |= hashes >> U64(16)
+    return out
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys ascending, place of each key among them), with fewer copies than ``np.unique`` makes."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    keys = keys[new]
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    index = np.empty(len(order), np.int32)
+    index[order] = number
+    return keys, index
 
 
 def root_logp(corpus: Corpus, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:

@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -332,6 +334,29 @@ def test_token_tree_equals_brute_force(spark):
     assert len(scored) == len(want) and all(abs(r.score - want[r.doc_id]) < 1e-3 for r in scored)
 
 
+def test_blocks_of_the_language_model_are_replayed_in_bounded_memory():
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{k}" for k in rng.zipf(1.3, 300_000) % 50_000)
+    _, _, after, distinct = suffix_tree.pairs_of(pa.array([text]))
+    size = len(after)
+    row = {"ids": np.array([1]), "flags": np.zeros(1, np.uint8), "lengths": np.array([size]), "tokens": after.astype(np.int32),
+           "hashes": suffix_tree.token_hashes(distinct), "logp": np.full(len(distinct), -6.0, np.float32)}
+    own = pd.DataFrame([{"block": 0, **{k: suffix_tree.pack(v) for k, v in row.items()}}])
+    corpus = suffix_tree.Corpus(3, size, len(distinct) + 1, -2.0)
+    answers = pd.DataFrame({"block": [], "step": [], "bucket": [], "data": [], "kinds": []})
+    for step in range(1, 7):
+        tracemalloc.start()
+        asked = suffix_tree._ask(corpus, step)(own, answers)
+        peak = tracemalloc.get_traced_memory()[1] / size
+        tracemalloc.stop()
+        assert peak < 110, (step, peak)  # bytes a token; with np.unique and whole temporary arrays up to 146
+        answers = pd.concat([answers, *[suffix_tree._answer(step)(x.reset_index(drop=True)) for _, x in asked.groupby("bucket")]])
+    keys = rng.integers(0, 1000, 5000).astype(np.uint64)
+    for got, want in zip(suffix_tree.numbered(keys), np.unique(keys, return_inverse=True), strict=True):
+        assert (got == want).all()
+    assert [len(x) for x in suffix_tree.numbered(keys[:0])] == [0, 0]
+
+
 def test_spelling_distribution_sums_to_one():
     counts = {"a": 5, "ab": 3, "b": 1}
     owner, context, symbol = suffix_tree.contexts(pa.array(list(counts), pa.binary()))
