@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cctally.session import staging_dir
+from cctally.session import freed_shuffles, staging_dir
 
 #: Bytes of text that one vectorised step handles.
 SLICE_BYTES = 2_000_000
@@ -33,10 +33,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     The written table cuts the lineage: a lost executor re-reads files instead
-    of computing the steps before them again.
+    of computing the steps before them again. Shuffle files of ``df`` go when
+    it is written.
     """
     path = staging_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -158,9 +158,11 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order of appearance, sum of each one's counts)."""
     keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    unique, inverse = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
+    coded = pa.array(keys).dictionary_encode()
+    unique = coded.dictionary.to_numpy()
+    return unique, np.bincount(coded.indices.to_numpy(), weights=counts, minlength=len(unique)).astype(np.int64)
 
 
 #: One row per block of texts: per text its id and flags, its number of tokens with the end; per place
@@ -174,14 +176,20 @@ ANSWERS = "block long, step int, bucket int, data binary, kinds long"
 
 def pack(values: np.ndarray) -> bytes:
     """An array's bytes, those of one place of the numbers together, compressed behind their length."""
-    planes = np.ascontiguousarray(values).reshape(-1, 1).view(np.uint8).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+    places = np.ascontiguousarray(values).reshape(-1, 1).view(np.uint8)
+    planes = np.empty(places.shape[::-1], np.uint8)
+    for k in range(len(planes)):  # several times faster than a transposed copy
+        planes[k] = places[:, k]
+    return planes.size.to_bytes(8, "little") + pa.Codec("zstd").compress(planes.reshape(-1), asbytes=True)
 
 
 def unpack(data: bytes, kind) -> np.ndarray:
     planes = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    planes = np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    places = np.empty(planes.shape[::-1], np.uint8)
+    for k in range(len(planes)):
+        places[:, k] = planes[k]
+    return places.view(kind).ravel()
 
 
 def _block(tree: Tree, block_bytes: int):
@@ -212,9 +220,12 @@ def spell(tree: Tree, tokens: pa.Array) -> np.ndarray:
     for low in range(0, len(tokens), CHUNK_TOKENS):
         part = tokens.slice(low, CHUNK_TOKENS)
         owner, context, symbol = contexts(part)
-        key, inverse = np.unique((context << BITS) | symbol, return_inverse=True)
-        logs = tree.log10(key >> BITS, key & ((1 << BITS) - 1))[inverse]
-        out.append(np.bincount(owner, weights=logs, minlength=len(part)))
+        coded = pa.array((context << BITS) | symbol).dictionary_encode()
+        key = coded.dictionary.to_numpy()
+        order = np.argsort(key)  # lookups in order are near each other
+        logs = np.empty(len(key))
+        logs[order] = tree.log10(key[order] >> BITS, key[order] & ((1 << BITS) - 1))
+        out.append(np.bincount(owner, weights=logs[coded.indices.to_numpy()], minlength=len(part)))
     return np.concatenate(out)
 
 
@@ -233,15 +244,14 @@ def contexts(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[begin], inner[end - 1] = False, False
     symbols[inner] = data.astype(np.int64) + 1
     symbols[begin], symbols[end - 1] = BEGIN, TOKEN_END
-    owner = np.repeat(np.arange(len(lengths)), lengths + 2)
-    place = np.arange(len(symbols)) - begin[owner]
-    context = np.zeros(len(symbols), np.int64)
-    for back in range(DEPTH, 0, -1):
-        shifted = np.zeros(len(symbols), np.int64)
-        shifted[back:] = symbols[:-back]
-        context = (context << BITS) | np.where(place >= back, shifted, 0)
-    is_next = place > 0
-    return owner[is_next], context[is_next], symbols[is_next]
+    context, back = np.zeros(len(symbols), np.int64), symbols
+    for d in range(DEPTH):
+        back = np.roll(back, 1)
+        back[begin] = 0  # nothing stands before a token
+        context |= back << (BITS * d)
+    is_next = np.ones(len(symbols), bool)
+    is_next[begin] = False
+    return np.repeat(np.arange(len(lengths)), lengths + 1), context[is_next], symbols[is_next]
 
 
 @dataclass
@@ -303,8 +313,17 @@ def learn(statistics: DataFrame, texts: int, min_share: float = MIN_SHARE, min_g
 
 def add(count: np.ndarray, weight, logp: np.ndarray) -> np.ndarray:
     """log10(count + weight * 10**logp), also where the power is too small for a float."""
-    with np.errstate(divide="ignore"):  # a count of 0 adds nothing
-        return np.logaddexp(np.log(count), np.log(weight) + logp * np.log(10)) / np.log(10)
+    out = np.power(10.0, logp)
+    out *= weight
+    out += count
+    with np.errstate(divide="ignore"):  # replaced below
+        np.log10(out, out=out)
+    small = np.flatnonzero(logp < -290)
+    if len(small):
+        weight = np.broadcast_to(weight, out.shape)
+        with np.errstate(divide="ignore"):  # a count of 0 adds nothing
+            out[small] = np.logaddexp(np.log(count[small]), np.log(weight[small]) + logp[small] * np.log(10)) / np.log(10)
+    return out
 
 
 @dataclass
@@ -360,9 +379,10 @@ class Block:
             times = np.bincount(self.after[self.train], minlength=len(self.hashes))
             times[-1] = (self.flags & 1 == 0).sum()
             self.shorter, self.gram, self.asked = None, longer, np.ones(len(longer), bool)
-            token = self.hashes & ~U64(TOKEN_BIT)
-            token[-1] |= U64(TOKEN_BIT)  # the beginning is no token
-            return np.r_[token, longer | U64(TOKEN_BIT)], [times, self.train]
+            own = np.concatenate([self.hashes, longer])
+            own |= U64(TOKEN_BIT)
+            own[:len(self.hashes) - 1] &= ~U64(TOKEN_BIT)  # the beginning is no token
+            return own, [times, self.train]
         self.asked = self.alive & (self.place >= d - 1)
         if d == 2:  # every string of two tokens was counted at the level before
             self.asked &= self.before(self.n) >= 2
@@ -379,11 +399,13 @@ class Block:
         if d == 1:
             size = len(self.hashes)
             token, string = index[:size], index[size:]
-            previous = np.where(self.place > 0, self.before(self.after), size - 1)
-            self.token_counts = of[token[:-1]]
-            self.context, self.c, self.n = token[previous], of[token[previous]], of[string]
+            previous = self.before(self.after)
+            previous[self.first] = size - 1
+            times = of[token]  # of the tokens alone, so that all places read few numbers
+            self.token_counts = times[:-1]
+            self.context, self.c, self.n = token[previous], times[previous], of[string]
             self.string, self.known = string, np.ones(len(string), bool)
-            self.alive = np.ones(len(string), bool)
+            self.alive = self.can_gain()
             self.logp = root_logp(self.corpus, self.token_counts, self.spelled)[self.after]
             return
         m = int(self.asked.sum())
@@ -399,20 +421,28 @@ class Block:
         string = np.zeros(len(n), np.int32)
         string[self.asked] = index[:m]
         self.context, self.c, self.n, self.string = context, c, n, string
-        self.alive = self.asked & (c >= 2)
+        self.alive = self.asked & self.can_gain()
+
+    def can_gain(self) -> np.ndarray:
+        """Places whose context may gain: not if it occurs once, nor if it occurs twice before different tokens.
+
+        The count of a string that occurs once says the latter in both places, so no block asks for that context.
+        """
+        return (self.c > 2) | (self.c == 2) & (self.n != 1)
 
-    def contexts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(the contexts that stand here, each place's number among them), of the ``size`` sorted hashes."""
+    def contexts(self, size: int) -> np.ndarray:
+        """The contexts that stand here, of the ``size`` sorted hashes."""
         mark = np.zeros(size, bool)
         mark[self.context[self.alive]] = True
-        number = np.cumsum(mark, dtype=np.int32)
-        number -= 1
-        return np.flatnonzero(mark), number[self.context[self.alive]]
+        return np.flatnonzero(mark)
 
-    def gains(self, at: np.ndarray, index: np.ndarray) -> np.ndarray:
+    def gains(self, at: np.ndarray, size: int) -> np.ndarray:
         """Per context of this block, its leave-one-out gain over its parent with each weight."""
         use = self.alive & self.train
-        own = index[self.train[self.alive]].astype(np.int64)
+        number = np.zeros(size, np.int32)
+        number[at] = np.arange(len(at), dtype=np.int32)
+        own = number[self.context[use]].astype(np.int64)
+        del number
         odds = -self.logp[use]  # of a training token, so at most about the corpus' tokens when raised
         np.power(10.0, odds, out=odds)
         odds *= self.n[use] - 1
@@ -425,14 +455,17 @@ class Block:
             out[:, k] = np.bincount(own, weights=np.log(gain, out=gain), minlength=len(at))
         return out
 
-    def take_weights(self, choice: np.ndarray) -> None:
+    def take_weights(self, at: np.ndarray, choice: np.ndarray, size: int) -> None:
         """The chosen weight per context, 0 where it is not retained, refines the probabilities."""
-        use = np.zeros(len(self.n))
-        use[self.alive] = np.r_[0.0, WEIGHTS][choice]
+        chosen = np.zeros(size + 1, np.uint8)  # a byte a hash, so that all places read near each other
+        chosen[at] = choice
+        use = chosen[self.context]
+        use[~self.alive] = 0
         self.alive = use > 0
+        weights = np.r_[0.0, WEIGHTS]
         for low in range(0, len(use), CHUNK_PLACES):
             at = low + np.flatnonzero(self.alive[low:low + CHUNK_PLACES])
-            n, c, w, p = (x[at] for x in (self.n, self.c, use, self.logp))
+            n, c, w, p = self.n[at], self.c[at], weights[use[at]], self.logp[at]
             self.logp[at] = add(n, w, p) - np.log10(c + w)
 
     def replay(self, answers: pd.DataFrame, until: int) -> tuple[np.ndarray, np.ndarray]:
@@ -451,11 +484,11 @@ class Block:
                 return keys, np.bincount(index, weights=np.concatenate(times, dtype=float), minlength=len(keys)).astype(np.int64)
             self.take_counts(d, index, answer(2 * d - 1, np.int64))
             among = pairs if d == 2 else keys
-            at, number = self.contexts(len(among))
+            at = self.contexts(len(among))
             if until == 2 * d:
                 self.gram = self.shorter = self.string = None  # no later step follows
-                return among[at], self.gains(at, number)
-            self.take_weights(answer(2 * d, np.uint8)[number])
+                return among[at], self.gains(at, len(among))
+            self.take_weights(at, answer(2 * d, np.uint8), len(among))
             pairs = keys
         return np.zeros(0, U64), np.zeros(0)
 
@@ -471,9 +504,30 @@ def keyed(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct keys ascending, place of each key among them), with fewer copies than ``np.unique`` makes."""
-    order = np.argsort(keys)
-    keys = keys[order]
+    """(distinct keys ascending, place of each key among them), with fewer copies than ``np.unique`` makes.
+
+    The lowest bits of a key give way to its place, as numbers sort several
+    times faster than their places do; the few runs of keys that differ in
+    those bits alone are sorted on their own.
+    """
+    bits = len(keys).bit_length()
+    room = 64 - int(keys.max(initial=1)).bit_length()
+    order = keys << U64(room)
+    order >>= U64(bits)
+    order <<= U64(bits)
+    order |= np.arange(len(keys), dtype=U64)
+    order.sort()
+    order &= U64((1 << bits) - 1)
+    order = order.astype(np.int64)
+    ordered = keys[order]
+    lost = U64(max(bits - room, 0))
+    for run in np.unique(ordered[1:][ordered[1:] < ordered[:-1]] >> lost):
+        low = int(np.searchsorted(ordered, run << lost))  # the runs themselves ascend
+        high = int(np.searchsorted(ordered, (run << lost) | U64((1 << int(lost)) - 1), side="right"))
+        inner = np.argsort(ordered[low:high])
+        order[low:high], ordered[low:high] = order[low:high][inner], ordered[low:high][inner]
+    keys = ordered
+    del ordered
     new = np.ones(len(keys), bool)
     np.not_equal(keys[1:], keys[:-1], out=new[1:])
     keys = keys[new]
@@ -509,7 +563,7 @@ def _answer(step: int):
     """Sums a bucket's amounts over all blocks; each block gets them in the order of its hashes."""
     def run(asked: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(unpack(x, U64), dtype=U64) for x in asked["hashes"]]
-        unique, index = np.unique(np.concatenate(keys), return_inverse=True)
+        unique, index = numbered(np.concatenate(keys))
         kinds = 0
         if step % 2:
             sums = np.bincount(index, weights=np.concatenate([unpack(x, np.int64) for x in asked["amounts"]]),

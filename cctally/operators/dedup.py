@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import staging_dir
+from ..session import freed_shuffles, staging_dir
 from .lookup import hashable
 
 #: Parts of a key's rows that are reduced on their own.
@@ -56,7 +56,8 @@ def number_in_order(df: DataFrame, order_by: Sequence[Column], out: str = "row_n
         F.monotonically_increasing_id().alias("mid"),
     )
     path = staging_dir(df.sparkSession, "numbered")
-    row.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        row.write.parquet(path)
     tagged = df.sparkSession.read.schema(row.schema).parquet(path)
     # the id is (partition << 33) + index within the partition
     index = F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33)

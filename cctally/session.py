@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Lets a query's shuffle files go when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind.
+
+    For a step whose written table is read from then on: without it the files
+    stay until the driver happens to collect its garbage, so those of several
+    steps lie on disk at once.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def staging_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, for staged tables."""
     root = ensure_checkpoint_dir(spark)

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 
 from cctally.llm import (
     bpe, decontaminate, hamming, html_text, jaccard_join, language, line_dedup, queries, suffix_tree, toxicity, warc)
-from cctally.llm.common import held_out
+from cctally.llm.common import held_out, stage
+from cctally.session import SHUFFLE_CLEANUP
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, at int, chunk string, row string, class_id long"
@@ -357,6 +360,49 @@ def test_blocks_of_the_language_model_are_replayed_in_bounded_memory():
     assert [len(x) for x in suffix_tree.numbered(keys[:0])] == [0, 0]
 
 
+def test_keys_that_share_their_leading_bits_are_numbered():
+    rng = np.random.default_rng(6)
+    keys = (rng.integers(0, 50, 20_000).astype(np.uint64) << np.uint64(40)) | rng.integers(0, 9, 20_000).astype(np.uint64)
+    keys = np.r_[keys, np.uint64(2**64 - 1), np.uint64(2**64 - 2), np.uint64(0)]
+    for got, want in zip(suffix_tree.numbered(keys), np.unique(keys, return_inverse=True), strict=True):
+        assert (got == want).all()
+
+
+def test_contexts_that_occur_twice_before_different_tokens_are_not_asked_for():
+    text = " ".join([f"a{k} x{k}" for k in range(300)] + [f"a{k} y{k}" for k in range(300)] + ["b c"] * 50)
+    _, _, after, distinct = suffix_tree.pairs_of(pa.array([text]))
+    row = {"ids": np.array([1]), "flags": np.zeros(1, np.uint8), "lengths": np.array([len(after)]),
+           "tokens": after.astype(np.int32), "hashes": suffix_tree.token_hashes(distinct),
+           "logp": np.full(len(distinct), -6.0, np.float32)}
+    own = pd.DataFrame([{"block": 0, **{k: suffix_tree.pack(v) for k, v in row.items()}}])
+    corpus = suffix_tree.Corpus(1, len(after), len(distinct) + 1, -2.0)
+    answers = pd.DataFrame({"block": [], "step": [], "bucket": [], "data": [], "kinds": []})
+    answers = suffix_tree._answer(1)(suffix_tree._ask(corpus, 1)(own, answers))
+    asked = suffix_tree._ask(corpus, 2)(own, answers)
+    # b and c; 300 contexts occur twice, each before two tokens, and 600 once
+    assert [len(suffix_tree.unpack(x, np.uint64)) for x in asked["hashes"]] == [2]
+
+
+def test_logarithms_of_sums_at_any_size():
+    logp = np.array([-1.0, -289.0, -291.0, -400.0, -400.0])
+    count = np.array([3.0, 0.0, 0.0, 0.0, 2.0])
+    want = [math.log10(3.05), math.log10(0.5) - 289, math.log10(0.5) - 291, math.log10(0.5) - 400, math.log10(2)]
+    assert np.allclose(suffix_tree.add(count, 0.5, logp), want, rtol=1e-14)
+    assert np.allclose(suffix_tree.add(count, np.full(5, 0.5), logp), want, rtol=1e-14)
+
+
+def test_shuffle_files_of_a_staged_table_go(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for d in disk.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")}
+    before, mode = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    rows = stage(spark.range(50_000).repartition(4, "id"), "freed")
+    for _ in range(100):  # files go a moment after the query
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 50_000 and spark.conf.get(SHUFFLE_CLEANUP) == mode
+
+
 def test_spelling_distribution_sums_to_one():
     counts = {"a": 5, "ab": 3, "b": 1}
     owner, context, symbol = suffix_tree.contexts(pa.array(list(counts), pa.binary()))
