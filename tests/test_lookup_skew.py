@@ -41,6 +41,42 @@ def test_fanout_equals_a_plain_left_join(spark, hot, right):
     assert Counter(map(tuple, got.select("id", "k", "v").collect())) == Counter(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_fanout_joins_runs_of_right_rows(spark, threshold):
+    """Every match is kept, but a fact meets few runs of a hot key's rows instead of each row: also with
+    rows that come twice, null values, maps and odd names."""
+    facts = spark.createDataFrame([(i % 90, ["H", "H", "x", "y", None][i % 5]) for i in range(100)], "id int, `k.k` string")
+    rows = [("H" if i % 3 else "x", i % 400 or None, None if i % 7 == 0 else {"m": i % 2}) for i in range(1200)]
+    right = spark.createDataFrame(rows, "rk string, `v.v` int, m map<string,int>").coalesce(2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = L.lookup(facts, right, fact_key="k.k", dim_key="rk", values=["v.v", "m"], dedupe=False, broadcast=False,
+                       hot=["H"], hot_right=["H"])
+        assert out.columns == ["id", "k.k", "v.v", "m"]
+        got = Counter((r["id"], r["k.k"], r["v.v"], str(r["m"])) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = Counter()
+    for f in facts.collect():
+        matches = [(v, str(m)) for rk, v, m in rows if rk == f["k.k"]] or [(None, "None")]
+        want.update((f["id"], f["k.k"], *m) for m in matches)
+    assert got == want
+    assert plan.index("Generate inline(") < plan.index("Join ")
+    keyed = right.select(F.col("rk").alias("__lk"), "`v.v`", "m").withColumn("__h", F.xxhash64("`v.v`"))
+    runs = L.packed_runs(keyed, "__lk", "__h", [], ["v.v", "m"])
+    assert runs.agg(F.sum(F.size("__rows"))).first()[0] == 1200
+    assert runs.count() <= 2 * 2 * L.RUNS  # keys, splits
+
+
+def test_fanout_without_value_columns(spark):
+    facts = spark.createDataFrame([(1, "H"), (2, "x"), (3, None)], "id int, k string")
+    right = spark.createDataFrame([("H",), ("H",), ("y",)], "rk string")
+    got = L.lookup(facts, right, fact_key="k", dim_key="rk", values=[], dedupe=False, broadcast=False, hot=["H"], hot_right=["H"])
+    assert sorted(r["id"] for r in got.collect()) == [1, 1, 2, 3] and got.columns == ["id", "k"]
+
+
 def test_consolidation_beyond_the_bound_starts_few_jobs(spark):
     sf = "/root/testdata/sf0.001"
     dims = [CA.standin(spark, sf, [t], q) for t, q in (("customer", CJ._contact_list), ("customer", CJ._staffing),
